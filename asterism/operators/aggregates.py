@@ -1,10 +1,9 @@
-"""One row per key, distinct values and small samples."""
+"""One row per key, and distinct values."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def pick_one(df: DataFrame, keys: str | list[str], order: list[str], last: bool = False) -> DataFrame:
@@ -22,46 +21,3 @@ def pick_one(df: DataFrame, keys: str | list[str], order: list[str], last: bool
 
 def distinct_values(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names).distinct()
-
-
-def smallest_values(df: DataFrame, names: list[str], n: int = 5) -> DataFrame:
-    """The ``n`` smallest distinct non-null values, as text, of each column.
-
-    Rows are (``column_name``, ``place`` from 1, ``value``). A plain distinct would shuffle
-    every value of a column to keep five of them. So a first pass takes the smallest value
-    of each of ``n + 3`` hash buckets, in one row; the n-th of these is no smaller than the
-    n-th smallest of all. The second pass keeps values up to that bound, about as many as
-    wanted, and only those are made distinct and ranked.
-    """
-    buckets = n + 3
-    text = [F.col(f"`{name}`").cast("string").alias(f"v{i}") for i, name in enumerate(names)]
-    values = df.select(text)
-    hashed = values.select(
-        "*", *[F.pmod(F.xxhash64(f"v{i}"), F.lit(buckets)).alias(f"h{i}") for i in range(len(names))]
-    )
-    lowest = hashed.agg(
-        *[
-            F.min(F.when(F.col(f"h{i}") == bucket, F.col(f"v{i}"))).alias(f"m{i}_{bucket}")
-            for i in range(len(names))
-            for bucket in range(buckets)
-        ]
-    ).first()
-    candidates = []
-    for i, name in enumerate(names):
-        found = sorted(v for v in (lowest[f"m{i}_{b}"] for b in range(buckets)) if v is not None)
-        value = F.col(f"v{i}")
-        if len(found) >= n:
-            # Python sorts by code point and Spark by UTF-8 bytes: the same order.
-            value = F.when(value <= found[n - 1], value)
-        candidates.append(F.struct(F.lit(name).alias("column_name"), value.alias("value")))
-    pairs = values.select(
-        F.inline(F.filter(F.array(*candidates), lambda pair: pair["value"].isNotNull()))
-    )
-    by_column = Window.partitionBy("column_name").orderBy("value")
-    ranked = pairs.distinct().withColumn("place", F.row_number().over(by_column))
-    return ranked.where(F.col("place") <= n).select("column_name", "place", "value")
-
-
-def sample_values(df: DataFrame, name: str, n: int = 5) -> DataFrame:
-    """Up to ``n`` distinct values of a column as text, the smallest ones, as ``value``."""
-    return smallest_values(df, [name], n).select("value")

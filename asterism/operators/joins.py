@@ -47,7 +47,7 @@ def left_lookup(
     if _fits_broadcast(dim) if small is None else small:
         return df.join(dim, on, "left")
 
-    frequent = (counted or df).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    frequent = (df if counted is None else counted).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     frequent = frequent.orderBy(F.desc("_n")).limit(hot_keys).select(*on)
     hot = dim.join(F.broadcast(frequent), on, "left_semi").select(
         *on, F.struct(F.lit(True).alias("_is"), *taken).alias("_hot")
@@ -86,7 +86,7 @@ def lookup_key(
 ) -> DataFrame:
     """``df`` with the surrogate ``sk`` that ``dim`` has for the natural key in ``df[key]``."""
     keys = dim.select(F.col(nk).alias("_nk"), F.col(sk).alias("_sk"))
-    counted = (counted or df).select(F.col(key).alias("_nk"))
+    counted = (df if counted is None else counted).select(F.col(key).alias("_nk"))
     found = left_lookup(df.withColumn("_nk", F.col(key)), keys, "_nk", counted, **how)
     return found.drop("_nk").withColumnRenamed("_sk", out or sk)
 
@@ -103,9 +103,7 @@ def with_date_id(df: DataFrame, ts_col: str, dim_date: DataFrame, out: str = "da
 def left_join_measures(spine: DataFrame, *measures: DataFrame, on: str) -> DataFrame:
     """``spine`` with the columns of each measure table, which has one row per key.
 
-    The measures are aggregated before they get here, so each join moves a row per key.
+    For a spine that has been aggregated, such as to a row per key and day: then no key has
+    more rows than there are days, and plain joins on the same key do.
     """
-    result = spine
-    for table in measures:
-        result = left_lookup(result, table, on, counted=spine)
-    return result
+    return reduce(lambda rows, table: rows.join(table, on, "left"), measures, spine)

@@ -1,58 +1,87 @@
 """Column profiles: type, samples, completeness and negative values.
 
-A table costs two scans whatever its width: one for the counts and for a bound on the
-samples, one for the samples. Columns go in groups, as the code generated for hundreds of
-aggregates gets too long to be compiled; each group reads its own columns only.
+A table is read twice, column by column: once for the counts and a bound on the samples,
+once for the values within the bound. Columns go in groups, as the code generated for
+hundreds of aggregates gets too long to be compiled; each group reads its own columns only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StructField
+from pyspark.sql.types import AtomicType, BinaryType, NumericType, StructField
 
 from ..functions.documents import json_doc, now, to_json_text
 from ..functions.quality import pct, quality_label
 from ..schemas import PROFILE, struct
 from ..sinks.tables import append, ensure_table
-from .aggregates import smallest_values
 from .keys import with_dense_id
 from .mapping import tag
 
-COLUMNS_PER_SCAN = 10
+COLUMNS_PER_SCAN = 12
 SAMPLE_SIZE = 5
 
 
-def _counts(field: StructField) -> Column:
-    """Counts of one column, as a struct."""
-    column = F.col(f"`{field.name}`")
-    numeric = isinstance(field.dataType, NumericType)
-    return F.struct(
-        F.lit(field.name).alias("column_name"),
-        F.lit(field.dataType.simpleString()).alias("data_type"),
-        F.count(column).alias("not_null_count"),
-        (F.count_if(column < 0) if numeric else F.lit(0)).cast("bigint").alias("negative_count"),
-    )
+def _value(field: StructField) -> str:
+    """SQL for a column's values in an order of their own; nested and binary ones as text."""
+    name = f"`{field.name}`"
+    if isinstance(field.dataType, AtomicType) and not isinstance(field.dataType, BinaryType):
+        return name
+    return f"CAST({name} AS STRING)"
+
 
+def _scan(df: DataFrame, fields: list[StructField], n: int) -> list[dict[str, Any]]:
+    """Counts of some columns, and the text of a bound on the ``n`` smallest values of each.
 
-def column_counts(df: DataFrame) -> DataFrame:
-    """One row per column: ordinal, type, n_rows, not_null_count, negative_count."""
-    parts = []
+    The bound is the n-th smallest of the least values of ``n + 3`` hash buckets. These are
+    values of the column, so at least ``n`` distinct ones lie within the bound, and hardly
+    more do. Without that many values there is no bound, and none is needed.
+    """
+    buckets = n + 3 if n else 0
+    values = df.selectExpr(
+        *[f"{_value(field)} AS v{i}" for i, field in enumerate(fields)],
+        *[f"pmod(xxhash64({_value(field)}), {buckets}) AS h{i}" for i, field in enumerate(fields) if n],
+    )
+    aggregates = ["count(1) AS n_rows"]
+    for i, field in enumerate(fields):
+        negatives = f"count_if(v{i} < 0)" if isinstance(field.dataType, NumericType) else "0L"
+        least = ", ".join(f"min(IF(h{i} = {b}, v{i}, NULL))" for b in range(buckets))
+        bound = f"get(array_sort(array_distinct(array_compact(array({least})))), {n - 1})" if n else "NULL"
+        aggregates += [f"count(v{i}) AS c{i}", f"{negatives} AS g{i}", f"CAST({bound} AS STRING) AS b{i}"]
+    row = values.agg(*map(F.expr, aggregates)).first()
+    return [
+        dict(n_rows=row["n_rows"], not_null_count=row[f"c{i}"], negative_count=row[f"g{i}"], bound=row[f"b{i}"])
+        for i in range(len(fields))
+    ]
+
+
+def _stats(df: DataFrame, n: int) -> list[dict[str, Any]]:
     fields = df.schema.fields
-    for first in range(0, len(fields), COLUMNS_PER_SCAN):
-        group = fields[first : first + COLUMNS_PER_SCAN]
-        row = df.agg(F.count(F.lit(1)).alias("n_rows"), F.array(*map(_counts, group)).alias("columns"))
-        parts.append(
-            row.select("n_rows", F.posexplode("columns").alias("at", "counts")).select(
-                (F.col("at") + first + 1).alias("ordinal"), "n_rows", "counts.*"
-            )
-        )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    groups = [fields[at : at + COLUMNS_PER_SCAN] for at in range(0, len(fields), COLUMNS_PER_SCAN)]
+    return [stats for group in groups for stats in _scan(df, group, n)]
+
+
+def _smallest(df: DataFrame, field: StructField, bound: str | None, n: int) -> DataFrame:
+    """The ``n`` smallest distinct values within the bound, as the column ``value``.
+
+    The bound reaches the scan as a filter, and few values get past it to be made distinct.
+    """
+    values = df.select(F.expr(_value(field)).alias("value")).where("value IS NOT NULL")
+    if bound is not None:
+        values = values.where(F.col("value") <= F.lit(bound).cast(values.schema["value"].dataType))
+    return values.distinct().orderBy("value").limit(n)
+
+
+def sample_values(df: DataFrame, name: str, n: int = SAMPLE_SIZE) -> DataFrame:
+    """The ``n`` smallest distinct values of a column, as text, in the column ``value``."""
+    one = df.select(name)
+    field = one.schema.fields[0]
+    smallest = _smallest(one, field, _scan(one, [field], n)[0]["bound"], n)
+    return smallest.select(F.col("value").cast("string").alias("value"))
 
 
 def profile(df: DataFrame, table_name: str, sample_size: int = SAMPLE_SIZE) -> DataFrame:
@@ -62,29 +91,40 @@ def profile(df: DataFrame, table_name: str, sample_size: int = SAMPLE_SIZE) -> D
     percentage_completeness, data_quality_completeness_result, is_negative_values, and
     sample_data: the smallest distinct values as text, empty if there are none.
     """
-    samples = None
-    for first in range(0, len(df.columns), COLUMNS_PER_SCAN):
-        part = smallest_values(df, df.columns[first : first + COLUMNS_PER_SCAN], sample_size)
-        samples = part if samples is None else samples.unionByName(part)
-    samples = samples.groupBy("column_name").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda s: s["value"]).alias("found")
+    spark = df.sparkSession
+    stats = _stats(df, sample_size)
+    counts = spark.createDataFrame(
+        [
+            (at, f.name, f.dataType.simpleString(), s["n_rows"], s["not_null_count"], s["negative_count"])
+            for at, (f, s) in enumerate(zip(df.schema.fields, stats), start=1)
+        ],
+        "ordinal int, column_name string, data_type string, n_rows bigint, not_null_count bigint, "
+        "negative_count bigint",
     )
-    whole, filled = F.col("n_rows"), F.col("not_null_count")
-    return (
-        column_counts(df)
-        .join(samples, "column_name", "left")
-        .select(
-            F.lit(table_name).alias("table_name"),
-            "column_name",
-            "ordinal",
-            "data_type",
-            "n_rows",
-            "not_null_count",
-            pct(filled, whole).alias("percentage_completeness"),
-            quality_label(filled, whole).alias("data_quality_completeness_result"),
-            (F.col("negative_count") > 0).alias("is_negative_values"),
-            F.coalesce("found", F.array().cast("array<string>")).alias("sample_data"),
+    samples = [
+        _smallest(df, field, s["bound"], sample_size).agg(
+            F.lit(at).alias("ordinal"),
+            F.transform(F.array_sort(F.collect_list("value")), lambda v: v.cast("string")).alias("found"),
         )
+        for at, (field, s) in enumerate(zip(df.schema.fields, stats), start=1)
+        if sample_size and s["not_null_count"]
+    ]
+    if samples:
+        counts = counts.join(reduce(DataFrame.unionByName, samples), "ordinal", "left")
+    else:
+        counts = counts.withColumn("found", F.lit(None).cast("array<string>"))
+    whole, filled = F.col("n_rows"), F.col("not_null_count")
+    return counts.select(
+        F.lit(table_name).alias("table_name"),
+        "column_name",
+        "ordinal",
+        "data_type",
+        "n_rows",
+        "not_null_count",
+        pct(filled, whole).alias("percentage_completeness"),
+        quality_label(filled, whole).alias("data_quality_completeness_result"),
+        (F.col("negative_count") > 0).alias("is_negative_values"),
+        F.coalesce("found", F.array().cast("array<string>")).alias("sample_data"),
     )
 
 
@@ -120,10 +160,7 @@ def profile_document(profiles: DataFrame, schema: str = "-") -> DataFrame:
 def profile_all(tables: Mapping[str, DataFrame], sample_size: int = SAMPLE_SIZE) -> DataFrame:
     """The profiles of several tables, stacked."""
     parts = [profile(df, name, sample_size) for name, df in tables.items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def tag_profile(documents: DataFrame, person_in_charge: str, source: str = "-") -> DataFrame:

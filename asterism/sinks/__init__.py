@@ -1,6 +1,6 @@
 """Writers: CSV and JSON files, increments, upserted tables, appended tables, the run log."""
 
-from .files import increment_path, read_increment, write_csv, write_increment, write_json
+from .files import increment_path, read_increment, write_csv, write_increment, write_increments, write_json
 from .runlog import log_run, logged, observed
 from .tables import (
     append,
@@ -34,6 +34,7 @@ __all__ = [
     "upsert_path",
     "write_csv",
     "write_increment",
+    "write_increments",
     "write_json",
     "write_version",
 ]

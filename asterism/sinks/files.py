@@ -6,17 +6,23 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.casting import day_before
+from ..functions.casting import date_of
 from ..sources.files import TIMESTAMP_FORMAT, read_or_none
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";") -> None:
     """Replace ``path`` by CSV files with a header. Line breaks in text must be cleaned before.
 
-    An empty text and a null are both written empty and read back as null.
+    An empty text and a null are both written empty and read back as null. Blanks at the ends
+    of a text are kept, which Spark's writer would strip by default.
     """
     df.write.mode("overwrite").options(
-        header=True, sep=sep, escape='"', timestampNTZFormat=TIMESTAMP_FORMAT
+        header=True,
+        sep=sep,
+        escape='"',
+        timestampNTZFormat=TIMESTAMP_FORMAT,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     ).csv(path)
 
 
@@ -37,6 +43,15 @@ def write_increment(df: DataFrame, path: str, run_date: str | datetime.date) ->
     df.write.mode("overwrite").parquet(increment_path(path, run_date))
 
 
+def write_increments(df: DataFrame, path: str, ts_col: str) -> None:
+    """Land a whole table as the increments of its days, in one job; replaces those days.
+
+    Days with many rows are split among tasks and small ones put together.
+    """
+    days = df.withColumn("ds", date_of(df, ts_col)).hint("rebalance", "ds")
+    days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(path)
+
+
 def read_increment(spark: SparkSession, path: str, run_date: str | datetime.date) -> DataFrame | None:
     """The increment of one day, or ``None`` when that day has none."""
     return read_or_none(lambda: spark.read.parquet(increment_path(path, run_date)))

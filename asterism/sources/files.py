@@ -43,9 +43,8 @@ def read_json_records(
     A payload is an object or an array of objects, one per line. ``whole_file`` reads each
     file as one payload that may span lines; such a file cannot be split among tasks.
     """
-    return spark.read.schema(schema).json(
-        path, multiLine=whole_file, timestampNTZFormat=TIMESTAMP_FORMAT
-    )
+    reader = spark.read.schema(schema).option("timestampNTZFormat", TIMESTAMP_FORMAT)
+    return reader.json(path, multiLine=whole_file)
 
 
 def read_or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
