@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import materialize
+from ..session import materialize, observed
 
 # monotonically_increasing_id() is (partition << 33) + position in the partition.
 POSITION_BITS = 33
@@ -63,7 +63,11 @@ def assign_ids(
     known = known.select(*[F.col(name).alias(f"_nk_{name}") for name in nk], sk)
     same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_nk_{name}")) for name in nk])
     last = known.agg(F.coalesce(F.max(sk), F.lit(0))).first()[0]
-    matched = materialize(new.join(known, same, "left").select(sk, *new.columns), f"matched-{sk}")
+    matched = new.join(known, same, "left").select(sk, *new.columns)
+    matched, seen = observed(matched, added=F.count_if(F.col(sk).isNull()))
+    matched = materialize(matched, f"matched-{sk}")
+    if not seen.get["added"]:
+        return matched
     added = matched.where(F.col(sk).isNull()).drop(sk)
     return matched.where(F.col(sk).isNotNull()).unionByName(
         with_dense_id(added, nk, sk, start=last + 1)

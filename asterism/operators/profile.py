@@ -13,7 +13,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, BinaryType, NumericType, StructField
+from pyspark.sql.types import AtomicType, BinaryType, NumericType, StringType, StructField
 
 from ..functions.documents import json_doc, now, to_json_text
 from ..functions.quality import pct, quality_label
@@ -26,12 +26,13 @@ COLUMNS_PER_SCAN = 12
 SAMPLE_SIZE = 5
 
 
+def _simple(field: StructField) -> bool:
+    return isinstance(field.dataType, AtomicType) and not isinstance(field.dataType, BinaryType)
+
+
 def _value(field: StructField) -> str:
     """SQL for a column's values in an order of their own; nested and binary ones as text."""
-    name = f"`{field.name}`"
-    if isinstance(field.dataType, AtomicType) and not isinstance(field.dataType, BinaryType):
-        return name
-    return f"CAST({name} AS STRING)"
+    return f"`{field.name}`" if _simple(field) else f"CAST(`{field.name}` AS STRING)"
 
 
 def _scan(df: DataFrame, fields: list[StructField], n: int) -> list[dict[str, Any]]:
@@ -60,9 +61,16 @@ def _scan(df: DataFrame, fields: list[StructField], n: int) -> list[dict[str, An
 
 
 def _stats(df: DataFrame, n: int) -> list[dict[str, Any]]:
+    """What ``_scan`` finds, per column; text goes apart, as it slows down other aggregates."""
     fields = df.schema.fields
-    groups = [fields[at : at + COLUMNS_PER_SCAN] for at in range(0, len(fields), COLUMNS_PER_SCAN)]
-    return [stats for group in groups for stats in _scan(df, group, n)]
+    plain = [f for f in fields if _simple(f) and not isinstance(f.dataType, StringType)]
+    texts = [f for f in fields if f not in plain]
+    found = {}
+    for kind in (plain, texts):
+        for at in range(0, len(kind), COLUMNS_PER_SCAN):
+            group = kind[at : at + COLUMNS_PER_SCAN]
+            found |= {field.name: stats for field, stats in zip(group, _scan(df, group, n))}
+    return [found[name] for name in df.columns]
 
 
 def _smallest(df: DataFrame, field: StructField, bound: str | None, n: int) -> DataFrame:

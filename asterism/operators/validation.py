@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casting import parse_date
+from ..session import observed
 from .joins import left_lookup
 
 VIOLATIONS = "violations"
@@ -95,17 +96,23 @@ def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFr
     return tagged.where(whole).drop(VIOLATIONS), tagged.where(~whole)
 
 
-def land_split(df: DataFrame, rules: Sequence[Rule], path: str) -> tuple[DataFrame, DataFrame]:
+def land_split(
+    df: DataFrame, rules: Sequence[Rule], path: str
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
     """As ``split_valid``, written under ``path`` in one pass and read back from there.
 
     Each half is a partition of the landed table, so reading one does not touch the other.
+    The third result counts ``n_rows`` and ``n_invalid``, as seen while writing.
     """
     tagged = tag_violations(df, rules)
     tagged = tagged.withColumn("is_valid", F.size(VIOLATIONS) == 0)
+    tagged, seen = observed(
+        tagged, n_rows=F.count(F.lit(1)), n_invalid=F.count_if(~F.col("is_valid"))
+    )
     tagged.write.mode("overwrite").partitionBy("is_valid").parquet(path)
     landed = df.sparkSession.read.schema(tagged.schema).parquet(path)
     valid = landed.where("is_valid").drop("is_valid", VIOLATIONS)
-    return valid, landed.where("NOT is_valid").drop("is_valid")
+    return valid, landed.where("NOT is_valid").drop("is_valid"), seen.get
 
 
 def validation_report(invalid: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions.documents import now
 from ..operators.validation import VIOLATIONS, ForeignKey, NotNull, Rule, land_split
 from ..schemas import WAREHOUSE, WAREHOUSE_KEYS
 from ..session import scratch_path
-from ..sinks.runlog import logged, observed
+from ..sinks.runlog import logged
 from ..sinks.tables import append, read_table, target_name, upsert_path
 from ..sources.files import all_empty
 from . import dimensions, facts
@@ -25,17 +25,18 @@ def load_table(built: DataFrame, name: str, root: str, rules: Sequence[Rule]) ->
     gate lands the table, so the upsert reads files and the build runs once.
     """
     table = target_name(name)
-    built, seen = observed(built)
-    valid, invalid = land_split(built, rules, scratch_path(built.sparkSession, f"gate-{table}"))
-    report = invalid.select(
-        F.lit(table).alias("table_name"),
-        VIOLATIONS,
-        F.to_json(F.struct(*built.columns)).alias("row"),
-        now().alias("created_at"),
-    )
-    append(report, f"{root}/invalid")
+    path = scratch_path(built.sparkSession, f"gate-{table}")
+    valid, invalid, seen = land_split(built, rules, path)
+    if seen["n_invalid"]:
+        report = invalid.select(
+            F.lit(table).alias("table_name"),
+            VIOLATIONS,
+            F.to_json(F.struct(*built.columns)).alias("row"),
+            now().alias("created_at"),
+        )
+        append(report, f"{root}/invalid")
     upsert_path(valid, f"{root}/{table}", WAREHOUSE_KEYS[table])
-    return seen.get["n_rows"]
+    return seen["n_rows"]
 
 
 def build_warehouse(

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -53,6 +54,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df``, and aggregates of it that are known once a write of it has run.
+
+    Without arguments, the number of rows as ``n_rows``. Saves a second pass for counting.
+    """
+    seen = Observation()
+    counts = counts or {"n_rows": F.count(F.lit(1))}
+    return df.observe(seen, *[column.alias(name) for name, column in counts.items()]), seen
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

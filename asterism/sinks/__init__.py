@@ -1,7 +1,7 @@
 """Writers: CSV and JSON files, increments, upserted tables, appended tables, the run log."""
 
 from .files import increment_path, read_increment, write_csv, write_increment, write_increments, write_json
-from .runlog import log_run, logged, observed
+from .runlog import log_run, logged
 from .tables import (
     append,
     drop_old_versions,
@@ -26,7 +26,6 @@ __all__ = [
     "latest_version",
     "log_run",
     "logged",
-    "observed",
     "read_increment",
     "read_table",
     "target_name",

@@ -6,8 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from ..functions.documents import new_id, now
 from ..schemas import RUN_LOG, struct
@@ -26,12 +25,6 @@ def log_run(spark: SparkSession, path: str, rows: list[dict[str, Any]]) -> None:
     append(records.select(struct(RUN_LOG).names), path)
 
 
-def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """``df``, and the number of its rows (``n_rows``) once a write of it has run."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
-
-
 @contextmanager
 def logged(
     spark: SparkSession, path: str, step: str, process: str, source: str, table_name: str

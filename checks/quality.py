@@ -238,7 +238,7 @@ def fk_rule(t: Tables):
 def split(t: Tables):
     """Valid and invalid rows, landed in one pass and put together again."""
     rules = [order_rules(t)[0], order_rules(t)[2]]
-    valid, invalid = ops.land_split(gaps_in_orders(t), rules, scratch_path(t.spark, "gate"))
+    valid, invalid, _ = ops.land_split(gaps_in_orders(t), rules, scratch_path(t.spark, "gate"))
     broken = invalid.withColumn("violations", F.array_join("violations", ","))
     return valid.withColumn("violations", F.lit("")).unionByName(broken)
 

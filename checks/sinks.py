@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from asterism import sinks
 from asterism.functions import clean_newlines
-from asterism.session import materialize, scratch_path
+from asterism.session import materialize, observed, scratch_path
 from asterism.sources import read_csv_raw, read_json_records, scan_tables
 
 from .registry import Tables, check
@@ -160,7 +160,7 @@ def run_log(t: Tables):
     for name, (df, keys) in tables.items():
         try:
             with sinks.logged(t.spark, f"{root}/etl_log", "staging", "load", "files", name) as run:
-                counted, seen = sinks.observed(df)
+                counted, seen = observed(df)
                 sinks.upsert_path(materialize(counted, name), f"{root}/{name}", keys)
                 run["n_rows"] = seen.get["n_rows"]
         except sinks.DuplicateKeys:
