@@ -8,7 +8,7 @@ hundreds of aggregates gets too long to be compiled; each group reads its own co
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
+from functools import partial, reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +18,7 @@ from pyspark.sql.types import AtomicType, BinaryType, NumericType, StringType, S
 from ..functions.documents import json_doc, now, to_json_text
 from ..functions.quality import pct, quality_label
 from ..schemas import PROFILE, struct
+from ..session import run_all
 from ..sinks.tables import append, ensure_table
 from .keys import with_dense_id
 from .mapping import tag
@@ -166,8 +167,9 @@ def profile_document(profiles: DataFrame, schema: str = "-") -> DataFrame:
 
 
 def profile_all(tables: Mapping[str, DataFrame], sample_size: int = SAMPLE_SIZE) -> DataFrame:
-    """The profiles of several tables, stacked."""
-    parts = [profile(df, name, sample_size) for name, df in tables.items()]
+    """The profiles of several tables, stacked; their first scans run side by side."""
+    spark = next(iter(tables.values())).sparkSession
+    parts = run_all(spark, [partial(profile, df, name, sample_size) for name, df in tables.items()])
     return reduce(DataFrame.unionByName, parts)
 
 

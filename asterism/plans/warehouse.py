@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.documents import now
 from ..operators.validation import VIOLATIONS, ForeignKey, NotNull, Rule, land_split
 from ..schemas import WAREHOUSE, WAREHOUSE_KEYS
-from ..session import scratch_path
+from ..session import run_all, scratch_path
 from ..sinks.runlog import logged
 from ..sinks.tables import append, read_table, target_name, upsert_path
 from ..sources.files import all_empty
@@ -44,52 +45,75 @@ def build_warehouse(
 ) -> dict[str, DataFrame]:
     """Build the warehouse tables under ``root`` from the staging tables and return them.
 
-    A table whose staging tables are absent or empty is left as it was. Facts resolve their
-    keys in the dimensions as written, so a dimension is computed once. Building again
-    keeps every surrogate key. ``foreign_keys`` makes the gate also reject facts whose keys
-    are unknown; without it they are loaded with a null key.
+    Dimensions are built side by side, then facts. A table whose staging tables are absent
+    or empty is left as it was. Facts resolve their keys in the dimensions as written, so a
+    dimension is computed once. Building again keeps every surrogate key. ``foreign_keys``
+    makes the gate also reject facts whose company is unknown; without it they are loaded.
 
     The calendar is typed from ``staging["dim_date"]`` if there is one, else generated.
     """
+    s = staging
 
     def known(name: str) -> DataFrame | None:
         return read_table(spark, f"{root}/{name}")
 
-    def load(name: str, sources: Sequence[str], build, rules: Sequence[Rule] = ()) -> None:
-        inputs = [staging[source] for source in sources if source in staging]
-        if not inputs or all_empty(*inputs):
+    def load(
+        name: str, sources: Sequence[str], build: Callable[[], DataFrame], rules: Sequence[Rule] = ()
+    ) -> None:
+        inputs = [s[source] for source in sources if source in s]
+        if sources and (not inputs or all_empty(*inputs)):
             return
-        keys = [NotNull(key) for key in WAREHOUSE_KEYS[name] if key != "date_id" or name == "dim_date"]
-        with logged(spark, f"{root}/etl_log", "warehouse", "build and load", ",".join(sources), name) as run:
-            run["n_rows"] = load_table(build(), name, root, [*keys, *rules])
-
-    def references(*pairs: tuple[str, str, str]) -> list[Rule]:
-        return [ForeignKey(column, known(dim), key) for column, dim, key in pairs] if foreign_keys else []
+        needed = [key for key in WAREHOUSE_KEYS[name] if key != "date_id" or name == "dim_date"]
+        rules = [*map(NotNull, needed), *rules]
+        log = f"{root}/etl_log"
+        with logged(spark, log, "warehouse", "build and load", ",".join(sources), name) as run:
+            run["n_rows"] = load_table(build(), name, root, rules)
+
+    def dates() -> None:
+        if "dim_date" in s:
+            load("dim_date", ["dim_date"], lambda: dim_date(s["dim_date"]))
+        elif known("dim_date") is None:
+            load("dim_date", [], lambda: calendar(spark))
+
+    def growth() -> None:
+        rules = []
+        if foreign_keys:
+            rules = [ForeignKey("company_nk", known("dim_company"), "company_nk")]
+        name = "fact_company_growth"
+        inputs = ["acquisition", "funding_rounds", "ipos"]
+        build = partial(facts.fact_company_growth, known=known(name))
+        load(name, inputs, lambda: build(*[s[n] for n in inputs], known("dim_date")), rules)
+
+    def investments() -> None:
+        name = "fact_investments"
+        dims = ["dim_date", "dim_company", "dim_investor", "dim_funding_round"]
+        build = partial(facts.fact_investments, known=known(name))
+        load(
+            name,
+            ["investments"],
+            lambda: build(s["investments"], s["funding_rounds"], *map(known, dims)),
+            [NotNull("company_id")] if foreign_keys else [],
+        )
 
-    s = staging
-    if "dim_date" in s:
-        load("dim_date", ["dim_date"], lambda: dim_date(s["dim_date"]))
-    elif known("dim_date") is None:
-        load_table(calendar(spark), "dim_date", root, [NotNull("date_id")])
-    load("dim_company", ["company"],
-         lambda: dimensions.dim_company(s["company"], known("dim_company")))
-    load("dim_investor", ["investments"],
-         lambda: dimensions.dim_investor(s["investments"], known("dim_investor")))
-    load("dim_funding_round", ["funding_rounds"],
-         lambda: dimensions.dim_funding_round(s["funding_rounds"], known("dim_funding_round")))
-    load("dim_people", ["people"], lambda: dimensions.dim_people(s["people"]))
-    load("dim_relationship", ["relationships"],
-         lambda: dimensions.dim_relationship(s["relationships"], s.get("people")))
-
-    dates = known("dim_date")
-    load("fact_company_growth", ["acquisition", "funding_rounds", "ipos"],
-         lambda: facts.fact_company_growth(
-             s["acquisition"], s["funding_rounds"], s["ipos"], dates,
-             known=known("fact_company_growth")),
-         references(("company_nk", "dim_company", "company_nk")))
-    load("fact_investments", ["investments"],
-         lambda: facts.fact_investments(
-             s["investments"], s["funding_rounds"], dates, known("dim_company"),
-             known("dim_investor"), known("dim_funding_round"), known("fact_investments")))
+    def numbered(name: str, source: str, build: Callable[..., DataFrame]) -> Callable[[], None]:
+        return lambda: load(name, [source], lambda: build(s[source], known(name)))
+
+    steps = [
+        [
+            dates,
+            numbered("dim_company", "company", dimensions.dim_company),
+            numbered("dim_investor", "investments", dimensions.dim_investor),
+            numbered("dim_funding_round", "funding_rounds", dimensions.dim_funding_round),
+            lambda: load("dim_people", ["people"], lambda: dimensions.dim_people(s["people"])),
+            lambda: load(
+                "dim_relationship",
+                ["relationships"],
+                lambda: dimensions.dim_relationship(s["relationships"], s.get("people")),
+            ),
+        ],
+        [growth, investments],
+    ]
+    for step in steps:
+        run_all(spark, step)
     tables = {name: known(name) for name in WAREHOUSE}
     return {name: df for name, df in tables.items() if df is not None}

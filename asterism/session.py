@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +79,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def run_all(spark: SparkSession, tasks: Sequence[Callable[[], Any]], at_once: int = 4) -> list[Any]:
+    """The results of independent pieces of work, run side by side in this session.
+
+    Small tables then share the cluster; jobs of large ones queue as they would anyway.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda task: task(), [inheritable_thread_target(spark)(task) for task in tasks]))
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; call when its results are written."""
     path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))

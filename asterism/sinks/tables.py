@@ -11,6 +11,8 @@ and not the whole table.
 
 from __future__ import annotations
 
+from threading import Lock
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,6 +21,7 @@ from ..functions.casting import parse_keys
 from .upsert import assert_unique, upsert
 
 SLICE = "upsert_slice"
+_APPENDING = Lock()
 
 
 def target_name(table: str) -> str:
@@ -152,4 +155,7 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType) -> DataFram
 
 
 def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    """Add rows to the table at ``path``. Writers of one session take turns, as the file
+    committer does not keep apart two jobs that append to the same folder."""
+    with _APPENDING:
+        df.write.mode("append").parquet(path)

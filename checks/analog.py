@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from asterism.operators import pick_one
 from asterism.schemas import STAGING, struct
+from asterism.session import materialize
 
 from .registry import Tables
 
@@ -143,8 +144,9 @@ def relationships(t: Tables):
 
 
 def staging(t: Tables):
+    """All of them, written."""
     builders = [company, funding_rounds, investments, acquisition, ipos, people, relationships]
-    return {build.__name__: build(t) for build in builders}
+    return {build.__name__: materialize(build(t), build.__name__) for build in builders}
 
 
 # The same in SQL.

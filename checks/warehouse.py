@@ -208,8 +208,9 @@ TABLE_SQL = {
 def build_warehouse(t: Tables):
     """Two builds; the second finds everything there and keeps all keys."""
     root = scratch_path(t.spark, "warehouse")
+    staging = analog.staging(t)
     for _ in range(2):
-        tables = plans.build_warehouse(t.spark, analog.staging(t), root)
+        tables = plans.build_warehouse(t.spark, staging, root)
     rows = []
     for name in WAREHOUSE:
         sk = SURROGATES.get(name)
