@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import accumulate
 from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..session import materialize, observed
 
@@ -21,8 +21,9 @@ def with_dense_id(
     """``df`` numbered ``start, start + 1, …`` in the order of ``order_by``, ``out`` first.
 
     The rows are partitioned by range and sorted, numbered within their partition, and
-    written aside. A partition's first number is the count of rows in those before it:
-    one number per partition, and the only part done in a single task.
+    written aside. A partition's first number follows from the count of rows in those
+    before it: one number per partition, and all that the driver gets to see. The result
+    adds it to the position while it reads the written rows, without a join or a shuffle.
 
     ``order_by`` must be a key for the numbers to be the same in every run. With
     ``unique=False`` all other columns break ties, and rows equal in every column are told
@@ -35,19 +36,13 @@ def with_dense_id(
         order += [name for name in columns if name not in order] + ["_tie"]
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = placed.select(*columns, F.monotonically_increasing_id().alias("_place"))
-    numbered = materialize(placed, f"numbered-{out}").select(
-        *columns,
-        F.shiftright("_place", POSITION_BITS).alias("_part"),
-        F.col("_place").bitwiseAND((1 << POSITION_BITS) - 1).alias("_position"),
-    )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        numbered.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    number = (F.col("_offset") + F.col("_position") + start).cast("long")
-    return numbered.join(F.broadcast(offsets), "_part").select(number.alias(out), *columns)
+    placed = materialize(placed, f"numbered-{out}")
+    part = F.shiftright("_place", POSITION_BITS)
+    counts = dict(placed.groupBy(part).count().collect())
+    before = accumulate((counts.get(i, 0) for i in range(max(counts, default=0) + 1)), initial=start)
+    first = F.get(F.expr(f"array({', '.join(f'{n}L' for n in before)})"), part.cast("int"))
+    position = F.col("_place").bitwiseAND((1 << POSITION_BITS) - 1)
+    return placed.select((first + position).alias(out), *columns)
 
 
 def assign_ids(

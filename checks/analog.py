@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from asterism.operators import pick_one
 from asterism.schemas import STAGING, struct
-from asterism.session import materialize
 
 from .registry import Tables
 
@@ -19,8 +18,12 @@ LINE_REST = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedpr
 def lines(t: Tables):
     """Line items, one per key; the greatest of several."""
     names = ["l_orderkey", "l_linenumber", *LINE_REST]
-    one = pick_one(t.lineitem.select(names), ["l_orderkey", "l_linenumber"], LINE_REST, last=True)
-    return one.withColumn("line_id", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int"))
+
+    def build():
+        one = pick_one(t.lineitem.select(names), ["l_orderkey", "l_linenumber"], LINE_REST, last=True)
+        return one.withColumn("line_id", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int"))
+
+    return t.once("lines", build)
 
 
 def _conform(df, name: str):
@@ -146,7 +149,7 @@ def relationships(t: Tables):
 def staging(t: Tables):
     """All of them, written."""
     builders = [company, funding_rounds, investments, acquisition, ipos, people, relationships]
-    return {build.__name__: materialize(build(t), build.__name__) for build in builders}
+    return {build.__name__: t.once(build.__name__, lambda: build(t)) for build in builders}
 
 
 # The same in SQL.

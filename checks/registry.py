@@ -7,6 +7,8 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from asterism.session import materialize
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,6 +20,14 @@ class Tables:
         self.spark = spark
         self.folder = folder
 
+        self.made: dict[str, DataFrame] = {}
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that is derived from the others, written the first time it is asked for."""
+        if name not in self.made:
+            self.made[name] = materialize(build(), name)
+        return self.made[name]
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
