@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.documents import now
 from ..operators.validation import VIOLATIONS, ForeignKey, NotNull, Rule, land_split
-from ..schemas import WAREHOUSE, WAREHOUSE_KEYS
+from ..schemas import WAREHOUSE, WAREHOUSE_KEYS, struct
 from ..session import run_all, scratch_path
 from ..sinks.runlog import logged
 from ..sinks.tables import append, read_table, target_name, upsert_path
@@ -57,16 +57,26 @@ def build_warehouse(
     def known(name: str) -> DataFrame | None:
         return read_table(spark, f"{root}/{name}")
 
+    def dimension(name: str) -> DataFrame:
+        found = known(name)
+        return spark.createDataFrame([], struct(WAREHOUSE[name])) if found is None else found
+
     def load(
-        name: str, sources: Sequence[str], build: Callable[[], DataFrame], rules: Sequence[Rule] = ()
+        name: str,
+        needs: Sequence[str],
+        build: Callable[[], DataFrame],
+        rules: Sequence[Rule] = (),
+        filled: Sequence[str] = (),
     ) -> None:
-        inputs = [s[source] for source in sources if source in s]
-        if sources and (not inputs or all_empty(*inputs)):
+        """Build a table if all it needs is there, and not all of ``filled`` (or that) is empty."""
+        if not all(source in s for source in needs):
+            return
+        if needs and all_empty(*[s[source] for source in filled or needs]):
             return
-        needed = [key for key in WAREHOUSE_KEYS[name] if key != "date_id" or name == "dim_date"]
-        rules = [*map(NotNull, needed), *rules]
+        required = [key for key in WAREHOUSE_KEYS[name] if key != "date_id" or name == "dim_date"]
+        rules = [*map(NotNull, required), *rules]
         log = f"{root}/etl_log"
-        with logged(spark, log, "warehouse", "build and load", ",".join(sources), name) as run:
+        with logged(spark, log, "warehouse", "build and load", ",".join(needs), name) as run:
             run["n_rows"] = load_table(build(), name, root, rules)
 
     def dates() -> None:
@@ -76,23 +86,24 @@ def build_warehouse(
             load("dim_date", [], lambda: calendar(spark))
 
     def growth() -> None:
+        name, needs = "fact_company_growth", ["acquisition", "funding_rounds", "ipos"]
         rules = []
         if foreign_keys:
-            rules = [ForeignKey("company_nk", known("dim_company"), "company_nk")]
-        name = "fact_company_growth"
-        inputs = ["acquisition", "funding_rounds", "ipos"]
+            rules = [ForeignKey("company_nk", dimension("dim_company"), "company_nk")]
         build = partial(facts.fact_company_growth, known=known(name))
-        load(name, inputs, lambda: build(*[s[n] for n in inputs], known("dim_date")), rules)
+        load(name, needs, lambda: build(*[s[n] for n in needs], dimension("dim_date")), rules)
 
     def investments() -> None:
-        name = "fact_investments"
+        name, needs = "fact_investments", ["investments", "funding_rounds"]
         dims = ["dim_date", "dim_company", "dim_investor", "dim_funding_round"]
+        rules = [NotNull("company_id")] if foreign_keys else []
         build = partial(facts.fact_investments, known=known(name))
         load(
             name,
-            ["investments"],
-            lambda: build(s["investments"], s["funding_rounds"], *map(known, dims)),
-            [NotNull("company_id")] if foreign_keys else [],
+            needs,
+            lambda: build(*[s[n] for n in needs], *map(dimension, dims)),
+            rules,
+            filled=["investments"],
         )
 
     def numbered(name: str, source: str, build: Callable[..., DataFrame]) -> Callable[[], None]:
