@@ -1,10 +1,10 @@
 """Column functions: casting, cleaning, dates, quality labels and JSON documents."""
 
 from .casting import (
-    date_of,
     day_before,
     parse_date,
     parse_keys,
+    read_as,
     to_bool,
     to_decimal,
     to_int,
@@ -19,7 +19,6 @@ from .quality import pct, quality_label
 __all__ = [
     "clean_newlines",
     "clean_newlines_nested",
-    "date_of",
     "day_before",
     "json_doc",
     "merge_docs",
@@ -29,6 +28,7 @@ __all__ = [
     "parse_keys",
     "pct",
     "quality_label",
+    "read_as",
     "to_bool",
     "to_decimal",
     "to_int",

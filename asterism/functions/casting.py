@@ -10,44 +10,69 @@ import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 
 def _column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def parse_date(col: Column | str) -> Column:
-    """Date of text as ``yyyy-MM-dd``, with or without a time part; anything else is null.
-
-    The pattern keeps out the shorter forms a cast accepts: ``2008`` is not 1 January.
+# What text can be read as each type. A cast finds that out by an exception,
+# which takes many times as long as the pattern when much of a column is unreadable.
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_DOUBLE = r"^\s*[+-]?(\d+\.?\d*|\.\d+|NaN|Infinity)([eE][+-]?\d+)?\s*$"
+_DATE = r"^\s*\d{4}-\d{2}-\d{2}([ T].*)?$"
+PATTERNS = {
+    "tinyint": _WHOLE,
+    "smallint": _WHOLE,
+    "int": _WHOLE,
+    "bigint": _WHOLE,
+    "decimal": _DECIMAL,
+    "float": _DOUBLE,
+    "double": _DOUBLE,
+    "date": _DATE,
+}
+TRUE = ["true", "t", "yes", "y", "1"]
+FALSE = ["false", "f", "no", "n", "0"]
+
+
+def read_as(col: Column | str, kind: str) -> Column:
+    """A column as the given type; text that cannot be read as it is null.
+
+    A date is ``yyyy-MM-dd`` with or without a time part, not one of the shorter forms that
+    a cast accepts: ``2008`` is not 1 January. The type test is settled when the query is
+    planned, so columns that are not text are simply cast.
     """
-    text = _column(col).cast("string")
-    return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}([ T].*)?$"), text.try_cast("date"))
+    column = _column(col)
+    family = kind.split("(")[0]
+    if family == "boolean":
+        word = F.lower(F.trim(column.cast("string")))
+        return F.when(word.isin(TRUE), True).when(word.isin(FALSE), False)
+    if family not in PATTERNS:
+        return column.try_cast(kind)
+    not_text = F.typeof(column) != "string"
+    return F.when(not_text | column.cast("string").rlike(PATTERNS[family]), column.try_cast(kind))
 
 
-def date_of(df: DataFrame, name: str) -> Column:
-    """Date of a column, which may be a date, a timestamp or text."""
-    if isinstance(df.schema[name].dataType, StringType):
-        return parse_date(name)
-    return F.col(name).cast("date")
+def parse_date(col: Column | str) -> Column:
+    return read_as(col, "date")
 
 
 def to_int(col: Column | str) -> Column:
-    return _column(col).try_cast("int")
+    return read_as(col, "int")
 
 
 def to_bool(col: Column | str) -> Column:
-    return _column(col).try_cast("boolean")
+    return read_as(col, "boolean")
 
 
 def to_decimal(col: Column | str, precision: int = 15, scale: int = 2) -> Column:
-    return _column(col).try_cast(f"decimal({precision},{scale})")
+    return read_as(col, f"decimal({precision},{scale})")
 
 
 def to_ts(col: Column | str) -> Column:
     """ISO timestamp without zone."""
-    return _column(col).try_cast("timestamp_ntz")
+    return read_as(col, "timestamp_ntz")
 
 
 def to_text(col: Column | str) -> Column:

@@ -10,11 +10,18 @@ NEWLINE = "\n"
 ANY_LINE_BREAK = "\r\n|\r|\n"
 
 
+def _blanked(col: Column, pattern: str) -> Column:
+    """A space for every match; a plain line feed needs no regular expression."""
+    if pattern == NEWLINE:
+        return F.replace(col, F.lit(NEWLINE), F.lit(" "))
+    return F.regexp_replace(col, pattern, " ")
+
+
 def clean_newlines(df: DataFrame, pattern: str = NEWLINE) -> DataFrame:
     """Replace line breaks by a space in every top-level string column."""
     return df.select(
         [
-            F.regexp_replace(field.name, pattern, " ").alias(field.name)
+            _blanked(F.col(f"`{field.name}`"), pattern).alias(field.name)
             if isinstance(field.dataType, StringType)
             else F.col(f"`{field.name}`")
             for field in df.schema.fields
@@ -45,7 +52,7 @@ def _cleaned(col: Column, data_type: DataType, pattern: str) -> Column:
         return F.transform(col, lambda item: _cleaned(item, data_type.elementType, pattern))
     if isinstance(data_type, MapType):
         return F.transform_values(col, lambda _, value: _cleaned(value, data_type.valueType, pattern))
-    return F.regexp_replace(col, pattern, " ")
+    return _blanked(col, pattern)
 
 
 def clean_newlines_nested(df: DataFrame, pattern: str = NEWLINE) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casting import date_of
+from ..functions.casting import parse_date
 
 HOT_KEYS = 10_000
 SPREAD = 1 << 20
@@ -94,10 +94,10 @@ def lookup_key(
 def with_date_id(df: DataFrame, ts_col: str, dim_date: DataFrame, out: str = "date_id") -> DataFrame:
     """``df`` with the id of the day of ``ts_col``; null without a day in the calendar.
 
-    A calendar has one row per day, so it stays small enough for Spark to broadcast.
+    A calendar has one row per day, so Spark can broadcast it.
     """
     days = dim_date.select(F.col("date_actual").alias("_day"), F.col("date_id").alias(out))
-    return df.withColumn("_day", date_of(df, ts_col)).join(days, "_day", "left").drop("_day")
+    return left_lookup(df.withColumn("_day", parse_date(ts_col)), days, "_day").drop("_day")
 
 
 def left_join_measures(spine: DataFrame, *measures: DataFrame, on: str) -> DataFrame:

@@ -8,9 +8,7 @@ from typing import Any, NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casting import date_of
-
-CASTS = ("int", "bigint", "boolean", "decimal", "timestamp_ntz", "double")
+from ..functions.casting import read_as
 
 
 class Rule(NamedTuple):
@@ -26,16 +24,12 @@ def map_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
 
-def _cast(df: DataFrame, rule: Rule) -> Column:
+def _cast(rule: Rule) -> Column:
     if rule.type is None:
         return F.col(rule.source)
-    if rule.type == "date":
-        return date_of(df, rule.source)
     if rule.type == "string":
         return F.col(rule.source).cast("string")
-    if not rule.type.startswith(CASTS):
-        raise ValueError(f"no cast to {rule.type}")
-    return F.col(rule.source).try_cast(rule.type)
+    return read_as(rule.source, rule.type)
 
 
 def apply_mapping(df: DataFrame, rules: Sequence[Rule | tuple]) -> DataFrame:
@@ -44,7 +38,7 @@ def apply_mapping(df: DataFrame, rules: Sequence[Rule | tuple]) -> DataFrame:
     Only the sources it names are read. Text that does not fit its type becomes null.
     """
     rules = [Rule(*rule) for rule in rules]
-    return df.select([_cast(df, rule).alias(rule.target) for rule in rules])
+    return df.select([_cast(rule).alias(rule.target) for rule in rules])
 
 
 def tag(df: DataFrame, **constants: Any) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casting import parse_date
+from ..functions.casting import read_as
 from ..session import observed
 from .joins import left_lookup
 
@@ -42,8 +42,7 @@ class Castable:
 
     def broken(self) -> Column:
         value = F.col(self.column)
-        read = parse_date(value) if self.type == "date" else value.try_cast(self.type)
-        return value.isNotNull() & read.isNull()
+        return value.isNotNull() & read_as(value, self.type).isNull()
 
 
 @dataclass(frozen=True)

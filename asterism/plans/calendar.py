@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.casting import parse_date
+from ..functions.casting import read_as
 from ..schemas import WAREHOUSE, struct
 
 # The span of the calendar and the names of the quarters.
@@ -77,13 +77,5 @@ def calendar(
 
 def dim_date(text: DataFrame) -> DataFrame:
     """The date dimension from its text form, such as a CSV with the same columns."""
-    typed = []
-    for field in struct(WAREHOUSE["dim_date"]).fields:
-        kind = field.dataType.simpleString()
-        value = F.col(field.name)
-        if kind == "date":
-            value = parse_date(value)
-        elif kind != "string":
-            value = value.try_cast(kind)
-        typed.append(value.alias(field.name))
-    return text.select(typed)
+    fields = struct(WAREHOUSE["dim_date"]).fields
+    return text.select([read_as(f.name, f.dataType.simpleString()).alias(f.name) for f in fields])

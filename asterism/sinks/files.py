@@ -6,7 +6,7 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.casting import date_of
+from ..functions.casting import parse_date
 from ..sources.files import TIMESTAMP_FORMAT, read_or_none
 
 
@@ -48,7 +48,7 @@ def write_increments(df: DataFrame, path: str, ts_col: str) -> None:
 
     Days with many rows are split among tasks and small ones put together.
     """
-    days = df.withColumn("ds", date_of(df, ts_col)).hint("rebalance", "ds")
+    days = df.withColumn("ds", parse_date(ts_col)).hint("rebalance", "ds")
     days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ds").parquet(path)
 
 

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casting import date_of, day_before
+from ..functions.casting import day_before, parse_date
 
 
 def extract_increment(df: DataFrame, ts_col: str, run_date: str | datetime.date) -> DataFrame:
@@ -17,9 +17,9 @@ def extract_increment(df: DataFrame, ts_col: str, run_date: str | datetime.date)
     row groups of other days are skipped. Rows created earlier and changed later are not
     in the slice of a ``created_at``; use ``updated_at`` to get them.
     """
-    return df.where(date_of(df, ts_col) == day_before(run_date))
+    return df.where(parse_date(ts_col) == day_before(run_date))
 
 
 def date_range(df: DataFrame, ts_col: str, start: str, end: str) -> DataFrame:
     """Rows dated from ``start`` to ``end``, both days included."""
-    return df.where(date_of(df, ts_col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    return df.where(parse_date(ts_col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))

@@ -155,7 +155,7 @@ def parse_date(t: Tables):
     mixed = mixed.when(F.col("o_orderstatus") == "O", F.substring(text, 1, 4)).otherwise("unknown")
     return t.orders.select(
         "o_orderkey",
-        fn.date_of(t.orders, "o_orderdate").alias("from_ts"),
+        fn.parse_date("o_orderdate").alias("from_ts"),
         fn.parse_date(F.concat(text, F.lit(".000"))).alias("from_text"),
         fn.parse_date(F.substring(text, 1, 10)).alias("from_day"),
         fn.parse_date(mixed).alias("from_mixed"),
