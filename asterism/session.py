@@ -12,15 +12,14 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+_FOLDERS: dict[str, str] = {}
 
 
 def build_session(app: str = "asterism", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
 
     Partition counts, memory and the checkpoint folder belong to the cluster and are
-    left to its configuration or to ``conf`` (keys with ``_`` in place of ``.`` are not
-    translated: pass a dict with ``**{"spark.x.y": "z"}``).
+    left to its configuration or to ``conf``, given as ``**{"spark.x.y": "z"}``.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -36,21 +35,31 @@ def build_session(app: str = "asterism", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
+    """Folder for this application's intermediate tables, deleted when the application ends.
 
-    Only a local-mode session may fall back to a folder of this machine; on a cluster the
-    executors could not see it, so a missing setting is an error there.
+    It is in the folder that the cluster names in ``spark.checkpoint.dir``. Only a local-mode
+    session may fall back to a folder of this machine; on a cluster the executors could not
+    see it, so a missing setting is an error there.
     """
     app_id = spark.sparkContext.applicationId
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return f"{named.rstrip('/')}/asterism-{app_id}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if app_id not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app_id] = tempfile.mkdtemp(prefix="asterism-")
-    return _LOCAL_FOLDERS[app_id]
+    if app_id not in _FOLDERS:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            shared = tempfile.mkdtemp(prefix="asterism-")
+        path = f"{shared.rstrip('/')}/asterism-{app_id}"
+        files, folder = _folder(spark, path)
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _FOLDERS[app_id] = path
+    return _FOLDERS[app_id]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -89,6 +98,6 @@ def run_all(spark: SparkSession, tasks: Sequence[Callable[[], Any]], at_once: in
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables; call when its results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete the intermediate tables now; for long sessions, once their results are written."""
+    files, folder = _folder(spark, scratch_folder(spark))
+    files.delete(folder, True)

@@ -91,3 +91,39 @@ def test_inferred_types(spark, tmp_path):
     found = sources.read_csv_inferred(spark, str(tmp_path))
     assert found.dtypes == [("id", "int"), ("price", "double"), ("day", "date"), ("name", "string")]
     assert sources.read_csv_raw(spark, str(tmp_path)).dtypes == [(n, "string") for n in found.columns]
+
+
+class Reader:
+    """Stands in for ``spark.read``: keeps the options, and answers the question for the range."""
+
+    def __init__(self, bounds, given=None):
+        self.bounds, self.given = bounds, given or {}
+
+    def format(self, _):
+        return self
+
+    def option(self, name, value):
+        return Reader(self.bounds, self.given | {name: value})
+
+    def options(self, **more):
+        return Reader(self.bounds, self.given | more)
+
+    def load(self):
+        return self
+
+    def agg(self, *_):
+        return self
+
+    def first(self):
+        return self.bounds
+
+
+@pytest.mark.parametrize("bounds, parts", [((1, 900), "4"), ((None, None), None)])
+def test_jdbc_strides_cover_the_range(spark, bounds, parts):
+    class Session:
+        read = Reader(bounds)
+
+    read = sources.read_jdbc(Session, "jdbc:x", "funds", partition_col="id", n=4, properties={"user": "u"})
+    assert read.given["dbtable"] == "(SELECT * FROM funds) data" and read.given["user"] == "u"
+    assert read.given.get("numPartitions") == parts
+    assert read.given.get("lowerBound") == ("1" if parts else None) and read.given.get("upperBound") == ("900" if parts else None)

@@ -129,6 +129,22 @@ def test_second_build_keeps_keys_and_adds(spark, staged, staging, rows, tmp_path
     assert new["investment_id"] == 4 and new["investor_id"] == 3 and new["investment_amount_usd"] == 7
 
 
+def test_build_from_an_increment_keeps_earlier_facts(spark, staged, staging, rows, tmp_path):
+    root = str(tmp_path / "w")
+    first = plans.build_warehouse(spark, staging, root)
+    before = rows(first["fact_investments"])
+    staging["investments"] = staged(
+        "investments",
+        dict(investment_id=2, funding_round_id=11, funded_object_id="c:1", investor_object_id="f:2", created_at=DAY),
+        dict(investment_id=4, funding_round_id=11, funded_object_id="c:2", investor_object_id="f:3", created_at=DAY),
+    )
+    after = plans.build_warehouse(spark, staging, root)
+    facts = as_dicts(after["fact_investments"], "investment_nk")
+    assert set(facts) == {"1", "2", "3", "4"} and len(set(before) & set(rows(after["fact_investments"]))) == 2
+    assert facts["2"]["investment_amount_usd"] == Decimal("200.25") and facts["2"]["investment_id"] == 2
+    assert set(as_dicts(after["dim_investor"], "investor_nk")) == {"f:1", "f:2", "f:3"}
+
+
 def test_empty_and_absent_tables_are_skipped(spark, staging, tmp_path):
     empty = {name: df.limit(0) for name, df in staging.items()}
     assert set(plans.build_warehouse(spark, empty, str(tmp_path / "w"))) == {"dim_date"}
