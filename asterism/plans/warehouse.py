@@ -9,7 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.documents import now
-from ..operators.validation import VIOLATIONS, ForeignKey, NotNull, Rule, land_split
+from ..operators.validation import (
+    VIOLATIONS,
+    ForeignKey,
+    NotNull,
+    Rule,
+    land_split,
+    split_valid,
+    tag_violations,
+)
 from ..schemas import WAREHOUSE, WAREHOUSE_KEYS, struct
 from ..session import run_all, scratch_path
 from ..sinks.runlog import logged
@@ -19,15 +27,25 @@ from . import dimensions, facts
 from .calendar import calendar, dim_date
 
 
-def load_table(built: DataFrame, name: str, root: str, rules: Sequence[Rule]) -> int:
+def load_table(
+    built: DataFrame, name: str, root: str, rules: Sequence[Rule], written: bool = False
+) -> int:
     """Put a built table through the gate and upsert its valid rows; returns the rows built.
 
     Rows that break a rule are appended to ``<root>/invalid`` with what they break. The
-    gate lands the table, so the upsert reads files and the build runs once.
+    gate lands the table, so that the upsert, which reads it more than once, reads files.
+    That is left out for a table that is ``written`` already, unless a rule needs a join.
     """
     table = target_name(name)
-    path = scratch_path(built.sparkSession, f"gate-{table}")
-    valid, invalid, seen = land_split(built, rules, path)
+    if written and not any(isinstance(rule, ForeignKey) for rule in rules):
+        valid, invalid = split_valid(built, rules)
+        seen = tag_violations(built, rules).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if(F.size(VIOLATIONS) > 0).alias("n_invalid")
+        )
+        seen = seen.first().asDict()
+    else:
+        path = scratch_path(built.sparkSession, f"gate-{table}")
+        valid, invalid, seen = land_split(built, rules, path)
     if seen["n_invalid"]:
         report = invalid.select(
             F.lit(table).alias("table_name"),
@@ -67,8 +85,12 @@ def build_warehouse(
         build: Callable[[], DataFrame],
         rules: Sequence[Rule] = (),
         filled: Sequence[str] = (),
+        written: bool = False,
     ) -> None:
-        """Build a table if all it needs is there, and not all of ``filled`` (or that) is empty."""
+        """Build a table if all it needs is there, and not all of ``filled`` (or that) is empty.
+
+        ``written``: the build only projects rows that have been written, as numbered ones are.
+        """
         if not all(source in s for source in needs):
             return
         if needs and all_empty(*[s[source] for source in filled or needs]):
@@ -77,7 +99,7 @@ def build_warehouse(
         rules = [*map(NotNull, required), *rules]
         log = f"{root}/etl_log"
         with logged(spark, log, "warehouse", "build and load", ",".join(needs), name) as run:
-            run["n_rows"] = load_table(build(), name, root, rules)
+            run["n_rows"] = load_table(build(), name, root, rules, written)
 
     def dates() -> None:
         if "dim_date" in s:
@@ -91,7 +113,7 @@ def build_warehouse(
         if foreign_keys:
             rules = [ForeignKey("company_nk", dimension("dim_company"), "company_nk")]
         build = partial(facts.fact_company_growth, known=known(name))
-        load(name, needs, lambda: build(*[s[n] for n in needs], dimension("dim_date")), rules)
+        load(name, needs, lambda: build(*[s[n] for n in needs], dimension("dim_date")), rules, written=True)
 
     def investments() -> None:
         name, needs = "fact_investments", ["investments", "funding_rounds"]
@@ -107,7 +129,7 @@ def build_warehouse(
         )
 
     def numbered(name: str, source: str, build: Callable[..., DataFrame]) -> Callable[[], None]:
-        return lambda: load(name, [source], lambda: build(s[source], known(name)))
+        return lambda: load(name, [source], lambda: build(s[source], known(name)), written=True)
 
     steps = [
         [
