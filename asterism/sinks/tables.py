@@ -1,6 +1,6 @@
 """Tables kept as parquet: replaced version by version, or appended to.
 
-A versioned table is a folder of ``v=<n>`` folders. Spark puts ``_SUCCESS`` into one when
+A versioned table is a folder of ``table_version=<n>`` folders. Spark puts ``_SUCCESS`` into one when
 its write is complete, so readers see the last complete version, a failed write is never
 seen, and running the step again repairs it.
 
@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 from ..functions.casting import parse_keys
 from .upsert import assert_unique, upsert
 
+VERSION = "table_version"
 SLICE = "upsert_slice"
 _APPENDING = Lock()
 
@@ -49,12 +50,12 @@ def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions of a table, in order."""
-    names = _names(spark, path, "v=")
-    return [int(name[2:]) for name in names if _exists(spark, f"{path}/{name}/_SUCCESS")]
+    names = _names(spark, path, f"{VERSION}=")
+    return [int(name.split("=")[1]) for name in names if _exists(spark, f"{path}/{name}/_SUCCESS")]
 
 
 def _version_path(path: str, version: int) -> str:
-    return f"{path}/v={version:08d}"
+    return f"{path}/{VERSION}={version:08d}"
 
 
 def _slices(spark: SparkSession, path: str) -> dict[str, str]:
@@ -75,7 +76,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The current state of a table, or ``None`` when nothing has been written."""
     slices = _slices(spark, path)
     if slices:
-        return spark.read.option("basePath", path).parquet(*slices.values()).drop("v", SLICE)
+        return spark.read.option("basePath", path).parquet(*slices.values()).drop(VERSION, SLICE)
     version = latest_version(spark, path)
     return None if version is None else spark.read.parquet(_version_path(path, version))
 
@@ -105,8 +106,13 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
 
 
 def _slice_name(slice_by: str) -> Column:
-    """Slice of a row as text that partition discovery does not take for a number or a date."""
-    return F.coalesce(F.concat(F.lit("s"), F.col(slice_by).cast("string")), F.lit("null"))
+    """Slice of a row: its value, in characters that are the same in a column and in a path.
+
+    The letter in front keeps partition discovery from taking it for a number or a date.
+    Values that come out alike share a slice, which does no harm.
+    """
+    text = F.regexp_replace(F.lower(F.col(slice_by).cast("string")), "[^0-9a-z-]", "_")
+    return F.coalesce(F.concat(F.lit("s"), F.substring(text, 1, 100)), F.lit("null"))
 
 
 def _write_slices(df: DataFrame, path: str) -> None:
@@ -141,7 +147,7 @@ def upsert_path(
         names = {f"{SLICE}={row[0]}" for row in source.select(SLICE).distinct().collect()}
         touched = [folder for name, folder in current.items() if name in names]
         if touched:
-            target = spark.read.option("basePath", path).parquet(*touched).drop("v")
+            target = spark.read.option("basePath", path).parquet(*touched).drop(VERSION)
             source = upsert(target, source, keys)
     _write_slices(source, path)
     return read_table(spark, path)

@@ -85,16 +85,27 @@ def test_only_touched_slices_are_written(spark, base, tmp_path):
     sinks.upsert_path(base.withColumn("day", F.nullif("day", F.lit("d2"))), path, "id", "day")
     change = spark.createDataFrame([(1, "d1", "changed", None)], SCHEMA)
     sinks.upsert_path(change, path, "id", "day")
-    second = sorted(p.name for p in (tmp_path / "t" / "v=00000002").iterdir() if p.is_dir())
+    second = sorted(p.name for p in (tmp_path / "t" / "table_version=00000002").iterdir() if p.is_dir())
     assert second == ["upsert_slice=sd1"]
     assert {r.id: r.a for r in sinks.read_table(spark, path).collect()} == {1: "changed", 2: "y", 3: "z", None: "n"}
 
 
+def test_slices_of_any_values(spark, rows, tmp_path):
+    values = ["2024-01-01 10:00:00", "a/b=c%", "A/B=C%", "é ß", "", None, "x" * 300, "007", "__HIVE__"]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v string")
+    path = str(tmp_path / "t")
+    sinks.upsert_path(df, path, "id", slice_by="v")
+    assert rows(sinks.read_table(spark, path)) == rows(df)
+    change = df.where("id % 2 = 0")
+    assert rows(sinks.upsert_path(change, path, "id", slice_by="v")) == rows(df)
+    assert sinks.latest_version(spark, path) == 2
+
+
 def test_unfinished_version_is_not_seen(spark, base, rows, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_version(base, path)
-    base.limit(1).write.parquet(f"{path}/v=00000002")
-    (tmp_path / "t" / "v=00000002" / "_SUCCESS").unlink()
+    base.limit(1).write.parquet(f"{path}/table_version=00000002")
+    (tmp_path / "t" / "table_version=00000002" / "_SUCCESS").unlink()
     assert rows(sinks.read_table(spark, path)) == rows(base)
     assert sinks.write_version(base.limit(2), path) == 2
     assert sinks.read_table(spark, path).count() == 2
