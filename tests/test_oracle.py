@@ -14,7 +14,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.TEXT_QUERIES)))
 def test_query(spark, con, name):
     assert differences(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) == []
 
@@ -24,4 +24,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.queries()) - set(entry.TEXT_QUERIES) == set(entry.oracle_sql()) - set(entry.TEXT_ORACLES)
