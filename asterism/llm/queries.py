@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,11 @@ def vocabulary() -> str:
     return os.environ.get("ASTERISM_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
 
 
+@_query
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 @_query
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
