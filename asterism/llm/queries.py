@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, simhash
+from . import bpe, langid, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,11 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     return bpe.with_encoding(documents.select("doc_id", "text"), vocabulary()).drop("text")
+
+
+@_query
+def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").withColumn("held_out", langid.held_out())
+    model = langid.fit(documents.where("not held_out and doc_id is not null"))
+    found = langid.with_language(documents.select("doc_id", "held_out", "text"), model)
+    return found.drop("text")
