@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, simhash
+from . import bpe, htmltext, langid, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,11 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+@_query
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return htmltext.with_main_text(_table(spark, folder, "pages").select("page_id", "url", "html")).drop("html")
+
+
 @_query
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
