@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,14 +80,14 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mixed((running[k:] - running[:n]) * powers(_INVERSE[_WORD_BASE], n))
 
 
-def pieces(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Consecutive texts as UTF-8 bytes: first row, end row, bytes, and each text's end in them.
+def pieces(raws: Iterable[bytes | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Consecutive UTF-8 texts as one piece: first row, end row, bytes, and each text's end in them.
 
     Texts are followed by a line feed, so that no word spans two of them. Nulls are empty.
     """
     rows, size, first = [], 0, 0
-    for i, text in enumerate(texts.to_pylist()):
-        raw = (text or "").encode("utf-8", "replace") + b"\n"
+    for i, raw in enumerate(raws):
+        raw = (raw or b"") + b"\n"
         if rows and size + len(raw) > PIECE_BYTES:
             yield _piece(first, rows)
             rows, size, first = [], 0, i
@@ -101,6 +102,17 @@ def _piece(first: int, rows: list[bytes]) -> tuple[int, int, np.ndarray, np.ndar
     return first, first + len(rows), np.frombuffer(b"".join(rows), np.uint8), ends
 
 
+def packed(raws: pd.Series) -> pd.Series:
+    """Texts compressed, so that a shuffle of whole texts moves less."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    return pd.Series([None if raw is None else squeeze(bytes(raw)) for raw in raws], dtype=object)
+
+
+def unpacked(raw: bytes | None) -> bytes:
+    """What ``packed`` made of a text; empty for null."""
+    return b"" if raw is None else zstandard.ZstdDecompressor().decompress(raw)
+
+
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """The smallest number that each number reaches: ``(node, component)`` of ``(a, b)`` links.
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, htmltext, langid, simhash
+from . import bpe, htmltext, langid, simhash, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,11 +31,53 @@ def vocabulary() -> str:
     return os.environ.get("ASTERISM_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
 
 
+@_query
+def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(_table(spark, folder, "documents"), texts_too=False)
+
+
+ORACLES["op3_substrings"] = """
+    WITH words AS (
+      SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents
+    ), runs AS (
+      SELECT doc_id, i, list_slice(w, i, i + 12) AS r
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words WHERE len(w) >= 13)
+    ), firsts AS (
+      SELECT doc_id, i, min(doc_id) OVER (PARTITION BY r) AS f FROM runs
+    ), gone AS (
+      SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM firsts WHERE f < doc_id
+    ), placed AS (
+      SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words
+    ), kept AS (
+      SELECT p.doc_id, count(g.i) AS n_removed, string_agg(word, ' ' ORDER BY p.i) FILTER (WHERE g.i IS NULL) AS k
+      FROM placed p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.i = p.i GROUP BY 1
+    )
+    SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+    FROM words w LEFT JOIN kept USING (doc_id)
+"""
+
+
 @_query
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+#: The rules of the query for ``pages``.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@_query
+def op6_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    # A page is labelled by the document that its path names; bad is low quality or toxic.
+    document = F.regexp_extract(F.coalesce("url", F.lit("")), r"(?s)^.*?://[^/?#]*[^?#]*?/(\d{1,18})(?:[./?#]|$)", 1)
+    pages = _table(spark, folder, "pages").select("page_id", "url", document.try_cast("long").alias("doc_id"))
+    labels = _table(spark, folder, "labels").groupBy("doc_id").agg(
+        F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("long")).alias("bad")
+    )
+    found = urls.judged(pages.join(labels, "doc_id", "left"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
 @_query
 def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return htmltext.with_main_text(_table(spark, folder, "pages").select("page_id", "url", "html")).drop("html")
