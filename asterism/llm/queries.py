@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, htmltext, langid, simhash, substrings, urls
+from . import bpe, fingerprints, htmltext, langid, lines, simhash, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,11 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprinted(_table(spark, folder, "documents"))
 
 
+@_query
+def op2_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.line_classes(_table(spark, folder, "documents"))
+
+
 @_query
 def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.without_repeats(_table(spark, folder, "documents"), texts_too=False)
