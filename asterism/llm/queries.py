@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, htmltext, langid, lines, simhash, substrings, urls
+from . import bpe, fingerprints, htmltext, langid, lines, quality, simhash, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,6 +93,11 @@ def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return htmltext.with_main_text(_table(spark, folder, "pages").select("page_id", "url", "html")).drop("html")
 
 
+@_query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 @_query
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
