@@ -35,6 +35,7 @@ RANGE_BYTES = 1_000_000
 RANGES = 100_000
 
 _DOC = ["range", "place"]
+_SIZES = ["n0", "n1"]
 
 
 def paragraph_digests(text: Column) -> Column:
@@ -71,7 +72,7 @@ def with_next(df: DataFrame, key: str, text: str, range_bytes: int = RANGE_BYTES
         shares = [i / n for i in range(1, n)]
         found = rows.agg(F.percentile_approx("key", F.array(*[F.lit(s) for s in shares]), 20 * n)).first()[0]
         bounds = sorted(set(found or []))
-    rows = rows.withColumn("range", _range_of(F.col("key"), bounds))
+    rows = rows.withColumn("range", F.coalesce(_range_of(F.col("key"), bounds), F.lit(0)))
     order = F.struct(F.col("key").isNotNull().alias("k"), F.coalesce("key", F.lit(0)).alias("key"), "tie")
     heads = rows.groupBy("range").agg(F.max(order).alias("o")).orderBy(F.desc("range")).collect()
     # One row per range goes through the driver: the range before it, and which row is its first.
@@ -80,7 +81,7 @@ def with_next(df: DataFrame, key: str, text: str, range_bytes: int = RANGE_BYTES
     kinds = f"into int, range int, key {df.schema[key].dataType.simpleString()}, tie long"
     wanted = spark.createDataFrame(before, kinds)
     same = (rows["key"].eqNullSafe(wanted["key"])) & (rows["tie"] == wanted["tie"]) & (rows["range"] == wanted["range"])
-    guests = rows.join(F.broadcast(wanted), same).select(wanted["into"].alias("range"), rows["key"], "text", rows["tie"], F.lit(True).alias("guest"))
+    guests = rows.join(F.broadcast(wanted), same).select(F.coalesce(wanted["into"], F.lit(0)).alias("range"), rows["key"], "text", rows["tie"], F.lit(True).alias("guest"))
     guests = guests.dropDuplicates(["range"])
     every = rows.withColumn("guest", F.lit(False)).unionByName(guests).repartition(max(1, n // 2), "range")
     w = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("key"), F.desc("tie"))
@@ -102,43 +103,67 @@ def _power_of_two(x: Column, least: int) -> Column:
 
 def _sum_cells(rows: DataFrame, *on: str) -> DataFrame:
     sums = [F.sum("n").alias("n"), F.bit_xor("digest").alias("digest"), F.bit_xor("check").alias("check")]
-    return rows.groupBy(*_DOC, *on, "cells", "cell").agg(*sums)
+    return rows.groupBy(*_DOC, "cells", *_SIZES, *on, "cell").agg(*sums)
 
 
 def sketches(versions: DataFrame, seed: int = 0, scale: int = 1, least: int = LEAST_CELLS) -> DataFrame:
     """The cells ``(n, digest, check)`` of each version of each row.
 
     ``versions`` has ``range``, ``place`` and ``versions``, an array of arrays of digests. All
-    versions of a row get tables of one size, enough for all paragraphs of any two.
+    versions of a row get tables of one size, enough for all paragraphs of any two. ``n0`` and ``n1`` are
+    the numbers of paragraphs of the first two versions.
     """
     sizes = F.transform("versions", lambda v: F.size(v))
     most = F.get(sizes, F.lit(0)) + F.array_max(F.slice(sizes, 2, 1 << 20))
     cells = _power_of_two(most * CELLS_PER_PARAGRAPH * scale, max(least, LEAST_PRINT) * scale)
-    rows = versions.select(*_DOC, cells.alias("cells"), F.posexplode("versions").alias("version", "digests"))
-    rows = rows.select(*_DOC, "cells", "version", F.explode("digests").alias("digest"))
+    rows = versions.select(*_DOC, cells.alias("cells"), *[F.get(sizes, F.lit(i)).alias(f"n{i}") for i in range(2)], F.posexplode("versions").alias("version", "digests"))
+    rows = rows.select(*_DOC, "cells", *_SIZES, "version", F.explode("digests").alias("digest"))
     places = F.array(*[_cell(F.col("digest"), i, seed, F.col("cells")) for i in range(TABLES)])
-    rows = rows.select(*_DOC, "cells", "version", "digest", F.explode(places).alias("cell"))
+    rows = rows.select(*_DOC, "cells", *_SIZES, "version", "digest", F.explode(places).alias("cell"))
     rows = rows.withColumns({"n": F.lit(1).cast("long"), "check": _check(F.col("digest"))})
     return _sum_cells(rows, "version")
 
 
-def subtracted(cells: DataFrame, pairs: int) -> DataFrame:
-    """The cells of version 0 less those of each other version; ``pair`` is the other one."""
-    own = [F.struct(F.lit(i).alias("pair"), F.lit(1).cast("long").alias("sign")) for i in range(1, pairs + 1)]
-    other = F.struct(F.col("version").alias("pair"), F.lit(-1).cast("long").alias("sign"))
-    sides = F.when(F.col("version") == 0, F.array(*own)).otherwise(F.array(other))
-    rows = cells.withColumn("side", F.explode(sides)).select(
-        *_DOC, "cells", "cell", F.col("side.pair").alias("pair"), (F.col("n") * F.col("side.sign")).alias("n"), "digest", "check"
+def subtracted(cells: DataFrame, pairs: int = 2, printed: int = len(_SIZES)) -> DataFrame:
+    """The cells of version 0 less those of each other version; ``pair`` is the other one.
+
+    The pairs -1, -2 ... are the prints of versions 0, 1 ...: hashes of a version's cells, folded to
+    tables whose size depends on the version alone, so that equal texts have equal prints.
+    """
+    version, cell = F.col("version"), F.col("cell")
+
+    def side(pair: Column, sign: int, place: Column) -> Column:
+        return F.struct(pair.cast("int").alias("pair"), F.lit(sign).cast("long").alias("sign"), place.alias("cell"))
+
+    own = F.lit(0)
+    for i in range(printed):
+        own = F.when(version == i, F.col(f"n{i}")).otherwise(own)
+    own = _power_of_two(own * CELLS_PER_PARAGRAPH, LEAST_PRINT)
+    fold = side(-version - 1, 1, F.floor(cell / TABLES).bitwiseAND(own - 1) * TABLES + cell % TABLES)
+    lists = F.when(version == 0, F.array(*[side(F.lit(i), 1, cell) for i in range(1, pairs + 1)], fold))
+    lists = lists.when(version < printed, F.array(side(version, -1, cell), fold)).otherwise(F.array(side(version, -1, cell)))
+    rows = cells.withColumn("side", F.explode(lists)).select(
+        *_DOC, "cells", *_SIZES, "side.cell", "side.pair", (F.col("n") * F.col("side.sign")).alias("n"), "digest", "check"
+    )
+    rows = _sum_cells(rows, "pair").where("n <> 0 or digest <> 0 or check <> 0")
+    is_print = F.col("pair") < 0
+    halves = [F.xxhash64(F.lit(i), "cell", "n", "digest", "check") for i in range(2)]
+    return rows.select(
+        *_DOC, "cells", *_SIZES, "pair", F.when(is_print, F.lit(-1).cast("long")).otherwise(cell).alias("cell"),
+        F.when(is_print, F.lit(0).cast("long")).otherwise(F.col("n")).alias("n"),
+        F.when(is_print, halves[0]).otherwise(F.col("digest")).alias("digest"),
+        F.when(is_print, halves[1]).otherwise(F.col("check")).alias("check"),
     )
-    return _sum_cells(rows, "pair").where("n <> 0 or digest <> 0 or check <> 0")
 
 
 def peeled(cells: DataFrame, seed: int = 0, rounds: int = ROUNDS) -> DataFrame:
-    """How many digests each pair's cells give back, and how many cells stay: ``differing``, ``stuck``.
+    """A row per document: how many digests each pair's cells give back (``d1``, ``d2``), how many
+    cells stay (``s1``, ``s2``), and the prints (``p1``, ``p2``).
 
     Each step reads the cells of one table, where a digest stands once at most, so no digest is
     read twice. Digests that were read are counted in the cell -1.
     """
+    zero = F.lit(0).cast("long")
     for step in range(rounds * TABLES):
         table = step % TABLES
         alone = (F.col("cell") >= 0) & (F.col("cell") % TABLES == table) & (F.abs("n") == 1) & (F.col("check") == _check(F.col("digest")))
@@ -147,27 +172,16 @@ def peeled(cells: DataFrame, seed: int = 0, rounds: int = ROUNDS) -> DataFrame:
             return F.struct(cell.cast("long").alias("cell"), n.alias("n"), F.col("digest"), F.col("check"))
 
         out = [to(_cell(F.col("digest"), i, seed, F.col("cells")), -F.col("n")) for i in range(TABLES) if i != table]
-        read = F.struct(F.lit(-1).cast("long").alias("cell"), F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("digest"), F.lit(0).cast("long").alias("check"))
+        read = F.struct(F.lit(-1).cast("long").alias("cell"), F.lit(1).cast("long").alias("n"), zero.alias("digest"), zero.alias("check"))
         moves = F.when(alone, F.array(*out, read)).otherwise(F.array(to(F.col("cell"), F.col("n"))))
-        moved = cells.select(*_DOC, "cells", "pair", F.explode(moves).alias("m")).select(*_DOC, "cells", "pair", "m.*")
+        moved = cells.select(*_DOC, "cells", *_SIZES, "pair", F.explode(moves).alias("m")).select(*_DOC, "cells", *_SIZES, "pair", "m.*")
         cells = _sum_cells(moved, "pair").where("n <> 0 or digest <> 0 or check <> 0")
-    read = F.sum(F.when(F.col("cell") < 0, F.col("n")).otherwise(F.lit(0))).alias("differing")
-    return cells.groupBy(*_DOC, "pair").agg(read, F.sum((F.col("cell") >= 0).cast("long")).alias("stuck"))
-
-
-def prints(cells: DataFrame) -> DataFrame:
-    """``print`` of each version: a hash of its cells, folded to tables whose size depends on the
-    version alone, so that equal texts have equal prints."""
-    paragraphs = F.col("paragraphs")
-    totals = Window.partitionBy(*_DOC, "version")
-    # Every paragraph stands in table 0 once.
-    rows = cells.withColumn("paragraphs", F.sum(F.when(F.col("cell") % TABLES == 0, F.col("n"))).over(totals))
-    own = _power_of_two(paragraphs * CELLS_PER_PARAGRAPH, LEAST_PRINT)
-    place = F.floor(F.col("cell") / TABLES).bitwiseAND(own - 1) * TABLES + F.col("cell") % TABLES
-    folded = _sum_cells(rows.withColumns({"cell": place, "cells": own}), "version")
-    halves = [F.bit_xor(F.xxhash64(F.lit(i), "cells", "cell", "n", "digest", "check")) for i in range(2)]
-    text = F.lower(F.concat(*[F.lpad(F.hex(half), 16, "0") for half in halves]))
-    return folded.groupBy(*_DOC, "version").agg(text.alias("print"))
+    pair, settled = F.col("pair"), F.col("cell") < 0
+    text = F.lower(F.concat(F.lpad(F.hex("digest"), 16, "0"), F.lpad(F.hex("check"), 16, "0")))
+    found = [F.coalesce(F.sum(F.when((pair == i) & settled, F.col("n"))), zero).alias(f"d{i}") for i in (1, 2)]
+    found += [F.count(F.when((pair == i) & ~settled, 1)).alias(f"s{i}") for i in (1, 2)]
+    found += [F.max(F.when(pair == -i, text)).alias(f"p{i}") for i in (1, 2)]
+    return cells.groupBy(*_DOC).agg(*found)
 
 
 def _likeness(a: Column, b: Column, differing: Column) -> Column:
@@ -175,10 +189,6 @@ def _likeness(a: Column, b: Column, differing: Column) -> Column:
     return F.when(a + b == 0, F.lit(1.0)).otherwise((a + b - differing) / (a + b + differing))
 
 
-def _by_row(rows: DataFrame, on: str, value: str, names: dict[int, str]) -> DataFrame:
-    return rows.groupBy(*_DOC).agg(*[F.max(F.when(F.col(on) == i, F.col(value))).alias(name) for i, name in names.items()])
-
-
 def fingerprinted(df: DataFrame, key: str = "doc_id", text: str = "text", range_bytes: int = RANGE_BYTES, least: int = LEAST_CELLS) -> DataFrame:
     """Fingerprints of whole texts, and how alike they are to an edited version and to the next text.
 
@@ -199,35 +209,27 @@ def fingerprinted(df: DataFrame, key: str = "doc_id", text: str = "text", range_
             F.array(*[paragraph_digests(F.col(name)) for name in ("text", "edited", "next")]).alias("versions"),
         )
 
-    def compared(found: DataFrame, seed: int, scale: int) -> tuple[DataFrame, DataFrame]:
-        cells = sketches(found.select(*_DOC, "versions"), seed, scale, least)
-        left = peeled(subtracted(cells, 2), seed)
-        return cells, left
+    def compared(found: DataFrame, seed: int, scale: int) -> DataFrame:
+        return peeled(subtracted(sketches(found.select(*_DOC, "versions"), seed, scale, least)), seed)
 
     base = rows()
-    cells, left = compared(base, 0, 1)
-    names = {0: "fingerprint", 1: "edited_fingerprint"}
     sizes = [F.size(F.get("versions", F.lit(i))).cast("long").alias(f"n{i}") for i in range(3)]
     found = base.select(*_DOC, "key", "n_chars", "edited_sha256", *sizes)
-    found = found.join(_by_row(prints(cells.where("version < 2")), "version", "print", names), _DOC, "left")
-    found = found.join(_by_row(left, "pair", "differing", {1: "d1", 2: "d2"}), _DOC, "left")
-    found = found.join(_by_row(left, "pair", "stuck", {1: "s1", 2: "s2"}), _DOC, "left")
-    found = materialize(found, "fingerprints")
-    settled = found.where("coalesce(s1, 0) = 0 and coalesce(s2, 0) = 0")
-    stuck, parts, seed = found.where("s1 > 0 or s2 > 0"), [settled], 0
+    found = materialize(found.join(compared(base, 0, 1), _DOC, "left"), "fingerprints")
+    is_stuck = "s1 > 0 or s2 > 0"
+    parts, stuck, seed = [found.where(f"not coalesce({is_stuck}, false)")], found.where(is_stuck), 0
     while stuck.limit(1).count():
         seed += 1
-        again = rows().join(stuck.select(*_DOC), _DOC, "left_semi")
-        _, left = compared(again, seed, LARGER**seed)
-        both = stuck.drop("d1", "d2", "s1", "s2").join(_by_row(left, "pair", "differing", {1: "d1", 2: "d2"}), _DOC, "left")
-        both = materialize(both.join(_by_row(left, "pair", "stuck", {1: "s1", 2: "s2"}), _DOC, "left"), "fingerprints-larger")
-        parts.append(both.where("coalesce(s1, 0) = 0 and coalesce(s2, 0) = 0"))
-        stuck = both.where("s1 > 0 or s2 > 0")
+        again = compared(rows().join(stuck.select(*_DOC), _DOC, "left_semi"), seed, LARGER**seed)
+        both = stuck.drop("d1", "d2", "s1", "s2").join(again.drop("p1", "p2"), _DOC, "left")
+        both = materialize(both.select(*found.columns), "fingerprints-larger")
+        parts.append(both.where(f"not coalesce({is_stuck}, false)"))
+        stuck = both.where(is_stuck)
     every = reduce(lambda a, b: a.unionByName(b), parts)
     empty = F.lit("0" * 32)
     d1, d2 = (F.coalesce(F.col(name), F.lit(0)) for name in ("d1", "d2"))
     return every.select(
         F.col("key").alias(key), "n_chars", "edited_sha256",
-        F.coalesce("fingerprint", empty).alias("fingerprint"), F.coalesce("edited_fingerprint", empty).alias("edited_fingerprint"),
+        F.coalesce("p1", empty).alias("fingerprint"), F.coalesce("p2", empty).alias("edited_fingerprint"),
         _likeness(F.col("n0"), F.col("n1"), d1).alias("near_edited"), _likeness(F.col("n0"), F.col("n2"), d2).alias("near_next"),
     )
