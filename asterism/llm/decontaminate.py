@@ -73,6 +73,25 @@ def _cut(base: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return base[text] + number * size, text
 
 
+def _rows_of(terms: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """The terms of each run of words, a row each, filled up with the term ``TERMS`` of no weight."""
+    ends = np.append(first[1:], len(terms))
+    at = first[:, None] + np.arange(size)
+    return np.where(at < ends[:, None], terms[np.minimum(at, len(terms) - 1)], TERMS)
+
+
+def _products(rows: np.ndarray, values: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """The sum over each row of its values times the matrix's rows; a few rows at a time, for the cache."""
+    out = np.empty((len(rows), matrix.shape[1]), np.float32)
+    for a in range(0, len(rows), 128):
+        out[a : a + 128] = np.matmul(values[a : a + 128, None, :], matrix[rows[a : a + 128]])[:, 0]
+    return out
+
+
+def _extended(matrix: np.ndarray) -> np.ndarray:
+    return np.concatenate([matrix, np.zeros_like(matrix[:1])])
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts, passages = np.zeros(TERMS, np.int64), 0
     for batch in batches:
@@ -105,19 +124,28 @@ def _sketch(weights: np.ndarray):
     """Each task's part of ``Aᵀ(AΩ)``, a row for each term."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        omega = _random_matrix()
+        omega, scale = _extended(_random_matrix()), np.append(weights, np.float32(0))
         total = np.zeros_like(omega)
         for batch in batches:
             for *_, terms, base in _read(batch.column("raw").to_pylist()):
-                first, _ = _cut(base, BLOCK * BLOCKS)
-                of_word = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(terms))))
-                values = weights[terms]
-                norms = np.sqrt(np.maximum(np.add.reduceat(values * values, first), 1e-12))
-                values = values / norms[of_word]
-                products = np.add.reduceat(omega[terms] * values[:, None], first, axis=0)
-                order = np.argsort(terms, kind="stable")
-                distinct, at = np.unique(terms[order], return_index=True)
-                total[distinct] += np.add.reduceat(products[of_word[order]] * values[order, None], at, axis=0)
+                rows = _rows_of(terms, _cut(base, BLOCK * BLOCKS)[0], BLOCK * BLOCKS)
+                values = scale[rows]
+                values /= np.sqrt(np.maximum((values * values).sum(axis=1, keepdims=True), 1e-12))
+                products = _products(rows, values, omega)
+                order = np.argsort(rows.ravel().astype(np.uint16), kind="stable")
+                passage, value = order // rows.shape[1], values.ravel()[order]
+                distinct, at, lengths = np.unique(rows.ravel()[order], return_index=True, return_counts=True)
+                # Frequent terms by one product each, the others' first occurrences, second ones, and so on.
+                for i in np.flatnonzero(lengths > 64):
+                    own = slice(at[i], at[i] + lengths[i])
+                    total[distinct[i]] += value[own] @ products[passage[own]]
+                left, step = np.flatnonzero(lengths <= 64), 0
+                while len(left):
+                    now = at[left] + step
+                    total[distinct[left]] += products[passage[now]] * value[now, None]
+                    step += 1
+                    left = left[lengths[left] > step]
+        total = total[:TERMS]
         seen = np.flatnonzero(total.any(axis=1))
         if len(seen):
             yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array([row.tobytes() for row in total[seen]])], ["term", "part"])
@@ -209,6 +237,7 @@ def _search(space: np.ndarray, queries: Queries):
     names = ["doc", "item_id", "cosine", "lcs_share", "answer_share", "first_word"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        extended = _extended(space)
         masks = [_masks(words) for words in queries.words]
         answers = [_masks(words[-ANSWER:]) for words in queries.words]
         for batch in batches:
@@ -216,16 +245,19 @@ def _search(space: np.ndarray, queries: Queries):
             docs = batch.column("doc").to_pylist()
             for first_row, data, starts, ends, terms, base in _read(batch.column("raw").to_pylist()):
                 block, text = _cut(base, BLOCK)
-                sums = np.add.reduceat(space[terms], block, axis=0)
+                sums = _products(_rows_of(terms, block, BLOCK), np.ones((len(block), BLOCK), np.float32), extended)
                 near: dict[tuple[int, int], list[tuple[float, int, int]]] = defaultdict(list)
                 for blocks, (items, vectors) in queries.vectors.items():
                     windows = sums.copy()
                     for i in range(1, blocks):
                         more = np.flatnonzero(text[i:] == text[: len(text) - i])
                         windows[more] += sums[more + i]
-                    cosines = _unit(windows) @ vectors.T
-                    for w, q in zip(*np.nonzero(cosines >= CLOSE)):
-                        near[int(text[w]), int(items[q])].append((float(cosines[w, q]), int(block[w]), blocks))
+                    windows = _unit(windows)
+                    for a in range(0, len(windows), 2048):
+                        cosines = (windows[a : a + 2048] @ vectors.T).ravel()
+                        for i in np.flatnonzero(cosines >= CLOSE).tolist():
+                            w, q = a + i // len(items), i % len(items)
+                            near[int(text[w]), int(items[q])].append((float(cosines[i]), int(block[w]), blocks))
                 raw = data.tobytes()
                 for (row, item), found in near.items():
                     size, best = len(queries.words[item]), None
