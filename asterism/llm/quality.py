@@ -116,7 +116,7 @@ class View:
         mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
         z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
         weights = np.zeros(z.shape[1])
-        penalty = RIDGE * len(x) * np.eye(len(weights))
+        penalty = max(1.0, RIDGE * len(x)) * np.eye(len(weights))
         penalty[-1, -1] = 1e-6
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(z @ weights, -30, 30)))
