@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import beside, small_batches
 
 #: How byte-level vocabularies cut a text into words, for given letters, numbers and
 #: white space. (The order differs from the usual one only between ways that cannot both match.)
@@ -279,7 +279,5 @@ def with_encoding(df: DataFrame, vocabulary: str, text: str = "text") -> DataFra
     results and an empty table an empty one. Columns of ``df`` with the new names are replaced.
     No shuffle.
     """
-    coded = _over(df, vocabulary, FIELDS, _round_trip)(F.col(text))
     names = [field.split()[0] for field in FIELDS.split(", ")]
-    kept = [name for name in df.columns if name not in names]
-    return df.withColumn("_coded", coded).select(*kept, *[F.col(f"_coded.{name}").alias(name) for name in names])
+    return beside(df, _over(df, vocabulary, FIELDS, _round_trip)(F.col(text)), names)

@@ -11,7 +11,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -30,6 +30,13 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def beside(df: DataFrame, found: Column, names: list[str]) -> DataFrame:
+    """``df`` with the fields ``names`` of the struct ``found``; its own columns of those names go."""
+    kept = [F.col(f"_row.`{name}`") for name in df.columns if name not in names]
+    rows = df.select(F.struct("*").alias("_row"), found.alias("_found"))
+    return rows.select(*kept, *[F.col(f"_found.{name}").alias(name) for name in names])
+
+
 _SHIPPED: set[str] = set()
 
 

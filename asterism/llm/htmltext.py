@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import beside, small_batches
 
 #: Lines on either side that a window has, and the characters in a window that make a surge.
 REACH = 1
@@ -170,6 +170,5 @@ def with_main_text(df: DataFrame, page: str = "html", out: str = "text") -> Data
     """
     small_batches(df.sparkSession)
     extract = F.pandas_udf(lambda pages: pd.Series([main_text(p) for p in pages], dtype=object), "string")
-    kept = [F.col(name) for name in df.columns if name not in (out, "n_chars")]
-    found = df.withColumn("_text", extract(F.col(page)))
-    return found.select(*kept, F.col("_text").alias(out), F.char_length("_text").cast("long").alias("n_chars"))
+    found = beside(df, F.struct(extract(F.col(page)).alias(out)), [out])
+    return beside(found, F.struct(F.char_length(out).cast("long").alias("n_chars")), ["n_chars"])

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import beside, small_batches
 
 #: Lengths of the n-grams, and places they are hashed to.
 GRAMS = (2, 3, 4)
@@ -158,9 +158,7 @@ def with_language(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     predict = F.pandas_udf(lambda texts: shared.value.predict(texts), "lang_pred string, score double")
-    kept = [name for name in df.columns if name not in ("lang_pred", "score")]
-    found = df.withColumn("_found", predict(F.col(text)))
-    return found.select(*kept, F.col("_found.lang_pred").alias("lang_pred"), F.col("_found.score").alias("score"))
+    return beside(df, predict(F.col(text)), ["lang_pred", "score"])
 
 
 def held_out(key: Column | str = "doc_id") -> Column:

@@ -4,15 +4,16 @@ A passage is a run of consecutive words (13 of them), and is removed where a doc
 id has the same run. Runs are not compared one by one over the corpus:
 
 1. Of the short word grams in a run, the one with the smallest hash is its anchor. Equal runs have
-   equal anchors, and about one word in five is one. Anchors that two different texts have are
-   found by an aggregate that is reduced before it is shuffled.
+   equal anchors, and about one word in five is one. One shuffle of anchors (16 bytes for each and
+   text; a task sends a text that it has seen before only once) finds those that two texts have.
 2. Only around those anchors, the words of the runs that share the anchor are cut out as a stretch.
-   Stretches that are equal are reduced to one, with the smallest and largest document.
 3. Stretches are dealt into shards by their anchor. A shard confirms which of its runs two documents
-   have, compiles these into an automaton, and streams its stretches through it.
+   have, compiles these into an automaton, and streams its stretches through it. Anchors with very
+   many stretches are not dealt to one task: their runs are reduced, counted and joined as rows.
 4. What was located goes back to the documents as word positions.
 
-Copies of a whole text take no part in this: they keep nothing, if they have a whole run.
+Copies of a whole text take no part in this: they keep nothing, if they have a whole run. Whole texts
+are shuffled once, compressed: both joins with them, before and after the shards, read that shuffle.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -32,9 +33,12 @@ from .common import gram_hashes, packed, pieces, small_batches, unpacked, word_h
 
 RUN = 13
 GRAM = 5
-#: Stretches that one automaton is compiled from. An anchor with more of them is not dealt to a
-#: shard: its runs are counted and joined as rows.
+#: Stretches that one automaton is compiled from.
 SHARD = 20_000
+#: Texts that have an anchor; beyond that its stretches are not dealt to a shard.
+CROWD = 250_000
+#: Stands for no key, so that keys are never null where tables are joined.
+NO_KEY = -(1 << 63)
 
 
 def anchors_of(raws: Iterable[bytes | None], run: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -65,30 +69,35 @@ def _text_id(text: Column) -> list[Column]:
 
 def _anchors(run: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            ids = batch.column("t1").to_numpy()
-            for row, anchor, *_ in anchors_of(batch.column("raw").to_pylist(), run):
+            ids, raws = batch.column("t1").to_numpy(), batch.column("raw").to_pylist()
+            for i, t1 in enumerate(ids.tolist()):
+                if t1 in seen:
+                    raws[i] = None
+                seen.add(t1)
+            for row, anchor, *_ in anchors_of(raws, run):
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(ids[row])], ["anchor", "t1"])
 
     return work
 
 
-def _stretches(run: int):
+def _stretches(run: int, wanted: str):
+    """The stretches around a document's anchors in the column ``wanted``."""
     names = ["doc", "t1", "start", "anchor", "words"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, ids = batch.column("doc").to_numpy(), batch.column("t1").to_numpy()
-            wanted = [set(row) for row in batch.column("anchors").to_pylist()]
-            raws = [unpacked(raw) for raw in batch.column("packed").to_pylist()]
+            lists = [set(row or ()) for row in batch.column(wanted).to_pylist()]
+            raws = [unpacked(raw) if held else None for raw, held in zip(batch.column("packed").to_pylist(), lists)]
             for row, anchor, first, last, first_row, base, data, starts, ends in anchors_of(raws, run):
-                held = [i for i, (r, a) in enumerate(zip(row.tolist(), anchor.tolist())) if a in wanted[r]]
+                held = [i for i, (r, a) in enumerate(zip(row.tolist(), anchor.tolist())) if a in lists[r]]
                 text, lo, hi = data.tobytes(), starts[first[held]].tolist(), ends[last[held] + run - 1].tolist()
-                cut = [b" ".join(text[a:b].split()).decode() for a, b in zip(lo, hi)]
+                cut = [b" ".join(text[a:b].split()).decode("utf-8", "replace") for a, b in zip(lo, hi)]
                 start = (first[held] - base[row[held] - first_row]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs[row[held]]), pa.array(ids[row[held]]), pa.array(start), pa.array(anchor[held]), pa.array(cut, pa.string())], names
-                )
+                columns = [pa.array(docs[row[held]]), pa.array(ids[row[held]]), pa.array(start), pa.array(anchor[held]), pa.array(cut, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return work
 
@@ -129,72 +138,73 @@ def locate(stretches: list[tuple[str, int, int]], run: int) -> list[list[int | N
     return found
 
 
-def _shards(run: int):
-    names = ["anchor", "s", "firsts"]
-
-    def shard(rows: list[tuple]) -> pa.RecordBatch:
-        firsts = locate([(words, low, high) for _, _, words, low, high in rows], run)
-        arrays = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(firsts, pa.list_(pa.int64()))], names)
+def _shards(run: int, shard: int):
+    def covering(rows: list[tuple]) -> pa.RecordBatch:
+        # Equal stretches once, with the smallest and largest document.
+        spans: dict[str, tuple[int, int]] = {}
+        for doc, _, _, _, words in rows:
+            low, high = spans.get(words, (doc, doc))
+            spans[words] = (min(low, doc), max(high, doc))
+        firsts = dict(zip(spans, locate([(words, *span) for words, span in spans.items()], run)))
+        found = [(doc, t1, [start + i for i, first in enumerate(firsts[words]) if first is not None and first < doc]) for doc, t1, start, _, words in rows]
+        found = [row for row in found if row[2]]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], kind) for i, kind in enumerate(kinds)], ["doc", "t1", "covering"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            for r in zip(*(batch.column(name).to_pylist() for name in ("anchor", "s", "words", "low", "high"))):
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
                 # Rows come sorted, so an anchor's stretches stay in one shard.
-                if len(held) >= SHARD and held[-1][0] != r[0]:
-                    yield shard(held)
+                if len(held) >= shard and held[-1][3] != row[3]:
+                    yield covering(held)
                     held = []
-                held.append(r)
+                held.append(row)
         if held:
-            yield shard(held)
+            yield covering(held)
 
     return work
 
 
 def _joined_runs(stretches: DataFrame, run: int) -> DataFrame:
-    """What the shards find, for anchors with very many stretches: runs as rows, counted and joined."""
+    """What the shards find, for anchors with very many stretches: runs as rows, reduced and joined."""
     tokens = F.split("words", " ")
     cut = F.transform(F.sequence(F.lit(1), F.size(tokens) - run + 1), lambda i: F.array_join(F.slice(tokens, i, run), " "))
-    rows = stretches.select("anchor", "s", "low", "high", F.posexplode(cut).alias("i", "passage"))
+    equal = stretches.groupBy("anchor", "words").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    rows = equal.select("anchor", "words", "low", "high", F.posexplode(cut).alias("i", "passage"))
     on = ["anchor", "passage"]
     firsts = rows.groupBy(*on).agg(F.min("low").alias("first"), F.max("high").alias("last")).where("first < last")
-    found = rows.select(*on, "s", "i").join(firsts.select(*on, "first"), on, "left")
-    listed = found.groupBy("anchor", "s").agg(F.sort_array(F.collect_list(F.struct("i", "first"))).alias("f"))
-    return listed.select("anchor", "s", F.col("f.first").alias("firsts"))
+    found = rows.select(*on, "words", "i").join(firsts.select(*on, "first"), on)
+    listed = found.groupBy("anchor", "words").agg(F.collect_list(F.struct("i", "first")).alias("f"))
+    placed = stretches.join(listed, ["anchor", "words"])
+    numbers = F.transform(F.filter("f", lambda x: x["first"] < F.col("doc")), lambda x: F.col("start") + x["i"])
+    return placed.select("doc", "t1", numbers.alias("covering")).where("size(covering) > 0")
 
 
-def located(docs: DataFrame, run: int, shard: int = SHARD) -> DataFrame:
+def located(docs: DataFrame, texts: DataFrame, run: int, shard: int = SHARD, crowd: int = CROWD) -> DataFrame:
     """``doc``, ``t1`` and ``covering``, the numbers of the first words of the runs to remove.
 
-    ``docs`` has ``doc``, ``raw``, ``t1`` and ``t2``. Only the smallest document of each text is searched.
+    ``docs`` has ``doc``, ``raw``, ``t1`` and ``t2``, ``texts`` has ``doc``, ``t1`` and ``packed``. Only the
+    smallest document of each text is searched.
     """
-    small_batches(docs.sparkSession)
-    anchors = docs.where("doc is not null").select("raw", "t1").mapInArrow(_anchors(run), "anchor long, t1 long")
-    shared = anchors.groupBy("anchor").agg(F.min("t1").alias("a"), F.max("t1").alias("b")).where("a < b").select("anchor")
-    lists = anchors.join(shared, "anchor", "left_semi").groupBy("t1").agg(F.collect_set("anchor").alias("anchors"))
-    firsts = docs.select("doc", "t1", "t2").groupBy("t1", "t2").agg(F.min("doc").alias("doc")).drop("t2")
-    searched = firsts.join(lists, "t1")
-    texts = docs.select("doc", "t1", F.pandas_udf(packed, "binary")("raw").alias("packed"))
-    texts = texts.join(searched, ["doc", "t1"]).dropDuplicates(["doc", "t1"])
+    keyed = docs.where(F.col("doc") != NO_KEY)
+    anchors = keyed.select("raw", "t1").mapInArrow(_anchors(run), "anchor long, t1 long").repartition("anchor")
+    same = Window.partitionBy("anchor")
+    spread = {"low": F.min("t1").over(same), "high": F.max("t1").over(same), "n": F.count(F.lit(1)).over(same)}
+    shared = anchors.withColumns(spread).where("low < high").groupBy("t1").agg(
+        F.collect_set(F.when(F.col("n") <= crowd, F.col("anchor"))).alias("anchors"),
+        F.collect_set(F.when(F.col("n") > crowd, F.col("anchor"))).alias("crowded"),
+    )
+    shared = materialize(shared, "substring-anchors")
+    firsts = keyed.select("doc", "t1", "t2").groupBy("t1", "t2").agg(F.min("doc").alias("doc")).drop("t2")
+    searched = texts.join(firsts.join(shared, "t1"), ["doc", "t1"]).dropDuplicates(["doc", "t1"])
     kinds = "doc long, t1 long, start int, anchor long, words string"
-    cut = texts.mapInArrow(_stretches(run), kinds)
-    # Written with their hash, so that occurrences are not cut out a second time.
-    cut = materialize(cut.withColumn("s", F.xxhash64("words")), "substring-stretches")
-
-    distinct = cut.groupBy("anchor", "s", "words").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-    distinct = materialize(distinct.repartition("anchor"), "substring-distinct")
-    sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("a"), F.max("high").alias("b"))
-    sizes = sizes.where("a < b").select("anchor", "n")
-    sized = distinct.join(sizes, "anchor")
-    dealt = sized.where(F.col("n") <= shard).drop("n").repartition("anchor").sortWithinPartitions("anchor")
-    found = dealt.mapInArrow(_shards(run), "anchor long, s long, firsts array<long>")
-    found = found.union(_joined_runs(sized.where(F.col("n") > shard), run))
-    found = found.where(F.exists("firsts", lambda x: x.isNotNull()))
-    rows = cut.select("doc", "t1", "start", "anchor", "s").join(found, ["anchor", "s"])
-    numbers = F.transform("firsts", lambda x, i: F.when(x < F.col("doc"), F.col("start") + i))
-    rows = rows.select("doc", "t1", F.filter(numbers, lambda x: x.isNotNull()).alias("covering")).where("size(covering) > 0")
-    return rows.groupBy("doc", "t1").agg(F.flatten(F.collect_list("covering")).alias("covering"))
+    cut = searched.mapInArrow(_stretches(run, "anchors"), kinds).repartition("anchor").sortWithinPartitions("anchor")
+    found = cut.mapInArrow(_shards(run, shard), "doc long, t1 long, covering array<int>")
+    if shared.where("size(crowded) > 0").limit(1).count():
+        crowds = materialize(searched.mapInArrow(_stretches(run, "crowded"), kinds), "substring-crowds")
+        found = found.union(_joined_runs(crowds, run))
+    return found.groupBy("doc", "t1").agg(F.flatten(F.collect_list("covering")).alias("covering"))
 
 
 def _cleaned(run: int, texts_too: bool):
@@ -216,30 +226,34 @@ def _cleaned(run: int, texts_too: bool):
     return work
 
 
-def without_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN, texts_too: bool = True, shard: int = SHARD) -> DataFrame:
-    """``key``, ``n_words``, ``n_removed``, ``kept_sha256`` and (with ``texts_too``) ``kept`` of each row.
+def without_repeats(
+    df: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN, texts_too: bool = True, shard: int = SHARD, crowd: int = CROWD
+) -> DataFrame:
+    r"""``key``, ``n_words``, ``n_removed``, ``kept_sha256`` and (with ``texts_too``) ``kept`` of each row.
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text; null is empty. A word goes if it lies in a run
+    Words are ``[^\x20\x09-\x0D]+`` of the whole text; null is empty. A word goes if it lies in a run
     of ``run`` words that a row with a smaller key has too, judged on the input. Rows with one
-    key do not remove each other's words, and a row without a key neither removes nor loses any.
-    Repeated rows come out as often as they go in; an empty table gives an empty one.
+    key do not remove each other's words, and a row without a key (or with the smallest of all
+    longs) neither removes nor loses any. Repeated rows come out as often as they go in; an empty
+    table gives an empty one.
     """
     if run <= GRAM:
         raise ValueError(f"run must be over {GRAM}")
+    small_batches(df.sparkSession)
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    docs = df.select(F.col(key).cast("long").alias("doc"), raw.alias("raw"))
+    docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("doc"), raw.alias("raw"))
     docs = docs.select("doc", "raw", *_text_id(F.col("raw")))
-    covered = located(docs, run, shard)
-    ids = docs.select("doc", "t1", "t2")
+    texts = docs.select("doc", "t1", F.pandas_udf(packed, "binary")("raw").alias("packed"))
+    covered = located(docs, texts, run, shard, crowd)
+    ids = docs.select("doc", "t1", "t2").where(F.col("doc") != NO_KEY)
     first = ids.groupBy("t1", "t2").agg(F.min("doc").alias("first"))
     copies = ids.join(first, ["t1", "t2"]).groupBy("doc", "t1").agg(F.max(F.col("first") < F.col("doc")).alias("copied"))
     facts = copies.join(covered, ["doc", "t1"], "left").where("copied or covering is not null")
-    texts = df.select(F.col(key).alias("key"), raw.alias("raw"))
-    texts = texts.select("key", F.col("key").cast("long").alias("doc"), F.xxhash64("raw").alias("t1"), F.pandas_udf(packed, "binary")("raw").alias("packed"))
     rows = texts.join(facts, ["doc", "t1"], "left").withColumn("copied", F.coalesce("copied", F.lit(False)))
     kinds = "n_words long, n_removed long, kept_sha256 string, kept string"
     clean = F.pandas_udf(lambda packed, copied, covering: _cleaned(run, texts_too)(
         pd.DataFrame({"packed": packed, "copied": copied, "covering": covering})
     ), kinds)
-    found = rows.select(F.col("key").alias(key), clean("packed", "copied", "covering").alias("c")).select(key, "c.*")
+    own_key = F.when(F.col("doc") != NO_KEY, F.col("doc")).cast(df.schema[key].dataType)
+    found = rows.select(own_key.alias(key), clean("packed", "copied", "covering").alias("c")).select(key, "c.*")
     return found if texts_too else found.drop("kept")
