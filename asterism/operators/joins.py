@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions.casting import parse_date
 
 HOT_KEYS = 10_000
@@ -15,9 +16,7 @@ SPREAD = 1 << 20
 
 def _fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's own size estimate lets it broadcast ``df``."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
+    return storage.estimated_bytes(df) <= storage.broadcast_limit(df.sparkSession)
 
 
 def left_lookup(

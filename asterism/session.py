@@ -12,6 +12,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from . import storage
+
 _FOLDERS: dict[str, str] = {}
 
 
@@ -35,11 +37,6 @@ def build_session(app: str = "asterism", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
-
 def scratch_folder(spark: SparkSession) -> str:
     """Folder for this application's intermediate tables, deleted when the application ends.
 
@@ -55,9 +52,7 @@ def scratch_folder(spark: SparkSession) -> str:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="asterism-")
         path = f"{shared.rstrip('/')}/asterism-{app_id}"
-        files, folder = _folder(spark, path)
-        files.mkdirs(folder)
-        files.deleteOnExit(folder)
+        storage.make_folder(spark, path, until_exit=True)
         _FOLDERS[app_id] = path
     return _FOLDERS[app_id]
 
@@ -77,15 +72,19 @@ def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
     return df.observe(seen, *[column.alias(name) for name, column in counts.items()]), seen
 
 
+def materialize_at(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a path of the shared folder and read it back."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage and freezes row placement, so that a lost executor costs a re-read
     of the table and never a recomputation that could come out in another order.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return materialize_at(df, scratch_path(df.sparkSession, label))
 
 
 def run_all(spark: SparkSession, tasks: Sequence[Callable[[], Any]], at_once: int = 4) -> list[Any]:
@@ -99,5 +98,4 @@ def run_all(spark: SparkSession, tasks: Sequence[Callable[[], Any]], at_once: in
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables now; for long sessions, once their results are written."""
-    files, folder = _folder(spark, scratch_folder(spark))
-    files.delete(folder, True)
+    storage.delete(spark, scratch_folder(spark))

@@ -3,6 +3,7 @@
 from .files import increment_path, read_increment, write_csv, write_increment, write_increments, write_json
 from .runlog import log_run, logged
 from .tables import (
+    ConcurrentWrite,
     append,
     drop_old_versions,
     ensure_table,
@@ -15,6 +16,7 @@ from .tables import (
 from .upsert import DuplicateKeys, assert_unique, dedupe_latest, duplicate_keys, upsert
 
 __all__ = [
+    "ConcurrentWrite",
     "DuplicateKeys",
     "append",
     "assert_unique",

@@ -1,161 +1,260 @@
 """Tables kept as parquet: replaced version by version, or appended to.
 
-A versioned table is a folder of ``table_version=<n>`` folders. Spark puts ``_SUCCESS`` into one when
-its write is complete, so readers see the last complete version, a failed write is never
-seen, and running the step again repairs it.
+A versioned table is a folder with its data in ``data/<write>/<slice>`` and a small file for each
+version in ``versions``: layout, schema, row count, and the folder of every slice. That file is
+written last, and only if no other writer has taken its number; so readers see the last complete
+version, a failed write is never seen, and of two writers at once the second one is refused.
 
-A table sliced by a column keeps, in each version, only the slices that an upsert touched;
-the newest folder of every slice makes up the table. An increment then costs its own slices
-and not the whole table.
+A table sliced by a column (or an expression) takes over, from version to version, the folders of
+the slices that an upsert leaves alone. An increment then costs its own slices, and not the whole table.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .. import storage
 from ..functions.casting import parse_keys
-from .upsert import assert_unique, upsert
+from ..session import materialize_at, observed, scratch_path
+from .upsert import aligned, assert_unique, match, upsert
 
-VERSION = "table_version"
 SLICE = "upsert_slice"
+WHOLE = "all"
+#: Versions that stay readable after a commit.
+KEPT_VERSIONS = 3
+#: Slices a table may have: each is a folder, and a line in the version's file.
+MOST_SLICES = 100_000
 _APPENDING = Lock()
 
 
-def target_name(table: str) -> str:
-    """``<t>_history`` is loaded into ``<t>``."""
-    return table.removesuffix("_history")
+class ConcurrentWrite(RuntimeError):
+    """Another writer has committed a version of the table meanwhile."""
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+@dataclass(frozen=True)
+class Version:
+    """A version of a table; ``slices`` has the folder of each slice, from the table's own."""
 
+    number: int
+    slice_by: str | None
+    schema: StructType
+    slices: dict[str, str]
+    n_rows: int
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    files, folder = _folder(spark, path)
-    return files.exists(folder)
+    def read(self, spark: SparkSession, path: str, only: Sequence[str] | None = None) -> DataFrame:
+        """The rows of all slices, or of some."""
+        folders = [f"{path}/{folder}" for name, folder in self.slices.items() if only is None or name in only]
+        return spark.read.schema(self.schema).parquet(*folders) if folders else spark.createDataFrame([], self.schema)
 
 
-def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    files, folder = _folder(spark, path)
-    if not files.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    return sorted(name for name in names if name.startswith(prefix))
+def target_name(table: str) -> str:
+    """``<t>_history`` is loaded into ``<t>``."""
+    return table.removesuffix("_history")
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a table, in order."""
-    names = _names(spark, path, f"{VERSION}=")
-    return [int(name.split("=")[1]) for name in names if _exists(spark, f"{path}/{name}/_SUCCESS")]
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    return [int(name.removesuffix(".json")) for name in storage.names(spark, f"{path}/versions") if name.endswith(".json")]
 
 
-def _version_path(path: str, version: int) -> str:
-    return f"{path}/{VERSION}={version:08d}"
+def _version(spark: SparkSession, path: str, number: int) -> Version | None:
+    try:
+        found = json.loads(storage.read_text(spark, f"{path}/versions/{number:08d}.json"))
+    except ValueError:  # its writer died over it
+        return None
+    return Version(number, found["slice_by"], StructType.fromJson(found["schema"]), found["slices"], found["n_rows"])
 
 
-def _slices(spark: SparkSession, path: str) -> dict[str, str]:
-    """Newest folder of every slice."""
-    newest = {}
-    for version in _versions(spark, path):
-        folder = _version_path(path, version)
-        newest |= {name: f"{folder}/{name}" for name in _names(spark, folder, f"{SLICE}=")}
-    return newest
+def current_version(spark: SparkSession, path: str) -> Version | None:
+    """The last complete version of a table."""
+    for number in reversed(_numbers(spark, path)):
+        found = _version(spark, path, number)
+        if found:
+            return found
+    return None
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
-    versions = _versions(spark, path)
-    return versions[-1] if versions else None
+    found = current_version(spark, path)
+    return found.number if found else None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The current state of a table, or ``None`` when nothing has been written."""
-    slices = _slices(spark, path)
-    if slices:
-        return spark.read.option("basePath", path).parquet(*slices.values()).drop(VERSION, SLICE)
-    version = latest_version(spark, path)
-    return None if version is None else spark.read.parquet(_version_path(path, version))
+    found = current_version(spark, path)
+    return found.read(spark, path) if found else None
 
 
-def write_version(df: DataFrame, path: str) -> int:
-    """Write ``df`` as the next version; readers keep the old one until this is complete."""
-    version = (latest_version(df.sparkSession, path) or 0) + 1
-    df.write.mode("overwrite").parquet(_version_path(path, version))
-    return version
+def _commit(spark: SparkSession, path: str, base: int, slice_by: str | None, schema: StructType, slices: dict[str, str], n_rows: int) -> None:
+    """Make a version visible, as the one after ``base``, the last that its writer has seen."""
+    if len(slices) > MOST_SLICES:
+        raise ValueError(f"{slice_by} has {len(slices)} values; a table is sliced by at most {MOST_SLICES}")
+    text = json.dumps({"slice_by": slice_by, "n_rows": n_rows, "slices": slices, "schema": json.loads(schema.json())})
+    try:
+        storage.create_text(spark, f"{path}/versions/{base + 1:08d}.json", text)
+    except storage.AlreadyThere:
+        raise ConcurrentWrite(f"version {base + 1} of {path} is another writer's") from None
+    drop_old_versions(spark, path, KEPT_VERSIONS)
 
 
-def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Delete what the last ``keep`` complete versions have made obsolete.
+def _last_number(spark: SparkSession, path: str) -> int:
+    return max(_numbers(spark, path), default=0)
 
-    In a sliced table that is every slice folder with a newer one in a version before them.
-    """
-    old = _versions(spark, path)[:-keep]
-    newest: set[str] = set()
-    for version in reversed(old):
-        folder = _version_path(path, version)
-        slices = _names(spark, folder, f"{SLICE}=")
-        obsolete = [f"{folder}/{name}" for name in slices if name in newest] if slices else [folder]
-        newest |= set(slices)
-        for name in obsolete:
-            files, target = _folder(spark, name)
-            files.delete(target, True)
-
-
-def _slice_name(slice_by: str) -> Column:
-    """Slice of a row: its value, in characters that are the same in a column and in a path.
-
-    The letter in front keeps partition discovery from taking it for a number or a date.
-    Values that come out alike share a slice, which does no harm.
-    """
-    text = F.regexp_replace(F.lower(F.col(slice_by).cast("string")), "[^0-9a-z-]", "_")
-    return F.coalesce(F.concat(F.lit("s"), F.substring(text, 1, 100)), F.lit("null"))
 
+def _slice_name(slice_by: str | None) -> Column:
+    """Slice of a row: a hash of its whole value, so that it is safe in a path and unlike values differ."""
+    if slice_by is None:
+        return F.lit(WHOLE)
+    value = F.expr(slice_by).cast("string")
+    return F.when(value.isNull(), F.lit("null")).otherwise(F.concat(F.lit("h"), F.md5(value)))
 
-def _write_slices(df: DataFrame, path: str) -> None:
-    """Write a version by slice; big slices are split among tasks, small ones put together."""
-    version = (latest_version(df.sparkSession, path) or 0) + 1
-    df.hint("rebalance", SLICE).write.mode("overwrite").partitionBy(SLICE).parquet(
-        _version_path(path, version)
-    )
+
+def _write(df: DataFrame, path: str, slice_by: str | None) -> tuple[dict[str, str], int]:
+    """Write rows to a new folder; the slices in it, and how many rows there are."""
+    folder = f"data/{uuid.uuid4().hex}"
+    counted, seen = observed(df)
+    if slice_by is None:
+        counted.write.parquet(f"{path}/{folder}/{SLICE}={WHOLE}")
+    else:
+        # Big slices are split among tasks, small ones put together.
+        named = counted.withColumn(SLICE, _slice_name(slice_by)).hint("rebalance", SLICE)
+        named.write.partitionBy(SLICE).parquet(f"{path}/{folder}")
+    found = [name for name in storage.names(df.sparkSession, f"{path}/{folder}") if name.startswith(f"{SLICE}=")]
+    return {name.split("=", 1)[1]: f"{folder}/{name}" for name in found}, seen.get["n_rows"]
+
+
+def write_version(df: DataFrame, path: str, slice_by: str | None = None) -> int:
+    """Write ``df`` as the next version, in place of all rows; readers keep the old one until it is complete."""
+    spark = df.sparkSession
+    base = _last_number(spark, path)
+    slices, n_rows = _write(df, path, slice_by)
+    _commit(spark, path, base, slice_by, df.schema, slices, n_rows)
+    return base + 1
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete all versions but the last ``keep`` complete ones, and the data that only they had."""
+    numbers = _numbers(spark, path)
+    complete = [v for v in (_version(spark, path, n) for n in numbers) if v]
+    old, kept = complete[:-keep], complete[-keep:]
+    needed = {folder for version in kept for folder in version.slices.values()}
+    for version in old:
+        storage.delete(spark, f"{path}/versions/{version.number:08d}.json")
+    for folder in {folder for version in old for folder in version.slices.values()} - needed:
+        storage.delete(spark, f"{path}/{folder}")
+        above = folder.rsplit("/", 1)[0]
+        if not any(name.startswith(f"{SLICE}=") for name in storage.names(spark, f"{path}/{above}")):
+            storage.delete(spark, f"{path}/{above}")
+
+
+def _comparable(schema: StructType, names: Sequence[str]) -> bool:
+    return not any("map<" in schema[name].dataType.simpleString() or schema[name].dataType.typeName() == "variant" for name in names)
+
+
+def _changes(source: DataFrame, target: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows of ``source`` that change ``target``: not older than what it has by ``order``, and not equal."""
+    supplied = source.columns
+    if order:
+        stored = target.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.struct(*order).alias("_stored"))
+        newer = F.col("_stored").isNull() | (F.struct(*order) >= F.col("_stored"))
+        source = source.join(stored, match(keys), "left").where(newer).select(supplied)
+    if not _comparable(target.schema, supplied):
+        return source
+    same = target.select([F.col(name).alias(f"_key_{name}") for name in supplied])
+    return source.join(same, match(supplied), "left_anti")
 
 
 def upsert_path(
-    source: DataFrame, path: str, keys: str | list[str], slice_by: str | None = None
+    source: DataFrame,
+    path: str,
+    keys: str | list[str],
+    slice_by: str | None = None,
+    order: str | list[str] | None = None,
+    replacing: DataFrame | None = None,
+    slices_fixed: bool = False,
 ) -> DataFrame:
     """Upsert ``source`` into the table at ``path`` and return the table's new state.
 
-    ``slice_by`` names a column that never changes for a key, such as a creation date; then
-    only the slices with new or changed rows are read and rewritten. Without it the whole
-    table is. ``source`` is read more than once, so it should be a landed table.
+    ``slice_by`` is a column of the table, or an expression of its columns. Then only the slices with
+    rows that change are rewritten, and rows whose slice changes leave the old one: their keys are
+    looked up in the whole table, of which that reads the key columns. ``slices_fixed`` leaves that out
+    for a column that never changes for a key, such as a creation date. A table that has another
+    layout is rewritten in the new one.
+
+    With ``order``, a row only replaces one that is not later in the order of these columns.
+    ``replacing`` has values of some columns: stored rows with these that ``source`` has no key of go.
+    Columns that the table lacks are refused. Nothing is written if nothing changes.
+
+    One writer at a time: a second one raises ``ConcurrentWrite`` and can be run again.
     """
     spark = source.sparkSession
     keys = parse_keys(keys)
-    assert_unique(source, keys)
-    if slice_by is None:
-        target = read_table(spark, path)
-        write_version(source if target is None else upsert(target, source, keys), path)
+    order = [order] if isinstance(order, str) else list(order or [])
+    base, current = _last_number(spark, path), current_version(spark, path)
+    aside = scratch_path(spark, "upsert")
+    try:
+        if current is None:
+            landed = materialize_at(source, f"{aside}/source")
+            assert_unique(landed, keys)
+            slices, n_rows = _write(landed, path, slice_by)
+            _commit(spark, path, base, slice_by, landed.schema, slices, n_rows)
+            return read_table(spark, path)
+
+        table = current.read(spark, path)
+        landed = materialize_at(aligned(source, table.schema), f"{aside}/source")
+        assert_unique(landed, keys)
+        changes = materialize_at(_changes(landed, table, keys, order), f"{aside}/changes")
+        gone = None
+        if replacing is not None:
+            stored = table.join(replacing.select([F.col(c).alias(f"_key_{c}") for c in replacing.columns]), match(replacing.columns), "left_semi")
+            stay = landed.select([F.col(k).alias(f"_key_{k}") for k in keys])
+            gone = materialize_at(stored.join(stay, match(keys), "left_anti"), f"{aside}/gone")
+        if changes.isEmpty() and (gone is None or gone.isEmpty()):
+            return table
+
+        def merged(rows: DataFrame) -> DataFrame:
+            if gone is not None:
+                rows = rows.join(gone.select([F.col(k).alias(f"_key_{k}") for k in keys]), match(keys), "left_anti")
+            return upsert(rows, changes, keys)
+
+        if slice_by is None or slice_by != current.slice_by:
+            slices, n_rows = _write(merged(table), path, slice_by)
+        else:
+            touched = [changes] if gone is None else [changes, gone]
+            if not slices_fixed:
+                known = changes.select([F.col(k).alias(f"_key_{k}") for k in keys])
+                touched.append(table.join(known, match(keys), "left_semi"))
+            found = reduce(lambda a, b: a.union(b), [rows.select(_slice_name(slice_by).alias("s")) for rows in touched])
+            # As many names as slices are rewritten, and so fewer than the version's file has.
+            names = [row["s"] for row in found.distinct().limit(MOST_SLICES + 1).collect()]
+            part = current.read(spark, path, names)
+            written, _ = _write(merged(part), path, slice_by)
+            slices = {name: folder for name, folder in current.slices.items() if name not in names} | written
+            n_rows = current.n_rows + _growth(spark, path, current, names, written)
+        _commit(spark, path, base, slice_by, current.schema, slices, n_rows)
         return read_table(spark, path)
+    finally:
+        storage.delete(spark, aside)
+
 
-    source = source.withColumn(SLICE, _slice_name(slice_by))
-    current = _slices(spark, path)
-    if current:
-        # As many names as the increment has slices, such as days.
-        names = {f"{SLICE}={row[0]}" for row in source.select(SLICE).distinct().collect()}
-        touched = [folder for name, folder in current.items() if name in names]
-        if touched:
-            target = spark.read.option("basePath", path).parquet(*touched).drop(VERSION)
-            source = upsert(target, source, keys)
-    _write_slices(source, path)
-    return read_table(spark, path)
+def _growth(spark: SparkSession, path: str, before: Version, names: Sequence[str], written: dict[str, str]) -> int:
+    """How many rows more the rewritten slices have; counted from the files' own row counts."""
+    old = before.read(spark, path, names).count()
+    new = Version(0, None, before.schema, written, 0).read(spark, path).count()
+    return new - old
 
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table at ``path``, created empty if it is absent."""
-    if not _exists(spark, path):
+    if not storage.exists(spark, path):
         spark.createDataFrame([], schema).write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 

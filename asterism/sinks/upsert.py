@@ -7,6 +7,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.casting import parse_keys
 
@@ -39,8 +40,8 @@ def dedupe_latest(df: DataFrame, keys: str | list[str], order: list[str]) -> Dat
     return df.groupBy(*keys).agg(last).select(*keys, "_last.*").select(df.columns)
 
 
-def _match(keys: list[str]) -> Column:
-    """Null-safe equality of the target's keys with the renamed keys of the source."""
+def match(keys: list[str]) -> Column:
+    """Null-safe equality of columns with those renamed to ``_key_<name>``."""
     return reduce(and_, [F.col(key).eqNullSafe(F.col(f"_key_{key}")) for key in keys])
 
 
@@ -48,6 +49,20 @@ def _renamed_keys(df: DataFrame, keys: list[str]) -> list[Column]:
     return [df[key].alias(f"_key_{key}") for key in keys]
 
 
+def aligned(source: DataFrame, schema: StructType) -> DataFrame:
+    """``source`` in the order and types of the columns it shares with ``schema``; others are refused."""
+    unknown = [name for name in source.columns if name not in schema.names]
+    if unknown:
+        raise ValueError(f"columns not in the target: {unknown}")
+    return source.select(
+        [
+            F.col(f"`{name}`") if source.schema[name].dataType == schema[name].dataType else F.col(f"`{name}`").cast(schema[name].dataType).alias(name)
+            for name in schema.names
+            if name in source.columns
+        ]
+    )
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: str | list[str]) -> DataFrame:
     """``target`` with the rows of ``source`` put in; keys must be unique in ``source``.
 
@@ -59,28 +74,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | list[str]) -> DataF
     each side, so that no partition is heavier than the others.
     """
     keys = parse_keys(keys)
-    unknown = [name for name in source.columns if name not in target.columns]
-    if unknown:
-        raise ValueError(f"columns not in the target: {unknown}")
-    supplied = [name for name in target.columns if name in source.columns]
-    source = source.select(
-        [
-            F.col(name)
-            if source.schema[name].dataType == target.schema[name].dataType
-            else F.col(name).cast(target.schema[name].dataType)
-            for name in supplied
-        ]
-    )
+    source = aligned(source, target.schema)
+    supplied = source.columns
     source_keys = source.select(_renamed_keys(source, keys))
     if len(supplied) == len(target.columns):
-        return target.join(source_keys, _match(keys), "left_anti").unionByName(source)
+        return target.join(source_keys, match(keys), "left_anti").unionByName(source)
 
     changes = source.select(
         F.lit(True).alias("_hit"),
         *_renamed_keys(source, keys),
         *[F.col(name).alias(f"_new_{name}") for name in supplied if name not in keys],
     )
-    updated = target.join(changes, _match(keys), "left").select(
+    updated = target.join(changes, match(keys), "left").select(
         [
             F.when(F.col("_hit"), F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name)
             if name in supplied and name not in keys
@@ -88,7 +93,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | list[str]) -> DataF
             for name in target.columns
         ]
     )
-    known = target.select(keys).join(source_keys, _match(keys), "left_semi")
+    known = target.select(keys).join(source_keys, match(keys), "left_semi")
     known = known.select(_renamed_keys(known, keys))
-    inserted = source.join(known, _match(keys), "left_anti")
+    inserted = source.join(known, match(keys), "left_anti")
     return updated.unionByName(inserted, allowMissingColumns=True)

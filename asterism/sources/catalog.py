@@ -7,16 +7,16 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
+
 # Schemas that hold a database's own tables.
 SYSTEM_SCHEMAS = ("information_schema", "pg_catalog")
 
 
 def list_tables(spark: SparkSession, folder: str, suffix: str = ".parquet") -> dict[str, str]:
     """Name and path of every table kept as ``<folder>/<name><suffix>``, by name."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
-    names = sorted(status.getPath().getName() for status in files)
-    return {name.removesuffix(suffix): f"{folder}/{name}" for name in names if name.endswith(suffix)}
+    found = storage.names(spark, folder)
+    return {name.removesuffix(suffix): f"{folder}/{name}" for name in found if name.endswith(suffix)}
 
 
 def list_catalog_tables(spark: SparkSession, exclude: Iterable[str] = SYSTEM_SCHEMAS) -> list[str]:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..session import materialize
+from .. import storage
+from ..session import materialize_at, scratch_path
 from ..sinks.tables import upsert_path
 from ..sinks.upsert import dedupe_latest
 
@@ -23,20 +24,26 @@ def upsert_stream(
     keys: list[str],
     order: list[str],
     checkpoint: str,
+    slice_by: str,
     files_per_batch: int = 1_000,
-    slice_by: str | None = None,
 ) -> StreamingQuery:
     """Upsert the parquet files that have landed since the last run, then stop.
 
-    Within a batch the last row of a key by ``order`` wins. A batch that is repeated after a
-    failure finds its rows there already and changes nothing. ``checkpoint`` must be in
-    storage that outlives the cluster.
+    The last row of a key by ``order`` wins, whatever batch or run it came in: a row never replaces
+    one that is later. ``slice_by`` is a column or expression such as a day; a batch rewrites the
+    slices with rows that it changes, never the whole table. A batch that is repeated after a failure finds
+    its rows there already and changes nothing. ``checkpoint`` must be in storage that outlives the
+    cluster.
     """
 
     def load(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            latest = materialize(dedupe_latest(batch, keys, order), "batch")
-            upsert_path(latest, path, keys, slice_by)
+            aside = scratch_path(spark, "batch")
+            try:
+                latest = materialize_at(dedupe_latest(batch, keys, order), aside)
+                upsert_path(latest, path, keys, slice_by, order=order)
+            finally:
+                storage.delete(spark, aside)
 
     landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     return (

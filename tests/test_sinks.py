@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asterism import sinks
+from asterism.sinks import tables
 from asterism.schemas import RUN_LOG, struct
 from asterism.session import observed
 from asterism.sources import read_csv_raw
@@ -75,7 +76,7 @@ def test_upsert_path(spark, base, delta, rows, tmp_path, slice_by):
     assert rows(sinks.upsert_path(base, path, "id", slice_by)) == rows(base)
     assert rows(sinks.upsert_path(delta, path, "id", slice_by)) == MERGED
     assert rows(sinks.upsert_path(delta, path, "id", slice_by)) == MERGED
-    assert sinks.latest_version(spark, path) == 3
+    assert sinks.latest_version(spark, path) == 2  # the third changed nothing
     sinks.drop_old_versions(spark, path, keep=1)
     assert rows(sinks.read_table(spark, path)) == MERGED
 
@@ -85,8 +86,8 @@ def test_only_touched_slices_are_written(spark, base, tmp_path):
     sinks.upsert_path(base.withColumn("day", F.nullif("day", F.lit("d2"))), path, "id", "day")
     change = spark.createDataFrame([(1, "d1", "changed", None)], SCHEMA)
     sinks.upsert_path(change, path, "id", "day")
-    second = sorted(p.name for p in (tmp_path / "t" / "table_version=00000002").iterdir() if p.is_dir())
-    assert second == ["upsert_slice=sd1"]
+    first, second = (tables._version(spark, path, n).slices for n in (1, 2))
+    assert len(first) == 2 and sum(first[name] != second[name] for name in first) == 1
     assert {r.id: r.a for r in sinks.read_table(spark, path).collect()} == {1: "changed", 2: "y", 3: "z", None: "n"}
 
 
@@ -98,17 +99,92 @@ def test_slices_of_any_values(spark, rows, tmp_path):
     assert rows(sinks.read_table(spark, path)) == rows(df)
     change = df.where("id % 2 = 0")
     assert rows(sinks.upsert_path(change, path, "id", slice_by="v")) == rows(df)
-    assert sinks.latest_version(spark, path) == 2
+    assert sinks.latest_version(spark, path) == 1
 
 
 def test_unfinished_version_is_not_seen(spark, base, rows, tmp_path):
     path = str(tmp_path / "t")
-    sinks.write_version(base, path)
-    base.limit(1).write.parquet(f"{path}/table_version=00000002")
-    (tmp_path / "t" / "table_version=00000002" / "_SUCCESS").unlink()
-    assert rows(sinks.read_table(spark, path)) == rows(base)
-    assert sinks.write_version(base.limit(2), path) == 2
-    assert sinks.read_table(spark, path).count() == 2
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        sinks.write_version(base, path)
+        base.limit(1).write.parquet(f"{path}/data/abandoned/upsert_slice=all")
+        (tmp_path / "t" / "versions" / "00000002.json").write_text('{"slice_by": nu')
+        assert rows(sinks.read_table(spark, path)) == rows(base)
+        assert sinks.write_version(base.limit(2), path) == 3
+        assert sinks.read_table(spark, path).count() == 2
+        sinks.upsert_path(base, path, "id")
+        assert rows(sinks.read_table(spark, path)) == rows(base)
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_second_writer_is_refused(spark, base, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.upsert_path(base, path, "id")
+    write = tables._write
+
+    def slow(*how):
+        monkeypatch.setattr(tables, "_write", write)
+        sinks.write_version(base.limit(1), path)
+        return write(*how)
+
+    monkeypatch.setattr(tables, "_write", slow)
+    with pytest.raises(sinks.ConcurrentWrite):
+        sinks.upsert_path(base.withColumn("a", F.lit("mine")), path, "id")
+    assert rows(sinks.read_table(spark, path)) == rows(base.limit(1))
+
+
+@pytest.mark.parametrize("first, then", [(None, "day"), ("day", None), ("day", "id"), ("day", "id % 2")])
+def test_layouts_are_converted(spark, base, delta, rows, tmp_path, first, then):
+    path = str(tmp_path / "t")
+    sinks.upsert_path(base, path, "id", first)
+    assert rows(sinks.upsert_path(delta, path, "id", then)) == MERGED
+    assert tables.current_version(spark, path).slice_by == then
+    assert tables.current_version(spark, path).n_rows == len(MERGED)
+
+
+def test_moved_keys_leave_their_slice(spark, base, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.upsert_path(base, path, "id", "day")
+    sinks.upsert_path(spark.createDataFrame([(1, "d9", "moved", None)], SCHEMA), path, "id", "day")
+    found = sinks.read_table(spark, path).where("id = 1").collect()
+    assert [(r.day, r.a) for r in found] == [("d9", "moved")]
+    assert tables.current_version(spark, path).n_rows == base.count()
+
+
+def test_unknown_columns_are_refused_in_new_slices_too(spark, base, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.upsert_path(base, path, "id", "day")
+    more = spark.createDataFrame([(77, "d77", "x", None)], SCHEMA).withColumn("extra", F.lit(1))
+    with pytest.raises(ValueError, match="extra"):
+        sinks.upsert_path(more, path, "id", "day")
+    sinks.upsert_path(more.select("id", "day"), path, "id", "day")
+    assert sinks.read_table(spark, path).where("id = 77").first().a is None
+
+
+def test_older_rows_do_not_replace_later_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for values in ([(1, 10, "new")], [(1, 5, "stale"), (2, 5, "two")], [(1, 10, "same time")]):
+        found = sinks.upsert_path(spark.createDataFrame(values, "id int, at int, v string"), path, "id", order="at")
+    assert {r.id: r.v for r in found.collect()} == {1: "same time", 2: "two"}
+
+
+def test_replacing(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    kinds = "c string, d int, n int"
+    sinks.upsert_path(spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 1, 3), (None, 1, 4)], kinds), path, ["c", "d"], "d")
+    affected = spark.createDataFrame([("a",), ("x",)], "c string")
+    new = spark.createDataFrame([("a", 2, 20), ("a", 3, 30)], kinds)
+    got = sinks.upsert_path(new, path, ["c", "d"], "d", replacing=affected)
+    assert rows(got) == sorted([("a", 2, 20), ("a", 3, 30), ("b", 1, 3), (None, 1, 4)], key=repr)
+
+
+def test_old_versions_go_with_their_data(spark, base, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(5):
+        sinks.upsert_path(base.withColumn("a", F.lit(str(i))), path, "id")
+    assert len(list((tmp_path / "t" / "versions").glob("*.json"))) == tables.KEPT_VERSIONS
+    assert len(list((tmp_path / "t" / "data").iterdir())) == tables.KEPT_VERSIONS
 
 
 def test_history_alias():

@@ -10,9 +10,9 @@ def test_each_file_is_taken_once_and_the_last_row_wins(spark, rows, tmp_path):
     def drop(*values):
         spark.createDataFrame(list(values), SCHEMA).coalesce(1).write.mode("append").parquet(landing)
 
-    def run():
+    def run(files=1000):
         schema = spark.createDataFrame([], SCHEMA).schema
-        upsert_stream(spark, landing, schema, path, ["id"], ["at"], checkpoint).awaitTermination()
+        upsert_stream(spark, landing, schema, path, ["id"], ["at"], checkpoint, "id % 4", files).awaitTermination()
         return rows(sinks.read_table(spark, path))
 
     drop((1, 1, "a"), (2, 1, "b"), (2, 2, "B"))
@@ -20,3 +20,15 @@ def test_each_file_is_taken_once_and_the_last_row_wins(spark, rows, tmp_path):
     assert run() == [(1, 1, "a"), (2, 2, "B")] and sinks.latest_version(spark, path) == 1
     drop((2, 3, "late"), (3, 1, "c"))
     assert run() == [(1, 1, "a"), (2, 3, "late"), (3, 1, "c")] and sinks.latest_version(spark, path) == 2
+
+
+def test_order_wins_over_the_batch(spark, rows, tmp_path):
+    tables = []
+    for files in (1, 1000):
+        landing, path, checkpoint = (str(tmp_path / f"{name}{files}") for name in ("landing", "table", "checkpoint"))
+        for values in ([(1, 10, "new"), (2, 1, "b")], [(1, 5, "stale"), (2, 2, "B")]):
+            spark.createDataFrame(values, SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+        schema = spark.createDataFrame([], SCHEMA).schema
+        upsert_stream(spark, landing, schema, path, ["id"], ["at"], checkpoint, "id", files).awaitTermination()
+        tables.append(rows(sinks.read_table(spark, path)))
+    assert tables == [[(1, 10, "new"), (2, 2, "B")]] * 2
