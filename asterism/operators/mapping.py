@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.casting import read_as
 
+#: Column with the names of the rules that a row breaks.
+VIOLATIONS = "violations"
+
 
 class Rule(NamedTuple):
     """One line of a mapping: target column, source column, and its type (none: as it is)."""
@@ -32,13 +35,25 @@ def _cast(rule: Rule) -> Column:
     return read_as(rule.source, rule.type)
 
 
-def apply_mapping(df: DataFrame, rules: Sequence[Rule | tuple]) -> DataFrame:
+def unreadable(source: str, kind: str) -> Column:
+    """The name of the violation where a column has a value that cannot be read as the type; else null."""
+    value = F.col(source)
+    return F.when(value.isNotNull() & read_as(value, kind).isNull(), F.lit(f"{kind}({source})"))
+
+
+def apply_mapping(df: DataFrame, rules: Sequence[Rule | tuple], report: bool = False) -> DataFrame:
     """The target columns of a mapping, in its order, in one projection.
 
-    Only the sources it names are read. Text that does not fit its type becomes null.
+    Only the sources it names are read. A value that does not fit its type becomes null; with
+    ``report``, the column ``violations`` names it, evaluated on the source in the same pass.
     """
     rules = [Rule(*rule) for rule in rules]
-    return df.select([_cast(rule).alias(rule.target) for rule in rules])
+    columns = [_cast(rule).alias(rule.target) for rule in rules]
+    if report:
+        typed = [rule for rule in rules if rule.type not in (None, "string")]
+        names = F.array_compact(F.array(*[unreadable(rule.source, rule.type) for rule in typed])) if typed else F.array()
+        columns.append(names.cast("array<string>").alias(VIOLATIONS))
+    return df.select(columns)
 
 
 def tag(df: DataFrame, **constants: Any) -> DataFrame:

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.casting import read_as
 from ..session import observed
 from .joins import left_lookup
-
-VIOLATIONS = "violations"
+from .mapping import VIOLATIONS
 
 
 @dataclass(frozen=True)
@@ -70,7 +69,7 @@ Rule = NotNull | Castable | ForeignKey
 
 
 def tag_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``df`` with an array of the names of the rules each row breaks.
+    """``df`` with an array of the names of the rules each row breaks, after those it has already.
 
     All rules of a table are checked in the same pass; a foreign key adds a join.
     """
@@ -85,7 +84,9 @@ def tag_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             broken = rule.broken()
         checks.append(F.when(broken, F.lit(rule.name)))
     names = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
-    return tagged.select(*df.columns, names.alias(VIOLATIONS))
+    if VIOLATIONS in df.columns:
+        names = F.concat(VIOLATIONS, names)
+    return tagged.select(*[name for name in df.columns if name != VIOLATIONS], names.alias(VIOLATIONS))
 
 
 def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:

@@ -15,9 +15,6 @@ FIRST_DAY = datetime.date(1998, 1, 1)
 LAST_DAY = datetime.date(2077, 12, 31)
 QUARTERS = ("First", "Second", "Third", "Fourth")
 
-MAX_DAYS = 400_000
-
-
 def _suffix(day: Column) -> Column:
     """``1st``, ``2nd``, ``3rd``, ``4th`` … ``11th``, ``12th``, ``13th`` …"""
     ending = (
@@ -33,12 +30,7 @@ def _suffix(day: Column) -> Column:
 def calendar(
     spark: SparkSession, start: datetime.date = FIRST_DAY, end: datetime.date = LAST_DAY
 ) -> DataFrame:
-    """One row per day, with ISO weeks, which start on Monday; week of month is ceil(day / 7).
-
-    The span is limited to ``MAX_DAYS``, so that a join may broadcast the result.
-    """
-    if (end - start).days >= MAX_DAYS:
-        raise ValueError(f"a calendar has at most {MAX_DAYS} days")
+    """One row per day, with ISO weeks, which start on Monday; week of month is ceil(day / 7)."""
     d = F.col("date_actual")
     day, month, quarter = F.dayofmonth(d), F.month(d), F.quarter(d)
     monday = F.trunc(d, "week")
@@ -71,7 +63,7 @@ def calendar(
         "mmddyyyy": F.date_format(d, "MMddyyyy"),
         "weekend_indr": F.when(F.weekday(d) >= 5, "weekend").otherwise("weekday"),
     }
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date_actual"))
+    days = spark.range((end - start).days + 1).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date_actual"))
     return days.select([column.alias(name) for name, column in columns.items()])
 
 

@@ -48,43 +48,52 @@ RELATIONSHIP = [
 ]
 
 
-def company_rows(company: DataFrame, dedupe: bool = True) -> DataFrame:
+def company_rows(company: DataFrame, dedupe: bool = True, report: bool = False) -> DataFrame:
     """Companies without their surrogate; of several offices, the one with the lowest id."""
     if dedupe:
         names = ["object_id", "office_id", "region", "city", "country_code", "latitude", "longitude"]
         company = pick_one(company.select(names), "object_id", ["office_id"])
-    return apply_mapping(company, COMPANY)
+    return apply_mapping(company, COMPANY, report)
 
 
 def dim_company(company: DataFrame, known: DataFrame | None = None) -> DataFrame:
     return assign_ids(known, company_rows(company), "company_nk", "company_id")
 
 
+def round_rows(funding_rounds: DataFrame, report: bool = False) -> DataFrame:
+    return apply_mapping(funding_rounds, FUNDING_ROUND, report)
+
+
 def dim_funding_round(funding_rounds: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    rounds = apply_mapping(funding_rounds, FUNDING_ROUND)
-    return assign_ids(known, rounds, "funding_round_nk", "funding_round_id")
+    return assign_ids(known, round_rows(funding_rounds), "funding_round_nk", "funding_round_id")
 
 
-def dim_investor(investments: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def investor_rows(investments: DataFrame) -> DataFrame:
     """Every investor of an investment. No source has their names, so these are null."""
     investors = distinct_values(investments, "investor_object_id")
-    investors = investors.withColumnRenamed("investor_object_id", "investor_nk")
-    numbered = assign_ids(known, investors, "investor_nk", "investor_id")
-    return numbered.withColumn("investor_name", F.lit(None).cast("string"))
+    return investors.select(F.col("investor_object_id").alias("investor_nk"), F.lit(None).cast("string").alias("investor_name"))
+
+
+def dim_investor(investments: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Investors under their surrogate. A null is no investor and takes no number."""
+    rows = investor_rows(investments).where("investor_nk IS NOT NULL")
+    return assign_ids(known, rows, "investor_nk", "investor_id").select("investor_id", "investor_nk", "investor_name")
 
 
-def dim_people(people: DataFrame) -> DataFrame:
-    return apply_mapping(people, PEOPLE)
+def dim_people(people: DataFrame, report: bool = False) -> DataFrame:
+    return apply_mapping(people, PEOPLE, report)
 
 
-def dim_relationship(relationships: DataFrame, people: DataFrame | None = None) -> DataFrame:
+def dim_relationship(relationships: DataFrame, people: DataFrame | None = None, report: bool = False) -> DataFrame:
     """Who was what at which company; dates, flags and times are typed from text.
 
     The source names persons by their object id. Given ``people``, ``people_nk`` is what
     ``dim_people`` has for it, so that the two can be joined, and null for an unknown person.
+    Of several people with one object id, the one with the lowest id counts.
     """
     if people is None:
-        return apply_mapping(relationships, RELATIONSHIP)
-    rows = lookup_key(relationships, people, "person_object_id", "object_id", "people_id", "_person")
+        return apply_mapping(relationships, RELATIONSHIP, report)
+    one = pick_one(people.select("object_id", "people_id"), "object_id", ["people_id"])
+    rows = lookup_key(relationships, one, "person_object_id", "object_id", "people_id", "_person")
     rows = rows.drop("person_object_id").withColumnRenamed("_person", "person_object_id")
-    return apply_mapping(rows, RELATIONSHIP)
+    return apply_mapping(rows, RELATIONSHIP, report)

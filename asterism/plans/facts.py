@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casting import to_decimal
+from ..functions.casting import read_as
 from ..operators.aggregates import pick_one
 from ..operators.joins import left_join_measures, left_lookup, lookup_key, with_date_id
 from ..operators.keys import assign_ids
 
 
+#: Amounts are read and added up this wide; the gate rejects what does not fit its column.
+WIDE = "decimal(38,2)"
+
+
 def acquisition_counts(acquisition: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Acquisitions per company and day; days that are unknown or not in the calendar are null."""
     dated = with_date_id(acquisition, "acquired_at", dim_date)
@@ -20,9 +24,9 @@ def acquisition_counts(acquisition: DataFrame, dim_date: DataFrame) -> DataFrame
 
 
 def funding_totals(funding_rounds: DataFrame) -> DataFrame:
-    """Funding per company. A total beyond the column's 15 digits becomes null."""
+    """Funding per company."""
     return funding_rounds.groupBy(F.col("object_id").alias("company_nk")).agg(
-        F.sum(to_decimal("raised_amount_usd")).try_cast("decimal(15,2)").alias("total_funding_usd")
+        F.sum(read_as("raised_amount_usd", WIDE)).alias("total_funding_usd")
     )
 
 
@@ -32,8 +36,8 @@ def latest_ipos(ipos: DataFrame) -> DataFrame:
     last = pick_one(rows, "object_id", ["public_at", "ipo_id"], last=True)
     return last.select(
         F.col("object_id").alias("company_nk"),
-        to_decimal("valuation_amount").alias("ipo_valuation_usd"),
-        to_decimal("raised_amount").alias("ipo_raised_amount_usd"),
+        read_as("valuation_amount", WIDE).alias("ipo_valuation_usd"),
+        read_as("raised_amount", WIDE).alias("ipo_raised_amount_usd"),
     )
 
 
@@ -89,22 +93,18 @@ def fact_company_growth(
     return assign_ids(known, rows, ["company_nk", "date_id"], "company_growth_id")
 
 
-def fact_investments(
+def investment_rows(
     investments: DataFrame,
     funding_rounds: DataFrame,
     dim_date: DataFrame,
     dim_company: DataFrame,
     dim_investor: DataFrame,
     dim_funding_round: DataFrame,
-    known: DataFrame | None = None,
 ) -> DataFrame:
     """One row per investment, with the keys of its dimensions and the amount of its round.
 
     Every investor of a round gets the whole amount, so a sum over investors counts it more
     than once. What does not resolve stays, with a null key.
-
-    Numbers are assigned before the joins: they only depend on the investment, and this way
-    the joined rows are not sorted.
     """
     rows = investments.select(
         F.col("investment_id").cast("string").alias("investment_nk"),
@@ -113,10 +113,9 @@ def fact_investments(
         F.col("funding_round_id").cast("string").alias("funding_round_nk"),
         "created_at",
     )
-    rows = assign_ids(known, rows, "investment_nk", "investment_id")
     amounts = funding_rounds.select(
         F.col("funding_round_id").cast("string").alias("funding_round_nk"),
-        to_decimal("raised_amount_usd").alias("investment_amount_usd"),
+        read_as("raised_amount_usd", WIDE).alias("investment_amount_usd"),
     )
     # One join for the amount and the key of a round: both hang on the same natural key.
     rounds = amounts.join(
@@ -129,7 +128,6 @@ def fact_investments(
     )
     keyed = lookup_key(keyed, dim_company, "funded_object_id", "company_nk", "company_id", counted=rows)
     return keyed.select(
-        "investment_id",
         "investment_nk",
         "investor_id",
         "funding_round_id",
@@ -137,3 +135,17 @@ def fact_investments(
         "date_id",
         "investment_amount_usd",
     )
+
+
+def fact_investments(
+    investments: DataFrame,
+    funding_rounds: DataFrame,
+    dim_date: DataFrame,
+    dim_company: DataFrame,
+    dim_investor: DataFrame,
+    dim_funding_round: DataFrame,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """``investment_rows`` under a surrogate, which an investment keeps."""
+    rows = investment_rows(investments, funding_rounds, dim_date, dim_company, dim_investor, dim_funding_round)
+    return assign_ids(known, rows, "investment_nk", "investment_id")

@@ -1,72 +1,112 @@
-"""The warehouse build: dimensions, then facts; each through the gate, then upserted."""
+"""The warehouse build: dimensions, then facts; each through the gate, numbered, then upserted."""
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Mapping, Sequence
-from functools import partial
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
+from ..functions.casting import day_before, parse_date
 from ..functions.documents import now
-from ..operators.validation import (
-    VIOLATIONS,
-    ForeignKey,
-    NotNull,
-    Rule,
-    land_split,
-    split_valid,
-    tag_violations,
-)
-from ..schemas import WAREHOUSE, WAREHOUSE_KEYS, struct
-from ..session import run_all, scratch_path
+from ..operators.keys import assign_ids
+from ..operators.mapping import VIOLATIONS, unreadable
+from ..operators.validation import Castable, ForeignKey, NotNull, Rule, land_split
+from ..schemas import SURROGATES, WAREHOUSE, WAREHOUSE_KEYS, struct
+from ..session import materialize, run_all, scratch_path, scratch_scope
 from ..sinks.runlog import logged
-from ..sinks.tables import append, read_table, target_name, upsert_path
+from ..sinks.tables import read_table, target_name, upsert_path
 from ..sources.files import all_empty
 from . import dimensions, facts
 from .calendar import calendar, dim_date
 
+# Facts are sliced by month, so that an increment leaves other months alone.
+SLICED_BY = {"fact_company_growth": "date_id div 100", "fact_investments": "date_id div 100"}
+#: Staging columns that a fact reads as a type without a mapping.
+READ_AS = {
+    "acquisition": {"acquired_at": "date"},
+    "funding_rounds": {"raised_amount_usd": facts.WIDE},
+    "ipos": {"public_at": "timestamp_ntz", "valuation_amount": facts.WIDE, "raised_amount": facts.WIDE},
+    "investments": {"created_at": "date"},
+}
+
+
+def _report(invalid: DataFrame, rest: Sequence[str]) -> DataFrame:
+    return invalid.select(VIOLATIONS, F.to_json(F.struct(*rest)).alias("row"), now().alias("created_at"))
+
+
+def unreadable_source(df: DataFrame, table: str) -> DataFrame | None:
+    """A report of the rows of a staging table whose text cannot be read as what facts take it for."""
+    texts = {name: kind for name, kind in READ_AS[table].items() if name in df.columns and df.schema[name].dataType.typeName() == "string"}
+    if not texts:
+        return None
+    names = F.array_compact(F.array(*[unreadable(name, kind) for name, kind in texts.items()]))
+    tagged = df.withColumn(VIOLATIONS, F.transform(names, lambda x: F.concat(F.lit(f"{table}."), x)))
+    return _report(tagged.where(F.size(VIOLATIONS) > 0), df.columns)
 
-def load_table(
-    built: DataFrame, name: str, root: str, rules: Sequence[Rule], written: bool = False
-) -> int:
-    """Put a built table through the gate and upsert its valid rows; returns the rows built.
 
-    Rows that break a rule are appended to ``<root>/invalid`` with what they break. The
-    gate lands the table, so that the upsert, which reads it more than once, reads files.
-    That is left out for a table that is ``written`` already, unless a rule needs a join.
+def conformed(df: DataFrame, table: str) -> DataFrame:
+    """``df`` in the types of a warehouse table, of which it may lack columns; values must fit, as the gate sees to."""
+    kinds = {f.name: f.dataType for f in struct(WAREHOUSE[table]).fields}
+    return df.select([F.col(name).cast(kind).alias(name) for name, kind in kinds.items() if name in df.columns])
+
+
+def load_table(
+    built: DataFrame,
+    name: str,
+    root: str,
+    rules: Sequence[Rule],
+    known: DataFrame | None = None,
+    replacing: DataFrame | None = None,
+    reports: Sequence[DataFrame] = (),
+) -> dict[str, int]:
+    """Put a built table through the gate, number its valid rows, and upsert them.
+
+    Amounts that do not fit their column break a rule. What breaks one stands in
+    ``<root>/invalid/table_name=<table>`` with what it breaks, in place of what the last build rejected
+    there. Only valid rows are numbered, so a surrogate has no gaps. Returns ``n_rows`` and ``n_invalid``.
     """
+    spark = built.sparkSession
     table = target_name(name)
-    if written and not any(isinstance(rule, ForeignKey) for rule in rules):
-        valid, invalid = split_valid(built, rules)
-        seen = tag_violations(built, rules).agg(
-            F.count(F.lit(1)).alias("n_rows"), F.count_if(F.size(VIOLATIONS) > 0).alias("n_invalid")
-        )
-        seen = seen.first().asDict()
+    wanted = {f.name: f.dataType for f in struct(WAREHOUSE[table]).fields}
+    wide = [f.name for f in built.schema.fields if f.name in wanted and "decimal" in f.dataType.simpleString()]
+    rules = [*rules, *[Castable(name, wanted[name].simpleString()) for name in wide]]
+    valid, invalid, seen = land_split(built, rules, scratch_path(spark, f"gate-{table}"))
+    reports = [*reports, *([_report(invalid, [c for c in built.columns if c != VIOLATIONS])] if seen["n_invalid"] else [])]
+    folder = f"{root}/invalid/table_name={table}"
+    if reports:
+        reduce(lambda a, b: a.unionByName(b), reports).write.mode("overwrite").parquet(folder)
     else:
-        path = scratch_path(built.sparkSession, f"gate-{table}")
-        valid, invalid, seen = land_split(built, rules, path)
-    if seen["n_invalid"]:
-        report = invalid.select(
-            F.lit(table).alias("table_name"),
-            VIOLATIONS,
-            F.to_json(F.struct(*built.columns)).alias("row"),
-            now().alias("created_at"),
-        )
-        append(report, f"{root}/invalid")
-    upsert_path(valid, f"{root}/{table}", WAREHOUSE_KEYS[table])
-    return seen["n_rows"]
+        storage.delete(spark, folder)
+    if table in SURROGATES:
+        valid = assign_ids(known, valid, WAREHOUSE_KEYS[table], SURROGATES[table])
+    upsert_path(conformed(valid, table), f"{root}/{table}", WAREHOUSE_KEYS[table], SLICED_BY.get(table), replacing=replacing)
+    return seen
 
 
 def build_warehouse(
-    spark: SparkSession, staging: Mapping[str, DataFrame], root: str, foreign_keys: bool = False
+    spark: SparkSession,
+    staging: Mapping[str, DataFrame],
+    root: str,
+    foreign_keys: bool = False,
+    run_date: str | datetime.date | None = None,
 ) -> dict[str, DataFrame]:
     """Build the warehouse tables under ``root`` from the staging tables and return them.
 
     Dimensions are built side by side, then facts. A table whose staging tables are absent
     or empty is left as it was. Facts resolve their keys in the dimensions as written, so a
-    dimension is computed once. Building again keeps every surrogate key. ``foreign_keys``
-    makes the gate also reject facts whose company is unknown; without it they are loaded.
+    dimension is computed once. Building again keeps every surrogate key, and writes nothing
+    where nothing has changed. ``foreign_keys`` makes the gate also reject facts whose company is
+    unknown, and investments whose investor or round is; without it they are loaded.
+
+    ``staging`` has whole tables. With ``run_date``, only what was created or updated on the day before is
+    built: rows of that day, and for what is put together of several rows (a company of its
+    offices, growth of a company's acquisitions, rounds and offerings, an investment of its round) all
+    rows of those affected. A company's growth is replaced as a whole, so that a day that was corrected goes.
 
     The calendar is typed from ``staging["dim_date"]`` if there is one, else generated.
     """
@@ -79,27 +119,43 @@ def build_warehouse(
         found = known(name)
         return spark.createDataFrame([], struct(WAREHOUSE[name])) if found is None else found
 
+    def increment(source: str) -> DataFrame:
+        """The rows of a staging table that the build is about."""
+        rows = s[source]
+        stamps = [name for name in ("created_at", "updated_at") if name in rows.columns]
+        if run_date is None or not stamps:
+            return rows
+        return rows.where(reduce(or_, [F.coalesce(parse_date(name) == day_before(run_date), F.lit(False)) for name in stamps]))
+
+    def of_affected(source: str, column: str, affected: DataFrame) -> DataFrame:
+        """All rows of a staging table with one of the ``affected`` keys."""
+        if run_date is None:
+            return s[source]
+        rows = s[source]
+        return rows.join(affected.select(F.col(affected.columns[0]).alias("_affected")), F.col(column).eqNullSafe(F.col("_affected")), "left_semi")
+
     def load(
         name: str,
         needs: Sequence[str],
         build: Callable[[], DataFrame],
         rules: Sequence[Rule] = (),
         filled: Sequence[str] = (),
-        written: bool = False,
+        replacing: Callable[[], DataFrame] | None = None,
+        read: Sequence[str] = (),
     ) -> None:
-        """Build a table if all it needs is there, and not all of ``filled`` (or that) is empty.
-
-        ``written``: the build only projects rows that have been written, as numbered ones are.
-        """
+        """Build a table if all it needs is there, and not all of ``filled`` (or that) is empty."""
         if not all(source in s for source in needs):
             return
         if needs and all_empty(*[s[source] for source in filled or needs]):
             return
         required = [key for key in WAREHOUSE_KEYS[name] if key != "date_id" or name == "dim_date"]
         rules = [*map(NotNull, required), *rules]
-        log = f"{root}/etl_log"
-        with logged(spark, log, "warehouse", "build and load", ",".join(needs), name) as run:
-            run["n_rows"] = load_table(build(), name, root, rules, written)
+        with logged(spark, f"{root}/etl_log", "warehouse", "build and load", ",".join(needs), name) as run:
+            with scratch_scope(spark):
+                reports = [found for found in (unreadable_source(increment(source), source) for source in read) if found is not None]
+                reports = [found for found in reports if not found.isEmpty()]
+                seen = load_table(build(), name, root, rules, known(name), replacing and replacing(), reports)
+            run["n_rows"] = seen["n_rows"]
 
     def dates() -> None:
         if "dim_date" in s:
@@ -107,41 +163,55 @@ def build_warehouse(
         elif known("dim_date") is None:
             load("dim_date", [], lambda: calendar(spark))
 
+    def company() -> None:
+        def build() -> DataFrame:
+            affected = increment("company").select("object_id").distinct()
+            return dimensions.company_rows(of_affected("company", "object_id", affected), report=True)
+
+        load("dim_company", ["company"], build)
+
     def growth() -> None:
-        name, needs = "fact_company_growth", ["acquisition", "funding_rounds", "ipos"]
-        rules = []
-        if foreign_keys:
-            rules = [ForeignKey("company_nk", dimension("dim_company"), "company_nk")]
-        build = partial(facts.fact_company_growth, known=known(name))
-        load(name, needs, lambda: build(*[s[n] for n in needs], dimension("dim_date")), rules, written=True)
+        name = "fact_company_growth"
+        keys = {"acquisition": "acquired_object_id", "funding_rounds": "object_id", "ipos": "object_id"}
+        rules = [ForeignKey("company_nk", dimension("dim_company"), "company_nk")] if foreign_keys else []
+        made: list[DataFrame] = []
+
+        def affected() -> DataFrame:
+            if not made:
+                found = [increment(source).select(F.col(column).alias("company_nk")) for source, column in keys.items()]
+                made.append(materialize(reduce(lambda a, b: a.union(b), found).distinct(), "affected"))
+            return made[0]
+
+        def build() -> DataFrame:
+            rows = [of_affected(source, column, affected()) for source, column in keys.items()]
+            return facts.company_growth_rows(*rows, dimension("dim_date"))
+
+        load(name, list(keys), build, rules, replacing=affected, read=list(keys))
 
     def investments() -> None:
-        name, needs = "fact_investments", ["investments", "funding_rounds"]
         dims = ["dim_date", "dim_company", "dim_investor", "dim_funding_round"]
-        rules = [NotNull("company_id")] if foreign_keys else []
-        build = partial(facts.fact_investments, known=known(name))
-        load(
-            name,
-            needs,
-            lambda: build(*[s[n] for n in needs], *map(dimension, dims)),
-            rules,
-            filled=["investments"],
-        )
-
-    def numbered(name: str, source: str, build: Callable[..., DataFrame]) -> Callable[[], None]:
-        return lambda: load(name, [source], lambda: build(s[source], known(name)), written=True)
+        rules = [NotNull(key) for key in ("company_id", "investor_id", "funding_round_id")] if foreign_keys else []
+
+        def build() -> DataFrame:
+            rows = increment("investments")
+            if run_date is not None:
+                rounds = increment("funding_rounds").select("funding_round_id").distinct()
+                rows = rows.union(of_affected("investments", "funding_round_id", rounds)).dropDuplicates(["investment_id"])
+            return facts.investment_rows(rows, s["funding_rounds"], *map(dimension, dims))
+
+        load("fact_investments", ["investments", "funding_rounds"], build, rules, filled=["investments"], read=["investments"])
 
     steps = [
         [
             dates,
-            numbered("dim_company", "company", dimensions.dim_company),
-            numbered("dim_investor", "investments", dimensions.dim_investor),
-            numbered("dim_funding_round", "funding_rounds", dimensions.dim_funding_round),
-            lambda: load("dim_people", ["people"], lambda: dimensions.dim_people(s["people"])),
+            company,
+            lambda: load("dim_investor", ["investments"], lambda: dimensions.investor_rows(increment("investments"))),
+            lambda: load("dim_funding_round", ["funding_rounds"], lambda: dimensions.round_rows(increment("funding_rounds"), report=True)),
+            lambda: load("dim_people", ["people"], lambda: dimensions.dim_people(increment("people"), report=True)),
             lambda: load(
                 "dim_relationship",
                 ["relationships"],
-                lambda: dimensions.dim_relationship(s["relationships"], s.get("people")),
+                lambda: dimensions.dim_relationship(increment("relationships"), s.get("people"), report=True),
             ),
         ],
         [growth, investments],

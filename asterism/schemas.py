@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql.types import StructType
 
-# Column names and types of the tables.
+# Column names and types of the tables. Ids are BIGINT, as 32 bits number 2^31 rows only.
 STAGING = {
-    "acquisition": """acquisition_id INT NOT NULL, acquiring_object_id STRING,
+    "acquisition": """acquisition_id BIGINT NOT NULL, acquiring_object_id STRING,
         acquired_object_id STRING, term_code STRING, price_amount DECIMAL(15,2),
         price_currency_code STRING, acquired_at TIMESTAMP_NTZ, source_url STRING,
         source_description STRING, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ""",
-    "company": """office_id INT NOT NULL, object_id STRING, description STRING, region STRING,
+    "company": """office_id BIGINT NOT NULL, object_id STRING, description STRING, region STRING,
         address1 STRING, address2 STRING, city STRING, zip_code STRING, state_code STRING,
         country_code STRING, latitude DECIMAL(9,6), longitude DECIMAL(9,6),
         created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ""",
-    "funding_rounds": """funding_round_id INT NOT NULL, object_id STRING, funded_at DATE,
+    "funding_rounds": """funding_round_id BIGINT NOT NULL, object_id STRING, funded_at DATE,
         funding_round_type STRING, funding_round_code STRING, raised_amount_usd DECIMAL(15,2),
         raised_amount DECIMAL(15,2), raised_currency_code STRING,
         pre_money_valuation_usd DECIMAL(15,2), pre_money_valuation DECIMAL(15,2),
@@ -26,7 +28,7 @@ STAGING = {
     "funds": """fund_id STRING NOT NULL, object_id STRING, name STRING, funded_at DATE,
         raised_amount DECIMAL(15,2), raised_currency_code STRING, source_url STRING,
         source_description STRING, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ""",
-    "investments": """investment_id INT NOT NULL, funding_round_id INT, funded_object_id STRING,
+    "investments": """investment_id BIGINT NOT NULL, funding_round_id BIGINT, funded_object_id STRING,
         investor_object_id STRING, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ""",
     "ipos": """ipo_id STRING NOT NULL, object_id STRING, valuation_amount DECIMAL(15,2),
         valuation_currency_code STRING, raised_amount DECIMAL(15,2),
@@ -39,7 +41,7 @@ STAGING = {
     "relationships": """relationship_id STRING NOT NULL, person_object_id STRING,
         relationship_object_id STRING, start_at STRING, end_at STRING, is_past STRING,
         sequence STRING, title STRING, created_at STRING, updated_at STRING""",
-    "milestones": """milestone_id INT NOT NULL, created_at TIMESTAMP_NTZ NOT NULL,
+    "milestones": """milestone_id BIGINT NOT NULL, created_at TIMESTAMP_NTZ NOT NULL,
         description STRING, milestone_at DATE NOT NULL, milestone_code STRING,
         object_id STRING NOT NULL, source_description STRING, source_url STRING,
         updated_at TIMESTAMP_NTZ NOT NULL""",
@@ -114,3 +116,8 @@ RUN_LOG = """id STRING, step STRING, process STRING, status STRING, source STRIN
 def struct(ddl: str) -> StructType:
     """The ``StructType`` of a column list in DDL form."""
     return StructType.fromDDL(ddl)
+
+
+def column_names(ddl: str) -> list[str]:
+    """The names in a column list in DDL form; needs no session."""
+    return [column.split()[0] for column in re.sub(r"\([^)]*\)", "", ddl).split(",")]

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from threading import local
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from . import storage
 
 _FOLDERS: dict[str, str] = {}
+_SCOPES = local()
 
 
 def build_session(app: str = "asterism", master: str | None = None, **conf: str) -> SparkSession:
@@ -59,7 +62,25 @@ def scratch_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the scratch folder that no other call gets."""
-    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in getattr(_SCOPES, "open", [])[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables that this thread makes within, once it is through.
+
+    Only for work whose results have been written elsewhere by then.
+    """
+    scopes = _SCOPES.__dict__.setdefault("open", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            storage.delete(spark, path)
 
 
 def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:

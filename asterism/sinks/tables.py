@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 
 from .. import storage
 from ..functions.casting import parse_keys
-from ..session import materialize_at, observed, scratch_path
+from ..session import materialize_at, scratch_path
 from .upsert import aligned, assert_unique, match, upsert
 
 SLICE = "upsert_slice"
@@ -120,15 +120,16 @@ def _slice_name(slice_by: str | None) -> Column:
 def _write(df: DataFrame, path: str, slice_by: str | None) -> tuple[dict[str, str], int]:
     """Write rows to a new folder; the slices in it, and how many rows there are."""
     folder = f"data/{uuid.uuid4().hex}"
-    counted, seen = observed(df)
     if slice_by is None:
-        counted.write.parquet(f"{path}/{folder}/{SLICE}={WHOLE}")
+        df.write.parquet(f"{path}/{folder}/{SLICE}={WHOLE}")
     else:
         # Big slices are split among tasks, small ones put together.
-        named = counted.withColumn(SLICE, _slice_name(slice_by)).hint("rebalance", SLICE)
+        named = df.withColumn(SLICE, _slice_name(slice_by)).hint("rebalance", SLICE)
         named.write.partitionBy(SLICE).parquet(f"{path}/{folder}")
     found = [name for name in storage.names(df.sparkSession, f"{path}/{folder}") if name.startswith(f"{SLICE}=")]
-    return {name.split("=", 1)[1]: f"{folder}/{name}" for name in found}, seen.get["n_rows"]
+    slices = {name.split("=", 1)[1]: f"{folder}/{name}" for name in found}
+    # Counted from the files' own row counts.
+    return slices, Version(0, None, df.schema, slices, 0).read(df.sparkSession, path).count()
 
 
 def write_version(df: DataFrame, path: str, slice_by: str | None = None) -> int:
@@ -236,22 +237,15 @@ def upsert_path(
             # As many names as slices are rewritten, and so fewer than the version's file has.
             names = [row["s"] for row in found.distinct().limit(MOST_SLICES + 1).collect()]
             part = current.read(spark, path, names)
-            written, _ = _write(merged(part), path, slice_by)
+            written, n_written = _write(merged(part), path, slice_by)
             slices = {name: folder for name, folder in current.slices.items() if name not in names} | written
-            n_rows = current.n_rows + _growth(spark, path, current, names, written)
+            n_rows = current.n_rows - part.count() + n_written
         _commit(spark, path, base, slice_by, current.schema, slices, n_rows)
         return read_table(spark, path)
     finally:
         storage.delete(spark, aside)
 
 
-def _growth(spark: SparkSession, path: str, before: Version, names: Sequence[str], written: dict[str, str]) -> int:
-    """How many rows more the rewritten slices have; counted from the files' own row counts."""
-    old = before.read(spark, path, names).count()
-    new = Version(0, None, before.schema, written, 0).read(spark, path).count()
-    return new - old
-
-
 def ensure_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table at ``path``, created empty if it is absent."""
     if not storage.exists(spark, path):

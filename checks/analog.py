@@ -7,7 +7,7 @@ relationship: order.
 
 from pyspark.sql import functions as F
 
-from asterism.operators import pick_one
+from asterism.operators import with_dense_id
 from asterism.schemas import STAGING, struct
 
 from .registry import Tables
@@ -16,14 +16,9 @@ LINE_REST = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedpr
 
 
 def lines(t: Tables):
-    """Line items, one per key; the greatest of several."""
+    """All line items, each under a number of its own; an order has several with one line number."""
     names = ["l_orderkey", "l_linenumber", *LINE_REST]
-
-    def build():
-        one = pick_one(t.lineitem.select(names), ["l_orderkey", "l_linenumber"], LINE_REST, last=True)
-        return one.withColumn("line_id", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int"))
-
-    return t.once("lines", build)
+    return t.once("lines", lambda: with_dense_id(t.lineitem.select(names), names, "line_id", unique=False))
 
 
 def _conform(df, name: str):
@@ -95,6 +90,7 @@ def acquisition(t: Tables):
             F.col("line_id").alias("acquisition_id"),
             key("c:", "l_suppkey").alias("acquired_object_id"),
             F.when(F.col("l_quantity") < 50, F.col("l_shipdate")).alias("acquired_at"),
+            F.col("l_shipdate").alias("created_at"),
         ),
         "acquisition",
     )
@@ -137,7 +133,7 @@ def relationships(t: Tables):
             ),
             key("c:", "o_custkey").alias("relationship_object_id"),
             stamp.alias("start_at"),
-            F.when(F.col("o_orderstatus") == "F", stamp).otherwise("open").alias("end_at"),
+            F.when(F.col("o_orderstatus") == "F", stamp).alias("end_at"),
             flag.otherwise("abc").alias("is_past"),
             stamp.alias("created_at"),
             stamp.alias("updated_at"),
@@ -153,9 +149,8 @@ def staging(t: Tables):
 
 
 # The same in SQL.
-ORDER = ", ".join(f"{name} DESC" for name in LINE_REST)
-LINES_SQL = f"""lines AS (SELECT *, CAST(l_orderkey * 8 + l_linenumber AS INTEGER) AS line_id FROM lineitem
-  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {ORDER}) = 1)"""
+LINES_SQL = f"""lines AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, {", ".join(LINE_REST)}) AS line_id
+  FROM lineitem)"""
 COMPANY_SQL = """SELECT row_number() OVER (ORDER BY 'c:' || p_partkey) AS company_id, 'c:' || p_partkey AS company_nk,
   p_brand AS region, p_type AS city, substr(p_name, 1, 3) AS country_code,
   CAST(p_retailprice / 100 AS DECIMAL(9,6)) AS latitude, CAST(-p_retailprice / 100 AS DECIMAL(9,6)) AS longitude

@@ -65,6 +65,48 @@ def upsert_sliced(t: Tables):
     return sinks.upsert_path(changed, path, "o_orderkey", slice_by="quarter").drop("quarter")
 
 
+@check("snk_3_upsert_relayout", UPSERT_SQL)
+def upsert_relayout(t: Tables):
+    """A whole table, then a change by quarters, then the same change by years and without slices."""
+    path = scratch_path(t.spark, "orders")
+    sinks.upsert_path(early_orders(t), path, "o_orderkey")
+    sinks.upsert_path(changed_orders(t).where("o_orderkey % 2 = 0"), path, "o_orderkey", "date_format(o_orderdate, 'yyyyQ')")
+    sinks.upsert_path(changed_orders(t).where("o_orderkey % 2 <> 0"), path, "o_orderkey", "year(o_orderdate)")
+    return sinks.upsert_path(changed_orders(t).where("o_orderkey % 3 = 0"), path, "o_orderkey")
+
+
+@check(
+    "snk_3_upsert_moved_slice",
+    """SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' THEN 'O' ELSE o_orderstatus END AS o_orderstatus) FROM orders""",
+)
+def upsert_moved_slice(t: Tables):
+    """Orders by status; those whose status changes are in one slice only afterwards."""
+    path = scratch_path(t.spark, "orders")
+    sinks.upsert_path(t.orders, path, "o_orderkey", "o_orderstatus")
+    changed = t.orders.where("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("O"))
+    return sinks.upsert_path(changed, path, "o_orderkey", "o_orderstatus")
+
+
+@check(
+    "snk_3_upsert_new_column",
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= '2001-01-01' THEN 'late' ELSE o_orderstatus END AS o_orderstatus,
+    'refused' AS extra FROM orders""",
+)
+def upsert_new_column(t: Tables):
+    """A column that the table lacks is refused, in a new slice as well; nothing of it is written."""
+    path = scratch_path(t.spark, "orders")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    late = rows.where("year >= 2001").withColumn("o_orderstatus", F.lit("late"))
+    sinks.upsert_path(rows.where("year < 2001"), path, "o_orderkey", "year")
+    try:
+        sinks.upsert_path(late.withColumn("extra", F.lit(1)), path, "o_orderkey", "year")
+        outcome = "accepted"
+    except ValueError:
+        outcome = "refused"
+    sinks.upsert_path(late, path, "o_orderkey", "year")
+    return sinks.read_table(t.spark, path).drop("year").withColumn("extra", F.lit(outcome))
+
+
 @check(
     "snk_3_upsert_columns",
     """

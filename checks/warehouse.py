@@ -1,19 +1,21 @@
 """Dimensions, facts, staging, the warehouse build and the streamed upsert."""
 
 import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from asterism import plans, sinks
-from asterism.schemas import SURROGATES, WAREHOUSE
+from asterism.plans.facts import funding_totals
+from asterism.schemas import WAREHOUSE, column_names
 from asterism.session import scratch_path
 from asterism.sources import read_csv_raw, scan_tables
 from asterism.sources.files import TIMESTAMP_FORMAT
 from asterism.streaming import upsert_stream
 
 from . import analog
+from .analog import key
 from .registry import Tables, check
-from .sources import row_count
 
 CALENDAR_SQL = """
 WITH span AS (SELECT min(CAST(l_shipdate AS DATE)) AS a, max(CAST(l_shipdate AS DATE)) AS z FROM lineitem),
@@ -70,11 +72,11 @@ def dim_investor(t: Tables):
     return plans.dim_investor(analog.investments(t))
 
 
-@check(
-    "dim_5_dim_people",
-    """SELECT CAST(c_custkey + 1 AS VARCHAR) AS people_nk, c_name AS first_name, c_mktsegment AS last_name,
-    CASE WHEN c_acctbal > 0 THEN CAST(c_nationkey AS VARCHAR) END AS birthplace FROM customer""",
-)
+PEOPLE_SQL = """SELECT CAST(c_custkey + 1 AS VARCHAR) AS people_nk, c_name AS first_name, c_mktsegment AS last_name,
+    CASE WHEN c_acctbal > 0 THEN CAST(c_nationkey AS VARCHAR) END AS birthplace FROM customer"""
+
+
+@check("dim_5_dim_people", PEOPLE_SQL)
 def dim_people(t: Tables):
     return plans.dim_people(analog.people(t))
 
@@ -94,9 +96,10 @@ def dim_relationship(t: Tables):
 
 @check("fct_1_fact_company_growth", f"WITH {analog.LINES_SQL} SELECT * FROM ({analog.GROWTH_SQL})")
 def fact_company_growth(t: Tables):
-    return plans.company_growth_rows(
+    rows = plans.company_growth_rows(
         analog.acquisition(t), analog.funding_rounds(t), analog.ipos(t), plans.calendar(t.spark)
     )
+    return plans.conformed(rows, "fact_company_growth")
 
 
 @check(
@@ -113,15 +116,16 @@ def fact_company_growth(t: Tables):
 )
 def fact_company_growth_all(t: Tables):
     """Also companies that were never acquired."""
-    return plans.company_growth_rows(
+    rows = plans.company_growth_rows(
         analog.acquisition(t), analog.funding_rounds(t), analog.ipos(t), plans.calendar(t.spark), spine="all"
     )
+    return plans.conformed(rows, "fact_company_growth")
 
 
 @check("fct_2_fact_investments", f"WITH {analog.LINES_SQL} SELECT * FROM ({analog.INVESTMENTS_SQL})")
 def fact_investments(t: Tables):
     company, rounds, investments = analog.company(t), analog.funding_rounds(t), analog.investments(t)
-    return plans.fact_investments(
+    rows = plans.fact_investments(
         investments,
         rounds,
         plans.calendar(t.spark),
@@ -129,6 +133,7 @@ def fact_investments(t: Tables):
         plans.dim_investor(investments),
         plans.dim_funding_round(rounds),
     )
+    return plans.conformed(rows, "fact_investments")
 
 
 def dated_orders(t: Tables):
@@ -154,11 +159,11 @@ def stage_table(t: Tables):
 
 @check(
     "stg_2_stage_json",
-    "SELECT conv_id * 1000 + turn AS id, role, replace(text, chr(10), ' ') AS text FROM conversations",
+    "SELECT conv_id, turn, role, replace(text, chr(10), ' ') AS text FROM conversations",
 )
 def stage_json(t: Tables):
     """Records with text two levels down; keys are unique per conversation and turn."""
-    record = F.struct((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.struct("role", "text").alias("message"))
+    record = F.struct("conv_id", "turn", F.struct("role", "text").alias("message"))
     rows = t.conversations.select(record.alias("record"))
     payload = scratch_path(t.spark, "payload")
     rows.select(F.concat(F.lit("["), F.to_json("record", {"timestampNTZFormat": TIMESTAMP_FORMAT}), F.lit("]"))).write.text(
@@ -166,9 +171,9 @@ def stage_json(t: Tables):
     )
     schema = rows.select("record.*").schema
     staged = plans.stage_json(
-        t.spark, payload, schema, scratch_path(t.spark, "landing"), scratch_path(t.spark, "staging"), ["id"], "2024-02-01"
+        t.spark, payload, schema, scratch_path(t.spark, "landing"), scratch_path(t.spark, "staging"), ["conv_id", "turn"], "2024-02-01"
     )
-    return staged.select("id", "message.role", "message.text")
+    return staged.select("conv_id", "turn", "message.role", "message.text")
 
 
 @check(
@@ -183,50 +188,106 @@ def stage_csv(t: Tables):
     return plans.stage_csv(t.spark, file, landing, path, ["s_suppkey"], "2024-02-01")
 
 
-TABLE_SQL = {
+LOADED_SQL = {
     "dim_company": analog.COMPANY_SQL,
     "dim_investor": analog.INVESTOR_SQL,
     "dim_funding_round": analog.ROUND_SQL,
-    "fact_company_growth": f"""SELECT row_number() OVER (ORDER BY company_nk, date_id NULLS FIRST) AS company_growth_id
+    "dim_people": PEOPLE_SQL,
+    "dim_relationship": f"{RELATIONSHIP_SQL} WHERE o_orderstatus <> 'P'",
+    "dim_date": CALENDAR_SQL.replace("min(CAST(l_shipdate AS DATE))", "DATE '1998-01-01'")
+    .replace("max(CAST(l_shipdate AS DATE))", "DATE '2077-12-31'")
+    .replace("FROM lineitem", ""),
+    "fact_company_growth": f"""SELECT row_number() OVER (ORDER BY company_nk, date_id NULLS FIRST) AS company_growth_id, *
       FROM ({analog.GROWTH_SQL})""",
     "fact_investments": analog.INVESTMENTS_SQL,
 }
 
 
+def as_text_sql(table: str, sql: str, names) -> str:
+    """The rows of a table as one text each."""
+    columns = ", ".join(f"coalesce(CAST({name} AS VARCHAR), '~')" for name in names)
+    return f"SELECT '{table}' AS table_name, concat_ws('|', {columns}) AS row_text FROM ({sql})"
+
+
+def as_text(df, table: str, names):
+    columns = [F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in names]
+    return df.select(F.lit(table).alias("table_name"), F.concat_ws("|", *columns).alias("row_text"))
+
+
 @check(
     "whs_1_build_warehouse",
     f"WITH {analog.LINES_SQL} "
-    + " UNION ALL ".join(
-        f"SELECT '{table}' AS table_name, count(*) AS n_rows, CAST(sum({SURROGATES[table]}) AS BIGINT) AS id_sum, "
-        f"max({SURROGATES[table]}) AS last_id FROM ({sql})"
-        for table, sql in TABLE_SQL.items()
-    )
-    + """ UNION ALL SELECT 'dim_date', 29220, NULL, NULL FROM (SELECT count(*) FROM orders)
-    UNION ALL SELECT 'dim_people', count(*), NULL, NULL FROM customer
-    UNION ALL SELECT 'dim_relationship', count(*), NULL, NULL FROM orders""",
+    + " UNION ALL ".join(as_text_sql(table, LOADED_SQL[table], column_names(WAREHOUSE[table])) for table in WAREHOUSE),
 )
 def build_warehouse(t: Tables):
-    """Two builds; the second finds everything there and keeps all keys."""
+    """Every column of all tables after two builds; the second finds everything there and keeps all keys."""
     root = scratch_path(t.spark, "warehouse")
     staging = analog.staging(t)
     for _ in range(2):
         tables = plans.build_warehouse(t.spark, staging, root)
-    rows = []
-    for name in WAREHOUSE:
-        sk = SURROGATES.get(name)
-        ids = F.col(sk) if sk else F.lit(None).cast("bigint")
-        rows.append(
-            tables[name].agg(
-                F.lit(name).alias("table_name"),
-                F.count(F.lit(1)).alias("n_rows"),
-                F.sum(ids).alias("id_sum"),
-                F.max(ids).alias("last_id"),
-            )
-        )
-    result = rows[0]
-    for row in rows[1:]:
-        result = result.unionByName(row)
-    return result
+    parts = [as_text(tables[name], name, column_names(WAREHOUSE[name])) for name in WAREHOUSE]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@check(
+    "whs_1_invalid",
+    """SELECT 'dim_relationship' AS table_name, 'boolean(is_past)' AS rule, count(*) AS row_count FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL SELECT 'dim_company', 'not_null(company_nk)', 1 FROM (SELECT count(*) FROM part)""",
+)
+def rejected_rows(t: Tables):
+    """What two builds reject: flags that cannot be read, and a company without a key. It does not pile up."""
+    root = scratch_path(t.spark, "warehouse")
+    staging = analog.staging(t)
+    nameless = staging["company"].limit(1).withColumns({"object_id": F.lit(None).cast("string"), "office_id": F.lit(0).cast("long")})
+    staging["company"] = staging["company"].unionByName(nameless)
+    chosen = {name: staging[name] for name in ("company", "relationships", "people")}
+    for _ in range(2):
+        plans.build_warehouse(t.spark, chosen, root)
+    rows = t.spark.read.parquet(f"{root}/invalid").select("table_name", F.explode("violations").alias("rule"))
+    return rows.groupBy("table_name", "rule").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+UNTIL = datetime.date(1998, 6, 15)
+
+
+@check(
+    "whs_1_incremental",
+    f"""WITH {analog.LINES_SQL}, kept AS (SELECT * FROM lines WHERE CAST(l_shipdate AS DATE) <= DATE '{UNTIL}')
+    SELECT 'fact_company_growth' AS table_name, company_nk AS key, date_id, acquisition_count AS n, total_funding_usd AS amount
+    FROM ({analog.GROWTH_SQL.replace("FROM lines", "FROM kept")})
+    UNION ALL SELECT 'fact_investments', investment_nk, date_id, NULL, investment_amount_usd
+    FROM ({analog.INVESTMENTS_SQL.replace("FROM lines", "FROM kept")})""",
+)
+def build_by_day(t: Tables):
+    """All but a day, then that day as an increment; the facts are those of a whole build."""
+    root = scratch_path(t.spark, "warehouse")
+    staging = analog.staging(t)
+    day = F.to_date("created_at")
+    for source in ("investments", "acquisition"):
+        staging[source] = staging[source].where(day <= F.lit(UNTIL))
+    before = {name: df.where(day < F.lit(UNTIL)) if name in ("investments", "acquisition") else df for name, df in staging.items()}
+    plans.build_warehouse(t.spark, before, root)
+    tables = plans.build_warehouse(t.spark, staging, root, run_date=UNTIL + datetime.timedelta(days=1))
+    growth = tables["fact_company_growth"].select(
+        F.lit("fact_company_growth").alias("table_name"), F.col("company_nk").alias("key"), "date_id",
+        F.col("acquisition_count").alias("n"), F.col("total_funding_usd").alias("amount"),
+    )
+    investments = tables["fact_investments"].select(
+        F.lit("fact_investments").alias("table_name"), F.col("investment_nk").alias("key"), "date_id",
+        F.lit(None).cast("bigint").alias("n"), F.col("investment_amount_usd").alias("amount"),
+    )
+    return growth.unionByName(investments)
+
+
+@check(
+    "fct_1_large_amounts",
+    """SELECT 'c:' || o_custkey AS company_nk, CAST(sum(CAST(o_orderkey AS DECIMAL(38,2)) * 10000000000000) AS DECIMAL(38,2))
+      AS total_funding_usd FROM orders GROUP BY 1""",
+)
+def large_amounts(t: Tables):
+    """Rounds of 14 digits and more, as text: no amount is lost on the way to a total."""
+    amount = F.concat(F.col("o_orderkey").cast("string"), F.lit("0000000000000.00"))
+    return funding_totals(t.orders.select(key("c:", "o_custkey").alias("object_id"), amount.alias("raised_amount_usd")))
 
 
 @check(
@@ -249,6 +310,26 @@ def incremental_file_upsert(t: Tables):
         drop.write.mode("append").parquet(f"{folder}/landing")
         upsert_stream(
             t.spark, f"{folder}/landing", t.events.schema, f"{folder}/table", ["event_id"], ["ts", "value"],
-            f"{folder}/checkpoint",
+            f"{folder}/checkpoint", "to_date(ts)",
         ).awaitTermination()
     return sinks.read_table(t.spark, f"{folder}/table")
+
+
+@check(
+    "str_1_out_of_order",
+    "SELECT files, event_id, ts, value FROM events, (SELECT unnest(['1', '1000']) AS files)",
+)
+def out_of_order_files(t: Tables):
+    """Newer rows land before older ones; the table is the same for one and for many files in a batch."""
+    parts = []
+    for files in (1, 1000):
+        folder = scratch_path(t.spark, "events")
+        stale = t.events.withColumns({"ts": F.col("ts") - F.expr("INTERVAL 1 DAY"), "value": F.lit(-1.0)})
+        for drop in (t.events, stale):
+            drop.coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+        upsert_stream(
+            t.spark, f"{folder}/landing", t.events.schema, f"{folder}/table", ["event_id"], ["ts"], f"{folder}/checkpoint",
+            "event_id div 1000", files,
+        ).awaitTermination()
+        parts.append(sinks.read_table(t.spark, f"{folder}/table").select(F.lit(str(files)).alias("files"), "event_id", "ts", "value"))
+    return parts[0].unionByName(parts[1])
