@@ -1,8 +1,10 @@
 """Column profiles: type, samples, completeness and negative values.
 
-A table is read twice, column by column: once for the counts and a bound on the samples,
-once for the values within the bound. Columns go in groups, as the code generated for
-hundreds of aggregates gets too long to be compiled; each group reads its own columns only.
+A table is read twice: once for the counts and a bound on the samples of each column, once for the
+values within the bounds. The first pass takes columns in groups, as the code generated for
+hundreds of aggregates gets too long to be compiled; each group reads its own columns only, which
+costs no more where files are by column. Rows of text files are first written by column, so that they
+are parsed once.
 """
 
 from __future__ import annotations
@@ -15,10 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, BinaryType, NumericType, StringType, StructField
 
+from .. import storage
 from ..functions.documents import json_doc, now, to_json_text
 from ..functions.quality import pct, quality_label
 from ..schemas import PROFILE, struct
-from ..session import run_all
+from ..session import materialize, run_all, scratch_scope
 from ..sinks.tables import append, ensure_table
 from .keys import with_dense_id
 from .mapping import tag
@@ -74,23 +77,28 @@ def _stats(df: DataFrame, n: int) -> list[dict[str, Any]]:
     return [found[name] for name in df.columns]
 
 
-def _smallest(df: DataFrame, field: StructField, bound: str | None, n: int) -> DataFrame:
-    """The ``n`` smallest distinct values within the bound, as the column ``value``.
+def _samples(df: DataFrame, stats: list[dict[str, Any]], n: int) -> DataFrame:
+    """``ordinal`` and ``found``, the ``n`` smallest distinct values of each column as text, by one scan.
 
-    The bound reaches the scan as a filter, and few values get past it to be made distinct.
+    Few distinct values are within a column's bound, so what a task gathers stays small.
     """
-    values = df.select(F.expr(_value(field)).alias("value")).where("value IS NOT NULL")
-    if bound is not None:
-        values = values.where(F.col("value") <= F.lit(bound).cast(values.schema["value"].dataType))
-    return values.distinct().orderBy("value").limit(n)
+    gathered = []
+    for field, found in zip(df.schema.fields, stats):
+        value = F.expr(_value(field))
+        if found["bound"] is not None:
+            kind = field.dataType if _simple(field) else StringType()
+            value = F.when(value <= F.lit(found["bound"]).cast(kind), value)
+        smallest = F.slice(F.array_sort(F.collect_set(value)), 1, n)
+        gathered.append(F.transform(smallest, lambda v: v.cast("string")))
+    places = F.array(*[F.struct(F.lit(at).alias("ordinal"), column.alias("found")) for at, column in enumerate(gathered, start=1)])
+    return df.agg(places.alias("p")).select(F.explode("p").alias("p")).select("p.*")
 
 
 def sample_values(df: DataFrame, name: str, n: int = SAMPLE_SIZE) -> DataFrame:
     """The ``n`` smallest distinct values of a column, as text, in the column ``value``."""
     one = df.select(name)
     field = one.schema.fields[0]
-    smallest = _smallest(one, field, _scan(one, [field], n)[0]["bound"], n)
-    return smallest.select(F.col("value").cast("string").alias("value"))
+    return _samples(one, _scan(one, [field], n), n).select(F.explode("found").alias("value"))
 
 
 def profile(df: DataFrame, table_name: str, sample_size: int = SAMPLE_SIZE) -> DataFrame:
@@ -101,6 +109,8 @@ def profile(df: DataFrame, table_name: str, sample_size: int = SAMPLE_SIZE) -> D
     sample_data: the smallest distinct values as text, empty if there are none.
     """
     spark = df.sparkSession
+    if storage.parses_text(df):
+        df = materialize(df, "profiled")
     stats = _stats(df, sample_size)
     counts = spark.createDataFrame(
         [
@@ -110,16 +120,8 @@ def profile(df: DataFrame, table_name: str, sample_size: int = SAMPLE_SIZE) -> D
         "ordinal int, column_name string, data_type string, n_rows bigint, not_null_count bigint, "
         "negative_count bigint",
     )
-    samples = [
-        _smallest(df, field, s["bound"], sample_size).agg(
-            F.lit(at).alias("ordinal"),
-            F.transform(F.array_sort(F.collect_list("value")), lambda v: v.cast("string")).alias("found"),
-        )
-        for at, (field, s) in enumerate(zip(df.schema.fields, stats), start=1)
-        if sample_size and s["not_null_count"]
-    ]
-    if samples:
-        counts = counts.join(reduce(DataFrame.unionByName, samples), "ordinal", "left")
+    if sample_size and df.columns:
+        counts = counts.join(_samples(df, stats, sample_size), "ordinal", "left")
     else:
         counts = counts.withColumn("found", F.lit(None).cast("array<string>"))
     whole, filled = F.col("n_rows"), F.col("not_null_count")
@@ -167,10 +169,34 @@ def profile_document(profiles: DataFrame, schema: str = "-") -> DataFrame:
 
 
 def profile_all(tables: Mapping[str, DataFrame], sample_size: int = SAMPLE_SIZE) -> DataFrame:
-    """The profiles of several tables, stacked; their first scans run side by side."""
+    """The profiles of several tables, stacked; they are made side by side.
+
+    Each is written when it is ready, so that no plan has the scans of all tables.
+    """
     spark = next(iter(tables.values())).sparkSession
-    parts = run_all(spark, [partial(profile, df, name, sample_size) for name, df in tables.items()])
-    return reduce(DataFrame.unionByName, parts)
+
+    def made(name: str) -> DataFrame:
+        return materialize(profile(tables[name], name, sample_size), "profile")
+
+    return reduce(DataFrame.unionByName, run_all(spark, [partial(made, name) for name in tables]))
+
+
+def persist_profiles(
+    tables: Mapping[str, DataFrame], path: str, person_in_charge: str, source: str = "-", schema: str = "-", sample_size: int = SAMPLE_SIZE
+) -> dict[str, str]:
+    """Profile tables one by one and append each profile when it is ready.
+
+    A table that fails leaves the others' profiles in place; what it failed with is returned by name.
+    """
+    failed = {}
+    for name, df in tables.items():
+        try:
+            with scratch_scope(df.sparkSession):
+                document = profile_document(profile(df, name, sample_size), schema)
+                persist_profile(tag_profile(document, person_in_charge, source), path)
+        except Exception as error:
+            failed[name] = str(error)
+    return failed
 
 
 def tag_profile(documents: DataFrame, person_in_charge: str, source: str = "-") -> DataFrame:

@@ -5,21 +5,49 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .. import storage
 from ..functions.cleaning import clean_newlines, clean_newlines_nested
-from ..sinks.files import read_increment, write_increment
-from ..sinks.tables import upsert_path
-from ..sources.files import is_empty, read_csv_raw, read_json_records
+from ..operators.mapping import VIOLATIONS
+from ..operators.validation import NotNull, land_split
+from ..session import scratch_path, scratch_scope
+from ..sinks.files import increment_path, read_increment, write_increment
+from ..sinks.tables import read_table, upsert_path
+from ..sources.files import MALFORMED, is_empty, read_csv_raw, read_json_records
 from ..sources.increments import extract_increment
 
 
 def _load(
     cleaned: DataFrame, landing: str, path: str, keys: list[str], run_date: str | datetime.date, slice_by: str | None
-) -> DataFrame:
-    """Land a cleaned increment and upsert it; the landed copy is what is read again."""
-    write_increment(cleaned, landing, run_date)
-    landed = read_increment(cleaned.sparkSession, landing, run_date)
+) -> DataFrame | None:
+    """Land a cleaned increment and upsert it; the landed copy is what is read again.
+
+    Rows without a key, and malformed records, are landed apart in ``<landing>_invalid``, by day like the
+    others, with the rules they break.
+    """
+    spark = cleaned.sparkSession
+    rules = [NotNull(key) for key in keys]
+    if MALFORMED in cleaned.columns:
+        broken = F.when(F.col(MALFORMED).isNotNull(), F.array(F.lit("well_formed"))).otherwise(F.array().cast("array<string>"))
+        cleaned = cleaned.withColumn(VIOLATIONS, broken)
+    with scratch_scope(spark):
+        valid, invalid, seen = land_split(cleaned, rules, scratch_path(spark, "staged"))
+        valid = valid.drop(MALFORMED)
+        write_increment(valid, landing, run_date)
+        rejected = f"{landing}_invalid"
+        if seen["n_invalid"]:
+            rest = [name for name in cleaned.columns if name not in (VIOLATIONS, MALFORMED)]
+            row = F.to_json(F.struct(*rest))
+            if MALFORMED in cleaned.columns:
+                row = F.coalesce(F.col(MALFORMED), row)
+            write_increment(invalid.select(VIOLATIONS, row.alias("row")), rejected, run_date)
+        else:
+            storage.delete(spark, increment_path(rejected, run_date))
+    landed = read_increment(spark, landing, run_date)
+    if landed is None or landed.isEmpty():
+        return read_table(spark, path)
     return upsert_path(landed, path, keys, slice_by)
 
 
@@ -56,7 +84,7 @@ def stage_json(
     slice_by: str | None = None,
 ) -> DataFrame | None:
     """Stage the records of a landed payload; text is cleaned at every depth."""
-    rows = read_json_records(spark, payload, schema, whole_file)
+    rows = read_json_records(spark, payload, schema, whole_file, malformed=True)
     if is_empty(rows):
         return None
     return _load(clean_newlines_nested(rows), landing, path, keys, run_date, slice_by)
@@ -72,9 +100,10 @@ def stage_csv(
     sep: str = ",",
     schema: StructType | None = None,
     slice_by: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame | None:
     """Stage a CSV file; without a schema all columns are text."""
-    rows = read_csv_raw(spark, file, sep, schema)
+    rows = read_csv_raw(spark, file, sep, schema, multi_line, malformed=True)
     if is_empty(rows):
         return None
     return _load(rows, landing, path, keys, run_date, slice_by)

@@ -6,19 +6,31 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # The text form of a timestamp on every CSV and JSON edge; Spark's own default drops microseconds.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
-def read_csv_raw(spark: SparkSession, path: str, sep: str = ",", schema: StructType | None = None) -> DataFrame:
+#: Column with the text of a record that does not fit its schema, where that is asked for.
+MALFORMED = "_malformed"
+
+
+def read_csv_raw(
+    spark: SparkSession, path: str, sep: str = ",", schema: StructType | None = None, multi_line: bool = False, malformed: bool = False
+) -> DataFrame:
     """CSV with a header; every column is text unless a schema is given.
 
-    A quote inside a value is doubled, as most tools write it. One record is one line, so
-    a big file is split among tasks.
+    A quote inside a value is doubled, as most tools write it. One record is one line, so a big file
+    is split among tasks; ``multi_line`` reads records whose quoted values have line breaks, and then
+    a file is one task's. ``malformed`` adds the column ``MALFORMED``: the text of records with too
+    few or too many values, or with one that cannot be read as its type; else null.
     """
-    reader = spark.read.options(header=True, sep=sep, escape='"', timestampNTZFormat=TIMESTAMP_FORMAT)
+    reader = spark.read.options(header=True, sep=sep, escape='"', timestampNTZFormat=TIMESTAMP_FORMAT, multiLine=multi_line)
+    if malformed:
+        schema = schema or reader.csv(path).schema
+        schema = StructType([*schema.fields, StructField(MALFORMED, StringType())])
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
@@ -36,14 +48,17 @@ def read_csv_inferred(
 
 
 def read_json_records(
-    spark: SparkSession, path: str, schema: StructType, whole_file: bool = False
+    spark: SparkSession, path: str, schema: StructType, whole_file: bool = False, malformed: bool = False
 ) -> DataFrame:
     """Records of landed payloads, one row per object.
 
     A payload is an object or an array of objects, one per line. ``whole_file`` reads each
-    file as one payload that may span lines; such a file cannot be split among tasks.
+    file as one payload that may span lines; such a file cannot be split among tasks. ``malformed``
+    adds the column ``MALFORMED``: the text of a payload that cannot be read; else null.
     """
-    reader = spark.read.schema(schema).option("timestampNTZFormat", TIMESTAMP_FORMAT)
+    if malformed:
+        schema = StructType([*schema.fields, StructField(MALFORMED, StringType())])
+    reader = spark.read.schema(schema).options(mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED).option("timestampNTZFormat", TIMESTAMP_FORMAT)
     return reader.json(path, multiLine=whole_file)
 
 

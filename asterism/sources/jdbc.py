@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def jdbc_options(
@@ -21,6 +20,14 @@ def jdbc_options(
     return {"dbtable": f"({query}) data", "fetchsize": str(fetch_size)}
 
 
+def range_query(dbtable: str, column: str) -> str:
+    """A query for the least and greatest value of a column, which the database computes itself.
+
+    Spark hands filters and columns down to this kind of source, but no aggregates.
+    """
+    return f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {dbtable}) bounds"
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -41,7 +48,7 @@ def read_jdbc(
     reader = spark.read.format("jdbc").option("url", url).options(**options)
     if partition_col is None or n == 1:
         return reader.load()
-    low, high = reader.load().agg(F.min(partition_col), F.max(partition_col)).first()
+    low, high = reader.option("dbtable", range_query(options["dbtable"], partition_col)).load().first()
     if low is None:
         return reader.load()
     return reader.options(

@@ -71,11 +71,17 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def parses_text(df: DataFrame) -> bool:
+    """Whether a plan reads files whose rows have to be parsed, whatever columns are wanted."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return any(f"Format: {kind}" in plan for kind in ("CSV", "JSON", "Text", "XML"))
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 __all__ = [
     "AlreadyThere", "broadcast_limit", "create_text", "delete", "estimated_bytes", "exists", "make_folder",
-    "names", "read_text",
+    "names", "parses_text", "read_text",
 ]

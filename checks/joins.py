@@ -9,7 +9,7 @@ from asterism.plans import calendar
 from asterism.sources import catalog_columns, scan_tables
 
 from .registry import Tables, check
-from .sources import EIGHT, row_count
+from .sources import ALL, row_count
 
 
 def days(t: Tables):
@@ -145,6 +145,12 @@ COLUMNS = {
     "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
                   ("n_chars", "bigint")],
     "pages": [("page_id", "bigint"), ("url", "string"), ("html", "string")],
+    "region": [("r_regionkey", "int"), ("r_name", "string")],
+    "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
+    "benchmark": [("item_id", "bigint"), ("text", "string")],
+    "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
+    "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
+    "embeddings": [("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int")],
 }
 
 
@@ -159,7 +165,7 @@ COLUMNS = {
 )
 def catalog_inner(t: Tables):
     """The list of tables, with their row counts, and the list of columns."""
-    tables = {name: getattr(t, name) for name in EIGHT}
+    tables = {name: getattr(t, name) for name in ALL}
     return scan_tables(tables, row_count).join(catalog_columns(tables), "table_name")
 
 

@@ -7,9 +7,10 @@ from asterism.session import scratch_path
 
 from .joins import COLUMNS
 from .registry import Tables, check
-from .sources import EIGHT
+from .sources import ALL
 
 NUMERIC = ("bigint", "int", "double")
+ARRAY = "'array'"
 PROFILED = ["customer", "orders", "events"]
 
 
@@ -85,13 +86,16 @@ def negatives(t: Tables):
 @check(
     "prf_4_sample",
     " UNION ALL ".join(
-        f"SELECT '{table}' AS table_name, '{column}' AS column_name, value FROM ({samples_sql(table, column)})"
-        for table, _, column, _ in all_columns(EIGHT)
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, {ARRAY if column == 'embedding' else 'value'} AS value "
+        f"FROM ({samples_sql(table, column)})"
+        for table, _, column, _ in all_columns(ALL)
     ),
 )
 def sample(t: Tables):
-    profiles = ops.profile_all({name: getattr(t, name) for name in EIGHT})
-    return profiles.select("table_name", "column_name", F.explode("sample_data").alias("value"))
+    profiles = ops.profile_all({name: getattr(t, name) for name in ALL})
+    # Engines print floats differently, so of arrays only the number of samples is compared.
+    value = F.when(F.col("column_name") == "embedding", F.lit("array")).otherwise(F.col("value"))
+    return profiles.select("table_name", "column_name", F.explode("sample_data").alias("value")).withColumn("value", value)
 
 
 DOCUMENT_SQL = " UNION ALL ".join(
@@ -165,7 +169,7 @@ def persist_profile(t: Tables):
     ),
 )
 def profile_catalog(t: Tables):
-    profiles = ops.profile_all({name: getattr(t, name) for name in EIGHT}, sample_size=0)
+    profiles = ops.profile_all({name: getattr(t, name) for name in ALL}, sample_size=0)
     return profiles.groupBy("table_name", "n_rows").agg(
         F.count(F.lit(1)).cast("int").alias("n_cols"), F.sum("not_null_count").alias("filled")
     )

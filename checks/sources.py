@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from asterism import sources
 from asterism.session import scratch_path
 from asterism.sinks import write_csv
-from asterism.sources.files import TIMESTAMP_FORMAT
+from asterism.sources.files import MALFORMED, TIMESTAMP_FORMAT
 
 from .registry import Tables, check
 
@@ -57,6 +57,40 @@ def csv_delimited(t: Tables):
     return sources.read_csv_raw(t.spark, path, sep=";")
 
 
+@check(
+    "src_4_csv_malformed",
+    """SELECT CASE WHEN c_custkey % 10 > 2 THEN c_custkey END AS c_custkey, CASE WHEN c_custkey % 10 > 2 THEN c_acctbal END AS c_acctbal,
+    CASE c_custkey % 10 WHEN 0 THEN c_custkey || ';much' WHEN 1 THEN CAST(c_custkey AS VARCHAR) WHEN 2 THEN c_custkey || ';1;2' END
+      AS malformed FROM customer""",
+)
+def csv_malformed(t: Tables):
+    """Records with an unreadable value, a value too few and one too many keep their text."""
+    key, kind = F.col("c_custkey").cast("string"), F.col("c_custkey") % 10
+    line = F.when(kind == 0, F.concat(key, F.lit(";much"))).when(kind == 1, key).when(kind == 2, F.concat(key, F.lit(";1;2")))
+    line = line.otherwise(F.concat(key, F.lit(";"), F.col("c_acctbal").cast("string")))
+    path = scratch_path(t.spark, "malformed-csv")
+    t.customer.select(line.alias("c_custkey;c_acctbal")).write.options(header=True, quote="\u0000").csv(path)
+    schema = t.customer.select("c_custkey", "c_acctbal").schema
+    rows = sources.read_csv_raw(t.spark, path, ";", schema, malformed=True)
+    whole = F.col(MALFORMED).isNull()
+    return rows.select(*[F.when(whole, F.col(c)).alias(c) for c in schema.names], F.col(MALFORMED).alias("malformed"))
+
+
+@check(
+    "src_7_json_malformed",
+    "SELECT CASE WHEN event_id % 7 > 0 THEN event_id END AS event_id, event_id % 7 = 0 AS malformed FROM events",
+)
+def json_malformed(t: Tables):
+    """Every seventh payload breaks off."""
+    record = F.to_json(F.struct("event_id", "event_type"))
+    line = F.when(F.col("event_id") % 7 == 0, F.substring(record, 1, 15)).otherwise(record)
+    path = scratch_path(t.spark, "malformed-json")
+    t.events.select(line).write.text(path)
+    schema = t.events.select("event_id", "event_type").schema
+    rows = sources.read_json_records(t.spark, path, schema, malformed=True)
+    return rows.select("event_id", F.col(MALFORMED).isNotNull().alias("malformed"), "event_type").drop("event_type")
+
+
 @check(
     "src_6_csv_inferred",
     """SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
@@ -84,9 +118,9 @@ def api_date_range(t: Tables):
     return sources.date_range(t.events, "ts", "2024-01-05", "2024-01-11")
 
 
-@check("src_9_multi_table_scan", counts_sql(EIGHT))
+@check("src_9_multi_table_scan", counts_sql(ALL))
 def multi_table_scan(t: Tables):
-    return sources.scan_tables({name: getattr(t, name) for name in EIGHT}, row_count)
+    return sources.scan_tables({name: getattr(t, name) for name in ALL}, row_count)
 
 
 @check("src_10_catalog_tables", counts_sql(ALL))

@@ -176,6 +176,25 @@ def stage_json(t: Tables):
     return staged.select("conv_id", "turn", "message.role", "message.text")
 
 
+@check(
+    "stg_2_invalid",
+    """SELECT CASE WHEN turn = 0 THEN 'not_null(turn)' ELSE 'well_formed' END AS rule, count(*) AS row_count FROM conversations
+    WHERE turn = 0 OR conv_id % 5 = 0 GROUP BY 1""",
+)
+def staged_invalid(t: Tables):
+    """Payloads without a key and payloads that break off are rejected, not staged under a null key."""
+    turn = F.when(F.col("turn") != 0, F.col("turn")).alias("turn")
+    record = F.to_json(F.struct("conv_id", turn, "text"))
+    broken = (F.col("conv_id") % 5 == 0) & (F.col("turn") != 0)
+    payload, landing = scratch_path(t.spark, "payload"), scratch_path(t.spark, "landing")
+    t.conversations.select(F.when(broken, F.substring(record, 1, 9)).otherwise(record)).write.text(payload)
+    schema = t.conversations.select("conv_id", "turn", "text").schema
+    plans.stage_json(t.spark, payload, schema, landing, scratch_path(t.spark, "staging"), ["conv_id", "turn"], "2024-02-01")
+    rejected = sinks.read_increment(t.spark, f"{landing}_invalid", "2024-02-01")
+    first = rejected.select(F.element_at("violations", 1).alias("rule"))
+    return first.groupBy("rule").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @check(
     "stg_3_stage_csv",
     """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey,

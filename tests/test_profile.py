@@ -93,3 +93,26 @@ def test_documents_are_kept_as_json(spark, tmp_path):
         "is_negative_values": False,
     }
     assert row.created_at is not None
+
+
+def test_text_files_are_parsed_once(spark, tmp_path, monkeypatch):
+    from asterism.operators import profile as module
+
+    (tmp_path / "a.csv").write_text("id,note\n1,x\n2,\n3,y\n")
+    df = spark.read.option("header", True).csv(str(tmp_path / "a.csv"))
+    written = []
+    materialize = module.materialize
+    monkeypatch.setattr(module, "materialize", lambda rows, label: written.append(label) or materialize(rows, label))
+    found = {r.column_name: r for r in module.profile(df, "t").collect()}
+    assert written == ["profiled"] and found["note"].sample_data == ["x", "y"] and found["note"].not_null_count == 2
+    module.profile(spark.range(5), "t").collect()
+    assert written == ["profiled"]
+
+
+def test_one_failing_table_leaves_the_others(spark, tmp_path):
+    from asterism.operators import persist_profiles
+
+    broken = spark.range(3).selectExpr("raise_error('no such disk') AS x")
+    failed = persist_profiles({"good": spark.range(3).toDF("x"), "broken": broken, "other": spark.range(2).toDF("y")}, str(tmp_path / "p"), "me")
+    assert list(failed) == ["broken"] and "no such disk" in failed["broken"]
+    assert {r.table_name for r in spark.read.parquet(str(tmp_path / "p")).collect()} == {"good", "other"}

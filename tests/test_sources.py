@@ -111,9 +111,6 @@ class Reader:
     def load(self):
         return self
 
-    def agg(self, *_):
-        return self
-
     def first(self):
         return self.bounds
 
@@ -127,3 +124,15 @@ def test_jdbc_strides_cover_the_range(spark, bounds, parts):
     assert read.given["dbtable"] == "(SELECT * FROM funds) data" and read.given["user"] == "u"
     assert read.given.get("numPartitions") == parts
     assert read.given.get("lowerBound") == ("1" if parts else None) and read.given.get("upperBound") == ("900" if parts else None)
+
+
+def test_range_is_computed_by_the_database():
+    assert sources.jdbc.range_query("(SELECT * FROM t) data", "id") == (
+        "(SELECT MIN(id) AS low, MAX(id) AS high FROM (SELECT * FROM t) data) bounds"
+    )
+
+
+def test_csv_records_over_several_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,note\n1,"two\nlines"\n2,one\n')
+    found = sources.read_csv_raw(spark, str(tmp_path), multi_line=True, malformed=True)
+    assert [(r.id, r.note, r._malformed) for r in found.collect()] == [("1", "two\nlines", None), ("2", "one", None)]
