@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import storage
 from ..functions.casting import parse_date
 
-HOT_KEYS = 10_000
-SPREAD = 1 << 20
+#: A key is frequent if it has this share of what a partition gets when all get the same.
+FREQUENT = 0.5
+#: Keys that may be counted as frequent, and items that the sketch which finds them keeps.
+MOST_FREQUENT = 5_000
+TRACKED = 100_000
 
 
 def _fits_broadcast(df: DataFrame) -> bool:
@@ -19,58 +22,64 @@ def _fits_broadcast(df: DataFrame) -> bool:
     return storage.estimated_bytes(df) <= storage.broadcast_limit(df.sparkSession)
 
 
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def frequent_keys(df: DataFrame, on: list[str], parts: int) -> list[tuple[int, int]]:
+    """Hashes of the keys that are too frequent for one of ``parts`` partitions, and into how many
+    pieces each is to be cut. Rows without a key have the hash of null.
+
+    One pass with a sketch of bounded size, which tasks merge: no key is shuffled. Its counts may be
+    too large, which costs a few pieces too many, and never too small for a frequent key.
+    """
+    keyless = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in on])
+    hashed = df.select(F.when(~keyless, F.xxhash64(*on)).alias("k"))
+    most = min(MOST_FREQUENT, max(16, int(2 * parts / FREQUENT)))
+    row = hashed.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {most}, {max(TRACKED, 4 * most)})").alias("top")).first()
+    fair = max(1.0, row["n"] / parts)
+    return [(item["item"], int(-(-item["count"] // fair)) + 1) for item in row["top"] or [] if item["count"] > FREQUENT * fair]
+
+
 def left_lookup(
     df: DataFrame,
     dim: DataFrame,
     on: str | list[str],
     counted: DataFrame | None = None,
-    hot_keys: int = HOT_KEYS,
     small: bool | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
-    """``df`` with the columns of ``dim``, which has one row per key, or nulls.
-
-    A dimension that Spark can broadcast is joined as it is. For a larger one, keys with
-    very many rows must not meet in one task:
+    """``df`` with the columns of ``dim``, which must have one row per key, or nulls.
 
-    - the rows of ``dim`` for the ``hot_keys`` most frequent keys of ``df`` are broadcast;
-      there are never more of them than that, whatever the size of the data;
-    - all other rows are joined by a shuffle on the key, in which rows that have been
-      served already, or have no key, are spread by their hash in place of the key.
+    A dimension that Spark can broadcast is joined as it is, and so is a larger one if no key of
+    ``df`` is frequent. Rows of frequent keys must not meet in one task: they are cut into pieces by a
+    salt, and ``dim`` has its row of such a key once for each piece, which makes a few rows for
+    each partition. Nothing is broadcast for that but the salts.
 
     Keys are counted in ``counted`` if given: where ``df`` is itself a join, the table it
     started from has the same keys and need not be joined again. ``small`` overrides the
-    size check.
+    size check, ``parts`` the number of shuffle partitions.
     """
     on = [on] if isinstance(on, str) else on
     taken = [name for name in dim.columns if name not in on]
     if _fits_broadcast(dim) if small is None else small:
         return df.join(dim, on, "left")
+    spark = df.sparkSession
+    frequent = frequent_keys(df if counted is None else counted, on, parts or _partitions(spark))
+    if not frequent:
+        return df.join(dim, on, "left").select(*df.columns, *taken)
 
-    frequent = (df if counted is None else counted).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    frequent = frequent.orderBy(F.desc("_n")).limit(hot_keys).select(*on)
-    hot = dim.join(F.broadcast(frequent), on, "left_semi").select(
-        *on, F.struct(F.lit(True).alias("_is"), *taken).alias("_hot")
-    )
+    # At most MOST_FREQUENT rows of two numbers.
+    pieces = F.broadcast(spark.createDataFrame(frequent, "_hash long, _pieces int"))
     keyless = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in on])
     hashed = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    settled = keyless | F.col("_hot").isNotNull()
-    left = df.join(F.broadcast(hot), on, "left").withColumn(
-        "_spread",
-        F.when(settled, F.pmod(F.xxhash64(*hashed), F.lit(SPREAD)) + 1).otherwise(F.lit(0)),
-    )
-    # Always 0, but not a constant: with one, Catalyst would drop it from the join keys.
-    zero = F.pmod(F.xxhash64(*on), F.lit(1)).cast("long")
-    right = dim.select(*on, zero.alias("_spread"), F.struct(*taken).alias("_cold"))
-    joined = left.join(right, [*on, "_spread"], "left")
-    return joined.select(
-        *df.columns,
-        *[
-            F.when(F.col("_hot").isNotNull(), F.col(f"_hot.{name}"))
-            .otherwise(F.col(f"_cold.{name}"))
-            .alias(name)
-            for name in taken
-        ],
-    )
+    left = df.withColumn("_key", F.when(~keyless, F.xxhash64(*on)))
+    left = left.join(pieces, F.col("_key").eqNullSafe(F.col("_hash")), "left")
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.coalesce(F.col("_pieces"), F.lit(1)).cast("long")))
+    right = dim.withColumn("_key", F.xxhash64(*on)).join(pieces, F.col("_key") == F.col("_hash"), "left")
+    salts = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_pieces"), F.lit(1)).cast("long") - 1)
+    right = right.select(*on, *taken, F.explode(salts).alias("_salt"))
+    return left.join(right, [*on, "_salt"], "left").select(*df.columns, *taken)
 
 
 def lookup_key(

@@ -88,7 +88,7 @@ def round_join(t: Tables):
 def round_join_hot_keys(t: Tables):
     """The way for dimensions too large to be broadcast, with frequent keys set apart."""
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
-    return ops.left_lookup(rows, rounds(t), "l_orderkey", small=False, hot_keys=100)
+    return ops.left_lookup(rows, rounds(t), "l_orderkey", small=False, parts=2_000)
 
 
 @check(

@@ -15,12 +15,12 @@ def skewed(spark):
     return spark.range(9000).select(n.alias("row"), key.cast("bigint").alias("k"), (n % 10).alias("v"))
 
 
-@pytest.mark.parametrize("hot_keys", [1, 50])
-def test_lookup_with_hot_keys_equals_plain_join(spark, skewed, hot_keys):
+@pytest.mark.parametrize("parts", [2, 8, 2000])
+def test_lookup_with_hot_keys_equals_plain_join(spark, skewed, parts):
     dim = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("sk"), F.lit("x").alias("name"))
     dim = dim.withColumn("name", F.when(F.col("k") != 7, F.col("name")))
     plain = ops.left_lookup(skewed, dim, "k", small=True)
-    split = ops.left_lookup(skewed, dim, "k", small=False, hot_keys=hot_keys)
+    split = ops.left_lookup(skewed, dim, "k", small=False, parts=parts)
     names = ["row", "k", "v", "sk", "name"]
     assert split.select(names).exceptAll(plain.select(names)).isEmpty()
     assert plain.select(names).exceptAll(split.select(names)).isEmpty()
@@ -35,7 +35,7 @@ def test_lookup_spreads_hot_and_missing_keys(spark, skewed):
     for key, value in conf.items():
         spark.conf.set(key, value)
     try:
-        joined = ops.left_lookup(skewed, dim, "k", small=False, hot_keys=1)
+        joined = ops.left_lookup(skewed, dim, "k", small=False)
         sizes = [row[1] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         for key, value in before.items():
@@ -43,6 +43,20 @@ def test_lookup_spreads_hot_and_missing_keys(spark, skewed):
     assert sum(sizes) == 9000 and max(sizes) < 3000
 
 
+def test_frequent_keys(spark, skewed):
+    found = ops.frequent_keys(skewed, ["k"], 8)
+    hot = spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]
+    assert {key for key, _ in found} == {hot, None} and all(pieces >= 2 for _, pieces in found)
+    even = spark.range(9000).select(F.col("id").alias("k"))
+    assert ops.frequent_keys(even, ["k"], 8) == [] and ops.frequent_keys(even.limit(0), ["k"], 8) == []
+
+
+def test_lookup_without_skew_is_a_plain_join(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"))
+    dim = df.withColumn("sk", F.col("k") * 2)
+    assert "_salt" not in ops.left_lookup(df, dim, "k", small=False)._jdf.queryExecution().toString()
+
+
 def test_lookup_on_two_columns(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "b")], "x int, y string")
     dim = spark.createDataFrame([(1, "a", 10), (2, "c", 20)], "x int, y string, sk int")
