@@ -12,6 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A column's name as SQL writes it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 

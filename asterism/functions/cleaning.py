@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
+from .casting import quoted
+
 NEWLINE = "\n"
 ANY_LINE_BREAK = "\r\n|\r|\n"
 
@@ -21,9 +23,9 @@ def clean_newlines(df: DataFrame, pattern: str = NEWLINE) -> DataFrame:
     """Replace line breaks by a space in every top-level string column."""
     return df.select(
         [
-            _blanked(F.col(f"`{field.name}`"), pattern).alias(field.name)
+            _blanked(F.col(quoted(field.name)), pattern).alias(field.name)
             if isinstance(field.dataType, StringType)
-            else F.col(f"`{field.name}`")
+            else F.col(quoted(field.name))
             for field in df.schema.fields
         ]
     )
@@ -59,7 +61,7 @@ def clean_newlines_nested(df: DataFrame, pattern: str = NEWLINE) -> DataFrame:
     """As ``clean_newlines``, also inside structs, arrays and map values; map keys stay."""
     return df.select(
         [
-            _cleaned(F.col(f"`{field.name}`"), field.dataType, pattern).alias(field.name)
+            _cleaned(F.col(quoted(field.name)), field.dataType, pattern).alias(field.name)
             for field in df.schema.fields
         ]
     )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, BinaryType, NumericType, StringType, StructField
 
 from .. import storage
+from ..functions.casting import quoted
 from ..functions.documents import json_doc, now, to_json_text
 from ..functions.quality import pct, quality_label
 from ..schemas import PROFILE, struct
@@ -36,7 +37,7 @@ def _simple(field: StructField) -> bool:
 
 def _value(field: StructField) -> str:
     """SQL for a column's values in an order of their own; nested and binary ones as text."""
-    return f"`{field.name}`" if _simple(field) else f"CAST(`{field.name}` AS STRING)"
+    return quoted(field.name) if _simple(field) else f"CAST({quoted(field.name)} AS STRING)"
 
 
 def _scan(df: DataFrame, fields: list[StructField], n: int) -> list[dict[str, Any]]:
@@ -96,7 +97,7 @@ def _samples(df: DataFrame, stats: list[dict[str, Any]], n: int) -> DataFrame:
 
 def sample_values(df: DataFrame, name: str, n: int = SAMPLE_SIZE) -> DataFrame:
     """The ``n`` smallest distinct values of a column, as text, in the column ``value``."""
-    one = df.select(name)
+    one = df.select(quoted(name))
     field = one.schema.fields[0]
     return _samples(one, _scan(one, [field], n), n).select(F.explode("found").alias("value"))
 

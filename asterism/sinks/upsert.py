@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.casting import parse_keys
+from ..functions.casting import parse_keys, quoted
 
 
 class DuplicateKeys(ValueError):
@@ -56,7 +56,7 @@ def aligned(source: DataFrame, schema: StructType) -> DataFrame:
         raise ValueError(f"columns not in the target: {unknown}")
     return source.select(
         [
-            F.col(f"`{name}`") if source.schema[name].dataType == schema[name].dataType else F.col(f"`{name}`").cast(schema[name].dataType).alias(name)
+            F.col(quoted(name)) if source.schema[name].dataType == schema[name].dataType else F.col(quoted(name)).cast(schema[name].dataType).alias(name)
             for name in schema.names
             if name in source.columns
         ]

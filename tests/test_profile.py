@@ -1,3 +1,5 @@
+import importlib
+
 import json
 from decimal import Decimal
 
@@ -96,7 +98,7 @@ def test_documents_are_kept_as_json(spark, tmp_path):
 
 
 def test_text_files_are_parsed_once(spark, tmp_path, monkeypatch):
-    from asterism.operators import profile as module
+    module = importlib.import_module("asterism.operators.profile")
 
     (tmp_path / "a.csv").write_text("id,note\n1,x\n2,\n3,y\n")
     df = spark.read.option("header", True).csv(str(tmp_path / "a.csv"))
@@ -116,3 +118,13 @@ def test_one_failing_table_leaves_the_others(spark, tmp_path):
     failed = persist_profiles({"good": spark.range(3).toDF("x"), "broken": broken, "other": spark.range(2).toDF("y")}, str(tmp_path / "p"), "me")
     assert list(failed) == ["broken"] and "no such disk" in failed["broken"]
     assert {r.table_name for r in spark.read.parquet(str(tmp_path / "p")).collect()} == {"good", "other"}
+
+
+def test_names_with_dots_and_backticks(spark):
+    from asterism.functions import clean_newlines
+    from asterism.operators import profile, sample_values
+
+    df = spark.createDataFrame([("a\nb", 1)], ["x.y", "z`w"])
+    assert clean_newlines(df).collect()[0][0] == "a b"
+    assert {r.column_name: r.sample_data for r in profile(df, "t").collect()} == {"x.y": ["a\nb"], "z`w": ["1"]}
+    assert sample_values(df, "z`w").collect()[0][0] == "1"
