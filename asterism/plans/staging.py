@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +15,33 @@ from ..operators.mapping import VIOLATIONS
 from ..operators.validation import NotNull, land_split
 from ..session import scratch_path, scratch_scope
 from ..sinks.files import increment_path, read_increment, write_increment
+from ..sinks.runlog import logged, rejected
 from ..sinks.tables import read_table, upsert_path
 from ..sources.files import MALFORMED, is_empty, read_csv_raw, read_json_records
 from ..sources.increments import extract_increment
 
 
 def _load(
-    cleaned: DataFrame, landing: str, path: str, keys: list[str], run_date: str | datetime.date, slice_by: str | None
+    cleaned: DataFrame, landing: str, path: str, keys: list[str], run_date: str | datetime.date, slice_by: str | None, log: str | None
 ) -> DataFrame | None:
     """Land a cleaned increment and upsert it; the landed copy is what is read again.
 
     Rows without a key, and malformed records, are landed apart in ``<landing>_invalid``, by day like the
-    others, with the rules they break.
+    others, with the rules they break. ``log`` is the path of the run log, if there is one.
     """
+    with logged(cleaned.sparkSession, log, "staging", "land and upsert", landing, path.rsplit("/", 1)[-1]) as run:
+        return _landed(cleaned, landing, path, keys, run_date, slice_by, run)
+
+
+def _landed(
+    cleaned: DataFrame,
+    landing: str,
+    path: str,
+    keys: list[str],
+    run_date: str | datetime.date,
+    slice_by: str | None,
+    run: dict[str, Any],
+) -> DataFrame | None:
     spark = cleaned.sparkSession
     rules = [NotNull(key) for key in keys]
     if MALFORMED in cleaned.columns:
@@ -34,17 +49,18 @@ def _load(
         cleaned = cleaned.withColumn(VIOLATIONS, broken)
     with scratch_scope(spark):
         valid, invalid, seen = land_split(cleaned, rules, scratch_path(spark, "staged"))
+        run |= {"n_rows": seen["n_rows"], "error_msg": rejected(seen["n_invalid"])}
         valid = valid.drop(MALFORMED)
         write_increment(valid, landing, run_date)
-        rejected = f"{landing}_invalid"
+        apart = f"{landing}_invalid"
         if seen["n_invalid"]:
             rest = [name for name in cleaned.columns if name not in (VIOLATIONS, MALFORMED)]
             row = F.to_json(F.struct(*rest))
             if MALFORMED in cleaned.columns:
                 row = F.coalesce(F.col(MALFORMED), row)
-            write_increment(invalid.select(VIOLATIONS, row.alias("row")), rejected, run_date)
+            write_increment(invalid.select(VIOLATIONS, row.alias("row")), apart, run_date)
         else:
-            storage.delete(spark, increment_path(rejected, run_date))
+            storage.delete(spark, increment_path(apart, run_date))
     landed = read_increment(spark, landing, run_date)
     if landed is None or landed.isEmpty():
         return read_table(spark, path)
@@ -60,6 +76,7 @@ def stage_table(
     ts_col: str = "created_at",
     incremental: bool = True,
     slice_by: str | None = None,
+    log: str | None = None,
 ) -> DataFrame | None:
     """Stage a table, or its rows of the day before ``run_date``.
 
@@ -69,7 +86,7 @@ def stage_table(
     rows = extract_increment(source, ts_col, run_date) if incremental else source
     if is_empty(rows):
         return None
-    return _load(clean_newlines(rows), landing, path, keys, run_date, slice_by)
+    return _load(clean_newlines(rows), landing, path, keys, run_date, slice_by, log)
 
 
 def stage_json(
@@ -82,12 +99,13 @@ def stage_json(
     run_date: str | datetime.date,
     whole_file: bool = False,
     slice_by: str | None = None,
+    log: str | None = None,
 ) -> DataFrame | None:
     """Stage the records of a landed payload; text is cleaned at every depth."""
     rows = read_json_records(spark, payload, schema, whole_file, malformed=True)
     if is_empty(rows):
         return None
-    return _load(clean_newlines_nested(rows), landing, path, keys, run_date, slice_by)
+    return _load(clean_newlines_nested(rows), landing, path, keys, run_date, slice_by, log)
 
 
 def stage_csv(
@@ -101,9 +119,10 @@ def stage_csv(
     schema: StructType | None = None,
     slice_by: str | None = None,
     multi_line: bool = False,
+    log: str | None = None,
 ) -> DataFrame | None:
     """Stage a CSV file; without a schema all columns are text."""
     rows = read_csv_raw(spark, file, sep, schema, multi_line, malformed=True)
     if is_empty(rows):
         return None
-    return _load(rows, landing, path, keys, run_date, slice_by)
+    return _load(rows, landing, path, keys, run_date, slice_by, log)

@@ -18,7 +18,7 @@ from ..operators.mapping import VIOLATIONS, unreadable
 from ..operators.validation import Castable, ForeignKey, NotNull, Rule, land_split
 from ..schemas import SURROGATES, WAREHOUSE, WAREHOUSE_KEYS, struct
 from ..session import materialize, run_all, scratch_path, scratch_scope
-from ..sinks.runlog import logged
+from ..sinks.runlog import logged, rejected
 from ..sinks.tables import read_table, target_name, upsert_path
 from ..sources.files import all_empty
 from . import dimensions, facts
@@ -156,6 +156,7 @@ def build_warehouse(
                 reports = [found for found in reports if not found.isEmpty()]
                 seen = load_table(build(), name, root, rules, known(name), replacing and replacing(), reports)
             run["n_rows"] = seen["n_rows"]
+            run["error_msg"] = rejected(seen["n_invalid"])
 
     def dates() -> None:
         if "dim_date" in s:

@@ -25,15 +25,24 @@ def log_run(spark: SparkSession, path: str, rows: list[dict[str, Any]]) -> None:
     append(records.select(struct(RUN_LOG).names), path)
 
 
+def rejected(n_rows: int) -> str | None:
+    """What the log says about rows that a step has rejected; nothing if there are none."""
+    return f"{n_rows} rows rejected" if n_rows else None
+
+
 @contextmanager
 def logged(
-    spark: SparkSession, path: str, step: str, process: str, source: str, table_name: str
+    spark: SparkSession, path: str | None, step: str, process: str, source: str, table_name: str
 ) -> Iterator[dict[str, Any]]:
     """Log the block as a success, or as a failure with its message, which is raised again.
 
-    The block may put ``n_rows`` into the record it is given.
+    The block may put ``n_rows`` and ``error_msg`` into the record it is given. Without a path,
+    nothing is logged.
     """
     record: dict[str, Any] = dict(step=step, process=process, source=source, table_name=table_name)
+    if path is None:
+        yield record
+        return
     try:
         yield record
     except Exception as error:

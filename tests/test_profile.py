@@ -1,5 +1,4 @@
 import importlib
-
 import json
 from decimal import Decimal
 

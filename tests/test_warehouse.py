@@ -288,3 +288,14 @@ def test_staging_a_day(spark, staged, rows, tmp_path):
         found = plans.stage_table(changed, landing, path, ["fund_id"], "2008-06-19")
         assert rows(found, "fund_id", "name") == [("1", "new"), ("2", "c")]
     assert plans.stage_table(changed, landing, path, ["fund_id"], "1999-01-01") is None
+
+
+def test_staging_rejects_and_logs(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n,y\n2\n3,z,w\n")
+    landing, path, log = str(tmp_path / "landing"), str(tmp_path / "t"), str(tmp_path / "log")
+    for _ in range(2):
+        found = plans.stage_csv(spark, str(tmp_path / "a.csv"), landing, path, ["id"], "2024-02-02", log=log)
+    assert [(r.id, r.name) for r in found.collect()] == [("1", "x")]
+    invalid = spark.read.parquet(f"{landing}_invalid").collect()
+    assert sorted(r.violations[0] for r in invalid) == ["not_null(id)", "well_formed", "well_formed"]
+    assert {(r.status, r.n_rows, r.error_msg) for r in spark.read.parquet(log).collect()} == {("success", 4, "3 rows rejected")}
