@@ -34,7 +34,10 @@ LARGER = 8
 RANGE_BYTES = 1_000_000
 RANGES = 100_000
 
-_DOC = ["range", "place"]
+_PLACE = ["range", "place"]
+_DOC = [*_PLACE, "key"]
+#: The pair of rows that carry a document's numbers along with its cells.
+_FACTS = -10
 _SIZES = ["n0", "n1"]
 
 
@@ -86,7 +89,7 @@ def with_next(df: DataFrame, key: str, text: str, range_bytes: int = RANGE_BYTES
     every = rows.withColumn("guest", F.lit(False)).unionByName(guests).repartition(max(1, n // 2), "range")
     w = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("key"), F.desc("tie"))
     found = every.withColumn("next", F.lead("text").over(w)).withColumn("place", F.row_number().over(w))
-    return found.where("not guest").select("key", "text", "next", *_DOC)
+    return found.where("not guest").select("text", "next", *_DOC)
 
 
 def _cell(digest: Column, table: int, seed: int, cells: Column) -> Column:
@@ -109,16 +112,19 @@ def _sum_cells(rows: DataFrame, *on: str) -> DataFrame:
 def sketches(versions: DataFrame, seed: int = 0, scale: int = 1, least: int = LEAST_CELLS) -> DataFrame:
     """The cells ``(n, digest, check)`` of each version of each row.
 
-    ``versions`` has ``range``, ``place`` and ``versions``, an array of arrays of digests. All
-    versions of a row get tables of one size, enough for all paragraphs of any two. ``n0`` and ``n1`` are
-    the numbers of paragraphs of the first two versions.
+    ``versions`` has ``range``, ``place``, ``key``, ``versions``, an array of arrays of digests, and ``facts``,
+    an array of numbers. All versions of a row get tables of one size, enough for all paragraphs of any
+    two. ``n0`` and ``n1`` are the numbers of paragraphs of the first two versions. The facts become rows
+    of the version after the last, at the cells -10, -11 and so on, and stay as they are from step to
+    step: so nothing has to be joined to the cells in the end.
     """
-    sizes = F.transform("versions", lambda v: F.size(v))
+    sizes, facts = F.transform("versions", lambda v: F.size(v)), F.size("versions")
     most = F.get(sizes, F.lit(0)) + F.array_max(F.slice(sizes, 2, 1 << 20))
     cells = _power_of_two(most * CELLS_PER_PARAGRAPH * scale, max(least, LEAST_PRINT) * scale)
-    rows = versions.select(*_DOC, cells.alias("cells"), *[F.get(sizes, F.lit(i)).alias(f"n{i}") for i in range(2)], F.posexplode("versions").alias("version", "digests"))
-    rows = rows.select(*_DOC, "cells", *_SIZES, "version", F.explode("digests").alias("digest"))
+    rows = versions.select(*_DOC, cells.alias("cells"), *[F.get(sizes, F.lit(i)).alias(f"n{i}") for i in range(2)], facts.alias("facts"), F.posexplode(F.concat("versions", F.array("facts"))).alias("version", "digests"))
+    rows = rows.select(*_DOC, "cells", *_SIZES, F.when(F.col("version") < F.col("facts"), F.col("version")).otherwise(_FACTS).alias("version"), F.posexplode("digests").alias("at", "digest"))
     places = F.array(*[_cell(F.col("digest"), i, seed, F.col("cells")) for i in range(TABLES)])
+    places = F.when(F.col("version") >= 0, places).otherwise(F.array((_FACTS - F.col("at")).cast("long")))
     rows = rows.select(*_DOC, "cells", *_SIZES, "version", "digest", F.explode(places).alias("cell"))
     rows = rows.withColumns({"n": F.lit(1).cast("long"), "check": _check(F.col("digest"))})
     return _sum_cells(rows, "version")
@@ -140,13 +146,14 @@ def subtracted(cells: DataFrame, pairs: int = 2, printed: int = len(_SIZES)) ->
         own = F.when(version == i, F.col(f"n{i}")).otherwise(own)
     own = _power_of_two(own * CELLS_PER_PARAGRAPH, LEAST_PRINT)
     fold = side(-version - 1, 1, F.floor(cell / TABLES).bitwiseAND(own - 1) * TABLES + cell % TABLES)
-    lists = F.when(version == 0, F.array(*[side(F.lit(i), 1, cell) for i in range(1, pairs + 1)], fold))
+    lists = F.when(version == _FACTS, F.array(side(version, 1, cell)))
+    lists = lists.when(version == 0, F.array(*[side(F.lit(i), 1, cell) for i in range(1, pairs + 1)], fold))
     lists = lists.when(version < printed, F.array(side(version, -1, cell), fold)).otherwise(F.array(side(version, -1, cell)))
     rows = cells.withColumn("side", F.explode(lists)).select(
         *_DOC, "cells", *_SIZES, "side.cell", "side.pair", (F.col("n") * F.col("side.sign")).alias("n"), "digest", "check"
     )
     rows = _sum_cells(rows, "pair").where("n <> 0 or digest <> 0 or check <> 0")
-    is_print = F.col("pair") < 0
+    is_print = (F.col("pair") < 0) & (F.col("pair") != _FACTS)
     halves = [F.xxhash64(F.lit(i), "cell", "n", "digest", "check") for i in range(2)]
     return rows.select(
         *_DOC, "cells", *_SIZES, "pair", F.when(is_print, F.lit(-1).cast("long")).otherwise(cell).alias("cell"),
@@ -158,7 +165,7 @@ def subtracted(cells: DataFrame, pairs: int = 2, printed: int = len(_SIZES)) ->
 
 def peeled(cells: DataFrame, seed: int = 0, rounds: int = ROUNDS) -> DataFrame:
     """A row per document: how many digests each pair's cells give back (``d1``, ``d2``), how many
-    cells stay (``s1``, ``s2``), and the prints (``p1``, ``p2``).
+    cells stay (``s1``, ``s2``), the prints (``p1``, ``p2``), and the facts (``f0`` ... ``f7``).
 
     Each step reads the cells of one table, where a digest stands once at most, so no digest is
     read twice. Digests that were read are counted in the cell -1.
@@ -181,6 +188,7 @@ def peeled(cells: DataFrame, seed: int = 0, rounds: int = ROUNDS) -> DataFrame:
     found = [F.coalesce(F.sum(F.when((pair == i) & settled, F.col("n"))), zero).alias(f"d{i}") for i in (1, 2)]
     found += [F.count(F.when((pair == i) & ~settled, 1)).alias(f"s{i}") for i in (1, 2)]
     found += [F.max(F.when(pair == -i, text)).alias(f"p{i}") for i in (1, 2)]
+    found += [F.max(F.when((pair == _FACTS) & (F.col("cell") == _FACTS - i), F.col("digest"))).alias(f"f{i}") for i in range(8)]
     return cells.groupBy(*_DOC).agg(*found)
 
 
@@ -204,32 +212,28 @@ def fingerprinted(df: DataFrame, key: str = "doc_id", text: str = "text", range_
         half = F.floor(length / 2).cast("int")
         edited = F.concat(F.substring(F.col("text"), F.lit(1), (length - half).cast("int")), F.substring(F.col("next"), F.lit(1), half))
         found = found.withColumns({"n_chars": length, "edited": edited})
-        return found.select(
-            *_DOC, "key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-            F.array(*[paragraph_digests(F.col(name)) for name in ("text", "edited", "next")]).alias("versions"),
-        )
+        digests = F.array(*[paragraph_digests(F.col(name)) for name in ("text", "edited", "next")])
+        found = found.select(*_DOC, "n_chars", F.sha2("edited", 256).alias("sha"), digests.alias("versions"))
+        words = [F.conv(F.substring("sha", 16 * i + 1, 16), 16, -10).cast("long") for i in range(4)]
+        sizes = [F.size(F.get("versions", F.lit(i))).cast("long") for i in range(3)]
+        return found.select(*_DOC, "versions", F.array("n_chars", *words, *sizes).alias("facts"))
 
     def compared(found: DataFrame, seed: int, scale: int) -> DataFrame:
-        return peeled(subtracted(sketches(found.select(*_DOC, "versions"), seed, scale, least)), seed)
-
-    base = rows()
-    sizes = [F.size(F.get("versions", F.lit(i))).cast("long").alias(f"n{i}") for i in range(3)]
-    found = base.select(*_DOC, "key", "n_chars", "edited_sha256", *sizes)
-    found = materialize(found.join(compared(base, 0, 1), _DOC, "left"), "fingerprints")
-    is_stuck = "s1 > 0 or s2 > 0"
-    parts, stuck, seed = [found.where(f"not coalesce({is_stuck}, false)")], found.where(is_stuck), 0
-    while stuck.limit(1).count():
+        return materialize(peeled(subtracted(sketches(found, seed, scale, least)), seed), "fingerprints")
+
+    found, seed, parts = compared(rows(), 0, 1), 0, []
+    while True:
+        parts.append(found.where("s1 = 0 and s2 = 0"))
+        stuck = found.where("s1 > 0 or s2 > 0").select(*_PLACE)
+        if not stuck.limit(1).count():
+            break
         seed += 1
-        again = compared(rows().join(stuck.select(*_DOC), _DOC, "left_semi"), seed, LARGER**seed)
-        both = stuck.drop("d1", "d2", "s1", "s2").join(again.drop("p1", "p2"), _DOC, "left")
-        both = materialize(both.select(*found.columns), "fingerprints-larger")
-        parts.append(both.where(f"not coalesce({is_stuck}, false)"))
-        stuck = both.where(is_stuck)
+        found = compared(rows().join(stuck, _PLACE, "left_semi"), seed, LARGER**seed)
     every = reduce(lambda a, b: a.unionByName(b), parts)
     empty = F.lit("0" * 32)
-    d1, d2 = (F.coalesce(F.col(name), F.lit(0)) for name in ("d1", "d2"))
+    sha = F.lower(F.concat(*[F.lpad(F.hex(f"f{i}"), 16, "0") for i in range(1, 5)]))
     return every.select(
-        F.col("key").alias(key), "n_chars", "edited_sha256",
+        F.col("key").alias(key), F.col("f0").alias("n_chars"), sha.alias("edited_sha256"),
         F.coalesce("p1", empty).alias("fingerprint"), F.coalesce("p2", empty).alias("edited_fingerprint"),
-        _likeness(F.col("n0"), F.col("n1"), d1).alias("near_edited"), _likeness(F.col("n0"), F.col("n2"), d2).alias("near_next"),
+        _likeness(F.col("f5"), F.col("f6"), F.col("d1")).alias("near_edited"), _likeness(F.col("f5"), F.col("f7"), F.col("d2")).alias("near_next"),
     )

@@ -58,7 +58,7 @@ def test_fingerprints_grow_until_they_peel(spark):
     few = fingerprints.fingerprinted(docs, least=1, range_bytes=3000)
     assert by_id(few, "near_edited", "near_next") == by_id(fingerprints.fingerprinted(docs), "near_edited", "near_next")
     versions = fingerprints.with_next(docs, "doc_id", "text")
-    versions = versions.select("range", "place", F.array(*[fingerprints.paragraph_digests(F.col(c)) for c in ("text", "next", "next")]).alias("versions"))
+    versions = versions.select("range", "place", "key", F.array(F.lit(0).cast("long")).alias("facts"), F.array(*[fingerprints.paragraph_digests(F.col(c)) for c in ("text", "next", "next")]).alias("versions"))
     tight = versions.withColumn("versions", F.expr("transform(versions, v -> slice(v, 1, 12))"))
     cells = fingerprints.subtracted(fingerprints.sketches(tight, least=1, scale=1))
     assert fingerprints.peeled(cells, rounds=1).agg(F.sum("s1")).first()[0] >= 0
