@@ -4,7 +4,9 @@ Words (letters and digits, A-Z in lower case) are hashed to a fixed number of te
 into passages. A randomised singular value decomposition of the passages' TF-IDF matrix ``A`` takes
 two passes over all documents: document frequencies, then ``Aᵀ(AΩ)`` for a random ``Ω``, which tasks sum
 by themselves before the sums are shuffled. Passages are compared in the space of the leading
-singular vectors, each scaled to unit variance, by their cosine to the passages of the benchmark.
+singular vectors, each scaled to unit variance, by their cosine to the passages of the benchmark. These
+vectors say little about rare words, so what is close there must also be close in a random projection
+of the TF-IDF weights.
 
 A third pass forms overlapping windows of each document from sums of blocks of words, multiplies them
 with the benchmark's vectors, and checks what is close enough word by word: an item is found where
@@ -31,8 +33,11 @@ OVERSAMPLED = 16
 #: Words of a block, and blocks of a passage; windows move on by a block.
 BLOCK = 8
 BLOCKS = 3
-#: Cosine from which a window is checked.
+#: Columns of the random projection, and cosines in the latent space and in the projection from
+#: which a window is checked.
+SPREAD = 64
 CLOSE = 0.5
+CLOSE_WORDS = 0.45
 #: Share of an item's words in the common subsequence: from where it is found with its answer, and
 #: from where it is found without.
 PARAPHRASED = 0.6
@@ -163,9 +168,10 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def latent_space(docs: DataFrame) -> np.ndarray:
-    """The matrix that takes the terms of a passage of ``docs`` (``raw``) into the latent space.
+    """The matrix that takes the terms of a passage of ``docs`` (``raw``) into the latent space, and, in its
+    last ``SPREAD`` columns, to a random projection of their TF-IDF weights.
 
-    Its size is fixed: ``TERMS`` rows, ``RANK`` columns. TF-IDF weights are part of it.
+    Its size is fixed: ``TERMS`` rows, ``RANK + SPREAD`` columns. TF-IDF weights are part of it.
     """
     weights = inverse_frequencies(docs)
     parts = docs.select("raw").mapInArrow(_sketch(weights), "term long, part binary")
@@ -179,7 +185,8 @@ def latent_space(docs: DataFrame) -> np.ndarray:
     held = values > 1e-9 * max(values.max(), 1e-12)
     left, sizes, _ = np.linalg.svd(y @ (vectors[:, held] / np.sqrt(values[held])), full_matrices=False)
     rank = min(RANK, int((sizes > 1e-9 * max(sizes.max(initial=0), 1e-12)).sum()))
-    return (weights[:, None] * left[:, :rank] / sizes[:rank]).astype(np.float32)
+    latent = weights[:, None] * left[:, :rank] / sizes[:rank]
+    return np.hstack([latent, weights[:, None] * _random_matrix()[:, :SPREAD]]).astype(np.float32)
 
 
 def common_subsequence(masks: dict[bytes, int], size: int, words: list[bytes]) -> int:
@@ -209,7 +216,7 @@ class Queries:
 
     ids: list[int]
     words: list[list[bytes]]
-    vectors: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+    vectors: dict[int, tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]] = field(default_factory=dict)
 
     @classmethod
     def of(cls, items: list[tuple[int, bytes]], space: np.ndarray) -> Queries:
@@ -225,7 +232,7 @@ class Queries:
             starts = sorted({*range(0, max(1, len(words) - size + 1), BLOCK), max(0, len(words) - size)})
             by_size[blocks] += [(at, rows[a : a + size].sum(axis=0)) for a in starts]
         for blocks, found in by_size.items():
-            made.vectors[blocks] = np.array([at for at, _ in found]), _unit(np.array([v for _, v in found]))
+            made.vectors[blocks] = np.array([at for at, _ in found]), _halves(np.array([v for _, v in found]))
         return made
 
 
@@ -233,6 +240,11 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return (rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
+def _halves(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors in the latent space, and in the projection."""
+    return _unit(rows[:, :-SPREAD]), _unit(rows[:, -SPREAD:])
+
+
 def _search(space: np.ndarray, queries: Queries):
     names = ["doc", "item_id", "cosine", "lcs_share", "answer_share", "first_word"]
 
@@ -252,10 +264,11 @@ def _search(space: np.ndarray, queries: Queries):
                     for i in range(1, blocks):
                         more = np.flatnonzero(text[i:] == text[: len(text) - i])
                         windows[more] += sums[more + i]
-                    windows = _unit(windows)
+                    latent, spread = _halves(windows)
                     for a in range(0, len(windows), 2048):
-                        cosines = (windows[a : a + 2048] @ vectors.T).ravel()
-                        for i in np.flatnonzero(cosines >= CLOSE).tolist():
+                        cosines = (latent[a : a + 2048] @ vectors[0].T).ravel()
+                        alike = (spread[a : a + 2048] @ vectors[1].T).ravel()
+                        for i in np.flatnonzero((cosines >= CLOSE) & (alike >= CLOSE_WORDS)).tolist():
                             w, q = a + i // len(items), i % len(items)
                             near[int(text[w]), int(items[q])].append((float(cosines[i]), int(block[w]), blocks))
                 raw = data.tobytes()
