@@ -101,10 +101,12 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts, passages = np.zeros(TERMS, np.int64), 0
     for batch in batches:
         for *_, terms, base in _read(batch.column("raw").to_pylist()):
-            first, _ = _cut(base, BLOCK * BLOCKS)
-            of_word = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(terms))))
-            counts += np.bincount(np.unique(of_word * TERMS + terms) % TERMS, minlength=TERMS)
-            passages += len(first)
+            rows = _rows_of(terms, _cut(base, BLOCK * BLOCKS)[0], BLOCK * BLOCKS).astype(np.uint16)
+            rows.sort(axis=1)
+            new = np.ones(rows.shape, bool)
+            new[:, 1:] = rows[:, 1:] != rows[:, :-1]
+            counts += np.bincount(rows[new], minlength=TERMS + 1)[:TERMS]
+            passages += len(rows)
     seen = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(counts[seen], passages))], ["term", "n"])
 
