@@ -112,6 +112,32 @@ def test_lines_find_every_pair(spark, edits):
     assert got == {frozenset((a, b)) for i, a in enumerate(long) for b in long[:i] if _distance(a, b) <= edits}
 
 
+@pytest.mark.parametrize("edits, blank", [(1, " "), (2, "é"), (2, " ")])
+def test_lines_find_every_pair_of_long_lines(spark, edits, blank):
+    rng = random.Random(edits)
+    vocabulary = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    base = [blank.join(rng.choice(vocabulary) for _ in range(rng.randint(12, 50))) for _ in range(5)]
+    texts = set(base)
+    for _ in range(40):
+        text = rng.choice(base)
+        if rng.random() < 0.4:  # other words
+            parts = text.split(blank)
+            for at in rng.sample(range(len(parts)), rng.randint(1, 2)):
+                parts[at] = rng.choice(vocabulary)
+            texts.add(blank.join(parts))
+        else:
+            texts.add(_edited(rng, text, rng.randint(1, 10)))
+    docs = spark.createDataFrame(list(enumerate(sorted(texts))), "doc_id long, text string")
+    rows = lines.occurrences(docs)
+    names = {row["id"]: row["line"] for row in rows.collect()}
+    got = {frozenset((names[r["a"]], names[r["b"]])) for r in lines.links(rows.select("id", "line"), edits).collect()}
+    long = [t for t in sorted(texts) if len(t) >= lines.LEAST_CHARS]
+    near = [(a, b, max(edits, min(len(a), len(b)) // 32)) for i, a in enumerate(long) for b in long[:i]]
+    near = [(a, b, most, _distance(a, b)) for a, b, most in near if abs(len(a) - len(b)) <= most]
+    assert got == {frozenset((a, b)) for a, b, most, apart in near if apart <= most}
+    assert sum(edits < apart <= most for *_, most, apart in near) >= 8
+
+
 def test_substrings(odd, empty, spark):
     rows = by_id(substrings.without_repeats(odd), "n_words", "n_removed", "kept")
     kept = {row[0]: row for row in rows}
