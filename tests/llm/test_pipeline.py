@@ -61,3 +61,27 @@ def test_stages_hand_over_documents(spark, folder):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, path).columns == docs.columns, name
         assert stage(spark, docs.limit(0), path).collect() == [], name
+
+
+def test_texts_under_one_id_are_different_documents(spark):
+    rng = random.Random(5)
+    repeated, *own = [words(rng, "aeiotnsrhl", 14) for _ in range(5)]
+    texts = [(1, f"{repeated}\n{own[0]}"), (2, f"{repeated}\n{own[1]}"), (2, f"{own[2]}\n{own[3]}")]
+    texts += [(3, repeated[:-1] + "q"), (3, own[2][:-1] + "q"), (4, f"{own[3]}"), (4, own[3][:-1] + "q")]
+    rows = [(i, text, None, None, len(text)) for i, text in texts]
+    got = {(r["doc_id"], r["text"]) for r in corpus_pipeline.lines_once(spark, spark.createDataFrame(rows, KINDS), "").collect()}
+    assert got == {(1, f"{repeated}\n{own[0]}"), (2, own[1]), (2, f"{own[2]}\n{own[3]}"), (3, ""), (4, "")}
+    both = spark.createDataFrame([(5, x, None, None, len(x)) for x in (own[0], own[0][:-1] + "q")], KINDS)
+    assert sorted(len(r["text"]) for r in corpus_pipeline.lines_once(spark, both, "").collect()) == [0, len(own[0])]
+
+
+def test_a_near_copy_goes_though_its_id_has_another_text(spark):
+    rng = random.Random(6)
+    first, other = words(rng, "aeiotnsrhl", 60), words(rng, "aeiotnsrhl", 60)
+    alone = [words(rng, "aeiotnsrhl", 60) for _ in range(2)]
+    texts = [(1, first), (2, first.upper()), (2, other), (2, other.upper()), (None, other), *((None, x) for x in alone)]
+    docs = spark.createDataFrame([(i, text, None, None, len(text)) for i, text in texts], KINDS)
+    prints = [simhash.fingerprint_of(text) for _, text in texts]
+    assert prints[0] == prints[1] and prints[2] == prints[3] and (prints[0] ^ prints[2]).bit_count() > 2
+    left = [(r["doc_id"] or 0, r["text"].lower()) for r in corpus_pipeline.one_of_each(spark, docs, "").collect()]
+    assert sorted(left) == sorted([(0, alone[0]), (0, alone[1]), (1, first), (2, other)])
