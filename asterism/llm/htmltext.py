@@ -1,10 +1,12 @@
 """The main text of a web page, by the distribution of text over its lines.
 
 Markup is stripped first: block elements and line breaks end a line, inline elements do not.
-What an element marks as page furniture, and what stands in links, has no length. Lengths are
-summed over windows of lines; a surge point is where the sum passes a threshold, and a passage
-reaches from where the sum rose from zero to where it dives to zero again. The text of passages
-that have a surge is kept, in page order.
+Where article or main elements have text, all their lines but those of page furniture are kept.
+
+Elsewhere the article is found by lengths. What an element marks as page furniture, and what stands
+in links, has none. Lengths are summed over windows of lines; a surge point is where the sum passes
+a threshold, and a passage reaches from where the sum rose from zero to where it dives to zero again.
+The text of passages that have a surge is kept, in page order.
 """
 
 from __future__ import annotations
@@ -146,8 +148,7 @@ def main_text(page: str | None) -> str:
     """The main text of one page; empty if it has none."""
     rows = lines_of(page or "")
     if any(size for _, size, in_article in rows if in_article):
-        # What stands outside the article has no length either.
-        rows = [(text, size, True) if in_article else ("", 0, False) for text, size, in_article in rows]
+        return " ".join(text for text, _, in_article in rows if in_article and text)
     sizes = [size for _, size, _ in rows]
     sums = [sum(sizes[max(0, i - REACH) : i + REACH + 1]) for i in range(len(sizes))]
     passages, start = [], None
@@ -164,8 +165,8 @@ def main_text(page: str | None) -> str:
 def with_main_text(df: DataFrame, page: str = "html", out: str = "text") -> DataFrame:
     """``df`` with the main text of the column ``page``, and its code points as ``n_chars``.
 
-    Whole pages. Null and pages without text give an empty text; a page in which no window reaches
-    the threshold gives its fullest passage. Each row stands by itself: repeated rows give equal
+    Whole pages. Null and pages without text give an empty text; a page without an article element in
+    which no window reaches the threshold gives its fullest passage. Each row stands by itself: repeated rows give equal
     results, an empty table an empty one. Columns with the new names are replaced. No shuffle.
     """
     small_batches(df.sparkSession)

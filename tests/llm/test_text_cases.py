@@ -245,6 +245,17 @@ def test_html(spark, odd):
     assert htmltext.with_main_text(odd.limit(0), "text").collect() == []
 
 
+@pytest.mark.parametrize("name", ["article", "main"])
+def test_html_keeps_all_of_an_article(name):
+    long, short = "a long paragraph of the article " * 16, "A short closing paragraph."
+    aside = "<aside><p>one</p><p>two</p><p>three</p></aside>"
+    page = f"<p>{long} outside</p><{name}><p>{long}</p>{aside}<p>{short}</p></{name}><p>after</p>"
+    assert htmltext.main_text(page) == f"{long}{short}"
+    links = "".join(f"<li><a href=x>link {i}</a></li>" for i in range(5))
+    page = f"<{name}><p>{long}</p><ul>{links}</ul><p>{short}</p></{name}><ul>{links}</ul>"
+    assert htmltext.main_text(page) == f"{long}link 0 link 1 link 2 link 3 link 4 {short}"
+
+
 def test_quality(odd, empty, spark):
     labels = spark.createDataFrame([(1, 1), (2, 1), (6, 0), (4, 0), (4, 0), (None, 1), (8, None)], "doc_id long, quality int")
     rows = by_id(quality.scored(odd, labels), "score", "kept")
