@@ -321,7 +321,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     return found.withColumnRenamed("doc", key)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents that have a benchmark item. Rows without a key stay."""
-    found = leaks(docs, benchmark, key, text).select(F.col(key)).distinct()
-    return docs.join(found, key, "left_anti").select(*docs.columns)
+def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", unkeyed: bool = False) -> DataFrame:
+    """``docs`` without the rows that have a benchmark item. A row goes by its key and the hash of its text.
+
+    Rows without a key stay, but for ``unkeyed``, with which they go like all others.
+    """
+    rows = docs.select(F.struct("*").alias("_row"), F.col(text).alias("text"), F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("hash")).alias("_name"))
+    found = leaks(rows.select("_name", "text"), benchmark, "_name").select(F.col("_name").alias("_found")).distinct()
+    if not unkeyed:
+        found = found.where("_found.key is not null")
+    same = F.col("_name.hash") == F.col("_found.hash")
+    left = rows.join(found, same & F.col("_name.key").eqNullSafe(F.col("_found.key")), "left_anti")
+    return left.select(*[F.col(f"_row.`{name}`") for name in docs.columns])

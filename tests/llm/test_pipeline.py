@@ -85,3 +85,15 @@ def test_a_near_copy_goes_though_its_id_has_another_text(spark):
     assert prints[0] == prints[1] and prints[2] == prints[3] and (prints[0] ^ prints[2]).bit_count() > 2
     left = [(r["doc_id"] or 0, r["text"].lower()) for r in corpus_pipeline.one_of_each(spark, docs, "").collect()]
     assert sorted(left) == sorted([(0, alone[0]), (0, alone[1]), (1, first), (2, other)])
+
+
+def test_rows_without_an_id_are_filtered(spark, tmp_path):
+    rng = random.Random(7)
+    item, *own = [words(rng, "aeiotnsrhl", 30) for _ in range(4)]
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = [(1, f"{own[0]}\n{own[1]}"), (1, item), (None, f"{item}"), (None, f"{own[0]}\n{own[2]}"), (None, own[0])]
+    docs = spark.createDataFrame([(i, text, None, None, len(text)) for i, text in texts], KINDS)
+    left = corpus_pipeline.uncontaminated(spark, docs, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["text"]) for r in left} == {t for t in texts if t[1] != item} and len(left) == 3
+    left = corpus_pipeline.lines_once(spark, docs, "").collect()
+    assert (None, own[2]) in {(r["doc_id"], r["text"]) for r in left} and (None, "") in {(r["doc_id"], r["text"]) for r in left}
