@@ -25,6 +25,8 @@ GRAMS = (2, 3, 4)
 PLACES = 1 << 16
 #: Texts scored by one matrix product.
 SCORED_TOGETHER = 32
+#: Bytes of eight places each that the fit unpacks at a time, of all texts it is fitted on.
+UNPACKED_TOGETHER = 256
 #: Bound of the labelled texts the model is fitted on: of each language, and of all.
 ROWS_PER_LANGUAGE = 250
 ROWS = 2000
@@ -95,23 +97,37 @@ class Model:
 
 
 def fit_rows(marks: np.ndarray, labels: list[str]) -> Model:
-    """A model of presence rows and their languages; the rows are in the order of preference."""
+    """A model of presence rows, packed to bits, and their languages; the rows are in the order of preference.
+
+    Places are unpacked a block at a time, so that no matrix of texts and places is ever whole.
+    """
     languages = sorted(set(labels))
     labelled = np.array(labels)
     per = max(1, min(LANDMARKS_PER_LANGUAGE, LANDMARKS // max(1, len(languages))))
     landmarks = np.concatenate([np.flatnonzero(labelled == language)[:per] for language in languages])
-    x = marks.astype(np.float32)
-    x /= np.sqrt(x.sum(axis=1, keepdims=True))
-    z = x[landmarks]
-    values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
+
+    def unpacked(rows: np.ndarray, at: int) -> np.ndarray:
+        return np.unpackbits(rows[:, at : at + UNPACKED_TOGETHER], axis=1).astype(np.float32)
+
+    blocks = range(0, marks.shape[1], UNPACKED_TOGETHER)
+    sizes, common = np.zeros(len(marks)), np.zeros((len(marks), len(landmarks)))
+    for at in blocks:
+        x = unpacked(marks, at)
+        sizes += x.sum(axis=1)
+        common += x @ x[landmarks].T
+    lengths = np.sqrt(sizes)
+    kernel = common / lengths[:, None] / lengths[landmarks]
+    values, vectors = np.linalg.eigh(kernel[landmarks])
     held = values > 1e-6 * values.max()
     whitening = vectors[:, held] / np.sqrt(values[held])
-    features = np.hstack([(x @ z.T) @ whitening, np.ones((len(x), 1))])
+    features = np.hstack([kernel @ whitening, np.ones((len(marks), 1))])
     target = np.where(labelled[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    penalty = RIDGE * len(x) / max(1, len(languages)) * np.eye(features.shape[1])
+    penalty = RIDGE * len(marks) / max(1, len(languages)) * np.eye(features.shape[1])
     penalty[-1, -1] = 1e-9
     solved = np.linalg.solve(features.T @ features + penalty, features.T @ target)
-    return Model(languages, (z.T @ (whitening @ solved[:-1])).astype(np.float32), solved[-1])
+    per_landmark = ((whitening @ solved[:-1]) / lengths[landmarks][:, None]).astype(np.float32)
+    weights = np.concatenate([unpacked(marks[landmarks], at).T @ per_landmark for at in blocks])
+    return Model(languages, weights, solved[-1])
 
 
 def fit(df: DataFrame, text: str = "text", label: str = "lang", order: str = "doc_id") -> Model:
@@ -140,7 +156,7 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", order: str = "do
     found = sample.groupBy("label", "at").agg(F.min("marks").alias("marks")).orderBy("at", "label").collect()
     if not found:
         return Model([])
-    marks = np.unpackbits(np.frombuffer(b"".join(r["marks"] for r in found), np.uint8).reshape(len(found), -1), axis=1)
+    marks = np.frombuffer(b"".join(r["marks"] for r in found), np.uint8).reshape(len(found), -1)
     return fit_rows(marks, [r["label"] for r in found])
 
 
