@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprints, htmltext, langid, lines, quality, simhash, substrings, urls
+from . import bpe, decontaminate, fingerprints, htmltext, langid, lines, quality, simhash, substrings, trie, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +115,47 @@ def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
     model = langid.fit(documents.where("not held_out and doc_id is not null"))
     found = langid.with_language(documents.select("doc_id", "held_out", "text"), model)
     return found.drop("text")
+
+
+#: CRC-32 has no function in SQL: its table of 256 numbers, made bit by bit, and the checksum of a list of bytes.
+CRC_TABLE_SQL = """crcs AS (
+      SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384)
+        ELSE c >> 1 END, i)) AS crc
+    )"""
+CRC_SQL = "xor(list_reduce({bytes}, lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+@_query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.conversation_trie(_table(spark, folder, "conversations"))
+
+
+ORACLES["op13_prefix_trie"] = f"""
+    WITH {CRC_TABLE_SQL}, turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+    ), own AS (
+      SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || strlen(text) || ':' || text)) AS s
+      FROM turns GROUP BY 1
+    ), firsts AS (
+      SELECT conv_id, s, {CRC_SQL.format(bytes="list_transform(string_split(conv_id::VARCHAR, ''), lambda x: unicode(x)::BIGINT)")} % 9 AS h
+      FROM own, crcs
+    ), made AS (
+      SELECT c.conv_id, list_concat(coalesce(b.s, [])[1:c.h], c.s[c.h + 1:]) AS s FROM firsts c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+    ), starts AS (
+      SELECT conv_id, s[1:d] AS p, d, len(s) AS n FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM made)
+    ), nodes AS (
+      SELECT p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256,
+        (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE strlen(p[d].text) END AS saved FROM starts GROUP BY p, d
+    ), children AS (
+      SELECT p[1:depth - 1] AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+    ), counted AS (
+      SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (p)
+    ), totals AS (
+      SELECT p[1:a] AS p, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(depth + 1)) AS a FROM counted) GROUP BY 1
+    )
+    SELECT x.conv_id, x.depth::BIGINT AS depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children::BIGINT AS n_children,
+      t.n_leaves::BIGINT AS n_leaves, t.saved_tokens::BIGINT AS saved_tokens, x.ends_sha256
+    FROM counted x JOIN totals t USING (p) LEFT JOIN nodes y ON x.depth > 0 AND y.p = x.p[1:x.depth - 1]
+"""
