@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprints, htmltext, langid, lines, quality, simhash, substrings, trie, urls
+from . import bpe, covertree, decontaminate, fingerprints, htmltext, importance, langid, lines, quality, simhash, substrings, trie, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,6 +125,73 @@ CRC_TABLE_SQL = """crcs AS (
 CRC_SQL = "xor(list_reduce({bytes}, lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
 
 
+@_query
+def op11_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.importance(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).drop("n_words")
+
+
+ORACLES["op11_importance"] = f"""
+    WITH {CRC_TABLE_SQL}, texts AS (
+      SELECT 'd' AS side, doc_id, coalesce(text, '') AS text FROM documents UNION ALL SELECT 'b', NULL, coalesce(text, '') FROM benchmark
+    ), words AS (
+      SELECT side, doc_id, row_number() OVER () AS n, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts
+    ), runs AS (
+      SELECT side, n, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS run FROM words
+    ), counted AS (
+      SELECT side, n, run, count(*) AS c FROM runs GROUP BY ALL
+    ), coded AS (
+      SELECT run, hex(encode(run)) AS code FROM counted GROUP BY run
+    ), buckets AS (
+      SELECT run, {CRC_SQL.format(bytes="list_transform(range(len(code) // 2), lambda i: ('0x' || code[2 * i + 1:2 * i + 2])::BIGINT)")} % 10000 AS bucket
+      FROM coded, crcs
+    ), sums AS (
+      SELECT bucket, coalesce(sum(c) FILTER (WHERE side = 'd'), 0)::DOUBLE AS s, coalesce(sum(c) FILTER (WHERE side = 'b'), 0)::DOUBLE AS t
+      FROM counted JOIN buckets USING (run) GROUP BY 1
+    ), totals AS (
+      SELECT sum(s) AS ss, sum(t) AS tt FROM sums
+    ), gains AS (
+      SELECT bucket, floor(1000 * ln((t + 1) * (ss + 10000) / ((s + 1) * (tt + 10000))))::BIGINT AS gain FROM sums, totals
+    ), means AS (
+      SELECT n, sum(c)::BIGINT AS n_features, floor(sum(c * gain)::DOUBLE / sum(c))::BIGINT AS weight
+      FROM counted JOIN buckets USING (run) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY 1
+    ), scored AS (
+      SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+      FROM words LEFT JOIN means USING (n) WHERE side = 'd'
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS r,
+        count(*) OVER (PARTITION BY n_words >= 20) AS n FROM scored
+    )
+    SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND r <= 25 * n // 100 THEN r END AS rank FROM ranked
+"""
+
+
+@_query
+def op12_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.near_vectors(_table(spark, folder, "embeddings"))
+
+
+ORACLES["op12_near_vectors"] = """
+    WITH RECURSIVE rows AS (
+      SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v,
+        label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding::DOUBLE[], lambda x: x <> 0)) > 0 AS valid FROM embeddings
+    ), links AS (
+      SELECT a.r AS a, b.r AS b FROM rows a JOIN rows b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r
+      WHERE a.valid AND b.valid AND list_cosine_similarity(a.v, b.v) >= 0.98
+    ), reach AS (
+      SELECT r AS a, r AS b FROM rows UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    ), classes AS (
+      SELECT a AS r, min(vec_id) AS component_id FROM reach JOIN rows ON rows.r = reach.b GROUP BY 1
+    ), degrees AS (
+      SELECT a AS r, count(*) AS n FROM links GROUP BY 1
+    )
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+    FROM rows JOIN classes USING (r) LEFT JOIN degrees USING (r)
+"""
+
+
 @_query
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.conversation_trie(_table(spark, folder, "conversations"))
