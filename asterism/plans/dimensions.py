@@ -84,16 +84,21 @@ def dim_people(people: DataFrame, report: bool = False) -> DataFrame:
     return apply_mapping(people, PEOPLE, report)
 
 
-def dim_relationship(relationships: DataFrame, people: DataFrame | None = None, report: bool = False) -> DataFrame:
+def dim_relationship(
+    relationships: DataFrame, people: DataFrame | None = None, report: bool = False, natural: bool = False
+) -> DataFrame:
     """Who was what at which company; dates, flags and times are typed from text.
 
     The source names persons by their object id. Given ``people``, ``people_nk`` is what
     ``dim_people`` has for it, so that the two can be joined, and null for an unknown person.
-    Of several people with one object id, the one with the lowest id counts.
+    Of several people with one object id, the one with the lowest id counts. With ``natural``, the
+    source's id of the person stays as ``person_object_id``, and ``found_person`` is null if it was not looked up or not found.
     """
+    kept = [("person_object_id", "_object_id"), ("found_person", "_person")] if natural else []
     if people is None:
-        return apply_mapping(relationships, RELATIONSHIP, report)
+        rows = relationships.withColumns({"_object_id": F.col("person_object_id"), "_person": F.lit(None).cast("string")})
+        return apply_mapping(rows, [*RELATIONSHIP, *kept], report)
     one = pick_one(people.select("object_id", "people_id"), "object_id", ["people_id"])
     rows = lookup_key(relationships, one, "person_object_id", "object_id", "people_id", "_person")
-    rows = rows.drop("person_object_id").withColumnRenamed("_person", "person_object_id")
-    return apply_mapping(rows, RELATIONSHIP, report)
+    rows = rows.withColumns({"_object_id": F.col("person_object_id"), "person_object_id": F.col("_person")})
+    return apply_mapping(rows, [*RELATIONSHIP, *kept], report)

@@ -100,11 +100,12 @@ def investment_rows(
     dim_company: DataFrame,
     dim_investor: DataFrame,
     dim_funding_round: DataFrame,
+    natural: bool = False,
 ) -> DataFrame:
     """One row per investment, with the keys of its dimensions and the amount of its round.
 
     Every investor of a round gets the whole amount, so a sum over investors counts it more
-    than once. What does not resolve stays, with a null key.
+    than once. What does not resolve stays, with a null key. With ``natural``, the natural keys stay too.
     """
     rows = investments.select(
         F.col("investment_id").cast("string").alias("investment_nk"),
@@ -134,6 +135,7 @@ def investment_rows(
         "company_id",
         "date_id",
         "investment_amount_usd",
+        *(["funded_object_id", "investor_object_id", "funding_round_nk"] if natural else []),
     )
 
 

@@ -10,18 +10,16 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import storage
 from ..functions.casting import day_before, parse_date
-from ..functions.documents import now
 from ..operators.keys import assign_ids
 from ..operators.mapping import VIOLATIONS, unreadable
 from ..operators.validation import Castable, ForeignKey, NotNull, Rule, land_split
-from ..schemas import SURROGATES, WAREHOUSE, WAREHOUSE_KEYS, struct
+from ..schemas import STAGING_KEYS, SURROGATES, WAREHOUSE, WAREHOUSE_KEYS, struct
 from ..session import materialize, run_all, scratch_path, scratch_scope
 from ..sinks.runlog import logged, rejected
 from ..sinks.tables import read_table, target_name, upsert_path
 from ..sources.files import all_empty
-from . import dimensions, facts
+from . import dimensions, facts, pending
 from .calendar import calendar, dim_date
 
 # Facts are sliced by month, so that an increment leaves other months alone.
@@ -35,18 +33,25 @@ READ_AS = {
 }
 
 
-def _report(invalid: DataFrame, rest: Sequence[str]) -> DataFrame:
-    return invalid.select(VIOLATIONS, F.to_json(F.struct(*rest)).alias("row"), now().alias("created_at"))
+#: What a table's rows may wait for: the column that is null then, the dimension, and the column of its natural key.
+WAITS = {
+    "fact_investments": {
+        "company_id": ("dim_company", "funded_object_id"),
+        "investor_id": ("dim_investor", "investor_object_id"),
+        "funding_round_id": ("dim_funding_round", "funding_round_nk"),
+    },
+    "dim_relationship": {"found_person": ("people", "person_object_id")},
+}
 
 
-def unreadable_source(df: DataFrame, table: str) -> DataFrame | None:
+def unreadable_source(df: DataFrame, table: str, run_date: str | datetime.date | None = None) -> DataFrame | None:
     """A report of the rows of a staging table whose text cannot be read as what facts take it for."""
     texts = {name: kind for name, kind in READ_AS[table].items() if name in df.columns and df.schema[name].dataType.typeName() == "string"}
     if not texts:
         return None
     names = F.array_compact(F.array(*[unreadable(name, kind) for name, kind in texts.items()]))
     tagged = df.withColumn(VIOLATIONS, F.transform(names, lambda x: F.concat(F.lit(f"{table}."), x)))
-    return _report(tagged.where(F.size(VIOLATIONS) > 0), df.columns)
+    return pending.report(tagged.where(F.size(VIOLATIONS) > 0), df.columns, F.col(STAGING_KEYS[table][0]), table, run_date)
 
 
 def conformed(df: DataFrame, table: str) -> DataFrame:
@@ -63,12 +68,16 @@ def load_table(
     known: DataFrame | None = None,
     replacing: DataFrame | None = None,
     reports: Sequence[DataFrame] = (),
+    judged: Sequence[DataFrame] | None = None,
+    run_date: str | datetime.date | None = None,
 ) -> dict[str, int]:
     """Put a built table through the gate, number its valid rows, and upsert them.
 
     Amounts that do not fit their column break a rule. What breaks one stands in
-    ``<root>/invalid/table_name=<table>`` with what it breaks, in place of what the last build rejected
-    there. Only valid rows are numbered, so a surrogate has no gaps. Returns ``n_rows`` and ``n_invalid``.
+    ``<root>/invalid/table_name=<table>`` with what it breaks, until it loads: in place of all that stood there, or
+    with ``judged`` (``source`` and ``key`` of further rows tried) of what stood there of the rows tried. Only valid
+    rows are numbered, so a surrogate has no gaps. Facts that wait for a dimension row are noted.
+    Returns ``n_rows`` and ``n_invalid``.
     """
     spark = built.sparkSession
     table = target_name(name)
@@ -76,15 +85,21 @@ def load_table(
     wide = [f.name for f in built.schema.fields if f.name in wanted and "decimal" in f.dataType.simpleString()]
     rules = [*rules, *[Castable(name, wanted[name].simpleString()) for name in wide]]
     valid, invalid, seen = land_split(built, rules, scratch_path(spark, f"gate-{table}"))
-    reports = [*reports, *([_report(invalid, [c for c in built.columns if c != VIOLATIONS])] if seen["n_invalid"] else [])]
-    folder = f"{root}/invalid/table_name={table}"
-    if reports:
-        reduce(lambda a, b: a.unionByName(b), reports).write.mode("overwrite").parquet(folder)
-    else:
-        storage.delete(spark, folder)
+    key = WAREHOUSE_KEYS[table][0]
+    rows = pending.report(invalid, [c for c in built.columns if c != VIOLATIONS and c in wanted], F.col(key), run_date=run_date)
+    reports = [*reports, *([rows] if seen["n_invalid"] else [])]
+    loaded = valid
     if table in SURROGATES:
         valid = assign_ids(known, valid, WAREHOUSE_KEYS[table], SURROGATES[table])
     upsert_path(conformed(valid, table), f"{root}/{table}", WAREHOUSE_KEYS[table], SLICED_BY.get(table), replacing=replacing)
+    # Last, so that a build that dies before tries the same rows again.
+    tried = None
+    if judged is not None:
+        tried = [df.select(F.lit(None).cast("string").alias("source"), F.col(key).cast("string").alias("key")) for df in (loaded, invalid)]
+        tried = reduce(lambda a, b: a.unionByName(b), [*tried, *judged])
+    pending.settle(spark, root, table, reduce(lambda a, b: a.unionByName(b), reports) if reports else None, tried)
+    if table in WAITS and all(wait[1] in loaded.columns for wait in WAITS[table].values()):
+        pending.note_waiting(spark, root, table, loaded, key, WAITS[table], whole=judged is None)
     return seen
 
 
@@ -107,6 +122,8 @@ def build_warehouse(
     built: rows of that day, and for what is put together of several rows (a company of its
     offices, growth of a company's acquisitions, rounds and offerings, an investment of its round) all
     rows of those affected. A company's growth is replaced as a whole, so that a day that was corrected goes.
+    Rows that earlier builds rejected are tried again, and facts that wait for a dimension row are resolved again
+    once it is there, so that daily builds end where a whole build would.
 
     The calendar is typed from ``staging["dim_date"]`` if there is one, else generated.
     """
@@ -119,13 +136,40 @@ def build_warehouse(
         found = known(name)
         return spark.createDataFrame([], struct(WAREHOUSE[name])) if found is None else found
 
-    def increment(source: str) -> DataFrame:
-        """The rows of a staging table that the build is about."""
+    def rejected(table: str, source: str | None = None) -> DataFrame | None:
+        """Keys that a daily build tries again."""
+        return None if run_date is None else pending.rejected_keys(spark, root, table, source)
+
+    def with_keys(source: str, column: str, keys: Sequence[DataFrame | None]) -> list[DataFrame]:
+        """The rows of a staging table with some of the ``keys``, in text."""
+        found = [df for df in keys if df is not None]
+        if not found:
+            return []
+        wanted = reduce(lambda a, b: a.union(b), found).select(F.col("key").alias("_key"))
+        return [s[source].join(wanted, F.col(column).cast("string") == F.col("_key"), "left_semi")]
+
+    def increment(source: str, table: str | None = None, column: str | None = None) -> DataFrame:
+        """The rows of a staging table that the build is about, with those that ``table`` is to try again.
+
+        With ``column``, built rows of the table go by that column.
+        """
         rows = s[source]
         stamps = [name for name in ("created_at", "updated_at") if name in rows.columns]
         if run_date is None or not stamps:
             return rows
-        return rows.where(reduce(or_, [F.coalesce(parse_date(name) == day_before(run_date), F.lit(False)) for name in stamps]))
+        day = rows.where(reduce(or_, [F.coalesce(parse_date(name) == day_before(run_date), F.lit(False)) for name in stamps]))
+        id_ = STAGING_KEYS[source][0]
+        again = with_keys(source, id_, [rejected(table, source)]) if table else []
+        again += with_keys(source, column, [rejected(table)]) if column else []
+        return reduce(lambda a, b: a.union(b), [day, *again]).dropDuplicates([id_]) if again else day
+
+    def judged(table: str, sources: Sequence[str], more: Callable[[], DataFrame] | None) -> list[DataFrame] | None:
+        """``source`` and ``key`` of what a daily build tries beside the rows it builds."""
+        if run_date is None:
+            return None
+        ids = [increment(name, table).select(F.lit(name).alias("source"), F.col(STAGING_KEYS[name][0]).cast("string").alias("key")) for name in sources]
+        own = [more().select(F.lit(None).cast("string").alias("source"), F.col(more().columns[0]).cast("string").alias("key"))] if more else []
+        return ids + own
 
     def of_affected(source: str, column: str, affected: DataFrame) -> DataFrame:
         """All rows of a staging table with one of the ``affected`` keys."""
@@ -142,6 +186,7 @@ def build_warehouse(
         filled: Sequence[str] = (),
         replacing: Callable[[], DataFrame] | None = None,
         read: Sequence[str] = (),
+        tried: Callable[[], DataFrame] | None = None,
     ) -> None:
         """Build a table if all it needs is there, and not all of ``filled`` (or that) is empty."""
         if not all(source in s for source in needs):
@@ -152,9 +197,11 @@ def build_warehouse(
         rules = [*map(NotNull, required), *rules]
         with logged(spark, f"{root}/etl_log", "warehouse", "build and load", ",".join(needs), name) as run:
             with scratch_scope(spark):
-                reports = [found for found in (unreadable_source(increment(source), source) for source in read) if found is not None]
+                reports = [found for found in (unreadable_source(increment(source, name), source, run_date) for source in read) if found is not None]
                 reports = [found for found in reports if not found.isEmpty()]
-                seen = load_table(build(), name, root, rules, known(name), replacing and replacing(), reports)
+                seen = load_table(
+                    build(), name, root, rules, known(name), replacing and replacing(), reports, judged(name, read, tried or replacing), run_date
+                )
             run["n_rows"] = seen["n_rows"]
             run["error_msg"] = rejected(seen["n_invalid"])
 
@@ -164,59 +211,85 @@ def build_warehouse(
         elif known("dim_date") is None:
             load("dim_date", [], lambda: calendar(spark))
 
+    def once(build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        """A table that is written the first time it is asked for."""
+        made: list[DataFrame] = []
+
+        def get() -> DataFrame:
+            if not made:
+                made.append(materialize(build(), "affected"))
+            return made[0]
+
+        return get
+
     def company() -> None:
-        def build() -> DataFrame:
-            affected = increment("company").select("object_id").distinct()
-            return dimensions.company_rows(of_affected("company", "object_id", affected), report=True)
+        def affected() -> DataFrame:
+            found = [increment("company").select("object_id"), *[df.select(F.col("key")) for df in [rejected("dim_company")] if df is not None]]
+            return reduce(lambda a, b: a.union(b), found).distinct()
 
-        load("dim_company", ["company"], build)
+        keys = once(affected)
+        build = lambda: dimensions.company_rows(of_affected("company", "object_id", keys()), report=True)
+        load("dim_company", ["company"], build, tried=None if run_date is None else keys)
 
     def growth() -> None:
         name = "fact_company_growth"
         keys = {"acquisition": "acquired_object_id", "funding_rounds": "object_id", "ipos": "object_id"}
         rules = [ForeignKey("company_nk", dimension("dim_company"), "company_nk")] if foreign_keys else []
-        made: list[DataFrame] = []
 
         def affected() -> DataFrame:
-            if not made:
-                found = [increment(source).select(F.col(column).alias("company_nk")) for source, column in keys.items()]
-                made.append(materialize(reduce(lambda a, b: a.union(b), found).distinct(), "affected"))
-            return made[0]
+            found = [increment(source, name).select(F.col(column).alias("company_nk")) for source, column in keys.items()]
+            found += [df.select(F.col("key").alias("company_nk")) for df in [rejected(name)] if df is not None]
+            return reduce(lambda a, b: a.union(b), found).distinct()
+
+        companies = once(affected)
 
         def build() -> DataFrame:
-            rows = [of_affected(source, column, affected()) for source, column in keys.items()]
+            rows = [of_affected(source, column, companies()) for source, column in keys.items()]
             return facts.company_growth_rows(*rows, dimension("dim_date"))
 
-        load(name, list(keys), build, rules, replacing=affected, read=list(keys))
+        load(name, list(keys), build, rules, replacing=companies, read=list(keys))
 
     def investments() -> None:
+        name = "fact_investments"
         dims = ["dim_date", "dim_company", "dim_investor", "dim_funding_round"]
         rules = [NotNull(key) for key in ("company_id", "investor_id", "funding_round_id")] if foreign_keys else []
 
         def build() -> DataFrame:
-            rows = increment("investments")
+            rows = increment("investments", name)
             if run_date is not None:
                 rounds = increment("funding_rounds").select("funding_round_id").distinct()
-                rows = rows.union(of_affected("investments", "funding_round_id", rounds)).dropDuplicates(["investment_id"])
-            return facts.investment_rows(rows, s["funding_rounds"], *map(dimension, dims))
-
-        load("fact_investments", ["investments", "funding_rounds"], build, rules, filled=["investments"], read=["investments"])
-
-    steps = [
-        [
-            dates,
-            company,
-            lambda: load("dim_investor", ["investments"], lambda: dimensions.investor_rows(increment("investments"))),
-            lambda: load("dim_funding_round", ["funding_rounds"], lambda: dimensions.round_rows(increment("funding_rounds"), report=True)),
-            lambda: load("dim_people", ["people"], lambda: dimensions.dim_people(increment("people"), report=True)),
-            lambda: load(
-                "dim_relationship",
-                ["relationships"],
-                lambda: dimensions.dim_relationship(increment("relationships"), s.get("people"), report=True),
-            ),
-        ],
-        [growth, investments],
-    ]
+                nks = {dim: (dimension(dim), WAREHOUSE_KEYS[dim][0]) for dim, _ in WAITS[name].values()}
+                again = with_keys("investments", "investment_id", [rejected(name), pending.resolved_keys(spark, root, name, nks)])
+                parts = [rows, of_affected("investments", "funding_round_id", rounds), *again]
+                rows = reduce(lambda a, b: a.union(b), parts).dropDuplicates(["investment_id"])
+            return facts.investment_rows(rows, s["funding_rounds"], *map(dimension, dims), natural=True)
+
+        load(name, ["investments", "funding_rounds"], build, rules, filled=["investments"], read=["investments"])
+
+    def relationships() -> None:
+        name = "dim_relationship"
+
+        def build() -> DataFrame:
+            rows = increment("relationships", name, "relationship_id")
+            if run_date is not None and "people" in s:
+                came = pending.resolved_keys(spark, root, name, {"people": (s["people"].select("object_id").distinct(), "object_id")})
+                again = with_keys("relationships", "relationship_id", [came])
+                rows = reduce(lambda a, b: a.union(b), [rows, *again]).dropDuplicates(["relationship_id"]) if again else rows
+            return dimensions.dim_relationship(rows, s.get("people"), report=True, natural=True)
+
+        load(name, ["relationships"], build)
+
+    def people() -> None:
+        load("dim_people", ["people"], lambda: dimensions.dim_people(increment("people", "dim_people", "people_id"), report=True))
+
+    def rounds() -> None:
+        name = "dim_funding_round"
+        load(name, ["funding_rounds"], lambda: dimensions.round_rows(increment("funding_rounds", name, "funding_round_id"), report=True))
+
+    def investors() -> None:
+        load("dim_investor", ["investments"], lambda: dimensions.investor_rows(increment("investments")))
+
+    steps = [[dates, company, investors, rounds, people, relationships], [growth, investments]]
     for step in steps:
         run_all(spark, step)
     tables = {name: known(name) for name in WAREHOUSE}

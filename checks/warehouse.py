@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from asterism import plans, sinks
 from asterism.plans.facts import funding_totals
 from asterism.schemas import WAREHOUSE, column_names
-from asterism.session import scratch_path
+from asterism.session import materialize, scratch_path
 from asterism.sources import read_csv_raw, scan_tables
 from asterism.sources.files import TIMESTAMP_FORMAT
 from asterism.streaming import upsert_stream
@@ -298,6 +298,63 @@ def build_by_day(t: Tables):
     return growth.unionByName(investments)
 
 
+@check(
+    "whs_1_late_dimension",
+    f"""WITH {analog.LINES_SQL} SELECT 'fact_investments' AS table_name, CAST(line_id AS VARCHAR) AS key, 'c:' || p_partkey AS found
+    FROM lines LEFT JOIN part ON l_partkey = p_partkey
+    UNION ALL SELECT 'dim_relationship', relationship_nk, people_nk FROM ({RELATIONSHIP_SQL} WHERE o_orderstatus <> 'P')""",
+)
+def late_dimension(t: Tables):
+    """A third of the companies and persons come a day after all that names them; then a day without anything."""
+    root = scratch_path(t.spark, "warehouse")
+    whole = {name: df for name, df in analog.staging(t).items() if name in ("investments", "funding_rounds", "company", "people", "relationships")}
+    stamp = F.lit(datetime.datetime(2030, 1, 2, 12)).cast("timestamp_ntz")
+    late = {"company": F.crc32(F.col("object_id").cast("binary")) % 3 == 0, "people": F.crc32(F.col("object_id").cast("binary")) % 3 == 0}
+    first = {name: df.where(~late[name]) if name in late else df for name, df in whole.items()}
+    second = {name: df.withColumn("created_at", F.when(late[name], stamp)) if name in late else df for name, df in whole.items()}
+    plans.build_warehouse(t.spark, first, root)
+    for day in ("2030-01-03", "2030-01-04"):
+        tables = plans.build_warehouse(t.spark, second, root, run_date=day)
+    companies = tables["dim_company"].select("company_id", "company_nk")
+    found = tables["fact_investments"].join(companies, "company_id", "left")
+    parts = [
+        found.select(F.lit("fact_investments").alias("table_name"), F.col("investment_nk").alias("key"), F.col("company_nk").alias("found")),
+        tables["dim_relationship"].select(F.lit("dim_relationship"), "relationship_nk", "people_nk"),
+    ]
+    return parts[0].union(parts[1])
+
+
+@check(
+    "whs_1_quarantine",
+    f"""WITH {analog.LINES_SQL}, judged AS (SELECT CAST(line_id AS VARCHAR) AS key, p_partkey IS NOT NULL AS known,
+      l_partkey % 5 = 0 AS never, l_partkey % 5 = 1 AS late, o_orderkey IS NOT NULL AS round_known FROM lines
+      LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN orders ON l_orderkey = o_orderkey)
+    SELECT run, key, CASE WHEN round_known AND known AND NOT never AND (run >= 2 OR NOT late) THEN 'loaded'
+      ELSE concat_ws(',', CASE WHEN NOT (known AND NOT never AND (run >= 2 OR NOT late)) THEN 'not_null(company_id)' END,
+        CASE WHEN NOT round_known THEN 'not_null(funding_round_id)' END) END AS state
+    FROM judged, (SELECT unnest([1, 2, 3]) AS run)""",
+)
+def quarantine(t: Tables):
+    """Investments in companies that come a day late, or never, over three days: each is loaded or kept with what it breaks."""
+    root = scratch_path(t.spark, "warehouse")
+    staging = {name: df for name, df in analog.staging(t).items() if name in ("investments", "funding_rounds", "company")}
+    company, part = staging["company"], F.substring("object_id", 3, 20).cast("long") % 5
+    stamp = F.lit(datetime.datetime(2030, 1, 1, 12)).cast("timestamp_ntz")
+    days = [
+        (None, company.where(part > 1)),
+        ("2030-01-02", company.where(part != 0).withColumn("created_at", F.when(part == 1, stamp))),
+        ("2030-01-03", company.where(part != 0)),
+    ]
+    parts = []
+    for run, (day, known) in enumerate(days, 1):
+        tables = plans.build_warehouse(t.spark, staging | {"company": known}, root, foreign_keys=True, run_date=day)
+        kept = plans.rejected_rows(t.spark, root, "fact_investments")
+        states = tables["fact_investments"].select(F.col("investment_nk").alias("key"), F.lit("loaded").alias("state"))
+        states = states.union(kept.select("key", F.array_join("violations", ",")))
+        parts.append(materialize(states.select(F.lit(run).alias("run"), "key", "state"), "states"))
+    return reduce(lambda a, b: a.union(b), parts)
+
+
 @check(
     "fct_1_large_amounts",
     """SELECT 'c:' || o_custkey AS company_nk, CAST(sum(CAST(o_orderkey AS DECIMAL(38,2)) * 10000000000000) AS DECIMAL(38,2))

@@ -5,8 +5,11 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from asterism import plans, schemas
 from asterism.plans.facts import latest_ipos
+from asterism.sinks import read_table
 
 T = datetime.datetime
 DAY = T(2008, 6, 18, 8, 14, 6)
@@ -201,6 +204,84 @@ def test_daily_build_recomputes_affected_companies(spark, staged, staging, tmp_p
     assert growth == {("c:1", 20080618): (2, total), ("c:1", 20080619): (1, total), ("c:3", None): (1, None)}
 
 
+def test_dimension_rows_that_come_later(spark, staged, staging, rows, tmp_path):
+    """Daily builds end where a whole build does, whatever order rows come in."""
+    def day(n):
+        return T(2009, 1, n, 5)
+
+    def on(df, n):
+        return df.withColumn("created_at", F.lit(day(n)).cast(df.schema["created_at"].dataType))
+
+    days = [
+        {"investments": staging["investments"], "relationships": staging["relationships"], "funding_rounds": staging["funding_rounds"].where("funding_round_id = 11")},
+        {"company": staging["company"], "people": staging["people"]},
+        {"funding_rounds": staging["funding_rounds"].where("funding_round_id = 10")},
+        {"company": staged("company", dict(office_id=9, object_id="c:9"))},
+    ]
+    have, root = {}, str(tmp_path / "w")
+    for n, new in enumerate(days, 1):
+        for name, df in new.items():
+            have[name] = on(df, n) if name not in have else have[name].unionByName(on(df, n))
+        daily = plans.build_warehouse(spark, have, root, run_date=day(n + 1).date())
+    whole = plans.build_warehouse(spark, have, str(tmp_path / "whole"))
+
+    def facts(tables):
+        found = tables["fact_investments"]
+        for dim, id_, nk in (("dim_company", "company_id", "company_nk"), ("dim_investor", "investor_id", "investor_nk"), ("dim_funding_round", "funding_round_id", "funding_round_nk")):
+            found = found.join(tables[dim].select(id_, nk), id_, "left")
+        return rows(found, "investment_nk", "company_nk", "investor_nk", "funding_round_nk", "date_id", "investment_amount_usd")
+
+    assert facts(daily) == facts(whole)
+    assert [r[1] for r in facts(daily)] == ["c:1", "c:1", "c:9"]
+    assert rows(daily["dim_relationship"], "relationship_nk", "people_nk") == rows(whole["dim_relationship"], "relationship_nk", "people_nk")
+    # One investment still waits for its round, and one person is unknown.
+    waiting = {tuple(r) for name in ("fact_investments", "dim_relationship") for r in read_table(spark, f"{root}/waiting/{name}").collect()}
+    assert waiting == {("3", "dim_funding_round", "99")}
+
+
+def test_rejected_rows_stay_until_they_load(spark, staged, staging, tmp_path):
+    root = str(tmp_path / "w")
+    have = {"investments": staging["investments"], "funding_rounds": staging["funding_rounds"], "company": staging["company"].where("object_id = 'c:2'")}
+
+    def build(day):
+        tables = plans.build_warehouse(spark, have, root, foreign_keys=True, run_date=day)
+        kept = plans.rejected_rows(spark, root, "fact_investments")
+        loaded = tables.get("fact_investments")
+        return ({r.investment_nk for r in loaded.collect()} if loaded is not None else set(), {r.key: r for r in kept.collect()} if kept is not None else {})
+
+    loaded, kept = build(None)
+    assert (loaded, set(kept)) == (set(), {"1", "2", "3"})
+    first = kept["3"].created_at
+    # A day with another good row: what was rejected stays, as it was first rejected.
+    have["investments"] = have["investments"].unionByName(staged(
+        "investments", dict(investment_id=4, funding_round_id=10, funded_object_id="c:2", investor_object_id="f:1", created_at=T(2009, 1, 1))))
+    loaded, kept = build("2009-01-02")
+    assert (loaded, set(kept)) == ({"4"}, {"1", "2", "3"}) and kept["3"].created_at == first
+    # The company comes: two load and go from the rejected rows, in the same build.
+    have["company"] = have["company"].unionByName(staged("company", dict(office_id=1, object_id="c:1", created_at=T(2009, 1, 2))))
+    for _ in range(2):
+        loaded, kept = build("2009-01-03")
+        assert (loaded, set(kept)) == ({"1", "2", "4"}, {"3"})
+        assert kept["3"].violations == ["not_null(company_id)", "not_null(funding_round_id)"] and kept["3"].created_at == first
+
+
+def test_rows_corrected_without_a_new_time_are_tried_again(spark, staged, staging, tmp_path):
+    root = str(tmp_path / "w")
+    have = {"relationships": staging["relationships"], "company": staging["company"], "people": staging["people"]}
+    plans.build_warehouse(spark, have, root)
+    assert {r.key for r in plans.rejected_rows(spark, root, "dim_relationship").collect()} == {"2"}
+    assert [(r.key, r.violations) for r in plans.rejected_rows(spark, root, "dim_company").collect()] == [(None, ["not_null(company_nk)"])]
+    have["relationships"] = have["relationships"].withColumns({
+        "is_past": F.when(F.col("relationship_id") == "2", "True").otherwise(F.col("is_past")),
+        "start_at": F.when(F.col("relationship_id") != "2", F.col("start_at")),
+    })
+    tables = plans.build_warehouse(spark, have, root, run_date="2030-01-01")
+    assert {r.relationship_nk for r in tables["dim_relationship"].collect()} == {"1", "2", "3", "4"}
+    assert plans.rejected_rows(spark, root, "dim_relationship") is None
+    # A company without a key can't be named, so it stays until a whole build.
+    assert plans.rejected_rows(spark, root, "dim_company").count() == 1
+
+
 def test_people_with_one_object_id(spark, staged):
     people = staged("people", dict(people_id="2", object_id="p:1"), dict(people_id="1", object_id="p:1"))
     found = plans.dim_relationship(staged("relationships", dict(relationship_id="r", person_object_id="p:1")), people)
