@@ -23,6 +23,7 @@ from ..functions.documents import json_doc, now, to_json_text
 from ..functions.quality import pct, quality_label
 from ..schemas import PROFILE, struct
 from ..session import materialize, run_all, scratch_scope
+from ..sinks.runlog import logged
 from ..sinks.tables import append, ensure_table
 from .keys import with_dense_id
 from .mapping import tag
@@ -183,18 +184,26 @@ def profile_all(tables: Mapping[str, DataFrame], sample_size: int = SAMPLE_SIZE)
 
 
 def persist_profiles(
-    tables: Mapping[str, DataFrame], path: str, person_in_charge: str, source: str = "-", schema: str = "-", sample_size: int = SAMPLE_SIZE
+    tables: Mapping[str, DataFrame],
+    path: str,
+    person_in_charge: str,
+    source: str = "-",
+    schema: str = "-",
+    sample_size: int = SAMPLE_SIZE,
+    log: str | None = None,
 ) -> dict[str, str]:
     """Profile tables one by one and append each profile when it is ready.
 
-    A table that fails leaves the others' profiles in place; what it failed with is returned by name.
+    A table that fails leaves the others' profiles in place; what it failed with is returned by name. ``log`` is
+    the path of the run log, which gets a row for each table, if there is one.
     """
     failed = {}
     for name, df in tables.items():
         try:
-            with scratch_scope(df.sparkSession):
-                document = profile_document(profile(df, name, sample_size), schema)
+            with logged(df.sparkSession, log, "profiling", "profile and append", source, name) as run, scratch_scope(df.sparkSession):
+                document = materialize(profile_document(profile(df, name, sample_size), schema), "document")
                 persist_profile(tag_profile(document, person_in_charge, source), path)
+                run["n_rows"] = document.first()["n_rows"]
         except Exception as error:
             failed[name] = str(error)
     return failed

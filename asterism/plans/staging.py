@@ -15,10 +15,15 @@ from ..operators.mapping import VIOLATIONS
 from ..operators.validation import NotNull, land_split
 from ..session import scratch_path, scratch_scope
 from ..sinks.files import increment_path, read_increment, write_increment
+from ..sinks.buckets import read_buckets, upsert_buckets
 from ..sinks.runlog import logged, rejected
-from ..sinks.tables import read_table, upsert_path
+from ..sinks.tables import latest_version, read_table, upsert_path
 from ..sources.files import MALFORMED, is_empty, read_csv_raw, read_json_records
-from ..sources.increments import extract_increment
+from ..sources.increments import CHANGE, extract_increment, snapshot_diff
+
+
+#: Buckets of a staged table, if it is not sliced by a column.
+BUCKETS = 64
 
 
 def _load(
@@ -62,9 +67,10 @@ def _landed(
         else:
             storage.delete(spark, increment_path(apart, run_date))
     landed = read_increment(spark, landing, run_date)
+    in_buckets = slice_by is None and latest_version(spark, path) is None
     if landed is None or landed.isEmpty():
-        return read_table(spark, path)
-    return upsert_path(landed, path, keys, slice_by)
+        return read_buckets(spark, path) if in_buckets else read_table(spark, path)
+    return upsert_buckets(landed, path, keys, BUCKETS) if in_buckets else upsert_path(landed, path, keys, slice_by)
 
 
 def stage_table(
@@ -77,13 +83,27 @@ def stage_table(
     incremental: bool = True,
     slice_by: str | None = None,
     log: str | None = None,
+    by_snapshot: bool = False,
 ) -> DataFrame | None:
     """Stage a table, or its rows of the day before ``run_date``.
 
+    ``by_snapshot`` takes the rows that differ from what is staged instead, so that rows come too which are late or
+    have changed without a new date. Rows that the source has lost stay staged.
+
+    It is kept in buckets of its key, or sliced by a column or expression that its rows are staged by, such as
+    their day; an increment then reads and rewrites what its keys are in. A table that was staged in
+    another layout keeps it.
+
     Returns the staged table, or ``None`` when there was nothing to stage. Running a day
     again replaces what it landed and leaves the staged table as it was.
     """
-    rows = extract_increment(source, ts_col, run_date) if incremental else source
+    if by_snapshot:
+        spark = source.sparkSession
+        staged = read_table(spark, path) if latest_version(spark, path) is not None else read_buckets(spark, path)
+        differing = snapshot_diff(clean_newlines(source), staged, keys)
+        rows = differing.where(F.col(CHANGE) != "delete").drop(CHANGE)
+    else:
+        rows = extract_increment(source, ts_col, run_date) if incremental else source
     if is_empty(rows):
         return None
     return _load(clean_newlines(rows), landing, path, keys, run_date, slice_by, log)

@@ -156,11 +156,16 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
             storage.delete(spark, f"{path}/{above}")
 
 
+def _names(places: list[DataFrame]) -> list[str]:
+    """The slices that rows are in: as many names as are read, and so fewer than the version's file has."""
+    return [row["s"] for row in reduce(lambda a, b: a.union(b), places).distinct().limit(MOST_SLICES + 1).collect()]
+
+
 def _comparable(schema: StructType, names: Sequence[str]) -> bool:
     return not any("map<" in schema[name].dataType.simpleString() or schema[name].dataType.typeName() == "variant" for name in names)
 
 
-def _changes(source: DataFrame, target: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def changed_rows(source: DataFrame, target: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Rows of ``source`` that change ``target``: not older than what it has by ``order``, and not equal."""
     supplied = source.columns
     if order:
@@ -187,8 +192,8 @@ def upsert_path(
     ``slice_by`` is a column of the table, or an expression of its columns. Then only the slices with
     rows that change are rewritten, and rows whose slice changes leave the old one: their keys are
     looked up in the whole table, of which that reads the key columns. ``slices_fixed`` leaves that out
-    for a column that never changes for a key, such as a creation date. A table that has another
-    layout is rewritten in the new one.
+    for a column that never changes for a key, such as a creation date. Of slices without a key of
+    ``source`` no other column is read. A table that has another layout is rewritten in the new one.
 
     With ``order``, a row only replaces one that is not later in the order of these columns.
     ``replacing`` has values of some columns: stored rows with these that ``source`` has no key of go.
@@ -212,12 +217,21 @@ def upsert_path(
         table = current.read(spark, path)
         landed = materialize_at(aligned(source, table.schema), f"{aside}/source")
         assert_unique(landed, keys)
-        changes = materialize_at(_changes(landed, table, keys, order), f"{aside}/changes")
+        known = landed.select([F.col(k).alias(f"_key_{k}") for k in keys])
+        sliced = slice_by is not None and slice_by == current.slice_by
+        near = table
+        if sliced:
+            # Which slices have the keys: of the others not a row is read.
+            places = [landed.select(_slice_name(slice_by).alias("s"))]
+            if not slices_fixed:
+                places.append(table.withColumn("s", _slice_name(slice_by)).join(known, match(keys), "left_semi").select("s"))
+            near = current.read(spark, path, _names(places))
+        stored = materialize_at(near.join(known, match(keys), "left_semi"), f"{aside}/stored")
+        changes = materialize_at(changed_rows(landed, stored, keys, order), f"{aside}/changes")
         gone = None
         if replacing is not None:
-            stored = table.join(replacing.select([F.col(c).alias(f"_key_{c}") for c in replacing.columns]), match(replacing.columns), "left_semi")
-            stay = landed.select([F.col(k).alias(f"_key_{k}") for k in keys])
-            gone = materialize_at(stored.join(stay, match(keys), "left_anti"), f"{aside}/gone")
+            affected = table.join(replacing.select([F.col(c).alias(f"_key_{c}") for c in replacing.columns]), match(replacing.columns), "left_semi")
+            gone = materialize_at(affected.join(known, match(keys), "left_anti"), f"{aside}/gone")
         if changes.isEmpty() and (gone is None or gone.isEmpty()):
             return table
 
@@ -226,16 +240,13 @@ def upsert_path(
                 rows = rows.join(gone.select([F.col(k).alias(f"_key_{k}") for k in keys]), match(keys), "left_anti")
             return upsert(rows, changes, keys)
 
-        if slice_by is None or slice_by != current.slice_by:
+        if not sliced:
             slices, n_rows = _write(merged(table), path, slice_by)
         else:
-            touched = [changes] if gone is None else [changes, gone]
-            if not slices_fixed:
-                known = changes.select([F.col(k).alias(f"_key_{k}") for k in keys])
-                touched.append(table.join(known, match(keys), "left_semi"))
-            found = reduce(lambda a, b: a.union(b), [rows.select(_slice_name(slice_by).alias("s")) for rows in touched])
-            # As many names as slices are rewritten, and so fewer than the version's file has.
-            names = [row["s"] for row in found.distinct().limit(MOST_SLICES + 1).collect()]
+            # Where changed rows go, and where they were.
+            moved = changes.select([F.col(k).alias(f"_key_{k}") for k in keys])
+            touched = [changes, stored.join(moved, match(keys), "left_semi"), *([] if gone is None else [gone])]
+            names = _names([rows.select(_slice_name(slice_by).alias("s")) for rows in touched])
             part = current.read(spark, path, names)
             written, n_written = _write(merged(part), path, slice_by)
             slices = {name: folder for name, folder in current.slices.items() if name not in names} | written

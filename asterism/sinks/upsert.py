@@ -29,7 +29,17 @@ def assert_unique(df: DataFrame, keys: str | list[str]) -> None:
         raise DuplicateKeys(f"{parse_keys(keys)} not unique, e.g. {[row.asDict() for row in found]}")
 
 
-def dedupe_latest(df: DataFrame, keys: str | list[str], order: list[str]) -> DataFrame:
+def content_hash(schema: StructType) -> Column:
+    """A number made of all columns, which decides between rows that an order leaves equal, wherever they meet."""
+    def plain(field) -> Column:
+        # Neither maps nor variants can be hashed.
+        column = F.col(quoted(field.name))
+        return F.to_json(F.struct(column)) if any(kind in field.dataType.simpleString() for kind in ("map<", "variant")) else column
+
+    return F.xxhash64(*[plain(field) for field in schema.fields])
+
+
+def dedupe_latest(df: DataFrame, keys: str | list[str], order: list[str | Column]) -> DataFrame:
     """The last row of each key by ``order``, which should tell the rows of a key apart.
 
     An aggregate, so that each task reduces its rows of a key to one before the shuffle.

@@ -12,8 +12,9 @@ from pyspark.sql.types import StructType
 
 from .. import storage
 from ..session import materialize_at, scratch_path
+from ..sinks.buckets import upsert_buckets
 from ..sinks.tables import upsert_path
-from ..sinks.upsert import dedupe_latest
+from ..sinks.upsert import content_hash, dedupe_latest
 
 
 def upsert_stream(
@@ -24,24 +25,30 @@ def upsert_stream(
     keys: list[str],
     order: list[str],
     checkpoint: str,
-    slice_by: str,
+    slice_by: str | None = None,
     files_per_batch: int = 1_000,
+    buckets: int = 64,
 ) -> StreamingQuery:
     """Upsert the parquet files that have landed since the last run, then stop.
 
     The last row of a key by ``order`` wins, whatever batch or run it came in: a row never replaces
-    one that is later. ``slice_by`` is a column or expression such as a day; a batch rewrites the
-    slices with rows that it changes, never the whole table. A batch that is repeated after a failure finds
-    its rows there already and changes nothing. ``checkpoint`` must be in storage that outlives the
-    cluster.
+    one that is later. Rows that ``order`` leaves equal go by a hash of all their columns, so that the table
+    is the same for any order of files and any size of batches. The table is in ``buckets`` of its key
+    (``sinks.read_buckets``), of which a batch reads those of its keys; with ``slice_by``, a column or expression such
+    as a day, it is sliced by that (``sinks.read_table``). A batch that is repeated after a failure finds
+    its rows there already and changes nothing. ``checkpoint`` must be in storage that outlives the cluster.
     """
+    total = [*order, content_hash(schema)]
 
     def load(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
             aside = scratch_path(spark, "batch")
             try:
-                latest = materialize_at(dedupe_latest(batch, keys, order), aside)
-                upsert_path(latest, path, keys, slice_by, order=order)
+                latest = materialize_at(dedupe_latest(batch, keys, total), aside)
+                if slice_by is None:
+                    upsert_buckets(latest, path, keys, buckets, total)
+                else:
+                    upsert_path(latest, path, keys, slice_by, order=total)
             finally:
                 storage.delete(spark, aside)
 

@@ -11,7 +11,7 @@ from .sources import ALL
 
 NUMERIC = ("bigint", "int", "double")
 ARRAY = "'array'"
-PROFILED = ["customer", "orders", "events"]
+PROFILED = ALL
 
 
 def samples_sql(table: str, column: str) -> str:
@@ -31,7 +31,17 @@ def profile_sql(table: str, at: int, column: str, kind: str) -> str:
       AS percentage_completeness,
     CASE WHEN count({column}) * 100 > count(*) * 90 THEN 'Good' ELSE 'Bad' END AS data_quality_completeness_result,
     {negative} AS is_negative_values,
-    (SELECT string_agg(value, '|' ORDER BY place) FROM ({samples_sql(table, column)})) AS samples FROM {table}"""
+    {shown_sql(table, column, kind)} AS samples FROM {table}"""
+
+
+def shown_sql(table: str, column: str, kind: str) -> str:
+    """Samples in one text. Engines print an array of floats differently, so of these only the number counts."""
+    text = f"(SELECT string_agg({"'array'" if kind.startswith('array') else 'value'}, '|' ORDER BY place) FROM ({samples_sql(table, column)}))"
+    return text
+
+
+def shown(kind, samples):
+    return F.array_join(F.transform(samples, lambda v: F.when(kind.startswith("array"), F.lit("array")).otherwise(v)), "|")
 
 
 def all_columns(names):
@@ -39,7 +49,7 @@ def all_columns(names):
 
 
 def flat(profiles):
-    return profiles.withColumn("samples", F.array_join("sample_data", "|")).drop("sample_data")
+    return profiles.withColumn("samples", shown(F.col("data_type"), F.col("sample_data"))).drop("sample_data")
 
 
 @check("prf_1_profile_table", " UNION ALL ".join(profile_sql(*column) for column in all_columns(PROFILED)))
@@ -75,11 +85,11 @@ def completeness(t: Tables):
         f"SELECT '{table}' AS table_name, '{column}' AS column_name, "
         + ("min({0}) < 0".format(column) if kind in NUMERIC else "min({0}) IS NULL".format(column))
         + f" AS is_negative_values FROM {table}"
-        for table, _, column, kind in all_columns(["customer", "supplier", "lineitem"])
+        for table, _, column, kind in all_columns(ALL)
     ),
 )
 def negatives(t: Tables):
-    profiles = ops.profile_all({name: getattr(t, name) for name in ["customer", "supplier", "lineitem"]})
+    profiles = ops.profile_all({name: getattr(t, name) for name in ALL})
     return profiles.select("table_name", "column_name", "is_negative_values")
 
 
@@ -107,7 +117,7 @@ DOCUMENT_SQL = " UNION ALL ".join(
 
 @check("prf_5_profile_document", DOCUMENT_SQL)
 def profile_document(t: Tables):
-    """The documents of three tables, taken apart again for comparison."""
+    """The documents of all tables, taken apart again for comparison."""
     documents = ops.profile_document(ops.profile_all({n: getattr(t, n) for n in PROFILED}), schema="main")
     entries = documents.select(
         "schema", "table_name", "n_rows", "n_cols", "data_quality", F.explode("data_profile").alias("column_name", "p")
@@ -120,7 +130,7 @@ def profile_document(t: Tables):
         "n_cols",
         "column_name",
         "p.data_type",
-        F.array_join("p.sample_data", "|").alias("samples"),
+        shown(F.col("p.data_type"), F.col("p.sample_data")).alias("samples"),
         quality["percentage_completeness"].alias("percentage_completeness"),
         quality["data_quality_completeness_result"].alias("data_quality_completeness_result"),
         quality["is_negative_values"].alias("is_negative_values"),
@@ -159,6 +169,25 @@ def persist_profile(t: Tables):
     return saved.drop("data_profile", "data_quality", "created_at")
 
 
+@check(
+    "prf_7_persist_profiles",
+    " UNION ALL ".join(
+        f"SELECT {at}::BIGINT AS profile_id, '{table}' AS table_name, count(*) AS n_rows, {len(COLUMNS[table])} AS n_cols, 'success' AS status, "
+        f"count(*) AS logged_rows FROM {table}"
+        for at, table in enumerate(ALL, start=1)
+    )
+    + " UNION ALL SELECT NULL, 'absent', NULL, NULL, 'failed', NULL",
+)
+def persist_profiles(t: Tables):
+    """Every table, and one that cannot be read: the others' profiles are there, and the run log has them all."""
+    path, log = scratch_path(t.spark, "profiles"), scratch_path(t.spark, "log")
+    broken = t.region.selectExpr("raise_error('cannot be read') AS x")
+    ops.persist_profiles({name: getattr(t, name) for name in ALL} | {"absent": broken}, path, "owner", "files", log=log)
+    saved = t.spark.read.parquet(path).select("profile_id", "table_name", "n_rows", "n_cols")
+    runs = t.spark.read.parquet(log).select("table_name", "status", F.col("n_rows").alias("logged_rows"))
+    return runs.join(saved, "table_name", "left")
+
+
 @check(
     "prf_8_profile_catalog",
     " UNION ALL ".join(

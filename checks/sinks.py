@@ -65,6 +65,16 @@ def upsert_sliced(t: Tables):
     return sinks.upsert_path(changed, path, "o_orderkey", slice_by="quarter").drop("quarter")
 
 
+@check("snk_3_upsert_pruned", UPSERT_SQL)
+def upsert_pruned(t: Tables):
+    """A table in buckets of its key; the change reads and writes the buckets of its keys, and a second time nothing."""
+    path = scratch_path(t.spark, "orders")
+    sinks.upsert_buckets(early_orders(t), path, "o_orderkey", buckets=16)
+    for _ in range(2):
+        found = sinks.upsert_buckets(changed_orders(t), path, "o_orderkey")
+    return found
+
+
 @check("snk_3_upsert_relayout", UPSERT_SQL)
 def upsert_relayout(t: Tables):
     """A whole table, then a change by quarters, then the same change by years and without slices."""

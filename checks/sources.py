@@ -29,6 +29,42 @@ def incremental(t: Tables):
     return sources.extract_increment(t.orders, "o_orderdate", "1998-06-16")
 
 
+@check(
+    "src_1_quantile_strides",
+    """SELECT l_orderkey, l_linenumber, l_partkey, 1 AS by_number, 1 AS by_skewed, 1 AS by_time, 1 AS by_text FROM lineitem""",
+)
+def quantile_strides(t: Tables):
+    """In how many strides a row is: of an even column, of one with few values and nulls, of times, and of hashed text."""
+    rows = t.lineitem.withColumn("few", F.when(F.col("l_quantity") > 5, F.least("l_linenumber", F.lit(2))))
+    rows = rows.withColumn("key", F.when(F.col("l_quantity") > 5, F.col("l_orderkey").cast("string")))
+    strides = {
+        "by_number": sources.stride_predicates("l_partkey", sources.stride_bounds(rows, "l_partkey", 8)),
+        "by_skewed": sources.stride_predicates("few", sources.stride_bounds(rows, "few", 8)),
+        "by_time": sources.stride_predicates("l_shipdate", sources.stride_bounds(rows, "l_shipdate", 8)),
+        "by_text": sources.hash_predicates("crc32(key)", 8),
+    }
+    met = {name: sum((F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates), F.lit(0)) for name, predicates in strides.items()}
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", *[column.alias(name) for name, column in met.items()])
+
+
+@check(
+    "src_2_snapshot_diff",
+    """WITH staged AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+      CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority) FROM orders WHERE o_orderkey % 5 <> 0),
+    source AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0)
+    SELECT s.*, CASE WHEN d.o_orderkey IS NULL THEN 'insert' ELSE 'update' END AS change FROM source s LEFT JOIN staged d ON s.o_orderkey = d.o_orderkey
+    WHERE d.o_orderkey IS NULL OR s.o_totalprice <> d.o_totalprice OR s.o_orderpriority IS DISTINCT FROM d.o_orderpriority
+    UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL, 'delete' FROM staged WHERE o_orderkey NOT IN (SELECT o_orderkey FROM source)""",
+)
+def snapshot_diff(t: Tables):
+    """Rows that came late, changed without a new date, or went, against what is staged."""
+    staged = t.orders.where("o_orderkey % 5 <> 0").withColumns({
+        "o_totalprice": F.when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+        "o_orderpriority": F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderpriority")),
+    })
+    return sources.snapshot_diff(t.orders.where("o_orderkey % 3 <> 0"), staged, "o_orderkey")
+
+
 @check("src_3_jdbc_projected", "SELECT o_orderkey, o_totalprice FROM orders")
 def projected(t: Tables):
     return t.orders.select("o_orderkey", "o_totalprice")

@@ -386,9 +386,9 @@ def incremental_file_upsert(t: Tables):
         drop.write.mode("append").parquet(f"{folder}/landing")
         upsert_stream(
             t.spark, f"{folder}/landing", t.events.schema, f"{folder}/table", ["event_id"], ["ts", "value"],
-            f"{folder}/checkpoint", "to_date(ts)",
+            f"{folder}/checkpoint", buckets=16,
         ).awaitTermination()
-    return sinks.read_table(t.spark, f"{folder}/table")
+    return sinks.read_buckets(t.spark, f"{folder}/table")
 
 
 @check(
@@ -396,16 +396,42 @@ def incremental_file_upsert(t: Tables):
     "SELECT files, event_id, ts, value FROM events, (SELECT unnest(['1', '1000']) AS files)",
 )
 def out_of_order_files(t: Tables):
-    """Newer rows land before older ones; the table is the same for one and for many files in a batch."""
+    """Newer rows land before older ones; the table is the same for a few and for many files in a batch."""
     parts = []
     for files in (1, 1000):
         folder = scratch_path(t.spark, "events")
         stale = t.events.withColumns({"ts": F.col("ts") - F.expr("INTERVAL 1 DAY"), "value": F.lit(-1.0)})
         for drop in (t.events, stale):
-            drop.coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+            drop.write.mode("append").parquet(f"{folder}/landing")
+        n = 1000 if files > 1 else len(t.spark.read.parquet(f"{folder}/landing").inputFiles()) // 2
         upsert_stream(
             t.spark, f"{folder}/landing", t.events.schema, f"{folder}/table", ["event_id"], ["ts"], f"{folder}/checkpoint",
-            "event_id div 1000", files,
+            "event_id div 1000", n,
         ).awaitTermination()
         parts.append(sinks.read_table(t.spark, f"{folder}/table").select(F.lit(str(files)).alias("files"), "event_id", "ts", "value"))
     return parts[0].unionByName(parts[1])
+
+
+@check(
+    "str_1_equal_order",
+    """SELECT files, order_key, max(line) AS line FROM (SELECT l_orderkey AS order_key,
+      l_linenumber * 1000000 + CAST(l_quantity AS BIGINT) AS line FROM lineitem), (SELECT unnest([1, 2, 1000]) AS files)
+    GROUP BY 1, 2""",
+)
+def equal_order(t: Tables):
+    """Rows of a key that the first order column leaves equal, in all file orders and batch sizes: one table.
+
+    The lines of an order land in several files, as often as there are batch sizes, the second time the other way round.
+    """
+    line = (F.col("l_linenumber") * 1_000_000 + F.col("l_quantity").cast("long")).alias("line")
+    rows = t.lineitem.select(F.col("l_orderkey").alias("order_key"), line, F.lit(0).alias("at"))
+    parts = []
+    for files, by in ((1, F.col("line")), (2, -F.col("line")), (1000, F.col("line"))):
+        folder = scratch_path(t.spark, "lines")
+        rows.repartitionByRange(4, by).write.parquet(f"{folder}/landing")
+        upsert_stream(
+            t.spark, f"{folder}/landing", rows.schema, f"{folder}/table", ["order_key"], ["at", "line"], f"{folder}/checkpoint",
+            files_per_batch=files, buckets=16,
+        ).awaitTermination()
+        parts.append(sinks.read_buckets(t.spark, f"{folder}/table").select(F.lit(files).alias("files"), "order_key", "line"))
+    return reduce(lambda a, b: a.union(b), parts)

@@ -136,3 +136,34 @@ def test_csv_records_over_several_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,note\n1,"two\nlines"\n2,one\n')
     found = sources.read_csv_raw(spark, str(tmp_path), multi_line=True, malformed=True)
     assert [(r.id, r.note, r._malformed) for r in found.collect()] == [("1", "two\nlines", None), ("2", "one", None)]
+
+
+@pytest.mark.parametrize("values", [[1, 1, 1, 1, 2, 9], [5], [None, None], [], ["a", "b'c", None, "z"], [1.5, -2.25, 0.0]])
+def test_strides_are_disjoint_and_cover(spark, values):
+    kind = "string" if any(isinstance(v, str) for v in values) else "double"
+    df = spark.createDataFrame([(v if v is None or kind == "string" else float(v),) for v in values], f"x {kind}")
+    bounds = sources.stride_bounds(df, "x", 4) if kind == "double" else ["b'c", "a", "b'c"]
+    for predicates in (sources.stride_predicates("x", bounds), sources.hash_predicates("hash(x)" if kind == "double" else "crc32(x)", 3)):
+        met = sum((F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates), F.lit(0))
+        assert [row[0] for row in df.select(met).collect()] == [1] * len(values)
+
+
+def test_a_value_with_most_rows_has_a_stride_of_its_own(spark):
+    df = spark.createDataFrame([(7,)] * 900 + [(i,) for i in range(100)], "x int")
+    predicates = sources.stride_predicates("x", sources.stride_bounds(df, "x", 10))
+    assert "x >= 7 AND x < " in " ".join(predicates) or predicates[-1] == "x >= 7"
+    assert sources.quantile_query("t", "x", 3).count("PERCENTILE_DISC") == 2
+
+
+def test_snapshot_diff(spark, rows):
+    kinds = "a int, b string, v double, m map<string,int>"
+    staged = spark.createDataFrame([(1, "x", 1.0, None), (2, None, None, {"k": 1}), (3, "x", 3.0, None), (None, None, 4.0, None)], kinds)
+    source = spark.createDataFrame([("1", "x", 1.0, "n"), ("2", None, 0.0, "n"), (None, None, 4.0, "n"), ("5", "new", None, "n")], "a string, b string, v double, other string")
+    found = sources.snapshot_diff(source, staged.drop("m"), ["a", "b"])
+    assert found.columns == ["a", "b", "v", "other", "change"]
+    assert rows(found) == sorted([("2", None, 0.0, "n", "update"), ("5", "new", None, "n", "insert"), ("3", "x", None, None, "delete")], key=repr)
+    assert rows(sources.snapshot_diff(staged, staged, "a")) == []
+    # A null and an empty text, or values that change places, are changes.
+    one, two = [spark.createDataFrame([(1, *v)], "k int, x string, y string") for v in ((None, ""), ("", None))]
+    assert rows(sources.snapshot_diff(one, two, "k")) == [(1, None, "", "update")]
+    assert {r.change for r in sources.snapshot_diff(staged, None, "a").collect()} == {"insert"}

@@ -32,3 +32,17 @@ def test_order_wins_over_the_batch(spark, rows, tmp_path):
         upsert_stream(spark, landing, schema, path, ["id"], ["at"], checkpoint, "id", files).awaitTermination()
         tables.append(rows(sinks.read_table(spark, path)))
     assert tables == [[(1, 10, "new"), (2, 2, "B")]] * 2
+
+
+def test_rows_that_the_order_leaves_equal(spark, rows, tmp_path):
+    """One table for every order of files and size of batches, in both layouts."""
+    files = [[(1, 7, "a"), (2, 1, None)], [(1, 7, "b"), (2, 1, "x")], [(1, 7, "c"), (1, 6, "z"), (3, None, "n")]]
+    found = set()
+    for n, (order, per_batch, slice_by) in enumerate([((0, 1, 2), 1, None), ((2, 1, 0), 1, None), ((1, 2, 0), 2, None), ((0, 2, 1), 3, None), ((2, 0, 1), 1, "id % 2")]):
+        landing, path, checkpoint = (str(tmp_path / f"{name}{n}") for name in ("landing", "table", "checkpoint"))
+        for i in order:
+            spark.createDataFrame(files[i], SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+        schema = spark.createDataFrame([], SCHEMA).schema
+        upsert_stream(spark, landing, schema, path, ["id"], ["at"], checkpoint, slice_by, per_batch, buckets=3).awaitTermination()
+        found.add(tuple(rows(sinks.read_table(spark, path) if slice_by else sinks.read_buckets(spark, path))))
+    assert len(found) == 1 and len(found.pop()) == 3

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from asterism import plans, schemas
 from asterism.plans.facts import latest_ipos
-from asterism.sinks import read_table
+from asterism.sinks import read_increment, read_table
 
 T = datetime.datetime
 DAY = T(2008, 6, 18, 8, 14, 6)
@@ -380,3 +380,14 @@ def test_staging_rejects_and_logs(spark, tmp_path):
     invalid = spark.read.parquet(f"{landing}_invalid").collect()
     assert sorted(r.violations[0] for r in invalid) == ["not_null(id)", "well_formed", "well_formed"]
     assert {(r.status, r.n_rows, r.error_msg) for r in spark.read.parquet(log).collect()} == {("success", 4, "3 rows rejected")}
+
+
+def test_staging_what_differs(spark, staged, rows, tmp_path):
+    landing, path = str(tmp_path / "landing"), str(tmp_path / "funds")
+    source = staged("funds", dict(fund_id="1", name="a\nb", created_at=DAY), dict(fund_id="2", name="c"), dict(fund_id="3", name="gone"))
+    plans.stage_table(source, landing, path, ["fund_id"], "2008-06-19", incremental=False)
+    changed = staged("funds", dict(fund_id="1", name="a\nb", created_at=DAY), dict(fund_id="2", name="C"), dict(fund_id="4", name="late", created_at=T(2001, 1, 1)))
+    found = plans.stage_table(changed, landing, path, ["fund_id"], "2008-06-20", by_snapshot=True)
+    assert rows(found, "fund_id", "name") == [("1", "a b"), ("2", "C"), ("3", "gone"), ("4", "late")]
+    assert rows(read_increment(spark, landing, "2008-06-20"), "fund_id") == [("2",), ("4",)]
+    assert plans.stage_table(changed, landing, path, ["fund_id"], "2008-06-21", by_snapshot=True) is None
