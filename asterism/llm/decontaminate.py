@@ -4,21 +4,21 @@ Words (letters and digits, A-Z in lower case) are hashed to a fixed number of te
 into passages. A randomised singular value decomposition of the passages' TF-IDF matrix ``A`` takes
 two passes over all documents: document frequencies, then ``Aᵀ(AΩ)`` for a random ``Ω``, which tasks sum
 by themselves before the sums are shuffled. Passages are compared in the space of the leading
-singular vectors, each scaled to unit variance, by their cosine to the passages of the benchmark. These
-vectors say little about rare words, so what is close there must also be close in a random projection
-of the TF-IDF weights.
-
-A third pass forms overlapping windows of each document from sums of blocks of words, multiplies them
-with the benchmark's vectors, and checks what is close enough word by word: an item is found where
-the longest common subsequence of its words and those around the window is long enough. If it is not
-nearly whole, the item's answer (its last words) must be there as well.
+singular vectors, each scaled to unit variance, by their cosine.
+
+A third pass compares each item of the benchmark with the windows of a document that are as long as the item,
+one at each word, by their cosine in the latent space. Windows are left out where the subsequence that is looked
+for cannot be: it has most of the item's words, and so some of the item's rarest ones, which must stand
+near the window. What is close enough is checked word by word: an item is found where the longest common
+subsequence of its words and those around the window is long enough. If it is not nearly whole,
+the item's answer (its last words) must be there as well.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +30,12 @@ from .common import mixed, pieces, small_batches, word_hashes, word_spans
 TERMS = 1 << 14
 RANK = 64
 OVERSAMPLED = 16
-#: Words of a block, and blocks of a passage; windows move on by a block.
-BLOCK = 8
-BLOCKS = 3
-#: Columns of the random projection, and cosines in the latent space and in the projection from
-#: which a window is checked.
-SPREAD = 64
-CLOSE = 0.5
-CLOSE_WORDS = 0.45
+#: Words of a passage.
+PASSAGE = 24
+#: Cosine in the latent space from which a window is checked.
+CLOSE = 0.3
+#: Rare words that must stand near a window, if the item's length asks for as many.
+RARE = 3
 #: Share of an item's words in the common subsequence: from where it is found with its answer, and
 #: from where it is found without.
 PARAPHRASED = 0.6
@@ -45,8 +43,10 @@ NEARLY_WHOLE = 0.85
 #: Last words of an item that are its answer, and the share of them that must be there.
 ANSWER = 6
 ANSWERED = 0.5
-#: Words below which an item says too little to be looked for.
+#: Words below which an item says too little to be known by some of them: it is found where it stands word for word.
 LEAST_WORDS = 5
+#: Windows compared at a time.
+WINDOWS_AT_ONCE = 4096
 #: Items searched for in one pass over the documents.
 ITEMS_AT_ONCE = 2000
 
@@ -101,7 +101,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts, passages = np.zeros(TERMS, np.int64), 0
     for batch in batches:
         for *_, terms, base in _read(batch.column("raw").to_pylist()):
-            rows = _rows_of(terms, _cut(base, BLOCK * BLOCKS)[0], BLOCK * BLOCKS).astype(np.uint16)
+            rows = _rows_of(terms, _cut(base, PASSAGE)[0], PASSAGE).astype(np.uint16)
             rows.sort(axis=1)
             new = np.ones(rows.shape, bool)
             new[:, 1:] = rows[:, 1:] != rows[:, :-1]
@@ -135,7 +135,7 @@ def _sketch(weights: np.ndarray):
         total = np.zeros_like(omega)
         for batch in batches:
             for *_, terms, base in _read(batch.column("raw").to_pylist()):
-                rows = _rows_of(terms, _cut(base, BLOCK * BLOCKS)[0], BLOCK * BLOCKS)
+                rows = _rows_of(terms, _cut(base, PASSAGE)[0], PASSAGE)
                 values = scale[rows]
                 values /= np.sqrt(np.maximum((values * values).sum(axis=1, keepdims=True), 1e-12))
                 products = _products(rows, values, omega)
@@ -169,12 +169,19 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["term", "part"])
 
 
-def latent_space(docs: DataFrame) -> np.ndarray:
-    """The matrix that takes the terms of a passage of ``docs`` (``raw``) into the latent space, and, in its
-    last ``SPREAD`` columns, to a random projection of their TF-IDF weights.
+@dataclass
+class Space:
+    """The matrix that takes the terms of a passage into the latent space, and the terms' weights, which are part of it.
 
-    Its size is fixed: ``TERMS`` rows, ``RANK + SPREAD`` columns. TF-IDF weights are part of it.
+    Its size is fixed: ``TERMS`` rows, ``RANK`` columns.
     """
+
+    matrix: np.ndarray
+    weights: np.ndarray
+
+
+def latent_space(docs: DataFrame) -> Space:
+    """The latent space of the passages of ``docs`` (``raw``)."""
     weights = inverse_frequencies(docs)
     parts = docs.select("raw").mapInArrow(_sketch(weights), "term long, part binary")
     rows = parts.repartition(16, "term").mapInArrow(_summed, "term long, part binary").collect()
@@ -187,8 +194,7 @@ def latent_space(docs: DataFrame) -> np.ndarray:
     held = values > 1e-9 * max(values.max(), 1e-12)
     left, sizes, _ = np.linalg.svd(y @ (vectors[:, held] / np.sqrt(values[held])), full_matrices=False)
     rank = min(RANK, int((sizes > 1e-9 * max(sizes.max(initial=0), 1e-12)).sum()))
-    latent = weights[:, None] * left[:, :rank] / sizes[:rank]
-    return np.hstack([latent, weights[:, None] * _random_matrix()[:, :SPREAD]]).astype(np.float32)
+    return Space((weights[:, None] * left[:, :rank] / sizes[:rank]).astype(np.float32), weights)
 
 
 def common_subsequence(masks: dict[bytes, int], size: int, words: list[bytes]) -> int:
@@ -214,77 +220,137 @@ def _masks(words: list[bytes]) -> dict[bytes, int]:
 
 @dataclass
 class Queries:
-    """Benchmark items: words, and by blocks of a window the vectors of their pieces."""
+    """Benchmark items: words, vectors, and by the hash of each rare word the items that have it."""
 
     ids: list[int]
     words: list[list[bytes]]
-    vectors: dict[int, tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]] = field(default_factory=dict)
+    vectors: np.ndarray
+    sizes: np.ndarray
+    needed: np.ndarray
+    rare: np.ndarray
+    first: np.ndarray
+    items: np.ndarray
 
     @classmethod
-    def of(cls, items: list[tuple[int, bytes]], space: np.ndarray) -> Queries:
-        known = [(i, _plain(raw).split()) for i, raw in items]
-        known = [(i, words) for i, words in known if len(words) >= LEAST_WORDS]
-        made = cls([i for i, _ in known], [words for _, words in known])
-        by_size: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
-        for at, words in enumerate(made.words):
-            blocks = 1 if len(words) < 7 else 2 if len(words) < 12 else BLOCKS
-            size = BLOCK * blocks
+    def of(cls, items: list[tuple[int, bytes]], space: Space) -> Queries:
+        known = [(i, words) for i, words in ((i, _plain(raw).split()) for i, raw in items) if words]
+        vectors, needed, having = [], [], defaultdict(set)
+        for at, (_, words) in enumerate(known):
             data = np.frombuffer(b" ".join(words), np.uint8)
-            rows = space[_terms(data, *word_spans(data))]
-            starts = sorted({*range(0, max(1, len(words) - size + 1), BLOCK), max(0, len(words) - size)})
-            by_size[blocks] += [(at, rows[a : a + size].sum(axis=0)) for a in starts]
-        for blocks, found in by_size.items():
-            made.vectors[blocks] = np.array([at for at, _ in found]), _halves(np.array([v for _, v in found]))
-        return made
+            spans = word_spans(data)
+            terms, hashes = _terms(data, *spans), word_hashes(data, *spans)
+            vectors.append(space.matrix[terms].sum(axis=0))
+            # A subsequence of so many words leaves out few, so of these and RARE more it has as many as RARE.
+            least = len(words) if len(words) < LEAST_WORDS else -(-int(round(100 * PARAPHRASED)) * len(words) // 100)
+            needed.append(min(RARE, least))
+            order = np.lexsort((hashes, -space.weights[terms]))
+            for word in hashes[order[: len(words) - least + needed[-1]]].tolist():
+                having[word].add(at)
+        rare = np.array(sorted(having), np.uint64)
+        lists = [sorted(having[word]) for word in rare.tolist()]
+        return cls(
+            [i for i, _ in known], [words for _, words in known], _unit(np.array(vectors)) if known else np.zeros((0, 1), np.float32),
+            np.array([len(words) for _, words in known], np.int64), np.array(needed, np.int64), rare,
+            np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64), np.array([i for x in lists for i in x], np.int64),
+        )
+
+    def places(self, hashes: np.ndarray, base: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+        """Text, item, and the ranges of windows (first and last word to start at) that have enough rare words around."""
+        at = np.minimum(np.searchsorted(self.rare, hashes), len(self.rare) - 1)
+        place = np.flatnonzero(self.rare[at] == hashes)
+        word = at[place]
+        counts = self.first[word + 1] - self.first[word]
+        place = np.repeat(place, counts)
+        item = self.items[np.repeat(self.first[word] - np.cumsum(counts) + counts, counts) + np.arange(len(place))]
+        order = np.argsort(item, kind="stable")
+        item, place = item[order], place[order]
+        text = np.searchsorted(base, place, side="right") - 1
+        other = np.arange(len(item)) + self.needed[item] - 1
+        inside = np.minimum(other, len(item) - 1)
+        met = (other < len(item)) & (item[inside] == item) & (text[inside] == text) & (place[inside] - place < 3 * self.sizes[item])
+        found = np.flatnonzero(met)
+        size = self.sizes[item[found]]
+        low = np.maximum(place[inside[found]] - 2 * size + 1, base[text[found]])
+        high = np.minimum(place[found] + size, np.maximum(base[text[found] + 1] - size, base[text[found]]))
+        ranges: list[tuple[int, int]] = []
+        for i, (row, which, a, b) in enumerate(zip(text[found].tolist(), item[found].tolist(), low.tolist(), high.tolist())):
+            a = min(a, b)
+            if ranges and a <= ranges[-1][1] + 1:
+                ranges[-1] = (ranges[-1][0], max(b, ranges[-1][1]))
+            else:
+                ranges.append((a, b))
+            if i + 1 == len(found) or text[found[i + 1]] != row or item[found[i + 1]] != which:
+                yield row, which, ranges
+                ranges = []
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
     return (rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
-def _halves(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors in the latent space, and in the projection."""
-    return _unit(rows[:, :-SPREAD]), _unit(rows[:, -SPREAD:])
+def _window_cosines(vectors: np.ndarray, size: int, item: np.ndarray) -> np.ndarray:
+    """Cosines of an item to the windows of so many words that start at each word; the last ones are shorter.
+
+    An item of few words, or only of words that all passages have, is close to any window: its words decide.
+    """
+    if size < LEAST_WORDS or not item.any():
+        return np.ones(len(vectors))
+    sums = np.concatenate([np.zeros((1, vectors.shape[1])), np.cumsum(vectors, axis=0, dtype=np.float64)])
+    ends = np.minimum(np.arange(len(vectors)) + size, len(vectors))
+    return _unit(sums[ends] - sums[:-1]) @ item
 
 
-def _search(space: np.ndarray, queries: Queries):
+class Checked:
+    """An item's words, to be looked for around windows."""
+
+    def __init__(self, words: list[bytes]):
+        self.words, self.size = words, len(words)
+        self.masks, self.last = _masks(words), _masks(words[-ANSWER:])
+        self.n_last = min(ANSWER, self.size)
+
+    def shares(self, around: list[bytes]) -> tuple[float, float] | None:
+        """Shares of the item and of its answer in some words; none if it is not found there."""
+        if self.size < LEAST_WORDS:
+            whole = any(around[i : i + self.size] == self.words for i in range(len(around) - self.size + 1))
+            return (1.0, 1.0) if whole else None
+        share = common_subsequence(self.masks, self.size, around) / self.size
+        answer = common_subsequence(self.last, self.n_last, around) / self.n_last
+        return (share, answer) if share >= NEARLY_WHOLE or share >= PARAPHRASED and answer >= ANSWERED else None
+
+
+def _search(space: Space, queries: Queries, close: float = CLOSE):
     names = ["doc", "item_id", "cosine", "lcs_share", "answer_share", "first_word"]
 
+    def best_of(read: tuple, row: int, item: Checked, vector: np.ndarray, ranges: list[tuple[int, int]]) -> tuple | None:
+        """Of the windows in some ranges that are close, the best one that has the item: shares, cosine and place."""
+        raw, starts, ends, terms, base = read
+        best: tuple | None = None
+        size, begin, over = item.size, int(base[row]), int(base[row + 1])
+        for low, high in ranges:
+            for a in range(low, high + 1, WINDOWS_AT_ONCE):
+                n = min(high + 1 - a, WINDOWS_AT_ONCE)
+                cosines = _window_cosines(space.matrix[terms[a : min(a + n + size - 1, over)]], size, vector)[:n]
+                while (cosines >= close).any():
+                    top = int(np.argmax(cosines))
+                    first, last = max(begin, a + top - size), min(over, a + top + 2 * size)
+                    found = item.shares([raw[s:e] for s, e in zip(starts[first:last].tolist(), ends[first:last].tolist())])
+                    if found:
+                        best = max(best or (0.0,), (*found, float(cosines[top]), a + top - begin))
+                        if found[0] == 1:
+                            return best
+                    # What is left are windows around which other words stand.
+                    cosines[max(0, top - size // 2) : top + size // 2 + 1] = -np.inf
+        return best
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        extended = _extended(space)
-        masks = [_masks(words) for words in queries.words]
-        answers = [_masks(words[-ANSWER:]) for words in queries.words]
+        checked = [Checked(words) for words in queries.words]
         for batch in batches:
             out: list[tuple] = []
             docs = batch.column("doc").to_pylist()
             for first_row, data, starts, ends, terms, base in _read(batch.column("raw").to_pylist()):
-                block, text = _cut(base, BLOCK)
-                sums = _products(_rows_of(terms, block, BLOCK), np.ones((len(block), BLOCK), np.float32), extended)
-                near: dict[tuple[int, int], list[tuple[float, int, int]]] = defaultdict(list)
-                for blocks, (items, vectors) in queries.vectors.items():
-                    windows = sums.copy()
-                    for i in range(1, blocks):
-                        more = np.flatnonzero(text[i:] == text[: len(text) - i])
-                        windows[more] += sums[more + i]
-                    latent, spread = _halves(windows)
-                    for a in range(0, len(windows), 2048):
-                        cosines = (latent[a : a + 2048] @ vectors[0].T).ravel()
-                        alike = (spread[a : a + 2048] @ vectors[1].T).ravel()
-                        for i in np.flatnonzero((cosines >= CLOSE) & (alike >= CLOSE_WORDS)).tolist():
-                            w, q = a + i // len(items), i % len(items)
-                            near[int(text[w]), int(items[q])].append((float(cosines[i]), int(block[w]), blocks))
-                raw = data.tobytes()
-                for (row, item), found in near.items():
-                    size, best = len(queries.words[item]), None
-                    for cosine, at, blocks in sorted(found, reverse=True):
-                        a, b = max(int(base[row]), at - size), min(int(base[row + 1]), at + BLOCK * blocks + size)
-                        around = [raw[s:e] for s, e in zip(starts[a:b].tolist(), ends[a:b].tolist())]
-                        share = common_subsequence(masks[item], size, around) / size
-                        answer = common_subsequence(answers[item], min(ANSWER, size), around) / min(ANSWER, size)
-                        if share >= NEARLY_WHOLE or share >= PARAPHRASED and answer >= ANSWERED:
-                            best = max(best or (0.0,), (share, answer, cosine, at - int(base[row])))
-                        if share == 1:
-                            break
+                read = data.tobytes(), starts, ends, terms, base
+                for row, item, ranges in queries.places(word_hashes(data, starts, ends), base):
+                    best = best_of(read, row, checked[item], queries.vectors[item], ranges)
                     if best:
                         out.append((docs[first_row + row], queries.ids[item], best[2], best[0], best[1], best[3]))
             kinds = [batch.schema.field("doc").type, pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
@@ -297,8 +363,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     """A row for each document and benchmark item found in it: ``key``, ``item_id``, ``cosine``,
     ``lcs_share``, ``answer_share`` and ``first_word`` (the number of the window's first word).
 
-    Whole texts; a null text has no words. Items of fewer than ``LEAST_WORDS`` words are not looked
-    for, a null item neither. Repeated rows are found as often as they occur; items with equal texts
+    Whole texts; a null text has no words. Items of fewer than ``LEAST_WORDS`` words are found where they stand word
+    for word; those without words, and null ones, are not looked for. Repeated rows are found as often as they occur; items with equal texts
     are found together. The benchmark is the query set: its items go against all documents, a
     bounded number in each pass. Without documents or items, the result is empty.
     """
@@ -315,7 +381,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         if held and (row is None or len(held) >= ITEMS_AT_ONCE):
             space = latent_space(rows) if space is None else space
             queries = Queries.of(sorted(held), space)
-            if queries.vectors:
+            if queries.ids:
                 found = found.unionAll(rows.mapInArrow(_search(space, queries), schema))
             held = []
     return found.withColumnRenamed("doc", key)
