@@ -154,5 +154,5 @@ def test_language_of_held_out_documents(spark, documents):
 
 
 def test_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
     assert htmltext.main_text(None) == ""
