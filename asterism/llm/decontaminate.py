@@ -35,7 +35,7 @@ PASSAGE = 24
 #: Cosine in the latent space from which a window is checked.
 CLOSE = 0.3
 #: Rare words that must stand near a window, if the item's length asks for as many.
-RARE = 3
+RARE = 4
 #: Share of an item's words in the common subsequence: from where it is found with its answer, and
 #: from where it is found without.
 PARAPHRASED = 0.6
@@ -57,17 +57,18 @@ def _plain(raw: bytes | None) -> bytes:
     return (raw or b"").translate(_TO_WORDS)
 
 
-def _terms(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return (word_hashes(data, starts, ends) >> np.uint64(20)).astype(np.int64) % TERMS
+def _terms(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(20)).astype(np.int64) % TERMS
 
 
 def _read(raws: list[bytes | None]) -> Iterator[tuple]:
-    """For pieces of texts: first row, bytes, spans and terms of words, and each text's first word."""
+    """For pieces of texts: first row, bytes, spans, hashes and terms of words, and each text's first word."""
     for first, end, data, text_ends in pieces(_plain(raw) for raw in raws):
         starts, ends = word_spans(data)
         if len(starts):
             base = np.searchsorted(starts, np.concatenate([[0], text_ends]))
-            yield first, data, starts, ends, _terms(data, starts, ends), base
+            hashes = word_hashes(data, starts, ends)
+            yield first, data, starts, ends, hashes, _terms(hashes), base
 
 
 def _cut(base: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -237,8 +238,8 @@ class Queries:
         vectors, needed, having = [], [], defaultdict(set)
         for at, (_, words) in enumerate(known):
             data = np.frombuffer(b" ".join(words), np.uint8)
-            spans = word_spans(data)
-            terms, hashes = _terms(data, *spans), word_hashes(data, *spans)
+            hashes = word_hashes(data, *word_spans(data))
+            terms = _terms(hashes)
             vectors.append(space.matrix[terms].sum(axis=0))
             # A subsequence of so many words leaves out few, so of these and RARE more it has as many as RARE.
             least = len(words) if len(words) < LEAST_WORDS else -(-int(round(100 * PARAPHRASED)) * len(words) // 100)
@@ -347,9 +348,9 @@ def _search(space: Space, queries: Queries, close: float = CLOSE):
         for batch in batches:
             out: list[tuple] = []
             docs = batch.column("doc").to_pylist()
-            for first_row, data, starts, ends, terms, base in _read(batch.column("raw").to_pylist()):
+            for first_row, data, starts, ends, hashes, terms, base in _read(batch.column("raw").to_pylist()):
                 read = data.tobytes(), starts, ends, terms, base
-                for row, item, ranges in queries.places(word_hashes(data, starts, ends), base):
+                for row, item, ranges in queries.places(hashes, base):
                     best = best_of(read, row, checked[item], queries.vectors[item], ranges)
                     if best:
                         out.append((docs[first_row + row], queries.ids[item], best[2], best[0], best[1], best[3]))
