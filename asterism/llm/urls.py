@@ -25,7 +25,7 @@ DIFFERENT = 1.96
 PRIOR_ROWS = 10.0
 #: Purity from which a template is rejected.
 REJECTED = 0.5
-#: Levels of the tree; what lies deeper is the last level's rest.
+#: Levels of the tree, each a round, unless others are asked for; what lies deeper is the last level's rest.
 LEVELS = 6
 WILDCARD = "*"
 
@@ -53,9 +53,9 @@ def matching_rule(host: Column, path: Column, rules: list[Rule], value: str = "r
     return found
 
 
-def _grown(rows: DataFrame, level: int) -> DataFrame:
+def _grown(rows: DataFrame, level: int, levels: int) -> DataFrame:
     """The tree's rows with their template grown by one level."""
-    segment = F.col("segments")[level] if level < LEVELS - 1 else F.array_join(F.slice("segments", level + 1, 1 << 30), "/")
+    segment = F.col("segments")[level] if level < levels - 1 else F.array_join(F.slice("segments", level + 1, 1 << 30), "/")
     rows = rows.withColumn("segment", F.when(F.size("segments") > level, segment))
     node = ["host", "template"]
     bad, labelled = F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")
@@ -76,10 +76,11 @@ def _grown(rows: DataFrame, level: int) -> DataFrame:
     return found.withColumn("template", F.concat("template", step)).drop("segment", "own")
 
 
-def templates(pages: DataFrame) -> DataFrame:
+def templates(pages: DataFrame, levels: int = LEVELS) -> DataFrame:
     """``host``, ``path`` and ``template`` of the distinct hosts and paths of ``pages``.
 
-    ``pages`` has ``host``, ``path`` and ``bad`` (1, 0, or null without a label).
+    ``pages`` has ``host``, ``path`` and ``bad`` (1, 0, or null without a label). The segments from the last of
+    ``levels`` on are one.
     """
     rows = pages.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
@@ -87,12 +88,12 @@ def templates(pages: DataFrame) -> DataFrame:
     rows = rows.withColumn("segments", F.filter(F.split("path", "/"), lambda s: s != "")).withColumn("template", F.lit(""))
     rows = materialize(rows, "url-paths")
     deepest = rows.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(min(deepest, LEVELS)):
-        rows = materialize(_grown(rows, level), "url-tree")
+    for level in range(min(deepest, levels)):
+        rows = materialize(_grown(rows, level, levels), "url-tree")
     return rows.select("host", "path", "template", "labelled", "bad")
 
 
-def judged(pages: DataFrame, rules: list[Rule], url: str = "url", bad: str = "bad") -> DataFrame:
+def judged(pages: DataFrame, rules: list[Rule], url: str = "url", bad: str = "bad", levels: int = LEVELS) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``template``, ``purity`` and ``verdict``.
 
     ``bad`` is 1 or 0 where a row has a label, else null. A null url, or one without ``://``, has an
@@ -103,7 +104,7 @@ def judged(pages: DataFrame, rules: list[Rule], url: str = "url", bad: str = "ba
     new = ["host", "path", "rule", "template", "purity", "verdict"]
     own = [name for name in pages.columns if name not in (*new, "_bad")]
     rows = pages.select(*own, F.col(bad).cast("long").alias("_bad"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    tree = templates(rows.select("host", "path", F.col("_bad").alias("bad")))
+    tree = templates(rows.select("host", "path", F.col("_bad").alias("bad")), levels)
     total = tree.agg(F.sum("bad"), F.sum("labelled")).first()
     prior = (total[0] or 0) / total[1] if total[1] else 0.0
     node = ["host", "template"]
