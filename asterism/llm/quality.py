@@ -1,10 +1,10 @@
 """Document quality by co-training of two views.
 
 One classifier sees the text's content (which characters and pairs of characters it has, how often
-its words repeat), the other what is known about the document around it (source, language, size,
-lines, and the page it comes from). Each round, either scores all documents without a label and hands
-those it is surest of to the other one, with the label it gives them. In the end both views'
-scores are calibrated on labelled documents that neither was fitted on, and combined.
+its words repeat), the other what is known about the document around it (source, language, size and
+lines). Each round, either scores all documents without a label and hands those it is sure enough
+of to the other one, with the label it gives them. In the end both views' scores are
+calibrated on labelled documents that neither was fitted on, and combined.
 
 Views are logistic regressions, fitted on the driver on a bounded number of rows. Everything else, the
 features, the search for the surest documents and the scores, covers all documents.
@@ -26,10 +26,12 @@ from .common import pieces, small_batches, word_hashes, word_spans
 #: Labelled documents the views are fitted and calibrated on, at most, and the share kept for the latter.
 LABELLED = 4000
 CALIBRATION = 0.25
-#: Rounds, and documents of either class that a view hands over in each.
+#: Rounds; how sure a view must be of a document to hand it over; and how many contents of either class it
+#: hands over at most, the surest ones.
 ROUNDS = 3
+SURE = 0.8
 HANDED_OVER = 150
-#: Places for pairs of characters, and for the values of source, language and host.
+#: Places for pairs of characters, and for the values of source and language.
 PAIRS = 224
 VALUES = 32
 RIDGE = 1e-3
@@ -169,10 +171,13 @@ def _with_scores(rows: DataFrame, model: Model) -> DataFrame:
 
 
 def _surest(scored: DataFrame, score: str) -> list:
-    """The rows with the highest and the lowest scores: a bounded number, found by a distributed sort."""
+    """The rows that a view is sure enough of, as good or as bad: a bounded number of either, found by a distributed sort.
+
+    No row is both, as none scores high and low.
+    """
     columns = ["key", "content", "around"]
-    high = scored.orderBy(F.desc(score), "key").limit(HANDED_OVER).select(*columns, F.lit(1.0).alias("y")).collect()
-    low = scored.orderBy(score, "key").limit(HANDED_OVER).select(*columns, F.lit(0.0).alias("y")).collect()
+    high = scored.where(F.col(score) >= SURE).orderBy(F.desc(score), "key").limit(HANDED_OVER).select(*columns, F.lit(1.0).alias("y")).collect()
+    low = scored.where(F.col(score) <= 1 - SURE).orderBy(score, "key").limit(HANDED_OVER).select(*columns, F.lit(0.0).alias("y")).collect()
     return high + low
 
 
@@ -198,7 +203,10 @@ def co_train(rows: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
     fit = ~held
     train = [(x1[fit], y[fit]), (x2[fit], y[fit])]
     views = [View.fit(*train[0]), View.fit(*train[1])]
+    # Copies are one document here, so that a large group of them is handed over once.
     unlabelled = rows.join(F.broadcast(chosen.select("key")), "key", "left_anti")
+    unlabelled = unlabelled.groupBy("content", "around").agg(F.min("key").alias("key")).select("key", "content", "around")
+    unlabelled = materialize(unlabelled, "quality-unlabelled")
     for _ in range(rounds):
         scored = _with_scores(unlabelled, Model(*views, np.array([1.0, 0.0, 0.0])))
         for i, score in enumerate(("content_score", "around_score")):
