@@ -97,3 +97,20 @@ def test_rows_without_an_id_are_filtered(spark, tmp_path):
     assert {(r["doc_id"], r["text"]) for r in left} == {t for t in texts if t[1] != item} and len(left) == 3
     left = corpus_pipeline.lines_once(spark, docs, "").collect()
     assert (None, own[2]) in {(r["doc_id"], r["text"]) for r in left} and (None, "") in {(r["doc_id"], r["text"]) for r in left}
+
+
+def test_extra_columns_of_any_name_and_long_texts(spark, tmp_path):
+    rng = random.Random(9)
+    item, *own = [words(rng, "aeiotnsrhl", 40) for _ in range(5)]
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    long = words(rng, "aeiotnsrhl", 20_000)
+    texts = [(1, own[0], "en"), (1, own[0], "en"), (2, own[1], "en"), (2, own[1], "en"), (3, long, "en"), (4, own[3] + " " + item, "en"), (5, own[2], None)]
+    names = "_row string, _place string, place string, doc string, component_id string, hash long, score string, `a.b` int"
+    rows = [(i, text, lang, "s", len(text), "r", "p", "q", "d", "c", 5, "x", 1) for i, text, lang in texts]
+    spark.createDataFrame(rows, f"{KINDS}, {names}").write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    kept = {row["doc_id"]: row for row in got}
+    # The fourth text has the benchmark's item.
+    assert sorted(row["doc_id"] for row in got) == [1, 2, 3, 5] and kept[3]["text"] == long
+    for row in got:
+        assert [row[name] for name in ("_row", "_place", "place", "doc", "component_id", "hash", "score", "a.b")] == ["r", "p", "q", "d", "c", 5, "x", 1]
