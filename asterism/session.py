@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from pathlib import Path
 from threading import local
 from typing import Any
 
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 from . import storage
 
 _FOLDERS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 _SCOPES = local()
 
 
@@ -120,3 +125,17 @@ def run_all(spark: SparkSession, tasks: Sequence[Callable[[], Any]], at_once: in
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables now; for long sessions, once their results are written."""
     storage.delete(spark, scratch_folder(spark))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make sure that Python tasks can import this package, wherever the driver was started.
+
+    Spark's file server brings an archive of it to the executors, unless they have it in their path.
+    """
+    package = Path(__file__).resolve().parent
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED and str(package.parent) not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        folder = tempfile.mkdtemp()  # executors fetch the archive from the driver as they start
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, package.name), "zip", package.parent, package.name))
+    _SHIPPED.add(app)

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .records import csv_records, json_records
+
 # The text form of a timestamp on every CSV and JSON edge; Spark's own default drops microseconds.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
@@ -22,8 +25,8 @@ def read_csv_raw(
     """CSV with a header; every column is text unless a schema is given.
 
     A quote inside a value is doubled, as most tools write it. One record is one line, so a big file
-    is split among tasks; ``multi_line`` reads records whose quoted values have line breaks, and then
-    a file is one task's. ``malformed`` adds the column ``MALFORMED``: the text of records with too
+    is split among tasks; ``multi_line`` reads records whose quoted values have line breaks, and splits
+    files as well (``records``). ``malformed`` adds the column ``MALFORMED``: the text of records with too
     few or too many values, or with one that cannot be read as its type; else null.
     """
     reader = spark.read.options(header=True, sep=sep, escape='"', timestampNTZFormat=TIMESTAMP_FORMAT, multiLine=multi_line)
@@ -31,6 +34,11 @@ def read_csv_raw(
         schema = schema or reader.csv(path).schema
         schema = StructType([*schema.fields, StructField(MALFORMED, StringType())])
         reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
+    if multi_line:
+        options = {"sep": sep, "escape": '"', "timestampNTZFormat": TIMESTAMP_FORMAT, "mode": "PERMISSIVE"}
+        options |= {"columnNameOfCorruptRecord": MALFORMED} if malformed else {}
+        parsed = F.from_csv("record", (schema or reader.csv(path).schema).toDDL(), options)
+        return csv_records(spark, path).select(parsed.alias("row")).select("row.*")
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
@@ -53,13 +61,16 @@ def read_json_records(
     """Records of landed payloads, one row per object.
 
     A payload is an object or an array of objects, one per line. ``whole_file`` reads each
-    file as one payload that may span lines; such a file cannot be split among tasks. ``malformed``
-    adds the column ``MALFORMED``: the text of a payload that cannot be read; else null.
+    file as one payload that spans lines, an array of objects or an object, and splits files as well (``records``);
+    what follows a payload that breaks off is part of its last record then. ``malformed`` adds the column ``MALFORMED``: the text of a payload that cannot be read; else null.
     """
     if malformed:
         schema = StructType([*schema.fields, StructField(MALFORMED, StringType())])
+    if whole_file:
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED, "timestampNTZFormat": TIMESTAMP_FORMAT}
+        return json_records(spark, path).select(F.from_json("record", schema, options).alias("row")).select("row.*")
     reader = spark.read.schema(schema).options(mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED).option("timestampNTZFormat", TIMESTAMP_FORMAT)
-    return reader.json(path, multiLine=whole_file)
+    return reader.json(path)
 
 
 def read_or_none(read: Callable[[], DataFrame]) -> DataFrame | None:

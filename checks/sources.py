@@ -1,9 +1,11 @@
 """Sources."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from asterism import sources
-from asterism.session import scratch_path
+from asterism.session import materialize, scratch_path
 from asterism.sinks import write_csv
 from asterism.sources.files import MALFORMED, TIMESTAMP_FORMAT
 
@@ -127,6 +129,44 @@ def json_malformed(t: Tables):
     return rows.select("event_id", F.col(MALFORMED).isNotNull().alias("malformed"), "event_type").drop("event_type")
 
 
+def small_splits(t: Tables, path: str, read):
+    """What ``read`` gives where the text files in ``path`` are cut into a dozen splits and more."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = t.spark.conf.get(name)
+    size = t.spark.read.text(path).agg(F.sum(F.octet_length("value") + 1)).first()[0]
+    t.spark.conf.set(name, str(max(4096, size // 12)))
+    try:
+        return materialize(read(), "records")
+    finally:
+        t.spark.conf.set(name, before)
+
+
+@check("src_4_csv_multi_line", "SELECT doc_id, text, lang FROM documents WHERE text IS NOT NULL AND text <> ''")
+def csv_multi_line(t: Tables):
+    """Texts with line breaks and quotes, in files of which many tasks read a part each."""
+    path = scratch_path(t.spark, "documents-csv")
+    rows = t.documents.where("text IS NOT NULL AND text <> ''").select("doc_id", "text", "lang")
+    write_csv(rows, path, sep=",")
+    return small_splits(t, path, lambda: sources.read_csv_raw(t.spark, path, schema=rows.schema, multi_line=True))
+
+
+@check("src_7_json_array", "SELECT conv_id, turn, role, text FROM conversations")
+def json_array(t: Tables):
+    """One array of records that spans lines, in files of which many tasks read a part each."""
+    path = scratch_path(t.spark, "conversations-json")
+    record = F.to_json(F.struct("conv_id", "turn", F.struct("role", "text").alias("message")), {"pretty": "true"})
+    rows = t.conversations.select(F.concat(record, F.lit(",")).alias("value"))
+    # Each file is an array: brackets before its first record and after its last one.
+    numbered = rows.withColumn("part", F.spark_partition_id())
+    ends = numbered.select("part").distinct()
+    parts = [ends.select("part", F.lit(0).alias("o"), F.lit("[").alias("value")), numbered.select("part", F.lit(1), "value"), ends.select("part", F.lit(2), F.lit('{"conv_id": null}]'))]
+    whole = reduce(lambda a, b: a.union(b), parts).repartition("part").sortWithinPartitions("part", "o")
+    whole.select("value").write.text(path)
+    schema = t.conversations.select("conv_id", "turn", F.struct("role", "text").alias("message")).schema
+    found = small_splits(t, path, lambda: sources.read_json_records(t.spark, path, schema, whole_file=True))
+    return found.where("conv_id IS NOT NULL").select("conv_id", "turn", "message.role", "message.text")
+
+
 @check(
     "src_6_csv_inferred",
     """SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment

@@ -167,3 +167,52 @@ def test_snapshot_diff(spark, rows):
     one, two = [spark.createDataFrame([(1, *v)], "k int, x string, y string") for v in ((None, ""), ("", None))]
     assert rows(sources.snapshot_diff(one, two, "k")) == [(1, None, "", "update")]
     assert {r.change for r in sources.snapshot_diff(staged, None, "a").collect()} == {"insert"}
+
+
+@pytest.fixture
+def small_splits(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64b")
+    yield
+    spark.conf.set(name, before)
+
+
+CSV = [("1", "plain"), ("2", "two\nlines"), ("3", 'say ""hi""\nand, go\n\non'), ("4", "x" * 300 + "\n" + "y" * 300), ("5", '""'), ("6", "last")]
+
+
+def test_csv_records_over_many_splits(spark, rows, tmp_path, small_splits):
+    text = "id,note\n" + "".join(f'{i},"{note}"\n' for i, note in CSV) + "\n7,\n8"
+    (tmp_path / "a.csv").write_text(text)
+    (tmp_path / "b.csv").write_text('id,note\n9,"never closed\n10,x')
+    found = sources.read_csv_raw(spark, str(tmp_path / "a.csv"), multi_line=True)
+    assert found.rdd.getNumPartitions() > 5
+    whole = spark.read.options(header=True, escape='"', multiLine=True).csv(str(tmp_path / "a.csv"))
+    assert rows(found) == rows(whole) and found.columns == whole.columns
+    assert {r.id: r.note for r in found.collect()}["3"] == 'say "hi"\nand, go\n\non'
+    both = sources.read_csv_raw(spark, str(tmp_path), multi_line=True, malformed=True)
+    assert both.count() == len(CSV) + 3
+    typed = sources.read_csv_raw(spark, str(tmp_path / "a.csv"), schema=struct("id int, note string"), multi_line=True, malformed=True)
+    assert {r.id for r in typed.where("_malformed IS NULL").collect()} == {1, 2, 3, 4, 5, 6, 7}
+    assert [r._malformed for r in typed.where("_malformed IS NOT NULL").collect()] == ["8"]
+
+
+def test_json_records_over_many_splits(spark, rows, tmp_path, small_splits):
+    import json
+
+    records = [{"id": i, "note": note, "deep": {"list": [1, 2], "own": {"a": "}]"}, "text": '{"['}} for i, note in enumerate(["a", 'b"}', "c\\", "d" * 500, "", "e\n[{"])]
+    (tmp_path / "a.json").write_text(json.dumps(records, indent=2))
+    (tmp_path / "b.json").write_text(json.dumps(records))
+    (tmp_path / "c.json").write_text("\n" + json.dumps(records[3] | {"id": 77}, indent=1))
+    (tmp_path / "d.json").write_text("[]")
+    schema = struct("id int, note string, deep struct<list: array<int>, own: struct<a: string>, text: string>")
+    found = sources.read_json_records(spark, str(tmp_path), schema, whole_file=True)
+    whole = spark.read.schema(schema).json(str(tmp_path), multiLine=True)
+    assert rows(found) == rows(whole) and found.count() == 2 * len(records) + 1
+    assert sources.read_json_records(spark, str(tmp_path / "d.json"), schema, whole_file=True).count() == 0
+
+
+def test_a_payload_that_breaks_off(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[\n{"id": 1},\n{"id": \n')
+    found = sources.read_json_records(spark, str(tmp_path), struct("id int"), whole_file=True, malformed=True).collect()
+    assert [(r.id, r._malformed is None) for r in sorted(found, key=lambda r: r.id or 9)] == [(1, True), (None, False)]
