@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 
 from .common import beside, small_batches
 
-#: How byte-level vocabularies cut a text into words, for given letters, numbers and
-#: white space. (The order differs from the usual one only between ways that cannot both match.)
-SPLIT = r" ?[{L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+#: The published pattern by which byte-level vocabularies cut a text into words, for given
+#: letters, numbers and white space.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 #: First and last code points that newer versions of Unicode made letters or numbers
 #: than the one the vocabulary files are used with.
 NEWER = [

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 from collections.abc import Iterable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -14,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, ship_package
 
 #: Rows handed to a Python task at a time; texts are long, so far fewer than Spark's default.
 BATCH_ROWS = 256
@@ -37,22 +33,13 @@ def beside(df: DataFrame, found: Column, names: list[str]) -> DataFrame:
     return rows.select(*kept, *[F.col(f"_found.{name}").alias(name) for name in names])
 
 
-_SHIPPED: set[str] = set()
-
-
 def small_batches(spark: SparkSession) -> None:
     """Let Python tasks take few rows at a time, so that memory is bounded by a few long texts.
 
     Also makes sure that they can import this package, wherever the driver was started.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    package = Path(__file__).resolve().parent.parent
-    app = spark.sparkContext.applicationId
-    if app not in _SHIPPED and str(package.parent) not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
-        # Spark's file server brings the archive to the executors.
-        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), package.name), "zip", package.parent, package.name)
-        spark.sparkContext.addPyFile(archive)
-    _SHIPPED.add(app)
+    ship_package(spark)
 
 
 def powers(base: int, n: int) -> np.ndarray:
