@@ -1,7 +1,7 @@
 """Table operators: mapping, joins, aggregates, keys, profiling and validation."""
 
 from .aggregates import distinct_values, pick_one
-from .joins import frequent_keys, left_join_measures, left_lookup, lookup_key, with_date_id
+from .joins import frequent_keys, left_join_measures, left_lookup, lookup_key, lookup_roles, with_date_id
 from .keys import assign_ids, with_dense_id, with_hash_id
 from .mapping import apply_mapping, map_columns, tag
 from .profile import persist_profile, persist_profiles, profile, profile_all, profile_document, sample_values, tag_profile
@@ -19,6 +19,7 @@ __all__ = [
     "left_join_measures",
     "left_lookup",
     "lookup_key",
+    "lookup_roles",
     "map_columns",
     "persist_profile",
     "persist_profiles",

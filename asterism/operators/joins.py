@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,32 @@ def lookup_key(
     return found.drop("_nk").withColumnRenamed("_sk", out or sk)
 
 
+def lookup_roles(
+    df: DataFrame, dim: DataFrame, roles: Mapping[str, str], nk: str, sk: str, row: str | list[str], small: bool | None = None
+) -> DataFrame:
+    """``df`` with the surrogate ``sk`` of one dimension for each of several keys, as a person and who they report to.
+
+    ``roles`` has the output column for each key column; ``row`` is a key of ``df``. A dimension that Spark can
+    broadcast is joined for each role. A larger one is looked up once: the keys of all roles are unfolded to rows, of
+    which only they and ``row`` are moved, and folded back; ``df`` itself is moved once, whatever the number of roles.
+    """
+    keys = dim.select(F.col(nk).alias("_nk"), F.col(sk).alias("_sk"))
+    if _fits_broadcast(keys) if small is None else small:
+        for key, out in roles.items():
+            df = lookup_key(df, dim, key, nk, sk, out, small=True)
+        return df
+    row = [row] if isinstance(row, str) else list(row)
+    names = list(roles)
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("_role"), F.col(key).alias("_nk")) for i, key in enumerate(names)]))
+    unfolded = df.select(*[F.col(name).alias(f"_row_{name}") for name in row], each.alias("_each")).select(*[f"_row_{name}" for name in row], "_each.*")
+    # A key that is missing has nothing to be looked up.
+    found = left_lookup(unfolded.where("_nk IS NOT NULL"), keys, "_nk", small=False)
+    values = [F.max(F.when(F.col("_role") == i, F.col("_sk"))).alias(f"_out_{i}") for i in range(len(names))]
+    folded = found.groupBy(*[f"_row_{name}" for name in row]).agg(*values)
+    same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_row_{name}")) for name in row])
+    return df.join(folded, same, "left").select(*df.columns, *[F.col(f"_out_{i}").alias(roles[key]) for i, key in enumerate(names)])
+
+
 def with_date_id(df: DataFrame, ts_col: str, dim_date: DataFrame, out: str = "date_id") -> DataFrame:
     """``df`` with the id of the day of ``ts_col``; null without a day in the calendar.
 

@@ -8,6 +8,7 @@ from asterism import operators as ops
 from asterism.plans import calendar
 from asterism.sources import catalog_columns, scan_tables
 
+from .analog import lines
 from .registry import Tables, check
 from .sources import ALL, row_count
 
@@ -127,6 +128,20 @@ def fk_lookup_twice(t: Tables):
     return keyed.select("n_name", "o_orderkey", "customer_name", "supplier_name")
 
 
+@check(
+    "jon_6_fk_lookup_roles",
+    """SELECT l_orderkey, l_linenumber, line_id, a.p_name AS part_name, b.p_name AS other_name FROM
+    (SELECT *, CASE WHEN l_quantity < 40 THEN (l_partkey * 7) % 100000 END AS other,
+      row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS line_id FROM lineitem)
+    LEFT JOIN part a ON l_partkey = a.p_partkey LEFT JOIN part b ON other = b.p_partkey""",
+)
+def fk_lookup_roles(t: Tables):
+    """Two parts of a line item, looked up at once in a dimension that is not broadcast."""
+    rows = lines(t).withColumn("other", F.when(F.col("l_quantity") < 40, (F.col("l_partkey") * 7) % 100_000))
+    found = ops.lookup_roles(rows, t.part, {"l_partkey": "part_name", "other": "other_name"}, "p_partkey", "p_name", "line_id", small=False)
+    return found.select("l_orderkey", "l_linenumber", "line_id", "part_name", "other_name")
+
+
 # The columns and types of the test tables.
 COLUMNS = {
     "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),

@@ -1,4 +1,5 @@
 import datetime
+import importlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,3 +123,17 @@ def test_assign_ids_keeps_known_and_continues(spark):
     assert {row.nk: row.sk for row in second.collect()} == {"b": 1, None: 3, "a": 4, "c": 5}
     third = ops.assign_ids(second, again, "nk", "sk")
     assert sorted(map(tuple, third.collect()), key=repr) == sorted(map(tuple, second.collect()), key=repr)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_lookup_of_several_roles(spark, rows, small, monkeypatch):
+    module = importlib.import_module("asterism.operators.joins")
+    lookup, calls = module.left_lookup, []
+    monkeypatch.setattr(module, "left_lookup", lambda df, *how, **named: calls.append(df.columns) or lookup(df, *how, **named))
+    df = spark.createDataFrame([(1, "a", "b", "x"), (2, "a", None, "y"), (3, None, None, "z"), (4, "q", "a", "w")], "id int, one string, two string, note string")
+    dim = spark.createDataFrame([("a", 10), ("b", 20), (None, 99)], "nk string, sk int")
+    found = ops.lookup_roles(df, dim, {"one": "one_id", "two": "two_id"}, "nk", "sk", "id", small=small)
+    assert found.columns == ["id", "one", "two", "note", "one_id", "two_id"]
+    assert rows(found, "id", "note", "one_id", "two_id") == [(1, "x", 10, 20), (2, "y", 10, None), (3, "z", None, None), (4, "w", None, 10)]
+    # One lookup, to which a role brings its key and the row's.
+    assert small or calls == [["_row_id", "_role", "_nk"]]
