@@ -22,10 +22,6 @@ from ..sources.files import MALFORMED, is_empty, read_csv_raw, read_json_records
 from ..sources.increments import CHANGE, extract_increment, snapshot_diff
 
 
-#: Buckets of a staged table, if it is not sliced by a column.
-BUCKETS = 64
-
-
 def _load(
     cleaned: DataFrame, landing: str, path: str, keys: list[str], run_date: str | datetime.date, slice_by: str | None, log: str | None
 ) -> DataFrame | None:
@@ -70,7 +66,7 @@ def _landed(
     in_buckets = slice_by is None and latest_version(spark, path) is None
     if landed is None or landed.isEmpty():
         return read_buckets(spark, path) if in_buckets else read_table(spark, path)
-    return upsert_buckets(landed, path, keys, BUCKETS) if in_buckets else upsert_path(landed, path, keys, slice_by)
+    return upsert_buckets(landed, path, keys) if in_buckets else upsert_path(landed, path, keys, slice_by)
 
 
 def stage_table(

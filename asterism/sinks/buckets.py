@@ -18,6 +18,9 @@ from .tables import changed_rows
 from .upsert import aligned, assert_unique, match, upsert
 
 PREFIX = "bucket_of_"
+#: Bytes of a table for which it gets a bucket, when it is first written, and how many it gets at least and at most.
+BUCKET_BYTES = 64 << 20
+LEAST_BUCKETS, MOST_BUCKETS = 8, 4096
 
 
 def _column(spark: SparkSession, path: str) -> str | None:
@@ -29,6 +32,12 @@ def _bucket(keys: list[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
 
 
+def _number_for(rows: DataFrame) -> int:
+    """How many buckets rows get that have been written, by their size."""
+    wanted = min(MOST_BUCKETS, max(LEAST_BUCKETS, storage.estimated_bytes(rows) // BUCKET_BYTES))
+    return 1 << (wanted - 1).bit_length()
+
+
 def _put_in_place(spark: SparkSession, path: str, column: str) -> None:
     """Replace the buckets that the copy beside the table has."""
     copy = spark.read.parquet(f"{path}.pending")
@@ -62,11 +71,11 @@ def buckets_of(spark: SparkSession, path: str, numbers: list[int]) -> DataFrame:
 
 
 def upsert_buckets(
-    source: DataFrame, path: str, keys: str | list[str], buckets: int = 64, order: str | list[str | Column] | None = None
+    source: DataFrame, path: str, keys: str | list[str], buckets: int | None = None, order: str | list[str | Column] | None = None
 ) -> DataFrame | None:
     """Upsert ``source`` into the table at ``path`` and return its new state; ``None`` if it has no row.
 
-    A new table gets so many ``buckets``; one that is there keeps its own. With ``order``, a row only replaces one
+    A new table gets so many ``buckets``, or a number by its size; one that is there keeps its own. With ``order``, a row only replaces one
     that is not later in the order of these. Columns that the table lacks are refused, and those
     that ``source`` lacks keep their values. Only buckets with rows that change are written. One writer at a time.
     """
@@ -78,11 +87,11 @@ def upsert_buckets(
     column = _column(spark, path)
     try:
         if column is None:
-            column = f"{PREFIX}{buckets}"
-            landed = materialize_at(source.withColumn(column, _bucket(keys, buckets)), f"{aside}/source")
+            landed = materialize_at(source, f"{aside}/source")
             assert_unique(landed, keys)
             if not landed.isEmpty():
-                _write(landed, path, column)
+                n = buckets or _number_for(landed)
+                _write(landed.withColumn(f"{PREFIX}{n}", _bucket(keys, n)), path, f"{PREFIX}{n}")
             return read_buckets(spark, path)
 
         n = int(column.removeprefix(PREFIX))
