@@ -33,7 +33,7 @@ OVERSAMPLED = 16
 #: Words of a passage.
 PASSAGE = 24
 #: Cosine in the latent space from which a window is checked.
-CLOSE = 0.3
+CLOSE = 0.2
 #: Rare words that must stand near a window, if the item's length asks for as many.
 RARE = 4
 #: Share of an item's words in the common subsequence: from where it is found with its answer, and
