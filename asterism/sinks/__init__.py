@@ -11,6 +11,7 @@ from .tables import (
     latest_version,
     read_table,
     target_name,
+    upsert_into,
     upsert_path,
     write_version,
 )
@@ -37,6 +38,7 @@ __all__ = [
     "target_name",
     "upsert",
     "upsert_buckets",
+    "upsert_into",
     "upsert_path",
     "write_csv",
     "write_increment",

@@ -15,7 +15,7 @@ from .. import storage
 from ..functions.casting import parse_keys
 from ..session import materialize_at, scratch_path
 from .tables import changed_rows
-from .upsert import aligned, assert_unique, match, upsert
+from .upsert import aligned, assert_unique, upsert
 
 PREFIX = "bucket_of_"
 #: Bytes of a table for which it gets a bucket, when it is first written, and how many it gets at least and at most.
@@ -71,13 +71,15 @@ def buckets_of(spark: SparkSession, path: str, numbers: list[int]) -> DataFrame:
 
 
 def upsert_buckets(
-    source: DataFrame, path: str, keys: str | list[str], buckets: int | None = None, order: str | list[str | Column] | None = None
+    source: DataFrame, path: str, keys: str | list[str], buckets: int | None = None, order: str | list[str | Column] | None = None,
+    written: bool = False, unique: bool = False,
 ) -> DataFrame | None:
     """Upsert ``source`` into the table at ``path`` and return its new state; ``None`` if it has no row.
 
     A new table gets so many ``buckets``, or a number by its size; one that is there keeps its own. With ``order``, a row only replaces one
     that is not later in the order of these. Columns that the table lacks are refused, and those
     that ``source`` lacks keep their values. Only buckets with rows that change are written. One writer at a time.
+    ``written`` and ``unique`` are as in ``upsert_path``.
     """
     spark = source.sparkSession
     keys = parse_keys(keys)
@@ -87,8 +89,9 @@ def upsert_buckets(
     column = _column(spark, path)
     try:
         if column is None:
-            landed = materialize_at(source, f"{aside}/source")
-            assert_unique(landed, keys)
+            landed = source if written else materialize_at(source, f"{aside}/source")
+            if not unique:
+                assert_unique(landed, keys)
             if not landed.isEmpty():
                 n = buckets or _number_for(landed)
                 _write(landed.withColumn(f"{PREFIX}{n}", _bucket(keys, n)), path, f"{PREFIX}{n}")
@@ -96,13 +99,12 @@ def upsert_buckets(
 
         n = int(column.removeprefix(PREFIX))
         rows = aligned(source, spark.read.parquet(path).drop(column).schema).withColumn(column, _bucket(keys, n))
-        landed = materialize_at(rows, f"{aside}/source")
-        assert_unique(landed, keys)
+        landed = rows if written else materialize_at(rows, f"{aside}/source")
+        if not unique:
+            assert_unique(landed, keys)
         # As many numbers as there are buckets, at most.
         part = buckets_of(spark, path, [row[0] for row in landed.select(column).distinct().collect()])
-        known = landed.select([F.col(k).alias(f"_key_{k}") for k in keys])
-        stored = materialize_at(part.join(known, match(keys), "left_semi"), f"{aside}/stored")
-        changes = materialize_at(changed_rows(landed, stored, keys, order), f"{aside}/changes")
+        changes = materialize_at(changed_rows(landed, part, keys, order), f"{aside}/changes")
         touched = [row[0] for row in changes.select(column).distinct().collect()]
         if touched:
             _write(upsert(buckets_of(spark, path, touched), changes, keys), path, column)

@@ -13,9 +13,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ from pyspark.sql.types import StructType
 
 from .. import storage
 from ..functions.casting import parse_keys
-from ..session import materialize_at, scratch_path
+from ..session import COMPRESSION, materialize_at, observed, scratch_path
 from .upsert import aligned, assert_unique, match, upsert
 
 SLICE = "upsert_slice"
@@ -111,9 +112,11 @@ def _last_number(spark: SparkSession, path: str) -> int:
 
 def _slice_name(slice_by: str | None) -> Column:
     """Slice of a row: a hash of its whole value, so that it is safe in a path and unlike values differ."""
-    if slice_by is None:
-        return F.lit(WHOLE)
-    value = F.expr(slice_by).cast("string")
+    return F.lit(WHOLE) if slice_by is None else _name_of(F.expr(slice_by))
+
+
+def _name_of(value: Column) -> Column:
+    value = value.cast("string")
     return F.when(value.isNull(), F.lit("null")).otherwise(F.concat(F.lit("h"), F.md5(value)))
 
 
@@ -121,15 +124,18 @@ def _write(df: DataFrame, path: str, slice_by: str | None) -> tuple[dict[str, st
     """Write rows to a new folder; the slices in it, and how many rows there are."""
     folder = f"data/{uuid.uuid4().hex}"
     if slice_by is None:
-        df.write.parquet(f"{path}/{folder}/{SLICE}={WHOLE}")
+        df, seen = observed(df)
+        df.write.option("compression", COMPRESSION).parquet(f"{path}/{folder}/{SLICE}={WHOLE}")
     else:
-        # Big slices are split among tasks, small ones put together.
-        named = df.withColumn(SLICE, _slice_name(slice_by)).hint("rebalance", SLICE)
-        named.write.partitionBy(SLICE).parquet(f"{path}/{folder}")
+        # Big slices are split among tasks, small ones put together. What is moved is the value, as the name is long.
+        spread = df.withColumn("_slice", F.expr(slice_by)).hint("rebalance", "_slice")
+        named = spread.withColumn(SLICE, _name_of(F.col("_slice"))).drop("_slice")
+        named, seen = observed(named)
+        named.write.option("compression", COMPRESSION).partitionBy(SLICE).parquet(f"{path}/{folder}")
     found = [name for name in storage.names(df.sparkSession, f"{path}/{folder}") if name.startswith(f"{SLICE}=")]
     slices = {name.split("=", 1)[1]: f"{folder}/{name}" for name in found}
-    # Counted from the files' own row counts.
-    return slices, Version(0, None, df.schema, slices, 0).read(df.sparkSession, path).count()
+    # Counted while written: to open the files of many slices again takes longer.
+    return slices, seen.get["n_rows"]
 
 
 def write_version(df: DataFrame, path: str, slice_by: str | None = None) -> int:
@@ -165,20 +171,36 @@ def _comparable(schema: StructType, names: Sequence[str]) -> bool:
     return not any("map<" in schema[name].dataType.simpleString() or schema[name].dataType.typeName() == "variant" for name in names)
 
 
-def changed_rows(source: DataFrame, target: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Rows of ``source`` that change ``target``: not older than what it has by ``order``, and not equal."""
-    supplied = source.columns
+def changed_rows(
+    source: DataFrame, target: DataFrame, keys: list[str], order: list[str | Column], taken: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Rows of ``source`` that change ``target``: not older than what it has by ``order``, and not equal.
+
+    ``taken`` are columns to be made of the target's row, null for a new key. Each side is moved once.
+    """
+    supplied, taken = source.columns, taken or {}
+    compared = [name for name in supplied if name not in keys] if _comparable(target.schema, supplied) else None
+    stored = [F.col(k).alias(f"_key_{k}") for k in keys] + [F.lit(True).alias("_known")]
+    stored += [F.col(name).alias(f"_old_{name}") for name in compared or []] + [column.alias(name) for name, column in taken.items()]
+    if order:
+        stored.append(F.struct(*order).alias("_order"))
+    found = source.join(target.select(stored), match(keys), "left")
+    change = F.lit(True)
+    if compared is not None:
+        same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_old_{name}")) for name in compared], F.lit(True))
+        change = F.col("_known").isNull() | ~same
     if order:
-        stored = target.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.struct(*order).alias("_stored"))
-        newer = F.col("_stored").isNull() | (F.struct(*order) >= F.col("_stored"))
-        source = source.join(stored, match(keys), "left").where(newer).select(supplied)
-    if not _comparable(target.schema, supplied):
-        return source
-    same = target.select([F.col(name).alias(f"_key_{name}") for name in supplied])
-    return source.join(same, match(supplied), "left_anti")
+        change &= F.col("_known").isNull() | (F.struct(*order) >= F.col("_order"))
+    return found.where(change).select(*supplied, *taken)
 
 
-def upsert_path(
+def upsert_path(source: DataFrame, path: str, keys: str | list[str], slice_by: str | None = None, **how) -> DataFrame:
+    """``upsert_into``, and the table's new state."""
+    upsert_into(source, path, keys, slice_by, **how)
+    return read_table(source.sparkSession, path)
+
+
+def upsert_into(
     source: DataFrame,
     path: str,
     keys: str | list[str],
@@ -186,19 +208,28 @@ def upsert_path(
     order: str | list[str] | None = None,
     replacing: DataFrame | None = None,
     slices_fixed: bool = False,
-) -> DataFrame:
-    """Upsert ``source`` into the table at ``path`` and return the table's new state.
+    written: bool = False,
+    unique: bool = False,
+    surrogate: str | None = None,
+    number: Callable[[DataFrame, int], DataFrame] | None = None,
+) -> None:
+    """Upsert ``source`` into the table at ``path``. To read a table of many slices lists as many folders, so it is read once.
 
     ``slice_by`` is a column of the table, or an expression of its columns. Then only the slices with
     rows that change are rewritten, and rows whose slice changes leave the old one: their keys are
     looked up in the whole table, of which that reads the key columns. ``slices_fixed`` leaves that out
     for a column that never changes for a key, such as a creation date. Of slices without a key of
-    ``source`` no other column is read. A table that has another layout is rewritten in the new one.
+    ``source`` no other column is read. An increment of half the table's rows or more looks none up, and
+    reads all slices. A table that has another layout is rewritten in the new one.
 
     With ``order``, a row only replaces one that is not later in the order of these columns.
     ``replacing`` has values of some columns: stored rows with these that ``source`` has no key of go.
     Columns that the table lacks are refused. Nothing is written if nothing changes.
 
+    ``written`` says that ``source`` reads files that stay as they are meanwhile, so that it is not written
+    aside, and ``unique`` that its keys have been seen to be unique. Rows with a new key get their ``surrogate``, which
+    ``source`` lacks, by ``number(rows, first)``, which must refuse a key that is there twice; known keys keep theirs.
+
     One writer at a time: a second one raises ``ConcurrentWrite`` and can be run again.
     """
     spark = source.sparkSession
@@ -208,51 +239,66 @@ def upsert_path(
     aside = scratch_path(spark, "upsert")
     try:
         if current is None:
-            landed = materialize_at(source, f"{aside}/source")
-            assert_unique(landed, keys)
+            landed = source if written else materialize_at(source, f"{aside}/source")
+            if number:
+                landed = number(landed, 1)
+            elif not unique:
+                assert_unique(landed, keys)
             slices, n_rows = _write(landed, path, slice_by)
             _commit(spark, path, base, slice_by, landed.schema, slices, n_rows)
-            return read_table(spark, path)
+            return
 
         table = current.read(spark, path)
-        landed = materialize_at(aligned(source, table.schema), f"{aside}/source")
-        assert_unique(landed, keys)
+        landed = aligned(source, table.schema)
+        if not written:
+            landed = materialize_at(landed, f"{aside}/source")
+        if not unique:
+            assert_unique(landed, keys)
         known = landed.select([F.col(k).alias(f"_key_{k}") for k in keys])
         sliced = slice_by is not None and slice_by == current.slice_by
         near = table
-        if sliced:
+        if sliced and landed.count() * 2 < current.n_rows:
             # Which slices have the keys: of the others not a row is read.
             places = [landed.select(_slice_name(slice_by).alias("s"))]
             if not slices_fixed:
                 places.append(table.withColumn("s", _slice_name(slice_by)).join(known, match(keys), "left_semi").select("s"))
             near = current.read(spark, path, _names(places))
-        stored = materialize_at(near.join(known, match(keys), "left_semi"), f"{aside}/stored")
-        changes = materialize_at(changed_rows(landed, stored, keys, order), f"{aside}/changes")
+        taken = {"_found": F.lit(True)} | ({"_from": F.struct(F.expr(slice_by).alias("at"))} if sliced else {})
+        if surrogate:
+            taken[surrogate] = F.col(surrogate)
+        found = materialize_at(changed_rows(landed, near, keys, order, taken), f"{aside}/changes")
+        replaced, changes = found.where("_found").select(keys), found.drop("_found", "_from")
+        if surrogate:
+            added = changes.where(F.col(surrogate).isNull()).drop(surrogate)
+            if not added.isEmpty():
+                last = table.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
+                changes = changes.where(F.col(surrogate).isNotNull()).unionByName(number(added, last + 1))
         gone = None
         if replacing is not None:
             affected = table.join(replacing.select([F.col(c).alias(f"_key_{c}") for c in replacing.columns]), match(replacing.columns), "left_semi")
             gone = materialize_at(affected.join(known, match(keys), "left_anti"), f"{aside}/gone")
         if changes.isEmpty() and (gone is None or gone.isEmpty()):
-            return table
+            return
 
         def merged(rows: DataFrame) -> DataFrame:
             if gone is not None:
                 rows = rows.join(gone.select([F.col(k).alias(f"_key_{k}") for k in keys]), match(keys), "left_anti")
-            return upsert(rows, changes, keys)
+            return rows.unionByName(changes, allowMissingColumns=True) if only_new else upsert(rows, changes, keys)
 
+        only_new = replaced.isEmpty()
         if not sliced:
             slices, n_rows = _write(merged(table), path, slice_by)
         else:
             # Where changed rows go, and where they were.
-            moved = changes.select([F.col(k).alias(f"_key_{k}") for k in keys])
-            touched = [changes, stored.join(moved, match(keys), "left_semi"), *([] if gone is None else [gone])]
-            names = _names([rows.select(_slice_name(slice_by).alias("s")) for rows in touched])
-            part = current.read(spark, path, names)
-            written, n_written = _write(merged(part), path, slice_by)
-            slices = {name: folder for name, folder in current.slices.items() if name not in names} | written
-            n_rows = current.n_rows - part.count() + n_written
+            touched = [changes, *([] if gone is None else [gone])]
+            places = [rows.select(_slice_name(slice_by).alias("s")) for rows in touched]
+            names = _names([*places, found.where("_from IS NOT NULL").select(_name_of(F.col("_from")["at"]).alias("s"))])
+            whole = set(names) >= set(current.slices)
+            part = table if whole else current.read(spark, path, names)
+            added, n_added = _write(merged(part), path, slice_by)
+            slices = {name: folder for name, folder in current.slices.items() if name not in names} | added
+            n_rows = current.n_rows - (current.n_rows if whole else part.count()) + n_added
         _commit(spark, path, base, slice_by, current.schema, slices, n_rows)
-        return read_table(spark, path)
     finally:
         storage.delete(spark, aside)
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from .. import storage
 from ..session import materialize_at, scratch_path
 from ..sinks.buckets import upsert_buckets
-from ..sinks.tables import upsert_path
+from ..sinks.tables import upsert_into
 from ..sinks.upsert import content_hash, dedupe_latest
 
 
@@ -46,9 +46,9 @@ def upsert_stream(
             try:
                 latest = materialize_at(dedupe_latest(batch, keys, total), aside)
                 if slice_by is None:
-                    upsert_buckets(latest, path, keys, buckets, total)
+                    upsert_buckets(latest, path, keys, buckets, total, written=True, unique=True)
                 else:
-                    upsert_path(latest, path, keys, slice_by, order=total)
+                    upsert_into(latest, path, keys, slice_by, order=total, written=True, unique=True)
             finally:
                 storage.delete(spark, aside)
 

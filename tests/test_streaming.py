@@ -1,4 +1,5 @@
 from asterism import sinks
+from asterism.sinks import buckets, tables
 from asterism.streaming import upsert_stream
 
 SCHEMA = "id int, at int, v string"
@@ -46,3 +47,19 @@ def test_rows_that_the_order_leaves_equal(spark, rows, tmp_path):
         upsert_stream(spark, landing, schema, path, ["id"], ["at"], checkpoint, slice_by, per_batch, buckets=3).awaitTermination()
         found.add(tuple(rows(sinks.read_table(spark, path) if slice_by else sinks.read_buckets(spark, path))))
     assert len(found) == 1 and len(found.pop()) == 3
+
+
+def test_a_batch_lists_the_slices_of_the_table_at_most_once(spark, tmp_path, monkeypatch):
+    reads = []
+    whole = tables.Version.read
+    monkeypatch.setattr(tables.Version, "read", lambda self, *args, **how: reads.append(1) or whole(self, *args, **how))
+    rows = spark.range(200).selectExpr("id", "id AS at")
+    for n, drop in enumerate((rows, rows.withColumn("at", rows["at"] - 1))):
+        drop.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        upsert_stream(
+            spark, str(tmp_path / "in"), rows.schema, str(tmp_path / "table"), ["id"], ["at"], str(tmp_path / "log"), "id div 10"
+        ).awaitTermination()
+        assert len(reads) == n
+    found = sinks.read_table(spark, str(tmp_path / "table"))
+    assert found.count() == tables.current_version(spark, str(tmp_path / "table")).n_rows == 200
+    assert found.where("id = at").count() == 200
