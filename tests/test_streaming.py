@@ -63,3 +63,17 @@ def test_a_batch_lists_the_slices_of_the_table_at_most_once(spark, tmp_path, mon
     found = sinks.read_table(spark, str(tmp_path / "table"))
     assert found.count() == tables.current_version(spark, str(tmp_path / "table")).n_rows == 200
     assert found.where("id = at").count() == 200
+
+
+def test_a_batch_is_compared_with_its_buckets_once(spark, tmp_path, monkeypatch):
+    made = []
+    aside = buckets.materialize_at
+    monkeypatch.setattr(buckets, "materialize_at", lambda df, to: made.append(to.rsplit("/", 1)[1]) or aside(df, to))
+    rows = spark.range(200).selectExpr("id", "id AS at")
+    for drop in (rows, rows.withColumn("at", rows["at"] + 1)):
+        drop.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        upsert_stream(
+            spark, str(tmp_path / "in"), rows.schema, str(tmp_path / "table"), ["id"], ["at"], str(tmp_path / "log"), buckets=4
+        ).awaitTermination()
+    assert made == ["changes"]
+    assert sinks.read_buckets(spark, str(tmp_path / "table")).where("at = id + 1").count() == 200
