@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casting import read_as
-from ..session import observed
+from ..session import COMPRESSION, observed
 from .joins import left_lookup
 from .mapping import VIOLATIONS
 
@@ -109,7 +109,7 @@ def land_split(
     tagged, seen = observed(
         tagged, n_rows=F.count(F.lit(1)), n_invalid=F.count_if(~F.col("is_valid"))
     )
-    tagged.write.mode("overwrite").partitionBy("is_valid").parquet(path)
+    tagged.write.mode("overwrite").option("compression", COMPRESSION).partitionBy("is_valid").parquet(path)
     landed = df.sparkSession.read.schema(tagged.schema).parquet(path)
     valid = landed.where("is_valid").drop("is_valid", VIOLATIONS)
     return valid, landed.where("NOT is_valid").drop("is_valid"), seen.get

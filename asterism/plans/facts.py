@@ -105,7 +105,7 @@ def investment_rows(
     """One row per investment, with the keys of its dimensions and the amount of its round.
 
     Every investor of a round gets the whole amount, so a sum over investors counts it more
-    than once. What does not resolve stays, with a null key. With ``natural``, the natural keys stay too.
+    than once. What does not resolve stays, with a null key. With ``natural``, the natural keys of what does not stay too.
     """
     rows = investments.select(
         F.col("investment_id").cast("string").alias("investment_nk"),
@@ -123,11 +123,18 @@ def investment_rows(
         dim_funding_round.select("funding_round_nk", "funding_round_id"), "funding_round_nk", "left"
     )
     dated = with_date_id(rows, "created_at", dim_date)
-    keyed = left_lookup(dated, rounds, "funding_round_nk", counted=rows)
+
+    def settled(df: DataFrame, nk: str, found: str) -> DataFrame:
+        """Without the natural keys that have been found: the next lookup need not move them."""
+        return df.withColumn(nk, F.when(F.col(found).isNull(), F.col(nk))) if natural else df.drop(nk)
+
     keyed = lookup_key(
-        keyed, dim_investor, "investor_object_id", "investor_nk", "investor_id", counted=rows
+        dated, dim_investor, "investor_object_id", "investor_nk", "investor_id", counted=rows
     )
+    keyed = settled(keyed, "investor_object_id", "investor_id")
+    keyed = settled(left_lookup(keyed, rounds, "funding_round_nk", counted=rows), "funding_round_nk", "funding_round_id")
     keyed = lookup_key(keyed, dim_company, "funded_object_id", "company_nk", "company_id", counted=rows)
+    keyed = settled(keyed, "funded_object_id", "company_id")
     return keyed.select(
         "investment_nk",
         "investor_id",

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import storage
 from ..functions.documents import now
 from ..operators.mapping import VIOLATIONS
-from ..session import materialize
+from ..session import materialize, materialize_at
 from ..sinks.tables import read_table, write_version
 
 #: Columns of rejected rows, but for the parts of their path. ``source`` is the staging table of a row that
@@ -74,12 +74,13 @@ def settle(spark: SparkSession, root: str, table: str, rejected: DataFrame | Non
         again = state.join(times, same, "left").withColumn("created_at", F.coalesce("_first", "created_at")).drop("_source", "_known", "_first")
         if judged is not None:
             tried = judged.select(F.col("source").alias("_source"), F.col("key").alias("_known"))
-            tried = tried.union(state.select("source", F.coalesce("key", "row"))).distinct()
+            # What has a key was judged under it.
+            tried = tried.union(state.where("key IS NULL").select("source", "row"))
             again = again.unionByName(before.join(tried, same, "left_anti"))
         state = again
-    state = materialize(state, "rejected")
-    if not state.isEmpty():
-        state.write.parquet(f"{folder}/build={uuid.uuid4().hex}")
+    build = f"build={uuid.uuid4().hex}"
+    if materialize_at(state, f"{folder}/{build}").isEmpty():
+        old = [*old, build]
     for name in old:
         storage.delete(spark, f"{folder}/{name}")
     if not storage.names(spark, folder):

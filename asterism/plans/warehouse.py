@@ -11,19 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casting import day_before, parse_date
-from ..operators.keys import assign_ids
+from ..operators.keys import with_dense_id
 from ..operators.mapping import VIOLATIONS, unreadable
 from ..operators.validation import Castable, ForeignKey, NotNull, Rule, land_split
 from ..schemas import STAGING_KEYS, SURROGATES, WAREHOUSE, WAREHOUSE_KEYS, struct
 from ..session import materialize, run_all, scratch_path, scratch_scope
 from ..sinks.runlog import logged, rejected
-from ..sinks.tables import read_table, target_name, upsert_path
+from ..sinks.tables import read_table, target_name, upsert_into
 from ..sources.files import all_empty
 from . import dimensions, facts, pending
 from .calendar import calendar, dim_date
 
 # Facts are sliced by month, so that an increment leaves other months alone.
 SLICED_BY = {"fact_company_growth": "date_id div 100", "fact_investments": "date_id div 100"}
+#: Tables that are built with one row per key.
+ONE_PER_KEY = {"dim_company", "dim_investor", "fact_company_growth"}
 #: Staging columns that a fact reads as a type without a mapping.
 READ_AS = {
     "acquisition": {"acquired_at": "date"},
@@ -65,7 +67,6 @@ def load_table(
     name: str,
     root: str,
     rules: Sequence[Rule],
-    known: DataFrame | None = None,
     replacing: DataFrame | None = None,
     reports: Sequence[DataFrame] = (),
     judged: Sequence[DataFrame] | None = None,
@@ -88,10 +89,15 @@ def load_table(
     key = WAREHOUSE_KEYS[table][0]
     rows = pending.report(invalid, [c for c in built.columns if c != VIOLATIONS and c in wanted], F.col(key), run_date=run_date)
     reports = [*reports, *([rows] if seen["n_invalid"] else [])]
-    loaded = valid
-    if table in SURROGATES:
-        valid = assign_ids(known, valid, WAREHOUSE_KEYS[table], SURROGATES[table])
-    upsert_path(conformed(valid, table), f"{root}/{table}", WAREHOUSE_KEYS[table], SLICED_BY.get(table), replacing=replacing)
+    loaded, keys, surrogate = valid, WAREHOUSE_KEYS[table], SURROGATES.get(table)
+
+    def number(new: DataFrame, first: int) -> DataFrame:
+        return conformed(with_dense_id(new, keys, surrogate, first, distinct=True), table)
+
+    upsert_into(
+        conformed(valid, table), f"{root}/{table}", keys, SLICED_BY.get(table), replacing=replacing, written=True,
+        unique=table in ONE_PER_KEY, surrogate=surrogate, number=number if surrogate else None,
+    )
     # Last, so that a build that dies before tries the same rows again.
     tried = None
     if judged is not None:
@@ -200,7 +206,7 @@ def build_warehouse(
                 reports = [found for found in (unreadable_source(increment(source, name), source, run_date) for source in read) if found is not None]
                 reports = [found for found in reports if not found.isEmpty()]
                 seen = load_table(
-                    build(), name, root, rules, known(name), replacing and replacing(), reports, judged(name, read, tried or replacing), run_date
+                    build(), name, root, rules, replacing and replacing(), reports, judged(name, read, tried or replacing), run_date
                 )
             run["n_rows"] = seen["n_rows"]
             run["error_msg"] = rejected(seen["n_invalid"])

@@ -22,10 +22,10 @@ class Tables:
 
         self.made: dict[str, DataFrame] = {}
 
-    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A table that is derived from the others, written the first time it is asked for."""
+    def once(self, name: str, build: Callable[[], DataFrame], written: bool = False) -> DataFrame:
+        """A table that is derived from the others, written the first time it is asked for if ``build`` has not."""
         if name not in self.made:
-            self.made[name] = materialize(build(), name)
+            self.made[name] = build() if written else materialize(build(), name)
         return self.made[name]
 
     def __getattr__(self, name: str) -> DataFrame:

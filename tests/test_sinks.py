@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from asterism import operators as ops
 from asterism import sinks
 from asterism.sinks import tables
 from asterism.schemas import RUN_LOG, struct
@@ -327,3 +328,38 @@ def test_an_upsert_reads_the_slices_of_its_keys_only(spark, wide, tmp_path, monk
     sinks.upsert_path(change, path, "id", "day", slices_fixed=fixed)
     # Whole reads are of the table as it is handed on, and of the keys unless slices are fixed.
     assert [only for only in seen if only is not None] and all(len(only) == 1 for only in seen if only is not None)
+
+
+def test_an_upsert_writes_aside_what_changes_and_nothing_else(spark, tmp_path, monkeypatch):
+    path, made = str(tmp_path / "t"), []
+    aside = tables.materialize_at
+
+    def counted(df, to):
+        found = aside(df, to)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(tables, "materialize_at", counted)
+    rows = spark.range(100).selectExpr("id", "id % 4 AS day", "id AS v")
+    sinks.upsert_into(rows, path, "id", "day", written=True, unique=True)
+    assert not made
+    sinks.upsert_into(rows, path, "id", "day", written=True, unique=True)
+    assert made == [0]
+    made.clear()
+    sinks.upsert_into(rows.selectExpr("id", "day", "if(id < 7, -1, v) AS v"), path, "id", "day", written=True, unique=True)
+    assert made == [7]
+    assert sinks.read_table(spark, path).where("v = -1").count() == 7
+
+
+def test_new_keys_are_numbered_after_those_of_the_table(spark, rows, tmp_path):
+    def number(new, first):
+        return ops.with_dense_id(new, "k", "sk", first, distinct=True)
+
+    path = str(tmp_path / "t")
+    for keys in ("bd", "abcd"):
+        source = spark.createDataFrame([(k, len(keys)) for k in keys], "k string, v int")
+        sinks.upsert_into(source, path, "k", "v", surrogate="sk", number=number)
+    assert rows(sinks.read_table(spark, path), "k", "sk", "v") == [("a", 3, 4), ("b", 1, 4), ("c", 4, 4), ("d", 2, 4)]
+    with pytest.raises(sinks.DuplicateKeys):
+        twice = spark.createDataFrame([("x", 1), ("x", 1)], "k string, v int")
+        sinks.upsert_into(twice, str(tmp_path / "other"), "k", surrogate="sk", number=number)
