@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casting import day_before, parse_date
@@ -146,28 +146,36 @@ def build_warehouse(
         """Keys that a daily build tries again."""
         return None if run_date is None else pending.rejected_keys(spark, root, table, source)
 
-    def with_keys(source: str, column: str, keys: Sequence[DataFrame | None]) -> list[DataFrame]:
-        """The rows of a staging table with some of the ``keys``, in text."""
-        found = [df for df in keys if df is not None]
-        if not found:
-            return []
-        wanted = reduce(lambda a, b: a.union(b), found).select(F.col("key").alias("_key"))
-        return [s[source].join(wanted, F.col(column).cast("string") == F.col("_key"), "left_semi")]
+    def chosen(source: str, keys: Mapping[str, Sequence[DataFrame | None]], day: Column) -> DataFrame:
+        """The rows of a staging table that are of the day, or have in one of the columns one of its ``keys``, in text.
+
+        A key is moved to the rows once for each column, and no row is put together with itself afterwards.
+        """
+        rows, hits = s[source], [day]
+        for number, (column, found) in enumerate(keys.items()):
+            found = [df.select(F.col("key").alias(f"_key_{number}")) for df in found if df is not None]
+            if found:
+                wanted = reduce(lambda a, b: a.union(b), found).where(f"_key_{number} IS NOT NULL").distinct().withColumn(f"_hit_{number}", F.lit(True))
+                rows = rows.join(wanted, F.col(column).cast("string") == F.col(f"_key_{number}"), "left")
+                hits.append(F.col(f"_hit_{number}").isNotNull())
+        return rows.where(reduce(or_, hits)).select(s[source].columns)
+
+    def of_day(source: str) -> Column | None:
+        """Whether a row of a staging table is of the day; ``None`` if that cannot be told."""
+        stamps = [name for name in ("created_at", "updated_at") if name in s[source].columns]
+        return reduce(or_, [F.coalesce(parse_date(name) == day_before(run_date), F.lit(False)) for name in stamps]) if stamps else None
 
     def increment(source: str, table: str | None = None, column: str | None = None) -> DataFrame:
         """The rows of a staging table that the build is about, with those that ``table`` is to try again.
 
         With ``column``, built rows of the table go by that column.
         """
-        rows = s[source]
-        stamps = [name for name in ("created_at", "updated_at") if name in rows.columns]
-        if run_date is None or not stamps:
-            return rows
-        day = rows.where(reduce(or_, [F.coalesce(parse_date(name) == day_before(run_date), F.lit(False)) for name in stamps]))
-        id_ = STAGING_KEYS[source][0]
-        again = with_keys(source, id_, [rejected(table, source)]) if table else []
-        again += with_keys(source, column, [rejected(table)]) if column else []
-        return reduce(lambda a, b: a.union(b), [day, *again]).dropDuplicates([id_]) if again else day
+        if run_date is None or of_day(source) is None:
+            return s[source]
+        keys: dict[str, list[DataFrame | None]] = {STAGING_KEYS[source][0]: [rejected(table, source) if table else None]}
+        if column:
+            keys.setdefault(column, []).append(rejected(table))
+        return chosen(source, keys, of_day(source))
 
     def judged(table: str, sources: Sequence[str], more: Callable[[], DataFrame] | None) -> list[DataFrame] | None:
         """``source`` and ``key`` of what a daily build tries beside the rows it builds."""
@@ -228,6 +236,11 @@ def build_warehouse(
 
         return get
 
+    def written(rows: DataFrame) -> DataFrame:
+        """Rows that are read several times; none of them leaves nothing to be moved in the lookups."""
+        rows = materialize(rows, "chosen")
+        return spark.createDataFrame([], rows.schema) if rows.isEmpty() else rows
+
     def company() -> None:
         def affected() -> DataFrame:
             found = [increment("company").select("object_id"), *[df.select(F.col("key")) for df in [rejected("dim_company")] if df is not None]]
@@ -261,13 +274,14 @@ def build_warehouse(
         rules = [NotNull(key) for key in ("company_id", "investor_id", "funding_round_id")] if foreign_keys else []
 
         def build() -> DataFrame:
-            rows = increment("investments", name)
-            if run_date is not None:
-                rounds = increment("funding_rounds").select("funding_round_id").distinct()
+            rows = s["investments"]
+            if run_date is not None and of_day("investments") is not None:
+                rounds = materialize(increment("funding_rounds").select(F.col("funding_round_id").cast("string").alias("key")).distinct(), "rounds")
                 nks = {dim: (dimension(dim), WAREHOUSE_KEYS[dim][0]) for dim, _ in WAITS[name].values()}
-                again = with_keys("investments", "investment_id", [rejected(name), pending.resolved_keys(spark, root, name, nks)])
-                parts = [rows, of_affected("investments", "funding_round_id", rounds), *again]
-                rows = reduce(lambda a, b: a.union(b), parts).dropDuplicates(["investment_id"])
+                again = [rejected(name, "investments"), rejected(name), pending.resolved_keys(spark, root, name, nks)]
+                keys = {"investment_id": again, "funding_round_id": [None if rounds.isEmpty() else rounds]}
+                # Each lookup counts their keys first.
+                rows = written(chosen("investments", keys, of_day("investments")))
             return facts.investment_rows(rows, s["funding_rounds"], *map(dimension, dims), natural=True)
 
         load(name, ["investments", "funding_rounds"], build, rules, filled=["investments"], read=["investments"])
@@ -276,11 +290,12 @@ def build_warehouse(
         name = "dim_relationship"
 
         def build() -> DataFrame:
-            rows = increment("relationships", name, "relationship_id")
-            if run_date is not None and "people" in s:
-                came = pending.resolved_keys(spark, root, name, {"people": (s["people"].select("object_id").distinct(), "object_id")})
-                again = with_keys("relationships", "relationship_id", [came])
-                rows = reduce(lambda a, b: a.union(b), [rows, *again]).dropDuplicates(["relationship_id"]) if again else rows
+            rows = s["relationships"]
+            if run_date is not None and of_day("relationships") is not None:
+                again = [rejected(name, "relationships"), rejected(name)]
+                if "people" in s:
+                    again.append(pending.resolved_keys(spark, root, name, {"people": (s["people"].select("object_id").distinct(), "object_id")}))
+                rows = written(chosen("relationships", {"relationship_id": again}, of_day("relationships")))
             return dimensions.dim_relationship(rows, s.get("people"), report=True, natural=True)
 
         load(name, ["relationships"], build)

@@ -34,6 +34,8 @@ WHOLE = "all"
 KEPT_VERSIONS = 3
 #: Slices a table may have: each is a folder, and a line in the version's file.
 MOST_SLICES = 100_000
+#: Rows that come straight from files are written to their slices by the tasks that read them, if files get so many bytes on average.
+LEAST_FILE_BYTES = 1 << 20
 _APPENDING = Lock()
 
 
@@ -120,15 +122,30 @@ def _name_of(value: Column) -> Column:
     return F.when(value.isNull(), F.lit("null")).otherwise(F.concat(F.lit("h"), F.md5(value)))
 
 
+def _slices_in_place(df: DataFrame, slice_by: str) -> bool:
+    """Whether tasks can write the slices of the rows that they read, without many small files."""
+    size = storage.estimated_bytes(df)
+    if size < LEAST_FILE_BYTES or not storage.reads_in_order(df):
+        return False
+    files = df.select(F.spark_partition_id().alias("task"), F.expr(slice_by).alias("slice")).distinct().count()
+    return files * LEAST_FILE_BYTES <= size
+
+
 def _write(df: DataFrame, path: str, slice_by: str | None) -> tuple[dict[str, str], int]:
-    """Write rows to a new folder; the slices in it, and how many rows there are."""
+    """Write rows to a new folder; the slices in it, and how many rows there are.
+
+    Big slices are split among tasks, small ones put together. Only rows that come straight from files stay where they are
+    read, if a task's part of a slice makes a file that is large enough.
+    """
     folder = f"data/{uuid.uuid4().hex}"
     if slice_by is None:
         df, seen = observed(df)
         df.write.option("compression", COMPRESSION).parquet(f"{path}/{folder}/{SLICE}={WHOLE}")
     else:
-        # Big slices are split among tasks, small ones put together. What is moved is the value, as the name is long.
-        spread = df.withColumn("_slice", F.expr(slice_by)).hint("rebalance", "_slice")
+        # What is moved is the value, as the name is long.
+        spread = df.withColumn("_slice", F.expr(slice_by))
+        if not _slices_in_place(df, slice_by):
+            spread = spread.hint("rebalance", "_slice")
         named = spread.withColumn(SLICE, _name_of(F.col("_slice"))).drop("_slice")
         named, seen = observed(named)
         named.write.option("compression", COMPRESSION).partitionBy(SLICE).parquet(f"{path}/{folder}")
@@ -194,6 +211,38 @@ def changed_rows(
     return found.where(change).select(*supplied, *taken)
 
 
+def merged_rows(
+    source: DataFrame, target: DataFrame, keys: list[str], order: list[str | Column], taken: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """All rows of ``target`` with those of ``source`` put in that change it, as ``changed_rows`` finds them, and ``_change``.
+
+    For a source that is not small: both sides are moved once, for the comparison and for the new state. ``taken`` is as there.
+    """
+    supplied, taken = source.columns, taken or {}
+    compared = [name for name in supplied if name not in keys] if _comparable(target.schema, supplied) else None
+    stored = [F.col(k).alias(f"_key_{k}") for k in keys] + [F.lit(True).alias("_known")]
+    stored += [F.col(name).alias(f"_old_{name}") for name in target.columns if name not in keys]
+    stored += [column.alias(name) for name, column in taken.items()]
+    change = F.col("_here").isNotNull()
+    unknown = F.col("_known").isNull()
+    if compared is not None:
+        same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_old_{name}")) for name in compared], F.lit(True))
+        change &= unknown | ~same
+    if order:
+        stored.append(F.struct(*order).alias("_order"))
+        change &= unknown | (F.struct(*order) >= F.col("_order"))
+    both = source.withColumn("_here", F.lit(True)).join(target.select(stored), match(keys), "full")
+    both = both.withColumn("_change", F.coalesce(change, F.lit(False)))
+
+    def value(name: str) -> Column:
+        if name in keys:
+            return F.when(F.col("_here"), F.col(name)).otherwise(F.col(f"_key_{name}"))
+        old = F.col(f"_old_{name}")
+        return F.when(F.col("_change"), F.col(name)).otherwise(old) if name in supplied else old
+
+    return both.select(*[value(name).alias(name) for name in target.columns], "_change", *taken)
+
+
 def upsert_path(source: DataFrame, path: str, keys: str | list[str], slice_by: str | None = None, **how) -> DataFrame:
     """``upsert_into``, and the table's new state."""
     upsert_into(source, path, keys, slice_by, **how)
@@ -252,17 +301,27 @@ def upsert_into(
         landed = aligned(source, table.schema)
         if not written:
             landed = materialize_at(landed, f"{aside}/source")
+        n_landed = landed.count()
+        if not n_landed and replacing is None:
+            return
         if not unique:
             assert_unique(landed, keys)
         known = landed.select([F.col(k).alias(f"_key_{k}") for k in keys])
         sliced = slice_by is not None and slice_by == current.slice_by
         near = table
-        if sliced and landed.count() * 2 < current.n_rows:
+        if sliced and n_landed * 2 < current.n_rows:
             # Which slices have the keys: of the others not a row is read.
-            places = [landed.select(_slice_name(slice_by).alias("s"))]
-            if not slices_fixed:
-                places.append(table.withColumn("s", _slice_name(slice_by)).join(known, match(keys), "left_semi").select("s"))
-            near = current.read(spark, path, _names(places))
+            names = _names([landed.select(_slice_name(slice_by).alias("s"))])
+            near = current.read(spark, path, names)
+            # Where the rows' own slices have most of the table, the others are read with them and no key is looked up.
+            if not slices_fixed and near.count() * 2 >= current.n_rows:
+                near = table
+            elif not slices_fixed:
+                places = table.withColumn("s", _slice_name(slice_by)).join(known, match(keys), "left_semi").select("s")
+                near = current.read(spark, path, sorted({*names, *_names([places])}))
+        if near is table and replacing is None and storage.estimated_bytes(landed) > storage.broadcast_limit(spark):
+            _merge_whole(landed, path, keys, slice_by, order, surrogate, number, base, current, aside)
+            return
         taken = {"_found": F.lit(True)} | ({"_from": F.struct(F.expr(slice_by).alias("at"))} if sliced else {})
         if surrogate:
             taken[surrogate] = F.col(surrogate)
@@ -303,6 +362,40 @@ def upsert_into(
         storage.delete(spark, aside)
 
 
+def _merge_whole(
+    landed: DataFrame, path: str, keys: list[str], slice_by: str | None, order: list[str | Column], surrogate: str | None,
+    number: Callable[[DataFrame, int], DataFrame] | None, base: int, current: Version, aside: str,
+) -> None:
+    """``upsert_into`` for many rows: they are compared and put in by one join, whose result is written before it is sliced."""
+    spark = landed.sparkSession
+    table = current.read(spark, path)
+    sliced = slice_by is not None and slice_by == current.slice_by
+    was = {"_from": F.struct(F.expr(slice_by).alias("at"))} if sliced else {}
+    added = F.col("_change") & F.col("_from").isNull() if sliced else F.lit(False)
+    state, seen = observed(merged_rows(landed, table, keys, order, was), changed=F.count_if("_change"), added=F.count_if(added))
+    state = materialize_at(state, f"{aside}/merged")
+    if not seen.get["changed"]:
+        return
+    rows, names = state.drop("_change", *was), []
+    if sliced:
+        moved = state.where("_change")
+        # Where changed rows go, and where they were.
+        old = moved.where("_from IS NOT NULL").select(_name_of(F.col("_from")["at"]).alias("s"))
+        names = _names([moved.select(_slice_name(slice_by).alias("s")), old])
+        if not set(names) >= set(current.slices):
+            rows = rows.where(_slice_name(slice_by).isin(names))
+    if surrogate:
+        new = rows.where(F.col(surrogate).isNull()).drop(surrogate)
+        if not new.isEmpty():
+            last = table.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
+            rows = rows.where(F.col(surrogate).isNotNull()).unionByName(number(new, last + 1))
+    slices, n_rows = _write(rows, path, slice_by)
+    if sliced:
+        slices = {name: folder for name, folder in current.slices.items() if name not in names} | slices
+        n_rows = current.n_rows + seen.get["added"]
+    _commit(spark, path, base, slice_by, current.schema, slices, n_rows)
+
+
 def ensure_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table at ``path``, created empty if it is absent."""
     if not storage.exists(spark, path):

@@ -363,3 +363,46 @@ def test_new_keys_are_numbered_after_those_of_the_table(spark, rows, tmp_path):
     with pytest.raises(sinks.DuplicateKeys):
         twice = spark.createDataFrame([("x", 1), ("x", 1)], "k string, v int")
         sinks.upsert_into(twice, str(tmp_path / "other"), "k", surrogate="sk", number=number)
+
+
+@pytest.fixture
+def nothing_is_small(spark):
+    """No table is broadcast, as if all were large."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("slice_by", [None, "day"])
+def test_many_rows_are_compared_and_put_in_by_one_join(spark, base, delta, rows, tmp_path, slice_by, nothing_is_small, monkeypatch):
+    monkeypatch.setattr(tables, "upsert", None)  # which would move the table again
+    path = str(tmp_path / "t")
+    sinks.upsert_path(base, path, "id", slice_by)
+    more = delta.union(base.where("id = 1"))
+    assert rows(sinks.upsert_path(more, path, "id", slice_by)) == MERGED
+    version = tables.latest_version(spark, path)
+    sinks.upsert_path(more, path, "id", slice_by)
+    assert tables.latest_version(spark, path) == version
+    # A row that moves to another slice leaves the old one; columns that are not supplied stay.
+    moved = more.withColumn("day", F.lit("d9")).drop("b")
+    assert rows(sinks.upsert_path(moved, path, "id", slice_by)) == sorted(
+        [(r[0], "d9" if r[0] != 3 else r[1], *r[2:]) for r in MERGED], key=repr)
+    assert tables.current_version(spark, path).n_rows == 5
+    # A row does not replace a later one.
+    older = more.withColumns({"day": F.lit("d0"), "a": F.lit("older")})
+    sinks.upsert_path(older, path, "id", slice_by, order="day")
+    assert sinks.read_table(spark, path).where("a = 'older'").isEmpty()
+
+
+def test_rows_of_files_are_written_to_their_slices_where_they_are_read(spark, tmp_path, monkeypatch):
+    spark.range(1000).selectExpr("id", "id % 3 AS day").write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    assert not tables._slices_in_place(df, "day")
+    monkeypatch.setattr(tables, "LEAST_FILE_BYTES", 100)
+    assert tables._slices_in_place(df, "day")
+    assert not tables._slices_in_place(df.repartition(3), "day")
+    assert not tables._slices_in_place(df, "id")
+    sinks.upsert_path(df, str(tmp_path / "t"), "id", "day")
+    found = sinks.read_table(spark, str(tmp_path / "t"))
+    assert (found.count(), found.select("day").distinct().count()) == (1000, 3)
