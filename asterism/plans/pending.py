@@ -48,11 +48,12 @@ def rejected_rows(spark: SparkSession, root: str, table: str) -> DataFrame | Non
 
 
 def rejected_keys(spark: SparkSession, root: str, table: str, source: str | None = None) -> DataFrame | None:
-    """The keys to be tried again, of built rows or of those of a staging table."""
+    """The keys to be tried again, of built rows or of those of a staging table; ``None`` if there are none."""
     found = rejected_rows(spark, root, table)
     if found is None:
         return None
-    return found.where(F.col("source").eqNullSafe(F.lit(source)) & F.col("key").isNotNull()).select("key").distinct()
+    found = found.where(F.col("source").eqNullSafe(F.lit(source)) & F.col("key").isNotNull()).select("key")
+    return None if found.isEmpty() else found.distinct()
 
 
 def settle(spark: SparkSession, root: str, table: str, rejected: DataFrame | None, judged: DataFrame | None) -> None:
@@ -76,7 +77,12 @@ def settle(spark: SparkSession, root: str, table: str, rejected: DataFrame | Non
             tried = judged.select(F.col("source").alias("_source"), F.col("key").alias("_known"))
             # What has a key was judged under it.
             tried = tried.union(state.where("key IS NULL").select("source", "row"))
-            again = again.unionByName(before.join(tried, same, "left_anti"))
+            # Keys alone tell whether a row was left out, which is seldom so.
+            names = [F.col("source"), F.coalesce("key", "row").alias("row")]
+            left = before.select(F.lit(None).cast("string").alias("key"), *names).join(tried, same, "left_anti")
+            left = materialize(left.select(F.col("source").alias("_source"), F.col("row").alias("_known")).distinct(), "left")
+            if not left.isEmpty():
+                again = again.unionByName(before.join(left, same, "left_semi"))
         state = again
     build = f"build={uuid.uuid4().hex}"
     if materialize_at(state, f"{folder}/{build}").isEmpty():
@@ -102,8 +108,10 @@ def note_waiting(
         )
         for column, (dimension, nk) in wanted.items()
     ]
-    found = materialize(reduce(lambda a, b: a.union(b), parts), "waiting")
     before = read_table(spark, path)
+    if not whole and loaded.isEmpty():
+        return
+    found = materialize(reduce(lambda a, b: a.union(b), parts), "waiting")
     if before is not None and not whole:
         found = found.union(before.join(loaded.select(F.col(key).cast("string").alias("key")), "key", "left_anti"))
     if before is not None or not found.isEmpty():
@@ -111,7 +119,7 @@ def note_waiting(
 
 
 def resolved_keys(spark: SparkSession, root: str, table: str, dimensions: Mapping[str, tuple[DataFrame, str]]) -> DataFrame | None:
-    """Keys of the facts that wait for rows which ``dimensions`` have by now; ``None`` if none waits.
+    """Keys of the facts that wait for rows which ``dimensions`` have by now; ``None`` if there are none.
 
     ``dimensions`` has the table and the column of its natural key. Of a dimension, that column is read,
     and moved only if too many facts wait to be broadcast.
@@ -123,4 +131,5 @@ def resolved_keys(spark: SparkSession, root: str, table: str, dimensions: Mappin
     for name, (dimension, nk) in dimensions.items():
         here = dimension.select(F.col(nk).cast("string").alias("missing"))
         parts.append(noted.where(F.col("dimension") == name).join(here, "missing").select("key"))
-    return materialize(reduce(lambda a, b: a.union(b), parts).distinct(), "resolved")
+    found = materialize(reduce(lambda a, b: a.union(b), parts).distinct(), "resolved")
+    return None if found.isEmpty() else found

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asterism import plans, schemas
+from asterism.plans import facts, pending
 from asterism.plans.facts import latest_ipos
 from asterism.sinks import read_increment, read_table
 
@@ -391,3 +392,34 @@ def test_staging_what_differs(spark, staged, rows, tmp_path):
     assert rows(found, "fund_id", "name") == [("1", "a b"), ("2", "C"), ("3", "gone"), ("4", "late")]
     assert rows(read_increment(spark, landing, "2008-06-20"), "fund_id") == [("2",), ("4",)]
     assert plans.stage_table(changed, landing, path, ["fund_id"], "2008-06-21", by_snapshot=True) is None
+
+
+def test_a_day_without_anything_moves_no_row(spark, staging, tmp_path, monkeypatch):
+    root = str(tmp_path / "wh")
+    chosen = {name: staging[name] for name in ("investments", "funding_rounds", "company")}
+    plans.build_warehouse(spark, chosen, root)
+    seen = []
+    build = facts.investment_rows
+    monkeypatch.setattr(facts, "investment_rows", lambda rows, *rest, **how: seen.append(rows) or build(rows, *rest, **how))
+    tables = plans.build_warehouse(spark, chosen, root, run_date="2030-01-01")
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Relation" not in plan.replace("LocalRelation", "")
+    assert tables["fact_investments"].count() == 3
+
+
+def test_no_keys_to_try_again(spark, tmp_path):
+    rejected = spark.createDataFrame([(None, "1", ["r"], "{}", None, None), (None, None, ["r"], "{}", None, None)], pending.REJECTED)
+    pending.settle(spark, str(tmp_path), "t", rejected, None)
+    assert [row[0] for row in pending.rejected_keys(spark, str(tmp_path), "t").collect()] == ["1"]
+    assert pending.rejected_keys(spark, str(tmp_path), "t", "company") is None
+
+
+def test_rows_that_were_not_tried_stay_rejected(spark, tmp_path):
+    def state(*keys):
+        return spark.createDataFrame([(None, key, ["r"], key, None, None) for key in keys], pending.REJECTED)
+
+    root = str(tmp_path)
+    pending.settle(spark, root, "t", state("1", "2", "3"), None)
+    pending.settle(spark, root, "t", state("2"), state("1", "2").select("source", "key"))
+    found = pending.rejected_rows(spark, root, "t")
+    assert sorted(row["key"] for row in found.collect()) == ["2", "3"]
