@@ -107,8 +107,9 @@ def investment_rows(
     Every investor of a round gets the whole amount, so a sum over investors counts it more
     than once. What does not resolve stays, with a null key. With ``natural``, the natural keys of what does not stay too.
     """
+    # What is only carried along is typed at the end, as it is narrower before.
     rows = investments.select(
-        F.col("investment_id").cast("string").alias("investment_nk"),
+        F.col("investment_id").alias("_investment"),
         "investor_object_id",
         "funded_object_id",
         F.col("funding_round_id").cast("string").alias("funding_round_nk"),
@@ -116,7 +117,7 @@ def investment_rows(
     )
     amounts = funding_rounds.select(
         F.col("funding_round_id").cast("string").alias("funding_round_nk"),
-        read_as("raised_amount_usd", WIDE).alias("investment_amount_usd"),
+        F.col("raised_amount_usd").alias("_amount"),
     )
     # One join for the amount and the key of a round: both hang on the same natural key.
     rounds = amounts.join(
@@ -136,12 +137,12 @@ def investment_rows(
     keyed = lookup_key(keyed, dim_company, "funded_object_id", "company_nk", "company_id", counted=rows)
     keyed = settled(keyed, "funded_object_id", "company_id")
     return keyed.select(
-        "investment_nk",
+        F.col("_investment").cast("string").alias("investment_nk"),
         "investor_id",
         "funding_round_id",
         "company_id",
         "date_id",
-        "investment_amount_usd",
+        read_as("_amount", WIDE).alias("investment_amount_usd"),
         *(["funded_object_id", "investor_object_id", "funding_round_nk"] if natural else []),
     )
 

@@ -423,3 +423,23 @@ def test_rows_that_were_not_tried_stay_rejected(spark, tmp_path):
     pending.settle(spark, root, "t", state("2"), state("1", "2").select("source", "key"))
     found = pending.rejected_rows(spark, root, "t")
     assert sorted(row["key"] for row in found.collect()) == ["2", "3"]
+
+
+def test_lines_are_numbered_by_what_is_used(spark):
+    from checks import analog
+    from checks.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    found = analog.lines(t)
+    assert "l_extendedprice" not in found.columns
+    assert found.agg(F.max("line_id"), F.count_distinct("line_id")).first()[:] == (t.lineitem.count(),) * 2
+
+
+def test_amounts_are_typed_after_the_lookups(spark, staging):
+    empty = {name: spark.createDataFrame([], schemas.struct(schemas.WAREHOUSE[name])) for name in ("dim_date", "dim_company", "dim_investor", "dim_funding_round")}
+    text = staging["funding_rounds"].withColumn("raised_amount_usd", F.lit("100000000000000000000.25"))
+    found = facts.investment_rows(staging["investments"], text, *empty.values())
+    assert found.schema["investment_amount_usd"].dataType.simpleString() == "decimal(38,2)"
+    assert {row[0] for row in found.select("investment_amount_usd").collect()} == {Decimal("100000000000000000000.25"), None}
+    plan = facts.investment_rows(staging["investments"], staging["funding_rounds"], *empty.values())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("decimal(38,2)") < plan.index("Join")
