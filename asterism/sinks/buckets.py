@@ -15,7 +15,7 @@ from .. import storage
 from ..functions.casting import parse_keys
 from ..session import materialize_at, scratch_path
 from .tables import changed_rows
-from .upsert import aligned, assert_unique, upsert
+from .upsert import aligned, assert_unique, dedupe_latest, upsert
 
 PREFIX = "bucket_of_"
 #: Bytes of a table for which it gets a bucket, when it is first written, and how many it gets at least and at most.
@@ -111,3 +111,53 @@ def upsert_buckets(
         return read_buckets(spark, path)
     finally:
         storage.delete(spark, aside)
+
+
+def _rows_in(rows: DataFrame, keys: list[str], n: int) -> dict[int, int]:
+    """How many rows each bucket has that has any; as many numbers as there are buckets, at most."""
+    return {row[0]: row[1] for row in rows.groupBy(_bucket(keys, n)).count().collect()}
+
+
+def _latest(rows: DataFrame, keys: list[str], order: list[str | Column], counts: dict[int, int], n: int) -> DataFrame:
+    """``dedupe_latest`` of rows that are dealt out by key before they are sorted, as few tasks may read them.
+
+    Only if no bucket, and so no key, has far more rows than others: frequent keys are reduced before rows are moved.
+    """
+    even = max(counts.values(), default=0) * n <= 2 * sum(counts.values())
+    return dedupe_latest(rows.hint("rebalance", *keys) if even else rows, keys, order)
+
+
+def upsert_latest(source: DataFrame, path: str, keys: str | list[str], buckets: int, order: list[str | Column]) -> None:
+    """Upsert rows of which a key may have several: of these and of the table's, the last one by ``order`` stays.
+
+    ``order`` must tell all rows of a key apart that differ. The rows and their buckets meet in one aggregate, instead of being
+    reduced, compared and put in one after the other. As in ``upsert_buckets``, only buckets with rows that change are put in
+    place, and columns that ``source`` lacks keep their values, for which rows are put in by that.
+    """
+    spark = source.sparkSession
+    keys = parse_keys(keys)
+    finish(spark, path)
+    column = _column(spark, path)
+    if column is None:
+        latest = _latest(source, keys, order, _rows_in(source, keys, buckets), buckets)
+        _write(latest.withColumn(f"{PREFIX}{buckets}", _bucket(keys, buckets)), path, f"{PREFIX}{buckets}")
+        return
+
+    n = int(column.removeprefix(PREFIX))
+    schema = spark.read.parquet(path).drop(column).schema
+    rows = aligned(source, schema)
+    if rows.columns != schema.names:
+        upsert_buckets(dedupe_latest(rows, keys, order), path, keys, order=order, unique=True)
+        return
+    aside = scratch_path(spark, "upsert")
+    try:
+        counts = _rows_in(rows, keys, n)
+        part = buckets_of(spark, path, list(counts)).drop(column)
+        both = rows.withColumn("_stored", F.lit(False)).unionByName(part.withColumn("_stored", F.lit(True)))
+        latest = _latest(both, keys, [*order, "_stored"], counts, n)
+        changes = materialize_at(latest.withColumn(column, _bucket(keys, n)), f"{aside}/changes")
+        touched = [row[0] for row in changes.where("not _stored").select(column).distinct().collect()]
+        if touched:
+            _write(changes.where(F.col(column).isin(touched)).drop("_stored"), path, column)
+    finally:
+        storage.delete(spark, aside)

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from .. import storage
 from ..session import materialize_at, scratch_path
-from ..sinks.buckets import upsert_buckets
+from ..sinks.buckets import upsert_latest
 from ..sinks.tables import upsert_into
 from ..sinks.upsert import content_hash, dedupe_latest
 
@@ -41,16 +41,17 @@ def upsert_stream(
     total = [*order, content_hash(schema)]
 
     def load(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            aside = scratch_path(spark, "batch")
-            try:
-                latest = materialize_at(dedupe_latest(batch, keys, total), aside)
-                if slice_by is None:
-                    upsert_buckets(latest, path, keys, buckets, total, written=True, unique=True)
-                else:
-                    upsert_into(latest, path, keys, slice_by, order=total, written=True, unique=True)
-            finally:
-                storage.delete(spark, aside)
+        if batch.isEmpty():
+            return
+        if slice_by is None:
+            upsert_latest(batch, path, keys, buckets, total)
+            return
+        aside = scratch_path(spark, "batch")
+        try:
+            latest = materialize_at(dedupe_latest(batch, keys, total), aside)
+            upsert_into(latest, path, keys, slice_by, order=total, written=True, unique=True)
+        finally:
+            storage.delete(spark, aside)
 
     landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     return (

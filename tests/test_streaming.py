@@ -1,6 +1,6 @@
 from asterism import sinks
 from asterism.sinks import buckets, tables
-from asterism.streaming import upsert_stream
+from asterism.streaming import increments, upsert_stream
 
 SCHEMA = "id int, at int, v string"
 
@@ -77,3 +77,37 @@ def test_a_batch_is_compared_with_its_buckets_once(spark, tmp_path, monkeypatch)
         ).awaitTermination()
     assert made == ["changes"]
     assert sinks.read_buckets(spark, str(tmp_path / "table")).where("at = id + 1").count() == 200
+
+
+def test_a_batch_and_its_buckets_meet_in_one_aggregate(spark, rows, tmp_path, monkeypatch):
+    """With a frequent key and without one: nothing is written or joined before, and only buckets that change are put in place."""
+    def fail(*_, **__):
+        raise AssertionError("written or compared apart")
+
+    monkeypatch.setattr(increments, "materialize_at", fail)
+    monkeypatch.setattr(buckets, "changed_rows", fail)
+    hinted = []
+    reduced = buckets.dedupe_latest
+    monkeypatch.setattr(buckets, "dedupe_latest", lambda df, *how: hinted.append("rebalance" in df._jdf.queryExecution().logical().toString().lower()) or reduced(df, *how))
+    path = str(tmp_path / "table")
+    drops = [("id", "id", "'a'"), ("id", "id - 1", "'stale'"), ("if(id < 300, 7, id)", "id + 1000", "'b'"), ("id div 2", "id + 1", "cast(null as string)")]
+    for key, at, v in drops:
+        drop = spark.range(400).selectExpr(f"cast({key} as int) id", f"cast({at} as int) at", f"{v} v")
+        drop.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        files = set(spark.read.parquet(path).inputFiles()) if hinted else set()
+        upsert_stream(spark, str(tmp_path / "in"), drop.schema, path, ["id"], ["at"], str(tmp_path / "log"), buckets=4).awaitTermination()
+        same = files == set(spark.read.parquet(path).inputFiles())
+        assert same == (v == "'stale'")
+    assert hinted == [True, True, False, True]
+    found = {row[0]: row[1:] for row in rows(sinks.read_buckets(spark, path))}
+    later = {i: (2 * i + 2, None) for i in range(200)}
+    assert found == {i: (i, "a") for i in range(400)} | later | {i: (i + 1000, "b") for i in range(300, 400)} | {7: (1299, "b")}
+
+
+def test_columns_that_a_stream_lacks_keep_their_values(spark, rows, tmp_path):
+    path = str(tmp_path / "table")
+    sinks.upsert_buckets(spark.createDataFrame([(1, 1, "a"), (2, 5, "b")], SCHEMA), path, ["id"], 4)
+    drop = spark.createDataFrame([(1, 2), (1, 3), (2, 4), (3, 1)], "id int, at int")
+    drop.coalesce(1).write.parquet(str(tmp_path / "in"))
+    upsert_stream(spark, str(tmp_path / "in"), drop.schema, path, ["id"], ["at"], str(tmp_path / "log")).awaitTermination()
+    assert rows(sinks.read_buckets(spark, path)) == [(1, 3, "a"), (2, 5, "b"), (3, 1, None)]
