@@ -138,6 +138,17 @@ def test_lines_find_every_pair_of_long_lines(spark, edits, blank):
     assert sum(edits < apart <= most for *_, most, apart in near) >= 8
 
 
+def test_long_lines_are_shuffled_once_for_both_sides(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(300).selectExpr("id", "repeat(concat('word', cast(id as string), ' '), 30) AS line").withColumn("length", F.char_length("line"))
+        met = lines._by_words(rows, 2)
+        met.collect()
+        assert "ReusedExchange" in met._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_substrings(odd, empty, spark):
     rows = by_id(substrings.without_repeats(odd), "n_words", "n_removed", "kept")
     kept = {row[0]: row for row in rows}
