@@ -149,6 +149,33 @@ def test_long_lines_are_shuffled_once_for_both_sides(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_long_lines_that_only_share_words_do_not_meet(spark):
+    rng = random.Random(5)
+    frequent = ["".join(rng.choice("abcdefgh") for _ in range(10)) for _ in range(12)]
+    texts = []
+    for _ in range(100):
+        words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(40)]
+        for at, word in zip(rng.sample(range(1, 39, 3), 6), rng.sample(frequent, 6)):
+            words[at] = word
+        texts.append(" ".join(words))
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, line string").withColumn("length", F.char_length("line"))
+    assert lines._by_words(rows, 2).distinct().count() <= 100  # of 4950 pairs
+    # Not two keys and more for each edit.
+    assert sum(len(r["keys"]) / (r["length"] // 32 + 1) for r in lines._chunk_keys(rows, 2).collect()) < 2 * len(texts)
+
+
+@pytest.mark.parametrize("blank", ["", " " * 3, " x "])
+def test_long_lines_of_few_or_repeated_words(spark, blank):
+    rng = random.Random(7)
+    base = [blank.join(rng.choice(["ab", "c", "dddé", "eeeeeeeeeeeeeeeeeeeeeeeeeeeee"]) for _ in range(80))[:rng.randint(96, 260)] for _ in range(4)]
+    texts = sorted({_edited(rng, rng.choice(base), rng.randint(0, 9)) for _ in range(60)})
+    rows = spark.createDataFrame([(t,) for t in texts], "line string").select(F.xxhash64("line").alias("id"), "line")
+    names = {row["id"]: row["line"] for row in rows.collect()}
+    got = {frozenset((names[r["a"]], names[r["b"]])) for r in lines.links(rows).collect()}
+    near = [(a, b, max(2, min(len(a), len(b)) // 32)) for i, a in enumerate(texts) for b in texts[:i]]
+    assert got == {frozenset((a, b)) for a, b, most in near if abs(len(a) - len(b)) <= most and _distance(a, b) <= most}
+
+
 def test_substrings(odd, empty, spark):
     rows = by_id(substrings.without_repeats(odd), "n_words", "n_removed", "kept")
     kept = {row[0]: row for row in rows}
