@@ -176,6 +176,16 @@ def test_long_lines_of_few_or_repeated_words(spark, blank):
     assert got == {frozenset((a, b)) for a, b, most in near if abs(len(a) - len(b)) <= most and _distance(a, b) <= most}
 
 
+def test_long_lines_are_compared_between_their_ends(spark):
+    rng = random.Random(3)
+    base = "".join(rng.choice("ab é") for _ in range(300))
+    pairs = [(base[:n], _edited(rng, base[:n], rng.randint(0, 9)), rng.randint(0, 8)) for n in (1, 7, 8, 16, 40, 100, 300) for _ in range(6)]
+    pairs += [("a" * n, "a" * m, most) for n, m, most in ((50, 52, 1), (50, 52, 2), (8, 16, 7), (8, 16, 8), (9, 9, 0))]
+    rows = spark.createDataFrame(pairs, "x string, y string, most int")
+    got = rows.select("*", lines._within_long(F.col("x"), F.col("y"), F.col("most")).alias("near")).collect()
+    assert all(r["near"] == (_distance(r["x"], r["y"]) <= r["most"]) for r in got) and len({r["near"] for r in got}) == 2
+
+
 def test_substrings(odd, empty, spark):
     rows = by_id(substrings.without_repeats(odd), "n_words", "n_removed", "kept")
     kept = {row[0]: row for row in rows}
