@@ -18,11 +18,6 @@ MOST_FREQUENT = 5_000
 TRACKED = 100_000
 
 
-def _fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast ``df``."""
-    return storage.estimated_bytes(df) <= storage.broadcast_limit(df.sparkSession)
-
-
 def _partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -52,8 +47,8 @@ def left_lookup(
 ) -> DataFrame:
     """``df`` with the columns of ``dim``, which must have one row per key, or nulls.
 
-    A dimension that Spark can broadcast is joined as it is, and so is a larger one if no key of
-    ``df`` is frequent. Rows of frequent keys must not meet in one task: they are cut into pieces by a
+    A dimension whose rows may be broadcast is joined as it is, and a larger one by a merge join if no key of
+    ``df`` is frequent, also where Spark's estimate by compressed files would let it broadcast. Rows of frequent keys must not meet in one task: they are cut into pieces by a
     salt, and ``dim`` has its row of such a key once for each piece, which makes a few rows for
     each partition. Nothing is broadcast for that but the salts.
 
@@ -63,12 +58,12 @@ def left_lookup(
     """
     on = [on] if isinstance(on, str) else on
     taken = [name for name in dim.columns if name not in on]
-    if _fits_broadcast(dim) if small is None else small:
+    if storage.fits_broadcast(dim) if small is None else small:
         return df.join(dim, on, "left")
     spark = df.sparkSession
     frequent = frequent_keys(df if counted is None else counted, on, parts or _partitions(spark))
     if not frequent:
-        return df.join(dim, on, "left").select(*df.columns, *taken)
+        return df.join(storage.not_broadcast(dim), on, "left").select(*df.columns, *taken)
 
     # At most MOST_FREQUENT rows of two numbers.
     pieces = F.broadcast(spark.createDataFrame(frequent, "_hash long, _pieces int"))
@@ -110,7 +105,7 @@ def lookup_roles(
     which only they and ``row`` are moved, and folded back; ``df`` itself is moved once, whatever the number of roles.
     """
     keys = dim.select(F.col(nk).alias("_nk"), F.col(sk).alias("_sk"))
-    if _fits_broadcast(keys) if small is None else small:
+    if storage.fits_broadcast(keys) if small is None else small:
         for key, out in roles.items():
             df = lookup_key(df, dim, key, nk, sk, out, small=True)
         return df

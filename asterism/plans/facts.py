@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions.casting import read_as
 from ..operators.aggregates import pick_one
 from ..operators.joins import left_join_measures, left_lookup, lookup_key, with_date_id
@@ -121,7 +122,7 @@ def investment_rows(
     )
     # One join for the amount and the key of a round: both hang on the same natural key.
     rounds = amounts.join(
-        dim_funding_round.select("funding_round_nk", "funding_round_id"), "funding_round_nk", "left"
+        storage.kept_back(dim_funding_round.select("funding_round_nk", "funding_round_id")), "funding_round_nk", "left"
     )
     dated = with_date_id(rows, "created_at", dim_date)
 

@@ -5,7 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from asterism import operators as ops
+from asterism import storage
 from asterism.plans import calendar
+from asterism.plans.facts import investment_rows
+from asterism.session import materialize
 
 
 @pytest.fixture
@@ -137,3 +140,40 @@ def test_lookup_of_several_roles(spark, rows, small, monkeypatch):
     assert rows(found, "id", "note", "one_id", "two_id") == [(1, "x", 10, 20), (2, "y", 10, None), (3, "z", None, None), (4, "w", None, 10)]
     # One lookup, to which a role brings its key and the row's.
     assert small or calls == [["_row_id", "_role", "_nk"]]
+
+
+@pytest.fixture
+def compressed(spark):
+    """400,000 rows in far fewer bytes of files than they take in memory: Spark would broadcast them."""
+    df = materialize(spark.range(400_000).select(F.concat(F.lit("c:"), F.col("id")).alias("k"), F.col("id").alias("sk")).orderBy("sk"), "compressed")
+    assert storage.estimated_bytes(df) <= storage.broadcast_limit(spark)
+    return df
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_table_in_small_files_is_not_broadcast(spark, compressed):
+    rows = compressed.select(F.col("k"), F.lit(1).alias("v"))
+    assert "BroadcastHashJoin" not in plan(ops.left_lookup(rows, compressed, "k"))
+    assert "BroadcastHashJoin" not in plan(rows.join(storage.kept_back(compressed), "k", "left_semi"))
+    a, b = storage.sides(rows, compressed)
+    assert "BroadcastHashJoin" not in plan(a.join(b, "k"))
+    few = compressed.where("sk < 1000")
+    assert "BroadcastHashJoin" in plan(ops.left_lookup(rows, few, "k"))
+    for a, b in (storage.sides(few, compressed), storage.sides(compressed, few)):
+        assert "BroadcastHashJoin" in plan(a.join(b, "k"))
+    found = ops.left_lookup(rows, compressed, "k").agg(F.count("sk"), F.sum("sk")).first()
+    assert tuple(found) == (400_000, 399_999 * 200_000)
+
+
+def test_amounts_of_many_rounds_are_not_broadcast(spark, compressed, staged):
+    dim = compressed.select(F.col("sk").alias("funding_round_id"), F.col("k").alias("funding_round_nk"))
+    empty = spark.createDataFrame([], "nk string, id long")
+    rounds = compressed.select(F.col("k").alias("funding_round_id"), F.lit(1).alias("raised_amount_usd"))
+    investments = staged("investments", {"investment_id": 1})
+    built = investment_rows(
+        investments, rounds, calendar(spark), empty.toDF("company_nk", "company_id"), empty.toDF("investor_nk", "investor_id"), dim
+    )
+    assert "BroadcastHashJoin [funding_round_nk" not in plan(built)
