@@ -74,7 +74,7 @@ def assign_ids(
     known = known.select(*[F.col(name).alias(f"_nk_{name}") for name in nk], sk)
     same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_nk_{name}")) for name in nk])
     last = known.agg(F.coalesce(F.max(sk), F.lit(0))).first()[0]
-    matched = new.join(known, same, "left").select(sk, *new.columns)
+    matched = new.join(storage.kept_back(known), same, "left").select(sk, *new.columns)
     matched, seen = observed(matched, added=F.count_if(F.col(sk).isNull()))
     matched = materialize(matched, f"matched-{sk}")
     if not seen.get["added"]:

@@ -201,7 +201,7 @@ def changed_rows(
     stored += [F.col(name).alias(f"_old_{name}") for name in compared or []] + [column.alias(name) for name, column in taken.items()]
     if order:
         stored.append(F.struct(*order).alias("_order"))
-    found = source.join(target.select(stored), match(keys), "left")
+    found = source.join(storage.kept_back(target.select(stored)), match(keys), "left")
     change = F.lit(True)
     if compared is not None:
         same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_old_{name}")) for name in compared], F.lit(True))
@@ -317,9 +317,9 @@ def upsert_into(
             if not slices_fixed and near.count() * 2 >= current.n_rows:
                 near = table
             elif not slices_fixed:
-                places = table.withColumn("s", _slice_name(slice_by)).join(known, match(keys), "left_semi").select("s")
+                places = table.withColumn("s", _slice_name(slice_by)).join(storage.kept_back(known, lambda: n_landed), match(keys), "left_semi").select("s")
                 near = current.read(spark, path, sorted({*names, *_names([places])}))
-        if near is table and replacing is None and storage.estimated_bytes(landed) > storage.broadcast_limit(spark):
+        if near is table and replacing is None and not storage.fits_broadcast(landed, lambda: n_landed):
             _merge_whole(landed, path, keys, slice_by, order, surrogate, number, base, current, aside)
             return
         taken = {"_found": F.lit(True)} | ({"_from": F.struct(F.expr(slice_by).alias("at"))} if sliced else {})
@@ -334,14 +334,15 @@ def upsert_into(
                 changes = changes.where(F.col(surrogate).isNotNull()).unionByName(number(added, last + 1))
         gone = None
         if replacing is not None:
-            affected = table.join(replacing.select([F.col(c).alias(f"_key_{c}") for c in replacing.columns]), match(replacing.columns), "left_semi")
-            gone = materialize_at(affected.join(known, match(keys), "left_anti"), f"{aside}/gone")
+            values = replacing.select([F.col(c).alias(f"_key_{c}") for c in replacing.columns])
+            affected = table.join(storage.kept_back(values), match(replacing.columns), "left_semi")
+            gone = materialize_at(affected.join(storage.kept_back(known, lambda: n_landed), match(keys), "left_anti"), f"{aside}/gone")
         if changes.isEmpty() and (gone is None or gone.isEmpty()):
             return
 
         def merged(rows: DataFrame) -> DataFrame:
             if gone is not None:
-                rows = rows.join(gone.select([F.col(k).alias(f"_key_{k}") for k in keys]), match(keys), "left_anti")
+                rows = rows.join(storage.kept_back(gone.select([F.col(k).alias(f"_key_{k}") for k in keys])), match(keys), "left_anti")
             return rows.unionByName(changes, allowMissingColumns=True) if only_new else upsert(rows, changes, keys)
 
         only_new = replaced.isEmpty()

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .. import storage
 from ..functions.casting import parse_keys, quoted
 
 
@@ -88,14 +89,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | list[str]) -> DataF
     supplied = source.columns
     source_keys = source.select(_renamed_keys(source, keys))
     if len(supplied) == len(target.columns):
-        return target.join(source_keys, match(keys), "left_anti").unionByName(source)
+        return target.join(storage.kept_back(source_keys), match(keys), "left_anti").unionByName(source)
 
     changes = source.select(
         F.lit(True).alias("_hit"),
         *_renamed_keys(source, keys),
         *[F.col(name).alias(f"_new_{name}") for name in supplied if name not in keys],
     )
-    updated = target.join(changes, match(keys), "left").select(
+    n_source = cache(source.count)
+    updated = target.join(storage.kept_back(changes, n_source), match(keys), "left").select(
         [
             F.when(F.col("_hit"), F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name)
             if name in supplied and name not in keys
@@ -103,7 +105,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | list[str]) -> DataF
             for name in target.columns
         ]
     )
-    known = target.select(keys).join(source_keys, match(keys), "left_semi")
+    known = target.select(keys).join(storage.kept_back(source_keys, n_source), match(keys), "left_semi")
     known = known.select(_renamed_keys(known, keys))
-    inserted = source.join(known, match(keys), "left_anti")
+    # No more of the target's keys are known than the source has.
+    inserted = source.join(storage.kept_back(known, n_source), match(keys), "left_anti")
     return updated.unionByName(inserted, allowMissingColumns=True)

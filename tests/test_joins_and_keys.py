@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 
 from asterism import operators as ops
 from asterism import storage
-from asterism.plans import calendar
+from asterism.operators.mapping import VIOLATIONS
+from asterism.plans import calendar, pending
 from asterism.plans.facts import investment_rows
-from asterism.session import materialize
+from asterism.session import materialize, scratch_path
+from asterism.sinks import tables
+from asterism.sinks.tables import changed_rows
+from asterism.sinks.upsert import upsert
 
 
 @pytest.fixture
@@ -177,3 +181,62 @@ def test_amounts_of_many_rounds_are_not_broadcast(spark, compressed, staged):
         investments, rounds, calendar(spark), empty.toDF("company_nk", "company_id"), empty.toDF("investor_nk", "investor_id"), dim
     )
     assert "BroadcastHashJoin [funding_round_nk" not in plan(built)
+
+
+def test_upsert_of_many_rows_in_small_files_is_not_broadcast(spark, compressed):
+    target = materialize(compressed.withColumn("name", F.lit("x")), "target")
+    assert "BroadcastHashJoin" not in plan(upsert(target, target, "k"))
+    assert "BroadcastHashJoin" not in plan(upsert(target, compressed, "k"))
+    assert "BroadcastHashJoin" not in plan(changed_rows(compressed, target, ["k"], []))
+    few = materialize(compressed.where("sk < 1000"), "few")
+    assert "BroadcastHashJoin" in plan(upsert(target, few, "k"))
+    changed = upsert(target, few.withColumn("sk", F.col("sk") + 1), "k").agg(F.count("name"), F.sum("sk")).first()
+    assert tuple(changed) == (400_000, 399_999 * 200_000 + 1000)
+
+
+def broadcasts(monkeypatch, module, run):
+    """The physical plans of what ``run`` writes aside in a module, that have a broadcast."""
+    plans = []
+    for name in ("materialize", "materialize_at"):
+        if hasattr(module, name):
+            monkeypatch.setattr(module, name, lambda df, path, write=getattr(module, name): plans.append(plan(df)) or write(df, path))
+    run()
+    assert plans
+    return [text for text in plans if "BroadcastHashJoin" in text]
+
+
+def test_replaced_keys_in_small_files_are_not_broadcast(spark, compressed, monkeypatch):
+    """The rows of many affected keys, as a daily build replaces them."""
+    path = scratch_path(spark, "replaced")
+    tables.upsert_into(compressed, path, "k", written=True, unique=True)
+    keys = compressed.select("k")
+    run = lambda: tables.upsert_into(compressed.where("sk % 100 > 0"), path, "k", replacing=keys, written=True, unique=True)
+    assert broadcasts(monkeypatch, tables, run) == []
+    assert tuple(tables.read_table(spark, path).agg(F.count("k"), F.max("sk")).first()) == (396_000, 399_999)
+
+
+def test_many_waiting_facts_in_small_files_are_not_broadcast(spark, compressed, monkeypatch):
+    root = scratch_path(spark, "waiting")
+    loaded = compressed.select(F.col("sk").alias("nk"), F.lit(None).cast("long").alias("id"), F.col("k").alias("missing"))
+    dims = {"d": (compressed.where("sk % 100 > 0"), "k")}
+    pending.note_waiting(spark, root, "t", loaded, "nk", {"id": ("d", "missing")}, whole=True)
+    found = []
+    run = lambda: found.append(pending.resolved_keys(spark, root, "t", dims))
+    assert broadcasts(monkeypatch, pending, run) == []
+    assert found[0].count() == 396_000
+    run = lambda: pending.note_waiting(spark, root, "t", loaded.where("nk % 100 > 0"), "nk", {"id": ("d", "missing")}, whole=False)
+    written = []
+    monkeypatch.setattr(pending, "write_version", lambda df, path: written.append(plan(df)))
+    run()
+    assert written and "BroadcastHashJoin" not in written[0]
+
+
+def test_many_rejected_rows_in_small_files_are_not_broadcast(spark, compressed, monkeypatch):
+    root = scratch_path(spark, "rejected")
+    rows = compressed.select("k", F.array(F.lit("r")).alias(VIOLATIONS), "sk")
+    state = pending.report(rows, ["sk"], F.col("k"))
+    pending.settle(spark, root, "t", state, None)
+    judged = compressed.select(F.lit(None).cast("string").alias("source"), F.col("k").alias("key"))
+    run = lambda: pending.settle(spark, root, "t", state.where("key <> 'c:7'"), judged)
+    assert broadcasts(monkeypatch, pending, run) == []
+    assert pending.rejected_rows(spark, root, "t").count() == 399_999
