@@ -10,6 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions.casting import day_before, parse_date
 from ..operators.keys import with_dense_id
 from ..operators.mapping import VIOLATIONS, unreadable
@@ -156,7 +157,7 @@ def build_warehouse(
             found = [df.select(F.col("key").alias(f"_key_{number}")) for df in found if df is not None]
             if found:
                 wanted = reduce(lambda a, b: a.union(b), found).where(f"_key_{number} IS NOT NULL").distinct().withColumn(f"_hit_{number}", F.lit(True))
-                rows = rows.join(wanted, F.col(column).cast("string") == F.col(f"_key_{number}"), "left")
+                rows = rows.join(storage.kept_back(wanted), F.col(column).cast("string") == F.col(f"_key_{number}"), "left")
                 hits.append(F.col(f"_hit_{number}").isNotNull())
         return rows.where(reduce(or_, hits)).select(s[source].columns)
 
@@ -190,7 +191,8 @@ def build_warehouse(
         if run_date is None:
             return s[source]
         rows = s[source]
-        return rows.join(affected.select(F.col(affected.columns[0]).alias("_affected")), F.col(column).eqNullSafe(F.col("_affected")), "left_semi")
+        keys = storage.kept_back(affected.select(F.col(affected.columns[0]).alias("_affected")))
+        return rows.join(keys, F.col(column).eqNullSafe(F.col("_affected")), "left_semi")
 
     def load(
         name: str,
