@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from asterism import plans, sinks
+from asterism.operators import left_lookup
 from asterism.plans.facts import funding_totals
 from asterism.schemas import WAREHOUSE, column_names
 from asterism.session import materialize, scratch_path
@@ -316,7 +317,7 @@ def late_dimension(t: Tables):
     for day in ("2030-01-03", "2030-01-04"):
         tables = plans.build_warehouse(t.spark, second, root, run_date=day)
     companies = tables["dim_company"].select("company_id", "company_nk")
-    found = tables["fact_investments"].join(companies, "company_id", "left")
+    found = left_lookup(tables["fact_investments"], companies, "company_id")
     parts = [
         found.select(F.lit("fact_investments").alias("table_name"), F.col("investment_nk").alias("key"), F.col("company_nk").alias("found")),
         tables["dim_relationship"].select(F.lit("dim_relationship"), "relationship_nk", "people_nk"),
