@@ -72,17 +72,17 @@ def settle(spark: SparkSession, root: str, table: str, rejected: DataFrame | Non
         # A row without a key is known by what it is.
         same = [F.col("source").eqNullSafe(F.col("_source")), F.coalesce("key", "row").eqNullSafe(F.col("_known"))]
         times = before.groupBy(F.col("source").alias("_source"), F.coalesce("key", "row").alias("_known")).agg(F.min("created_at").alias("_first"))
-        again = state.join(times, same, "left").withColumn("created_at", F.coalesce("_first", "created_at")).drop("_source", "_known", "_first")
+        again = state.join(storage.kept_back(times), same, "left").withColumn("created_at", F.coalesce("_first", "created_at")).drop("_source", "_known", "_first")
         if judged is not None:
             tried = judged.select(F.col("source").alias("_source"), F.col("key").alias("_known"))
             # What has a key was judged under it.
             tried = tried.union(state.where("key IS NULL").select("source", "row"))
             # Keys alone tell whether a row was left out, which is seldom so.
             names = [F.col("source"), F.coalesce("key", "row").alias("row")]
-            left = before.select(F.lit(None).cast("string").alias("key"), *names).join(tried, same, "left_anti")
+            left = before.select(F.lit(None).cast("string").alias("key"), *names).join(storage.kept_back(tried), same, "left_anti")
             left = materialize(left.select(F.col("source").alias("_source"), F.col("row").alias("_known")).distinct(), "left")
             if not left.isEmpty():
-                again = again.unionByName(before.join(left, same, "left_semi"))
+                again = again.unionByName(before.join(storage.kept_back(left), same, "left_semi"))
         state = again
     build = f"build={uuid.uuid4().hex}"
     if materialize_at(state, f"{folder}/{build}").isEmpty():
@@ -113,7 +113,7 @@ def note_waiting(
         return
     found = materialize(reduce(lambda a, b: a.union(b), parts), "waiting")
     if before is not None and not whole:
-        found = found.union(before.join(loaded.select(F.col(key).cast("string").alias("key")), "key", "left_anti"))
+        found = found.union(before.join(storage.kept_back(loaded.select(F.col(key).cast("string").alias("key"))), "key", "left_anti"))
     if before is not None or not found.isEmpty():
         write_version(found, path)
 
@@ -130,6 +130,7 @@ def resolved_keys(spark: SparkSession, root: str, table: str, dimensions: Mappin
     parts = []
     for name, (dimension, nk) in dimensions.items():
         here = dimension.select(F.col(nk).cast("string").alias("missing"))
-        parts.append(noted.where(F.col("dimension") == name).join(here, "missing").select("key"))
+        waiting, here = storage.sides(noted.where(F.col("dimension") == name), here)
+        parts.append(waiting.join(here, "missing").select("key"))
     found = materialize(reduce(lambda a, b: a.union(b), parts).distinct(), "resolved")
     return None if found.isEmpty() else found

@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions.casting import day_before, parse_date, parse_keys, quoted
 from ..session import materialize
 
@@ -57,7 +58,8 @@ def snapshot_diff(source: DataFrame, staged: DataFrame | None, keys: str | list[
     kind = F.when(F.col("old").isNull(), "insert").when(F.col("new").isNull(), "delete").when(F.col("new") != F.col("old"), "update")
     found = materialize(found.select(*[f"_key_{k}" for k in keys], kind.alias(CHANGE)).where(F.col(CHANGE).isNotNull()), "changes")
     same = [F.col(quoted(k)).cast(staged.schema[k].dataType).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
-    changed = source.join(found.where(F.col(CHANGE) != "delete"), same).select(*[F.col(quoted(name)) for name in source.columns], CHANGE)
+    rows, changes = storage.sides(source, found.where(F.col(CHANGE) != "delete"))
+    changed = rows.join(changes, same).select(*[F.col(quoted(name)) for name in source.columns], CHANGE)
     gone = found.where(F.col(CHANGE) == "delete").select([
         F.col(f"_key_{name}").cast(source.schema[name].dataType).alias(name) if name in keys else F.lit(None).cast(source.schema[name].dataType).alias(name)
         for name in source.columns
