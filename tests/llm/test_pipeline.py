@@ -7,7 +7,8 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from asterism.llm import simhash
+from asterism import session, storage
+from asterism.llm import lines, simhash
 
 KINDS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -114,3 +115,27 @@ def test_extra_columns_of_any_name_and_long_texts(spark, tmp_path):
     assert sorted(row["doc_id"] for row in got) == [1, 2, 3, 5] and kept[3]["text"] == long
     for row in got:
         assert [row[name] for name in ("_row", "_place", "place", "doc", "component_id", "hash", "score", "a.b")] == ["r", "p", "q", "d", "c", 5, "x", 1]
+
+
+def test_lines_leave_their_links_alone(spark):
+    """Neither shuffle files nor tables that links were found by stay once they are found."""
+    docs = spark.createDataFrame([(i, f"a line of text that all have, but for number {i % 7}\nand one more {i}") for i in range(50)], "doc_id long, text string")
+    before = set(storage.names(spark, session.scratch_folder(spark)))
+    found = lines.links(lines.occurrences(docs).select("id", "line"))
+    left = set(storage.names(spark, session.scratch_folder(spark))) - before
+    assert [name.rsplit("-", 1)[0] for name in left] == ["lines-links"] and found.count() > 0
+
+
+def test_a_written_table_drops_its_shuffles(spark, monkeypatch):
+    seen, setting = [], session.DROP_SHUFFLES
+    df = spark.range(10).repartition(2, "id")
+    kind = type(df.write)
+    monkeypatch.setattr(kind, "parquet", lambda self, path, write=kind.parquet: seen.append(spark.conf.get(setting, None)) or write(self, path))
+    assert session.materialize(df, "dropped").count() == 10
+    assert seen == ["true"] and spark.conf.get(setting, None) is None
+    spark.conf.set(setting, "false")
+    try:
+        session.materialize(df, "kept")
+    finally:
+        spark.conf.unset(setting)
+    assert seen == ["true", "false"]
